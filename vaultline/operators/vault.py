@@ -128,22 +128,26 @@ def new_link_rows(batch: DataFrame, existing: DataFrame | None, key_col: str) ->
 
 def changed_sat_rows(batch: DataFrame, existing: DataFrame | None, key_col: str,
                      order: Sequence[str] = (TS,), skew_safe: bool = True) -> DataFrame:
-    """Satellite rows to insert. Inside the batch, consecutive equal
-    versions of a key collapse to the first (so intermediate changes and
-    A->B->A survive); the first version of each key is kept only if it
-    differs from the key's current row in ``existing``."""
+    """Satellite rows to insert. Batch rows not newer than the key's
+    current row in ``existing`` are skipped (already loaded: replaying a batch
+    adds nothing). Inside the batch, consecutive equal versions of a key
+    collapse to the first (intermediate changes and A->B->A survive); the
+    first version of each key is kept only if it differs from the key's
+    current row."""
     order = list(order)
+    if existing is not None:
+        # One row per key on the right side; AQE splits a hot key on the left.
+        cur = current_rows(existing.select(key_col, HD, *order), key_col, order).select(
+            key_col, F.col(HD).alias("_cur_hd"), F.struct(*order).alias("_cur_order"))
+        batch = (batch.join(cur, key_col, "left")
+                 .filter(F.col("_cur_order").isNull() | (F.struct(*order) > F.col("_cur_order")))
+                 .drop("_cur_order"))
+    else:
+        batch = batch.withColumn("_cur_hd", F.lit(None).cast("string"))
     lagged = ordered_lag(batch, [key_col], order, [HD], prefix="_prev_", skew_safe=skew_safe)
-    changed = lagged.filter(~F.col(HD).eqNullSafe(F.col(f"_prev_{HD}")))
-    if existing is None:
-        return changed.drop(f"_prev_{HD}")
-    later = changed.filter(F.col(f"_prev_{HD}").isNotNull()).drop(f"_prev_{HD}")
-    firsts = changed.filter(F.col(f"_prev_{HD}").isNull()).drop(f"_prev_{HD}")
-    # One row per key on both sides of this join: no hot key can form.
-    cur = current_rows(existing.select(key_col, HD, *order), key_col, order).select(
-        key_col, F.col(HD).alias("_cur_hd"))
-    kept = firsts.join(cur, key_col, "left").filter(~F.col(HD).eqNullSafe(F.col("_cur_hd"))).drop("_cur_hd")
-    return later.unionByName(kept)
+    first = F.col(f"_prev_{HD}").isNull()
+    keep = F.when(first, ~F.col(HD).eqNullSafe(F.col("_cur_hd"))).otherwise(F.col(HD) != F.col(f"_prev_{HD}"))
+    return lagged.filter(keep).drop(f"_prev_{HD}", "_cur_hd")
 
 
 def upsert_by_key(batch: DataFrame, existing: DataFrame | None, keys, order: Sequence[str] | None = None) -> DataFrame:
