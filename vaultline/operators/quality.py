@@ -113,7 +113,10 @@ def _keyed_flag(df: DataFrame, rule: Rule, parents: Mapping[str, DataFrame]) ->
         dups = dups.select(*[F.col(c).alias(f"{tag}{i}") for i, c in enumerate(cols)], F.lit(True).alias(tag))
         cond = F.lit(True)
         for i, c in enumerate(cols):
-            cond = cond & df[c].eqNullSafe(dups[f"{tag}{i}"])
+            # unique ignores NULL keys, so plain equality; a combination
+            # treats NULL as a value, so NULL-safe equality.
+            eq = (df[c] == dups[f"{tag}{i}"]) if rule.kind == "unique" else df[c].eqNullSafe(dups[f"{tag}{i}"])
+            cond = cond & eq
         out = df.join(dups, cond, "left").drop(*[f"{tag}{i}" for i in range(len(cols))])
         return out, F.coalesce(F.col(tag), F.lit(False))
     if rule.kind == "relationships":
