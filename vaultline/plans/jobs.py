@@ -48,13 +48,29 @@ class TargetSpec:
     partition_cols: list[str] = field(default_factory=list)
 
 
-def _rows(df: DataFrame | None) -> list[dict]:
-    return [r.asDict() for r in df.collect()] if df is not None else []
+def _rows(sheet) -> list[dict]:
+    """Metadata rows from a (small) DataFrame or from a list of dicts/Rows,
+    with every canonical column present."""
+    if sheet is None:
+        return []
+    raw = sheet.collect() if isinstance(sheet, DataFrame) else list(sheet)
+    out = []
+    for r in raw:
+        d = r.asDict() if hasattr(r, "asDict") else dict(r)
+        out.append(_Defaults(d))
+    return out
 
 
-def specs_from_metadata(target_columns: DataFrame, mappings: DataFrame | None = None,
-                        loads: DataFrame | None = None, rules: DataFrame | None = None) -> list[TargetSpec]:
-    """Canonical sheets (see ``vaultline.metadata``) -> one spec per target table.
+class _Defaults(dict):
+    """A metadata row where absent optional columns read as None."""
+
+    def __missing__(self, key):
+        return None
+
+
+def specs_from_metadata(target_columns, mappings=None, loads=None, rules=None) -> list[TargetSpec]:
+    """Canonical sheets (see ``vaultline.metadata``; DataFrames or lists of
+    row dicts) -> one spec per target table.
 
     - target_columns: ``transformation`` is the SQL for the column (a bare
       source column is the direct mapping); ``data_type`` becomes a cast;

@@ -234,7 +234,7 @@ def _summary_sql() -> str:
 
 @query("dq_summary", f"WITH s AS ({tpl.CUSTOMER_STAGE_SQL}) {_summary_sql()}")
 def q_dq_summary(spark, sf):
-    rules = rules_from_rows(tpl.customer_rules(spark).collect())
+    rules = rules_from_rows(tpl.CUSTOMER_RULE_ROWS)
     return quality.summarize(tpl.customer_stage(spark, sf), rules)
 
 
@@ -404,7 +404,7 @@ def q_rule_report(spark, sf):
 # ====================================================================== E: applying DQ
 
 def _customer_split(spark, sf):
-    rules = rules_from_rows(tpl.customer_rules(spark).collect())
+    rules = rules_from_rows(tpl.CUSTOMER_RULE_ROWS)
     return quality.apply_rules(tpl.customer_stage(spark, sf), rules)
 
 
@@ -478,7 +478,7 @@ def q_quarantine_all(spark, sf):
 
 
 def _etl_specs(spark):
-    return {s.name: s for s in specs_from_metadata(tpl.target_columns(spark), tpl.mappings(spark), tpl.loads(spark))}
+    return {s.name: s for s in specs_from_metadata(tpl.TARGET_ROWS, tpl.MAPPING_ROWS, tpl.LOAD_ROWS)}
 
 
 @query("etl_customer", """
@@ -940,7 +940,7 @@ def q_stream_dq_split(spark, sf):
     stream = (spark.readStream.schema(c.schema).option("pathGlobFilter", "customer.parquet").parquet(sf)
               .select("c_custkey", "c_name", "c_acctbal", F.expr("nullif(c_mktsegment, 'BUILDING')").alias("segment"),
                       "c_mktsegment"))
-    rules = rules_from_rows(tpl.customer_rules(spark).collect())
+    rules = rules_from_rows(tpl.CUSTOMER_RULE_ROWS)
     s = stream_split(stream, rules)
     target = scratch_path(spark, "stream_clean")
     run_available(s.clean.select("c_custkey", "c_name", "segment"), target, scratch_path(spark, "stream_clean_ckpt"))

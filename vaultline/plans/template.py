@@ -1,5 +1,5 @@
 """A TPC-H metadata template: the sheets a user would fill in for the
-customer/orders sample job, as canonical metadata DataFrames.
+customer/orders sample job, as rows and as canonical metadata DataFrames.
 
 The registered queries run these sheets over the driver's tables.
 """
@@ -20,33 +20,41 @@ HUB_BATCH1_CUTOFF = "1996-01-01 00:00:00"
 SAT_BATCH1_CUTOFF = "2024-01-15 00:00:00"
 
 
+# The metadata sheets as rows (read on the driver; they are tiny).
+TARGET_ROWS = [
+    dict(system="warehouse", schema_name="tpch_stage", table_name="customer", column_name="customer_id",
+         data_type="BIGINT", transformation="c_custkey", load_order=1, key_kind="business key",
+         rule="not null; unique"),
+    dict(system="warehouse", schema_name="tpch_stage", table_name="customer", column_name="customer_name",
+         data_type="VARCHAR(50)", transformation="c_name", load_order=1, rule="not null; max_length(50)"),
+    dict(system="warehouse", schema_name="tpch_stage", table_name="orders", column_name="order_id",
+         data_type="BIGINT", transformation="o_orderkey", load_order=2, key_kind="business key",
+         rule="not null; unique"),
+]
+
+MAPPING_ROWS = [
+    dict(rule_id="0", target_table="customer", source_table="customer", expression="customer_id = c_custkey"),
+    dict(rule_id="1", target_table="orders", source_table="orders", expression="order_id = o_orderkey",
+         filter_condition=f"o_orderdate > '{ORDER_CUTOFF[:10]}'",
+         join_condition="customer ON orders.o_custkey = customer.c_custkey"),
+]
+
+LOAD_ROWS = [
+    dict(table_name="customer", frequency="daily", load_mode="full"),
+    dict(table_name="orders", frequency="daily", load_mode="incremental", watermark_column="o_orderdate"),
+]
+
+
 def target_columns(spark: SparkSession) -> DataFrame:
-    return sheet(spark, "target_columns", [
-        dict(system="warehouse", schema_name="tpch_stage", table_name="customer", column_name="customer_id",
-             data_type="BIGINT", transformation="c_custkey", load_order=1, key_kind="business key",
-             rule="not null; unique"),
-        dict(system="warehouse", schema_name="tpch_stage", table_name="customer", column_name="customer_name",
-             data_type="VARCHAR(50)", transformation="c_name", load_order=1, rule="not null; max_length(50)"),
-        dict(system="warehouse", schema_name="tpch_stage", table_name="orders", column_name="order_id",
-             data_type="BIGINT", transformation="o_orderkey", load_order=2, key_kind="business key",
-             rule="not null; unique"),
-    ])
+    return sheet(spark, "target_columns", TARGET_ROWS)
 
 
 def mappings(spark: SparkSession) -> DataFrame:
-    return sheet(spark, "mappings", [
-        dict(rule_id="0", target_table="customer", source_table="customer", expression="customer_id = c_custkey"),
-        dict(rule_id="1", target_table="orders", source_table="orders", expression="order_id = o_orderkey",
-             filter_condition=f"o_orderdate > '{ORDER_CUTOFF[:10]}'",
-             join_condition="customer ON orders.o_custkey = customer.c_custkey"),
-    ])
+    return sheet(spark, "mappings", MAPPING_ROWS)
 
 
 def loads(spark: SparkSession) -> DataFrame:
-    return sheet(spark, "loads", [
-        dict(table_name="customer", frequency="daily", load_mode="full"),
-        dict(table_name="orders", frequency="daily", load_mode="incremental", watermark_column="o_orderdate"),
-    ])
+    return sheet(spark, "loads", LOAD_ROWS)
 
 
 def protection(spark: SparkSession) -> DataFrame:
@@ -91,6 +99,9 @@ CUSTOMER_RULES_SQL = [
 ]
 
 
+CUSTOMER_RULE_ROWS = [dict(table_name="customer", column_name=c, rule=r, reject_handling=h, severity=s)
+                      for c, r, h, s in CUSTOMER_RULES]
+
+
 def customer_rules(spark: SparkSession) -> DataFrame:
-    return sheet(spark, "rules", [dict(table_name="customer", column_name=c, rule=r, reject_handling=h,
-                                       severity=s) for c, r, h, s in CUSTOMER_RULES])
+    return sheet(spark, "rules", CUSTOMER_RULE_ROWS)
