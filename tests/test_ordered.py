@@ -5,7 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from vaultline.operators.ordered import changes, current_rows, ordered_lag, union_all_by_name
+from vaultline.operators.ordered import (_order_number, changes, current_rows, ordered_lag,
+                                        union_all_by_name, with_slice_groups)
 from tests.conftest import SF01, rows
 
 
@@ -48,3 +49,15 @@ def test_union_by_name_fills_missing(spark):
     a = spark.createDataFrame([(1, "x")], "a int, b string")
     b = spark.createDataFrame([(2,)], "a int")
     assert rows(union_all_by_name([a, b])) == [(1, "x"), (2, None)]
+
+
+def test_hot_key_is_spread_over_many_groups(spark):
+    """A key with 40% of all rows must not form one window group: the
+    largest (key, slice) group stays a small fraction of the hot key."""
+    ev = spark.read.parquet(f"{SF01}/events.parquet")
+    ev = ev.withColumn("user_id", F.when(F.col("event_id") % 5 < 2, F.lit(7)).otherwise(F.col("user_id")))
+    hot = ev.filter(F.col("user_id") == 7).count()
+    g = with_slice_groups(ev, ["user_id"], _order_number(ev, "ts"), 256)
+    sizes = g.filter(F.col("user_id") == 7).groupBy("_grp").count()
+    assert sizes.count() > 100
+    assert sizes.agg(F.max("count")).first()[0] < hot / 50

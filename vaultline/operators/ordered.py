@@ -8,7 +8,8 @@ a large share of all rows is NOT sent whole to one task, which a plain
    equal ranges between its global min and max (two scalar subqueries, so
    the slice of a row is a pure function of the row: recomputing a lost task
    gives the same answer);
-2. ``lag`` runs inside (key, slice) - a hot key is spread over many groups;
+2. ``lag`` runs inside (key, slice) - a hot key is spread over many groups
+   (``slice_width`` can fix the slices instead, saving the statistics pass);
 3. the first row of every (key, slice) takes its predecessor from the last
    row of the key's previous non-empty slice: a ``max_by`` aggregate per
    (key, slice) (map-side partial, so skew-safe), then ``lag`` over the
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_SLICES = 256
+DEFAULT_SLICES = 1024
 
 
 def _names(cols) -> list[str]:
@@ -55,32 +56,55 @@ def _order_number(df: DataFrame, col: str) -> Column | None:
     return None
 
 
+def with_slice_groups(df: DataFrame, keys: Sequence[str], num: Column, slices: int,
+                      slice_width: float | None = None) -> DataFrame:
+    """Add ``_grp = struct(keys..., s)``. ``s`` is the slice of the order
+    number ``num``: ``floor(num / slice_width)`` when a width is given (no
+    extra pass), else one of ``slices`` equal ranges between its global min
+    and max (two scalar subqueries, merged by Spark into one aggregate pass
+    over the order column only)."""
+    if slice_width:
+        sl = F.floor(num / F.lit(float(slice_width)))
+    else:
+        stats = df.select(num.alias("_x"))
+        lo = stats.select(F.min("_x")).scalar()
+        width = stats.select((F.max("_x") - F.min("_x")) / F.lit(float(slices))).scalar()
+        sl = F.when(width > 0, F.least(F.floor((num - lo) / width), F.lit(slices - 1))).otherwise(F.lit(0))
+    grp = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], sl.cast("long").alias("s"))
+    return df.withColumn("_grp", grp)
+
+
 def ordered_lag(df: DataFrame, keys, order, values, prefix: str = "prev_",
-                skew_safe: bool = True, slices: int = DEFAULT_SLICES) -> DataFrame:
+                skew_safe: bool = True, slices: int = DEFAULT_SLICES,
+                slice_width: float | None = None) -> DataFrame:
     """Add ``prefix + v`` = value of ``v`` on the previous row of the same
     key in ``order`` (NULL on a key's first row). ``order`` should end in a
-    unique tie-breaker when rows can tie; otherwise tied rows are in any order."""
+    unique tie-breaker when rows can tie; otherwise tied rows are in any order.
+
+    ``slice_width`` (in the order number's unit: microseconds for
+    timestamps, days for dates) fixes the slices without a statistics pass."""
     keys, order, values = _names(keys), _names(order), _names(values)
     num = _order_number(df, order[0]) if skew_safe else None
-    if num is None or slices <= 1:
+    if num is None or (slices <= 1 and not slice_width):
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({f"{prefix}{v}": F.lag(v).over(w) for v in values})
 
-    stats = df.select(num.alias("_x"))
-    lo = stats.select(F.min("_x")).scalar()
-    width = stats.select((F.max("_x") - F.min("_x")) / F.lit(float(slices))).scalar()
-    sl = F.when(width > 0, F.least(F.floor((num - lo) / width), F.lit(slices - 1))).otherwise(F.lit(0))
-    grp = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], sl.cast("int").alias("s"))
-    base = df.withColumn("_grp", grp)
-
+    base = with_slice_groups(df, keys, num, slices, slice_width)
     w = Window.partitionBy("_grp").orderBy(*order)
     lagged = base.withColumns({
         **{f"{prefix}{v}": F.lag(v).over(w) for v in values},
         "_run_first": F.lag(F.lit(1)).over(w).isNull(),
     })
-    last = base.groupBy("_grp").agg(
+    # Last row of every (key, slice), aggregated on top of the window's own
+    # shuffle (already clustered by _grp, so no new exchange). Naming a
+    # window output keeps the window in this branch, and the trailing checksum
+    # reads every input column, so both branches have the same subtree below
+    # that shuffle and Spark reuses it instead of computing the input again
+    # (results do not depend on the reuse: slices are deterministic).
+    last = lagged.groupBy("_grp").agg(
         F.max_by(F.struct(*[F.col(v).alias(f"v{i}") for i, v in enumerate(values)]),
-                 F.struct(*order)).alias("_last"))
+                 F.struct(*order, F.col("_run_first"), F.xxhash64(*[F.col(c) for c in df.columns])))
+        .alias("_last"))
     keys_of = [F.col(f"_grp.k{i}") for i in range(len(keys))]
     prev = last.select("_grp", F.lag("_last").over(
         Window.partitionBy(*keys_of).orderBy(F.col("_grp.s"))).alias("_pl"))
