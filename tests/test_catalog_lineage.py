@@ -75,3 +75,12 @@ def test_lineage_document_shape(spark):
     assert set(d) == {"codeGraph", "sourceProperties", "targetProperties", "script"}
     assert len(d["codeGraph"]["nodes"]) == 2 and len(d["codeGraph"]["edges"]) == 1
     assert d["codeGraph"]["edges"][0]["source"] == "s.source_id"
+
+
+def test_find_keys_two_phase(spark):
+    from tests.conftest import SF01
+    c = spark.read.parquet(f"{SF01}/customer.parquet")
+    got = {r["column_name"]: (r["is_unique"], r["exact"]) for r in catalog.find_keys(c, "customer").collect()}
+    assert got["c_custkey"] == (True, True)          # survived the estimate, confirmed exactly
+    assert got["c_mktsegment"] == (False, False)     # ruled out by the estimate alone
+    assert got["c_nationkey"][1] is False

@@ -62,3 +62,28 @@ def test_run_job_writes_targets(spark):
     assert spark.read.parquet(targets["customer"]).count() == spark.read.parquet(f"{SF001}/customer.parquet").count()
     s = checked_target(specs[1], tpl.sources(spark, SF001))
     assert s.quarantine.count() == 0
+
+
+def test_failed_casts_are_rejects(spark):
+    src = spark.createDataFrame([(1, "10"), (2, "x"), (3, None)], "id int, qty string")
+    spec = TargetSpec(name="t", source="s", columns={"id": "id", "qty": "qty"}, types={"qty": "INTEGER"})
+    s = checked_target(spec, {"s": src})
+    assert rows(s.clean, "id", "qty") == [(1, 10), (3, None)]          # NULL is not a failed cast
+    assert [(r["id"], r["failed_rules"]) for r in s.quarantine.collect()] == [(2, ["cast_failed"])]
+    assert "_cast_failures" not in s.clean.columns
+
+
+def test_incremental_run_job(spark):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    src = spark.createDataFrame([(i, t0 + dt.timedelta(days=i)) for i in range(5)], "id bigint, ts timestamp_ntz")
+    spec = TargetSpec(name="t", source="s", columns={"id": "id", "ts": "ts"}, load_mode="incremental",
+                      watermark_column="ts", rules=[])
+    target, state = scratch_path(spark, "inc_t"), scratch_path(spark, "inc_state")
+    r1 = run_job(spark, [spec], {"s": src}, {"t": target}, None, tpl.LOAD_TS, state_path=state, batch_id="1")
+    r2 = run_job(spark, [spec], {"s": src}, {"t": target}, None, tpl.LOAD_TS, state_path=state, batch_id="2")
+    more = src.unionByName(spark.createDataFrame([(9, t0 + dt.timedelta(days=9))], "id bigint, ts timestamp_ntz"))
+    r3 = run_job(spark, [spec], {"s": more}, {"t": target}, None, tpl.LOAD_TS, state_path=state, batch_id="3")
+    assert (r1[0]["clean_rows"], r2[0]["clean_rows"], r3[0]["clean_rows"]) == (5, 0, 1)
+    assert spark.read.parquet(target).count() == 6
+    assert r3[0]["watermark"] == "2024-01-10 00:00:00"

@@ -52,13 +52,13 @@ def key_candidates(columns: DataFrame, mode: str = "words") -> DataFrame:
 
 
 def profile_keys(df: DataFrame, table_name: str, columns: list[str] | None = None,
-                 exact: bool = True) -> DataFrame:
+                 exact: bool = True, rsd: float = 0.05) -> DataFrame:
     """K2: per column ``rows, nulls, distinct_values, is_unique`` in ONE
     aggregation pass. ``exact=False`` uses ``approx_count_distinct`` (HLL,
     fixed memory per column) - use it first on wide tables, then run the
     exact profile only for columns that may be unique."""
     cols = columns or df.columns
-    dist = (lambda c: F.count_distinct(F.col(c))) if exact else (lambda c: F.approx_count_distinct(c))
+    dist = (lambda c: F.count_distinct(F.col(c))) if exact else (lambda c: F.approx_count_distinct(c, rsd))
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(cols):
         aggs += [F.count_if(F.col(c).isNull()).alias(f"_n{i}"), dist(c).cast("bigint").alias(f"_d{i}")]
@@ -72,6 +72,26 @@ def profile_keys(df: DataFrame, table_name: str, columns: list[str] | None = Non
         ((F.col("nulls") == 0) & (F.col("distinct_values") == F.col("_rows"))).alias("is_unique"))
 
 
+def find_keys(df: DataFrame, table_name: str, columns: list[str] | None = None,
+              rsd: float = 0.02) -> DataFrame:
+    """K2 in two phases: one pass with HyperLogLog distinct counts for every
+    column; then exact counts only for columns that may be unique (no NULLs
+    and an estimate within 3 x ``rsd`` of the row count). The per-column
+    profile rows are tiny and read on the driver between the phases.
+    Adds ``exact``: whether ``distinct_values`` is exact."""
+    cols = columns or df.columns
+    approx = profile_keys(df, table_name, cols, exact=False, rsd=rsd)
+    rows = approx.collect()
+    survivors = [r["column_name"] for r in rows
+                 if r["nulls"] == 0 and r["distinct_values"] >= (1 - 3 * rsd) * r["rows"]]
+    others = approx.filter(~F.col("column_name").isin(survivors)).withColumns(
+        {"is_unique": F.lit(False), "exact": F.lit(False)})
+    if not survivors:
+        return others
+    exact = profile_keys(df, table_name, survivors, exact=True).withColumn("exact", F.lit(True))
+    return exact.unionByName(others)
+
+
 def satellite_groups(columns: DataFrame, key_flag: str = "is_key") -> DataFrame:
     """K3: per table, the sorted list of non-key columns (satellite attributes)."""
     return (columns.filter(~F.coalesce(F.col(key_flag), F.lit(False)))

@@ -53,9 +53,17 @@ def rule_predicate(rule: Rule) -> Column:
         return checks.hash_key_format(c)
     if k == "not_blank":
         return checks.blank(c)
+    if k == "cast_failed":                 # args: the array column cast_columns fills
+        return F.size(F.col(a[0])) > 0
     raise ValueError(f"{rule.name} is not a row rule")
 
 
+def cast_rule(flag: str = "_cast_failures", handling: str = "quarantine") -> Rule:
+    """A row whose non-NULL value failed its type cast is rejected."""
+    return Rule(column=None, kind="cast_failed", args=(flag,), text="castable to declared type",
+                handling=handling)
+
+
 def null_rules(columns: Iterable[str], handling: str = "quarantine") -> list[Rule]:
     """The sample job's check: every column must be non-NULL (E2 any-null)."""
     return [Rule(column=c, kind="not_null", text="not null", handling=handling) for c in columns]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from vaultline.operators.aggregate import aggregate_rule
 from vaultline.operators.joins import join_lookup
-from vaultline.operators.quality import Split, apply_rules, null_rules
+from vaultline.operators.quality import Split, cast_rule, mark_failures, null_rules, split
 from vaultline.operators.transform import cast_columns, fill_default, filter_rows
 from vaultline.plans.rules import Rule, parse_cell
 from vaultline.plans.types import to_spark_type
@@ -46,6 +46,7 @@ class TargetSpec:
     load_mode: str = "full"
     watermark_column: str | None = None
     partition_cols: list[str] = field(default_factory=list)
+    cast_handling: str = "quarantine"             # rows whose value failed its cast
 
 
 def _rows(sheet) -> list[dict]:
@@ -153,8 +154,12 @@ def _lookup_of(text: str) -> LookupSpec:
     return LookupSpec(m.group(1), on, take)
 
 
-def build_target(spec: TargetSpec, sources: Mapping[str, DataFrame]) -> DataFrame:
-    """Lazy transform for one target (no DQ)."""
+CAST_FLAG = "_cast_failures"
+
+
+def build_target(spec: TargetSpec, sources: Mapping[str, DataFrame], keep_cast_flag: bool = False) -> DataFrame:
+    """Lazy transform for one target (no DQ). With ``keep_cast_flag`` the
+    names of columns whose cast failed stay in ``_cast_failures`` for DQ."""
     df = sources[spec.source].alias(spec.source)
     df = filter_rows(df, spec.filter, spec.name)
     for other, cond, how in spec.joins:
@@ -166,7 +171,9 @@ def build_target(spec: TargetSpec, sources: Mapping[str, DataFrame]) -> DataFram
     if spec.defaults:
         df = fill_default(df, spec.defaults)
     if spec.types:
-        df = cast_columns(df, spec.types, flag="_cast_failures").drop("_cast_failures")
+        df = cast_columns(df, spec.types, flag=CAST_FLAG)
+        if not keep_cast_flag or spec.aggregation:
+            df = df.drop(CAST_FLAG)
     if spec.aggregation:
         df = aggregate_rule(df, spec.aggregation)
     return df
@@ -178,22 +185,55 @@ def transform_only(specs: list[TargetSpec], sources: Mapping[str, DataFrame]) ->
 
 
 def checked_target(spec: TargetSpec, sources: Mapping[str, DataFrame]) -> Split:
-    """Transform + DQ split for one target."""
-    df = build_target(spec, sources)
+    """Transform + DQ split for one target. Values that failed their declared
+    type cast are rejects (``cast_failed``), not silent NULLs."""
+    df = build_target(spec, sources, keep_cast_flag=True)
     rules = list(spec.rules)
+    has_flag = CAST_FLAG in df.columns
+    if has_flag:
+        rules.append(cast_rule(CAST_FLAG, spec.cast_handling))
     if spec.null_check_all:
-        rules += null_rules(df.columns)
-    return apply_rules(df, rules, parents=sources)
+        rules += null_rules([c for c in df.columns if c != CAST_FLAG])
+    marked = mark_failures(df, rules, parents=sources)
+    if has_flag:                 # consumed by the cast rule; every view derives from this frame
+        marked = marked.drop(CAST_FLAG)
+    return split(marked, rules)
 
 
 def run_job(spark: SparkSession, specs: list[TargetSpec], sources: Mapping[str, DataFrame],
-            targets: Mapping[str, str], quarantine_target: str | None, load_ts) -> list[dict]:
-    """E10 (action): every target in order; each is checked and written by
-    ``write_checked`` (fail rules first, count check, quarantine append)."""
+            targets: Mapping[str, str], quarantine_target: str | None, load_ts,
+            state_path: str | None = None, batch_id: str | None = None) -> list[dict]:
+    """E10 (action): every target in load order; each is checked and written
+    by ``write_checked`` (fail rules first, count check, quarantine append).
+
+    Targets whose load mode is incremental (and that name a watermark column
+    of their driving source) read only source rows in (watermark, upper],
+    with ``upper`` fixed first; clean rows are appended and the watermark
+    advances only after the write succeeded (M1-M3)."""
+    from vaultline.operators.incremental import STATE_SCHEMA, after_watermark, read_watermark
     from vaultline.sources.writers import write_checked
     reports = []
     for spec in specs:
-        s = checked_target(spec, sources)
-        reports.append(write_checked(s, targets[spec.name], quarantine_target, spec.name,
-                                     spec.expected_count, load_ts))
+        srcs, upper, mode = dict(sources), None, "overwrite"
+        incremental = (spec.load_mode or "").startswith("incr") and spec.watermark_column and state_path
+        if incremental:
+            src, col = sources[spec.source], spec.watermark_column
+            wm = read_watermark(spark, state_path, spec.name, src.schema[col].dataType)
+            pending = after_watermark(src, col, wm)
+            upper = pending.agg(F.max(col)).first()[0]
+            if upper is None:
+                reports.append({"table": spec.name, "clean_rows": 0, "valid": True, "quarantined": 0,
+                                "skipped": "no rows past the watermark"})
+                continue
+            srcs[spec.source] = pending.filter(F.col(col) <= F.lit(upper))
+            mode = "append"
+        s = checked_target(spec, srcs)
+        rep = write_checked(s, targets[spec.name], quarantine_target, spec.name, spec.expected_count, load_ts,
+                            mode=mode, partition_cols=spec.partition_cols)
+        if incremental and rep["valid"]:
+            state = spark.createDataFrame([(spec.name, spec.watermark_column, str(upper), batch_id, rep["clean_rows"])],
+                                          STATE_SCHEMA)
+            state.write.mode("append").parquet(state_path)
+            rep["watermark"] = str(upper)
+        reports.append(rep)
     return reports

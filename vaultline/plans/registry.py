@@ -778,6 +778,26 @@ def q_key_candidates(spark, sf):
     return ordered.union_all_by_name(parts)
 
 
+def _unique_sql(table: str, cols: list[str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, "
+        f"(count_if({c} IS NULL) = 0 AND count(DISTINCT {c}) = count(*)) AS is_unique FROM {table}" for c in cols)
+
+
+DISCOVERY_COLUMNS = {"customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+                     "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                                "o_orderpriority"]}
+
+
+@query("key_discovery", " UNION ALL ".join(_unique_sql(t, c) for t, c in DISCOVERY_COLUMNS.items()))
+def q_key_discovery(spark, sf):
+    """K2 two-phase: HLL estimates for every column, exact counts only for
+    the columns that may be unique."""
+    parts = [catalog.find_keys(_t(spark, sf, t), t).select("table_name", "column_name", "is_unique")
+             for t in DISCOVERY_COLUMNS]
+    return ordered.union_all_by_name(parts)
+
+
 @query("key_profile", _profile_sql("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]))
 def q_key_profile(spark, sf):
     return catalog.profile_keys(_t(spark, sf, "customer"), "customer")

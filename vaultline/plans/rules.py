@@ -32,7 +32,7 @@ RULE_NAMES = {
 
 # Rules that look at one row at a time; the others need a shuffle over a key.
 ROW_KINDS = {"not_null", "range", "accepted_values", "regex", "max_length", "min_length",
-             "length_between", "expression", "hash_key_format", "not_blank"}
+             "length_between", "expression", "hash_key_format", "not_blank", "cast_failed"}
 KEYED_KINDS = {"unique", "unique_combination", "relationships", "chronology"}
 
 # Reject handling, strongest first (the order decides which wins per row).

@@ -61,7 +61,8 @@ def store_failures(failures: DataFrame, target: str, run_id: str, rule: str, tab
 
 
 def write_checked(s: Split, target: str, quarantine_target: str | None, table: str,
-                  expected: int | None, load_ts, fmt: str = "parquet") -> dict:
+                  expected: int | None, load_ts, fmt: str = "parquet", mode: str = "overwrite",
+                  partition_cols: Sequence[str] = ()) -> dict:
     """E9 (action): fail_job rules first (nothing written if one failed);
     then the clean rows are written only if their count is valid
     (count > expected); quarantined rows are always appended.
@@ -74,7 +75,10 @@ def write_checked(s: Split, target: str, quarantine_target: str | None, table: s
         enforce_fail_rules(s, table)
         n, valid = count_valid(s.clean, expected)
         if valid:
-            write_overwrite(s.clean, target, fmt)
+            if partition_cols:
+                write_partitioned(s.clean, target, partition_cols, mode, fmt)
+            else:
+                s.clean.write.mode(mode).format(fmt).save(target)
         q = 0
         if quarantine_target is not None:
             qrows = to_quarantine_rows(s.quarantine, table, load_ts)
