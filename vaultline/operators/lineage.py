@@ -15,8 +15,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Our default rule shape: [table.]target = [table.]source.
 _FULL = r"^\s*(?:(\w+)\.)?(\w+)\s*=\s*(?:(\w+)\.)?(\w+)\s*$"
-_LITERAL = r"^(\w+)_id\s*=\s*(\w+)"
+
+# What literal mode and the lineage document must reproduce.
+_LITERAL = r"^(\w+)_id\s*=\s*(\w+)"           # "<target>_id = <source>" rules only
+DIRECT_MAPPING_LABEL = "direct mapping"           # edge label of an empty rule
+NODE_TYPE, PARENT_TYPE = "Column", "Table"
+SCRIPT_FORMAT = "python"
+SCRIPT_PLACEHOLDER = "# Transformation logic not provided"
 
 
 def edges(mappings: DataFrame, expr_col: str = "expression", mode: str = "full",
@@ -46,7 +53,7 @@ def edges(mappings: DataFrame, expr_col: str = "expression", mode: str = "full",
         F.concat_ws(".", stab, scol).alias("source"), F.concat_ws(".", ttab, tcol).alias("target"),
         stab.alias("source_table"), scol.alias("source_column"),
         ttab.alias("target_table"), tcol.alias("target_column"),
-        F.when(e == "", F.lit("direct mapping")).otherwise(e).alias("transformation"),
+        F.when(e == "", F.lit(DIRECT_MAPPING_LABEL)).otherwise(e).alias("transformation"),
         matched.alias("matched"))
     return out if include_unmatched else out.filter("matched").drop("matched")
 
@@ -67,8 +74,8 @@ def document(nodes_df: DataFrame, edges_df: DataFrame, per_target_table: bool =
     Shape: ``{"codeGraph": {"nodes": [...], "edges": [...]}, "sourceProperties":
     [], "targetProperties": [], "script": {...}}``."""
     node_struct = F.struct(
-        F.col("id"), F.lit("Column").alias("type"), F.col("column_name").alias("name"),
-        F.struct(F.col("table_name").alias("id"), F.lit("Table").alias("type"),
+        F.col("id"), F.lit(NODE_TYPE).alias("type"), F.col("column_name").alias("name"),
+        F.struct(F.col("table_name").alias("id"), F.lit(PARENT_TYPE).alias("type"),
                  F.col("table_name").alias("name")).alias("parent"))
     edge_struct = F.struct(F.col("edge_id").alias("id"), "source", "target",
                            F.col("transformation").alias("label"), "transformation")
@@ -91,7 +98,7 @@ def document(nodes_df: DataFrame, edges_df: DataFrame, per_target_table: bool =
         F.to_json(F.struct(
             F.struct("nodes", "edges").alias("codeGraph"),
             empty.alias("sourceProperties"), empty.alias("targetProperties"),
-            F.struct(F.lit("python").alias("codeFormat"),
-                     F.lit("# Transformation logic not provided").alias("placeholder")).alias("script"),
+            F.struct(F.lit(SCRIPT_FORMAT).alias("codeFormat"),
+                     F.lit(SCRIPT_PLACEHOLDER).alias("placeholder")).alias("script"),
         )).alias("lineage_json"))
     return doc if group else doc.drop("target_table")
