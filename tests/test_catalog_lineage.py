@@ -75,6 +75,11 @@ def test_lineage_document_shape(spark):
     assert set(d) == {"codeGraph", "sourceProperties", "targetProperties", "script"}
     assert len(d["codeGraph"]["nodes"]) == 2 and len(d["codeGraph"]["edges"]) == 1
     assert d["codeGraph"]["edges"][0]["source"] == "s.source_id"
+    parents = sorted(n["parent"]["id"] for n in d["codeGraph"]["nodes"])
+    assert parents == ["s", "t"]
+    per_table = lineage.document(lineage.nodes(e), e).collect()
+    assert [r["target_table"] for r in per_table] == ["t"]
+    assert json.loads(per_table[0]["lineage_json"]) == d
 
 
 def test_find_keys_two_phase(spark):

@@ -79,26 +79,28 @@ def document(nodes_df: DataFrame, edges_df: DataFrame, per_target_table: bool =
                  F.col("table_name").alias("name")).alias("parent"))
     edge_struct = F.struct(F.col("edge_id").alias("id"), "source", "target",
                            F.col("transformation").alias("label"), "transformation")
-    group = ["target_table"] if per_target_table else []
-    e = edges_df.withColumn("target_table", F.col("target_table") if per_target_table else F.lit("*"))
-    # Nodes of a document = both ends of its edges.
-    ends = e.select("target_table", F.explode(F.array(
-        F.struct(F.col("source").alias("id"), F.col("source_table").alias("table_name"),
-                 F.col("source_column").alias("column_name")),
-        F.struct(F.col("target").alias("id"), F.col("target_table").alias("table_name"),
-                 F.col("target_column").alias("column_name")))).alias("n"))
-    ends = ends.select("target_table", "n.*").distinct()
-    if not per_target_table:
-        ends = ends.withColumn("target_table", F.lit("*"))
-    node_lists = ends.groupBy("target_table").agg(F.sort_array(F.collect_list(node_struct)).alias("nodes"))
-    edge_lists = e.groupBy("target_table").agg(F.sort_array(F.collect_list(edge_struct)).alias("edges"))
+    doc_key = F.col("target_table") if per_target_table else F.lit("*")
+    e = edges_df.withColumn("_doc", doc_key)
+    if per_target_table:
+        # Nodes of a document = both ends of its edges.
+        ends = e.select("_doc", F.explode(F.array(
+            F.struct(F.col("source").alias("id"), F.col("source_table").alias("table_name"),
+                     F.col("source_column").alias("column_name")),
+            F.struct(F.col("target").alias("id"), F.col("target_table").alias("table_name"),
+                     F.col("target_column").alias("column_name")))).alias("n"))
+        ends = ends.select("_doc", "n.*").distinct()
+    else:
+        ends = nodes_df.select(F.lit("*").alias("_doc"), "id", "table_name", "column_name")
+    # Groups are metadata-sized (the mappings of one target table).
+    node_lists = ends.groupBy("_doc").agg(F.sort_array(F.collect_list(node_struct)).alias("nodes"))
+    edge_lists = e.groupBy("_doc").agg(F.sort_array(F.collect_list(edge_struct)).alias("edges"))
     empty = F.array().cast("array<string>")
-    doc = node_lists.join(edge_lists, "target_table").select(
-        "target_table",
+    doc = node_lists.join(edge_lists, "_doc").select(
+        F.col("_doc").alias("target_table"),
         F.to_json(F.struct(
             F.struct("nodes", "edges").alias("codeGraph"),
             empty.alias("sourceProperties"), empty.alias("targetProperties"),
             F.struct(F.lit(SCRIPT_FORMAT).alias("codeFormat"),
                      F.lit(SCRIPT_PLACEHOLDER).alias("placeholder")).alias("script"),
         )).alias("lineage_json"))
-    return doc if group else doc.drop("target_table")
+    return doc if per_target_table else doc.drop("target_table")
