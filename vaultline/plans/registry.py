@@ -327,7 +327,8 @@ SELECT user_id, load_day, prev_load_day FROM (
   FROM (SELECT user_id, date_trunc('day', ts) AS load_day FROM events))
 WHERE load_day <= prev_load_day""")
 def q_chronology(spark, sf):
-    e = _t(spark, sf, "events").select("user_id", F.date_trunc("day", "ts").alias("load_day"))
+    # Wall-clock day of a TIMESTAMP_NTZ (date_trunc would go through the session time zone).
+    e = _t(spark, sf, "events").select("user_id", F.col("ts").cast("date").cast("timestamp_ntz").alias("load_day"))
     return quality.chronology_failures(e, "user_id", "load_day")
 
 
