@@ -396,7 +396,29 @@ REPORT_RULES = [("customer", "c_custkey", "not null; unique"), ("customer", "c_a
                 ("customer", "c_phone", "format(phone)"), ("customer", "c_mktsegment", "range(1)")]
 
 
-@query("dq_rule_report")
+RULE_REPORT_SQL = """
+WITH meta(table_name, column_name, rule_text, rule_kind, status, message, test_name) AS (VALUES
+  ('customer', 'c_custkey', 'not null', 'not_null', 'ok', '', 'not_null:c_custkey'),
+  ('customer', 'c_custkey', 'unique', 'unique', 'ok', '', 'unique:c_custkey'),
+  ('customer', 'c_acctbal', 'Range(0, 5000)', 'range', 'ok', '', 'range:c_acctbal'),
+  ('customer', 'c_name', 'Regex(^Customer#00000[0-4])', 'regex', 'ok', '', 'regex:c_name'),
+  ('customer', 'c_name', 'Unsupported', 'unsupported', 'unsupported', 'unsupported rule ''Unsupported''', NULL),
+  ('customer', 'c_phone', 'format(phone)', 'unsupported', 'unsupported', 'unsupported rule ''format(phone)''',
+   NULL),
+  ('customer', 'c_mktsegment', 'range(1)', 'range', 'malformed', 'range needs two bounds', NULL)),
+counts AS (
+  SELECT 'not_null:c_custkey' AS test_name, count_if(c_custkey IS NULL) AS failures FROM customer
+  UNION ALL SELECT 'range:c_acctbal', count_if(NOT coalesce(c_acctbal >= 0 AND c_acctbal <= 5000, true)) FROM customer
+  UNION ALL SELECT 'regex:c_name', count_if(NOT coalesce(regexp_matches(c_name, '^Customer#00000[0-4]'), true))
+            FROM customer
+  UNION ALL SELECT 'unique:c_custkey', CAST(coalesce(sum(n), 0) AS BIGINT) FROM (
+            SELECT count(*) AS n FROM customer WHERE c_custkey IS NOT NULL GROUP BY c_custkey HAVING count(*) > 1))
+SELECT meta.table_name, meta.column_name, meta.rule_text, meta.rule_kind, meta.status, meta.message,
+       CAST(counts.failures AS BIGINT) AS failures
+FROM meta LEFT JOIN counts ON meta.test_name = counts.test_name"""
+
+
+@query("dq_rule_report", RULE_REPORT_SQL)
 def q_rule_report(spark, sf):
     rules = rules_from_rows([dict(table_name=t, column_name=c, rule=r) for t, c, r in REPORT_RULES])
     return quality.rule_report(_t(spark, sf, "customer"), rules)
