@@ -87,3 +87,15 @@ def test_incremental_run_job(spark):
     assert (r1[0]["clean_rows"], r2[0]["clean_rows"], r3[0]["clean_rows"]) == (5, 0, 1)
     assert spark.read.parquet(target).count() == 6
     assert r3[0]["watermark"] == "2024-01-10 00:00:00"
+
+
+def test_incremental_run_job_replay_safe(spark):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    src = spark.createDataFrame([(i, t0 + dt.timedelta(days=i)) for i in range(4)], "id bigint, ts timestamp_ntz")
+    spec = TargetSpec(name="t", source="s", columns={"id": "id", "ts": "ts"}, load_mode="incremental",
+                      watermark_column="ts", rules=[])
+    target = scratch_path(spark, "inc_replay")
+    run_job(spark, [spec], {"s": src}, {"t": target}, None, tpl.LOAD_TS, state_path=scratch_path(spark, "s1"))
+    run_job(spark, [spec], {"s": src}, {"t": target}, None, tpl.LOAD_TS, state_path=scratch_path(spark, "s2"))
+    assert spark.read.parquet(target).count() == 4

@@ -68,14 +68,31 @@ def advance_watermark(spark: SparkSession, state_path: str, table: str, batch: D
     return read_watermark(spark, state_path, table, dt)
 
 
+LOAD_BATCH = "load_batch"
+
+
+def batch_label(previous_watermark) -> str:
+    """Partition value of an incremental batch: the watermark it started
+    from. A replay after a crash starts from the same watermark, so it
+    rewrites the same partition instead of appending the rows twice."""
+    if previous_watermark is None:
+        return "initial"
+    return "".join(ch if ch.isalnum() else "_" for ch in str(previous_watermark))
+
+
 def load(df: DataFrame, mode: str, target: str, state_path: str | None = None,
          watermark_column: str | None = None, table: str | None = None,
          batch_id: str | None = None, fmt: str = "parquet") -> DataFrame:
     """M3 (action): ``full`` overwrites the target; ``incremental`` loads the
     rows in (watermark, upper] where ``upper`` is fixed first by one
-    aggregate, appends them, then records ``upper`` as the new watermark. The
+    aggregate, writes them, then records ``upper`` as the new watermark. The
     written rows and the recorded watermark therefore describe the same set,
-    even if the source grows while the job runs. Returns the loaded rows."""
+    even if the source grows while the job runs.
+
+    Incremental batches land in ``load_batch=<start watermark>`` partitions
+    with dynamic overwrite: a crash between the data write and the state
+    row replays into the same partition (no duplicates). Returns the loaded
+    rows."""
     mode = (mode or "full").strip().lower()
     spark = df.sparkSession
     if mode.startswith("full"):
@@ -89,7 +106,8 @@ def load(df: DataFrame, mode: str, target: str, state_path: str | None = None,
     if upper is None:               # nothing new: watermark unchanged
         return pending.limit(0)
     batch = pending.filter(F.col(watermark_column) <= F.lit(upper))
-    batch.write.mode("append").format(fmt).save(target)
+    (batch.withColumn(LOAD_BATCH, F.lit(batch_label(wm))).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(LOAD_BATCH).format(fmt).save(target))
     state = spark.createDataFrame([(table, watermark_column, str(upper), batch_id, None)], STATE_SCHEMA)
     state.write.mode("append").parquet(state_path)
     return batch

@@ -210,11 +210,12 @@ def run_job(spark: SparkSession, specs: list[TargetSpec], sources: Mapping[str,
     of their driving source) read only source rows in (watermark, upper],
     with ``upper`` fixed first; clean rows are appended and the watermark
     advances only after the write succeeded (M1-M3)."""
-    from vaultline.operators.incremental import STATE_SCHEMA, after_watermark, read_watermark
+    from vaultline.operators.incremental import (LOAD_BATCH, STATE_SCHEMA, after_watermark, batch_label,
+                                                 read_watermark)
     from vaultline.sources.writers import write_checked
     reports = []
     for spec in specs:
-        srcs, upper, mode = dict(sources), None, "overwrite"
+        srcs, upper, mode, batch_partition = dict(sources), None, "overwrite", None
         incremental = (spec.load_mode or "").startswith("incr") and spec.watermark_column and state_path
         if incremental:
             src, col = sources[spec.source], spec.watermark_column
@@ -226,10 +227,14 @@ def run_job(spark: SparkSession, specs: list[TargetSpec], sources: Mapping[str,
                                 "skipped": "no rows past the watermark"})
                 continue
             srcs[spec.source] = pending.filter(F.col(col) <= F.lit(upper))
-            mode = "append"
+            mode = "overwrite"                     # of this batch's own partition only
+            batch_partition = batch_label(wm)
         s = checked_target(spec, srcs)
+        if batch_partition is not None:            # replay-safe: one partition per starting watermark
+            s = s._replace(clean=s.clean.withColumn(LOAD_BATCH, F.lit(batch_partition)))
+        parts = list(spec.partition_cols) + ([LOAD_BATCH] if batch_partition is not None else [])
         rep = write_checked(s, targets[spec.name], quarantine_target, spec.name, spec.expected_count, load_ts,
-                            mode=mode, partition_cols=spec.partition_cols)
+                            mode=mode, partition_cols=parts)
         if incremental and rep["valid"]:
             state = spark.createDataFrame([(spec.name, spec.watermark_column, str(upper), batch_id, rep["clean_rows"])],
                                           STATE_SCHEMA)
