@@ -44,6 +44,7 @@ def test_store_failures_appends(spark):
     path = scratch_path(spark, "fail")
     writers.store_failures(df, path, "r1", "not_null:v", "t")
     writers.store_failures(df, path, "r2", "not_null:v", "t")
+    writers.store_failures(df, path, "r2", "not_null:v", "t")        # rerun of r2 replaces, not doubles
     assert rows(spark.read.parquet(path), "run_id", "row_json") == [("r1", '{"id":1}'), ("r2", '{"id":1}')]
 
 
@@ -56,11 +57,14 @@ def test_write_checked(spark):
     assert spark.read.parquet(target).count() == 2 and spark.read.parquet(q).count() == 1
     # count not above the expectation: target untouched, quarantine still appended
     target2 = scratch_path(spark, "tgt2")
-    rep = writers.write_checked(quality.apply_rules(df, rules), target2, q, "t", 5, "2024-01-01 00:00:00")
+    rep = writers.write_checked(quality.apply_rules(df, rules), target2, q, "t", 5, "2024-01-02 00:00:00")
     assert rep["valid"] is False
     with pytest.raises(Exception):
         spark.read.parquet(target2).count()
     assert spark.read.parquet(q).count() == 2
+    # rerun of the same batch: quarantine partition rewritten, not appended
+    writers.write_checked(quality.apply_rules(df, rules), target2, q, "t", 5, "2024-01-02 00:00:00")
+    assert spark.read.parquet(q).count() == 2
     # fail_job: nothing written at all
     target3 = scratch_path(spark, "tgt3")
     fail = parse_cell("not null", "v", handling="fail_job")

@@ -234,7 +234,7 @@ def run_job(spark: SparkSession, specs: list[TargetSpec], sources: Mapping[str,
             s = s._replace(clean=s.clean.withColumn(LOAD_BATCH, F.lit(batch_partition)))
         parts = list(spec.partition_cols) + ([LOAD_BATCH] if batch_partition is not None else [])
         rep = write_checked(s, targets[spec.name], quarantine_target, spec.name, spec.expected_count, load_ts,
-                            mode=mode, partition_cols=parts)
+                            mode=mode, partition_cols=parts, batch=batch_partition)
         if incremental and rep["valid"]:
             state = spark.createDataFrame([(spec.name, spec.watermark_column, str(upper), batch_id, rep["clean_rows"])],
                                           STATE_SCHEMA)

@@ -57,15 +57,19 @@ def store_failures(failures: DataFrame, target: str, run_id: str, rule: str, tab
     rows = failures.select(F.lit(table_name).alias("table_name"), F.lit(rule).alias("rule"),
                            F.lit(run_id).alias("run_id"),
                            F.to_json(F.struct(*data_cols)).alias("row_json"))
-    return write_append(rows, target, fmt)
+    # One partition per (run, table, rule), dynamically overwritten: a rerun
+    # of the same run replaces its rows instead of appending them twice.
+    return write_partitioned(rows, target, ["run_id", "table_name", "rule"], "overwrite", fmt)
 
 
 def write_checked(s: Split, target: str, quarantine_target: str | None, table: str,
                   expected: int | None, load_ts, fmt: str = "parquet", mode: str = "overwrite",
-                  partition_cols: Sequence[str] = ()) -> dict:
+                  partition_cols: Sequence[str] = (), batch: str | None = None) -> dict:
     """E9 (action): fail_job rules first (nothing written if one failed);
     then the clean rows are written only if their count is valid
-    (count > expected); quarantined rows are always appended.
+    (count > expected); quarantined rows are always stored, in a
+    ``table_name/load_batch`` partition (``batch``, default the load time)
+    that a rerun of the same batch overwrites instead of appending to.
 
     The marked DataFrame feeds three actions (fail check, count, two writes):
     it is persisted (memory, spilling to disk) for the duration and released
@@ -81,10 +85,11 @@ def write_checked(s: Split, target: str, quarantine_target: str | None, table: s
                 s.clean.write.mode(mode).format(fmt).save(target)
         q = 0
         if quarantine_target is not None:
-            qrows = to_quarantine_rows(s.quarantine, table, load_ts)
+            label = batch if batch is not None else "".join(ch if ch.isalnum() else "_" for ch in str(load_ts))
+            qrows = to_quarantine_rows(s.quarantine, table, load_ts).withColumn("load_batch", F.lit(label))
             q = s.quarantine.count()
             if q:
-                write_append(qrows, quarantine_target, fmt)
+                write_partitioned(qrows, quarantine_target, ["table_name", "load_batch"], "overwrite", fmt)
         return {"table": table, "clean_rows": n, "valid": valid, "quarantined": q}
     finally:
         marked.unpersist()
