@@ -99,3 +99,44 @@ def test_incremental_run_job_replay_safe(spark):
     run_job(spark, [spec], {"s": src}, {"t": target}, None, tpl.LOAD_TS, state_path=scratch_path(spark, "s1"))
     run_job(spark, [spec], {"s": src}, {"t": target}, None, tpl.LOAD_TS, state_path=scratch_path(spark, "s2"))
     assert spark.read.parquet(target).count() == 4
+
+
+def test_guide_headers_flags_and_expected_count(spark):
+    from vaultline.metadata import canonical_name
+    tgt = spark.createDataFrame(
+        [("dw", "s", "cust", "cid", "BIGINT", "c_custkey", "Y", "business key", "not null")],
+        ["Target System", "Target Schema", "Target Table Name", "Target Column Name", "Target Data Type",
+         "Transformation Logic", "Partition Key?", "Hash Key or Business Key?", "Validations"])
+    n = normalize(tgt, "target_columns").first()
+    assert (n["table_name"], n["column_name"], n["partition_key"], n["key_kind"]) == ("cust", "cid", True, "business key")
+    assert canonical_name("  Load Order / Priority ") == "load_order"
+    maps = [dict(rule_id="1", target_table="cust", source_table="customer")]
+    dq = [dict(table_name="cust", column_name="cid", rule="range(0, 10)", reject_handling="discard",
+               record_count_expected=10)]
+    spec = specs_from_metadata(normalize(tgt, "target_columns"), maps, None, dq)[0]
+    assert [r.kind for r in spec.rules] == ["not_null", "range"] and spec.expected_count == 10
+    assert spec.partition_cols == ["cid"]
+
+
+def test_join_cell_spellings():
+    from vaultline.plans.jobs import _join_of
+    assert _join_of("LEFT OUTER JOIN customer ON o_custkey = c_custkey", "orders") == \
+        ("customer", "o_custkey = c_custkey", "left")
+    assert _join_of("join customer on a = b", "orders") == ("customer", "a = b", "inner")
+    assert _join_of("orders.o_custkey = customer.c_custkey", "orders") == \
+        ("customer", "orders.o_custkey = customer.c_custkey", "inner")
+    with pytest.raises(ValueError):
+        _join_of("a = b", "orders")
+
+
+def test_bare_lookup_table_from_sheet(spark):
+    tcols = [dict(table_name="cust", column_name="cid", transformation="c_custkey"),
+             dict(table_name="cust", column_name="nation", transformation="n_name")]
+    maps = [dict(rule_id="1", target_table="cust", source_table="customer", lookup_table="nation",
+                 join_condition="customer.c_nationkey = nation.n_nationkey")]
+    spec = specs_from_metadata(tcols, maps)[0]
+    assert spec.joins == [] and spec.lookups[0].on == [("c_nationkey", "n_nationkey")]
+    srcs = tpl.sources(spark, SF001)
+    out = build_target(spec, srcs)
+    assert out.count() == srcs["customer"].count()            # a lookup never fans out
+    assert out.filter("nation IS NULL").count() == 0

@@ -8,6 +8,7 @@ projection/casts -> aggregation -> DQ split -> sinks.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -107,8 +108,10 @@ def specs_from_metadata(target_columns, mappings=None, loads=None, rules=None) -
                                else m["filter_condition"])
             if m["join_condition"]:
                 spec.joins.append(_join_of(m["join_condition"], spec.source))
+        for m in (m for m in maps if m["target_table"] == t):
             if m["lookup_table"]:
-                spec.lookups.append(_lookup_of(m["lookup_table"]))
+                lk, spec.joins = _lookup_of(m["lookup_table"], spec.joins)
+                spec.lookups.append(lk)
             if m["aggregation"]:
                 spec.aggregation = m["aggregation"]
         ld = lds.get(t)
@@ -123,35 +126,51 @@ def specs_from_metadata(target_columns, mappings=None, loads=None, rules=None) -
     return list(specs.values())
 
 
+_JOIN = re.compile(r"^\s*(?:(inner|left|right|full)(?:\s+outer)?\s+)?(?:join\s+)?(\w+)\s+on\s+(.+)$",
+                   re.IGNORECASE | re.DOTALL)
+_QUALIFIED = re.compile(r"(\w+)\.(\w+)")
+
+
 def _join_of(text: str, source: str) -> tuple[str, str, str]:
-    """``orders ON o_custkey = c_custkey`` or ``orders.o_custkey = customer.c_custkey``."""
-    t = text.strip()
-    how = "inner"
-    low = t.lower()
-    for kw in ("left", "inner", "right", "full"):
-        if low.startswith(kw + " "):
-            how, t = kw, t[len(kw):].strip()
-            low = t.lower()
-    if " on " in low:
-        i = low.index(" on ")
-        return t[:i].strip(), t[i + 4:].strip(), how
-    import re
-    tables = [x for x in re.findall(r"(\w+)\.\w+", t) if x != source]
+    """``[LEFT [OUTER]] [JOIN] orders ON <condition>`` or a bare condition on
+    qualified names (``orders.o_custkey = customer.c_custkey``)."""
+    m = _JOIN.match(text)
+    if m:
+        return m.group(2), m.group(3).strip(), (m.group(1) or "inner").lower()
+    tables = [t for t, _ in _QUALIFIED.findall(text) if t != source]
     if not tables:
         raise ValueError(f"join condition {text!r} names no other table")
     # Qualified names refer to DataFrame aliases set in build_target.
-    return tables[0], t, how
+    return tables[0], text.strip(), "inner"
 
 
-def _lookup_of(text: str) -> LookupSpec:
-    """``nation(c_nationkey=n_nationkey) -> n_name``."""
-    import re
+def _lookup_of(text: str, joins: list[tuple[str, str, str]]) -> tuple[LookupSpec, list[tuple[str, str, str]]]:
+    """``nation(c_nationkey=n_nationkey) -> n_name``, or a bare table name
+    whose keys come from the join condition that names it (that join is then
+    done as the lookup: left, one row per key). Returns the lookup and the
+    remaining joins."""
     m = re.match(r"^\s*(\w+)\s*\(([^)]*)\)\s*->\s*(.+)$", text)
-    if not m:
-        raise ValueError(f"lookup {text!r}: expected 'table(col=lookup_col; ...) -> take, ...'")
-    on = [tuple(p.strip() for p in pair.split("=")) for pair in m.group(2).split(";") if pair.strip()]
-    take = [c.strip() for c in m.group(3).split(",") if c.strip()]
-    return LookupSpec(m.group(1), on, take)
+    if m:
+        on = [tuple(p.strip() for p in pair.split("=")) for pair in m.group(2).split(";") if pair.strip()]
+        take = [c.strip() for c in m.group(3).split(",") if c.strip()]
+        return LookupSpec(m.group(1), on, take), joins
+    name = text.strip()
+    if not re.fullmatch(r"\w+", name):
+        raise ValueError(f"lookup {text!r}: expected a table name or 'table(col=lookup_col; ...) -> take, ...'")
+    for j in joins:
+        if j[0] != name:
+            continue
+        on = []
+        for cond in re.split(r"\s+and\s+", j[1], flags=re.IGNORECASE):
+            sides = [x.strip() for x in cond.split("=")]
+            q = [_QUALIFIED.fullmatch(x) for x in sides]
+            if len(sides) != 2 or not all(q):
+                raise ValueError(f"lookup {name!r}: join condition {j[1]!r} is not an equi-join on table.column")
+            own = [g.group(2) for g in q if g.group(1) == name]
+            other = [g.group(2) for g in q if g.group(1) != name]
+            on.append((other[0], own[0]))
+        return LookupSpec(name, on, []), [x for x in joins if x is not j]
+    raise ValueError(f"lookup {name!r}: no join condition names it")
 
 
 CAST_FLAG = "_cast_failures"
@@ -165,7 +184,8 @@ def build_target(spec: TargetSpec, sources: Mapping[str, DataFrame], keep_cast_f
     for other, cond, how in spec.joins:
         df = df.join(sources[other].alias(other), F.expr(cond), how)
     for lk in spec.lookups:
-        df = join_lookup(df, sources[lk.table], lk.on, lk.take)
+        take = lk.take or [c for c in sources[lk.table].columns if c not in {r for _, r in lk.on}]
+        df = join_lookup(df, sources[lk.table], lk.on, take)
     df = df.select(*[(F.col(e) if e.replace("_", "").isalnum() else F.expr(e)).alias(c)
                      for c, e in spec.columns.items()])
     if spec.defaults:
