@@ -5,7 +5,8 @@ import pytest
 from vaultline.operators import vault
 from vaultline.plans.rules import parse_cell
 from vaultline.session import scratch_path
-from vaultline.streaming.loads import run_available, stream_distinct, stream_split, stream_vault_load
+from vaultline.streaming.loads import (run_available, stream_distinct, stream_dq_load, stream_split,
+                                      stream_vault_load)
 from tests.conftest import SF001, rows
 
 
@@ -47,3 +48,28 @@ def test_stream_distinct(spark):
     run_available(stream_distinct(stream, ["user_id"], "ts", "60 days").select("user_id"), target,
                   scratch_path(spark, "ck4"))
     assert rows(spark.read.parquet(target)) == rows(e.select("user_id").distinct())
+
+
+def test_stream_satellite_changes_equal_batch_and_replay(spark):
+    e = spark.read.parquet(f"{SF001}/events.parquet")
+    stream = spark.readStream.schema(e.schema).option("pathGlobFilter", "events.parquet").parquet(SF001)
+    target = scratch_path(spark, "ssat")
+
+    def build(b):
+        return vault.satellite_history(b, "user_id", ["event_type"], "ts", "user", "tpch", tie_cols=["event_id"])
+    stream_vault_load(stream, build, target, "hub_user_key", scratch_path(spark, "ck5"), kind="sat_changes")
+    assert rows(spark.read.parquet(target).drop("batch_id")) == rows(build(e))
+    again = spark.readStream.schema(e.schema).option("pathGlobFilter", "events.parquet").parquet(SF001)
+    stream_vault_load(again, build, target, "hub_user_key", scratch_path(spark, "ck6"), kind="sat_changes")
+    assert spark.read.parquet(target).count() == build(e).count()
+
+
+def test_stream_dq_load_writes_both_sinks(spark):
+    c = spark.read.parquet(f"{SF001}/customer.parquet")
+    stream = spark.readStream.schema(c.schema).option("pathGlobFilter", "customer.parquet").parquet(SF001)
+    rules = parse_cell("range(0, 5000)", "c_acctbal", handling="quarantine")
+    clean, quar = scratch_path(spark, "sdq_clean"), scratch_path(spark, "sdq_q")
+    stream_dq_load(stream, rules, "customer", clean, quar, scratch_path(spark, "ck7"), "2024-01-01 00:00:00")
+    n_ok = c.filter("c_acctbal BETWEEN 0 AND 5000").count()
+    assert spark.read.parquet(clean).count() == n_ok
+    assert spark.read.parquet(quar).count() == c.count() - n_ok

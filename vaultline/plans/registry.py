@@ -978,16 +978,18 @@ def q_stream_hub_load(spark, sf):
 
 @query("stream_dq_split", f"{MARKED_SQL} SELECT c_custkey, c_name, segment FROM a WHERE dq_action IN ('pass', 'log')")
 def q_stream_dq_split(spark, sf):
-    from vaultline.streaming.loads import run_available, stream_split
+    """The customer rules on a file stream; each micro-batch writes its
+    clean rows and its quarantine rows in one pass (stream_dq_load)."""
+    from vaultline.streaming.loads import stream_dq_load
     c = _t(spark, sf, "customer")
     stream = (spark.readStream.schema(c.schema).option("pathGlobFilter", "customer.parquet").parquet(sf)
               .select("c_custkey", "c_name", "c_acctbal", F.expr("nullif(c_mktsegment, 'BUILDING')").alias("segment"),
                       "c_mktsegment"))
     rules = rules_from_rows(tpl.CUSTOMER_RULE_ROWS)
-    s = stream_split(stream, rules)
-    target = scratch_path(spark, "stream_clean")
-    run_available(s.clean.select("c_custkey", "c_name", "segment"), target, scratch_path(spark, "stream_clean_ckpt"))
-    return spark.read.parquet(target)
+    clean, quarantine = scratch_path(spark, "stream_clean"), scratch_path(spark, "stream_quarantine")
+    stream_dq_load(stream, rules, "customer", clean, quarantine, scratch_path(spark, "stream_clean_ckpt"),
+                   tpl.LOAD_TS)
+    return spark.read.parquet(clean).select("c_custkey", "c_name", "segment")
 
 
 @query("stream_distinct", "SELECT DISTINCT user_id FROM events")

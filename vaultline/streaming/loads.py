@@ -69,6 +69,38 @@ def stream_split(stream_df: DataFrame, rules: Sequence[Rule]) -> quality.Split:
     return quality.split(quality.mark_failures(stream_df, rules), rules)
 
 
+def stream_dq_load(stream_df: DataFrame, rules: Sequence[Rule], table: str, clean_target: str,
+                   quarantine_target: str, checkpoint: str, load_ts, available_now: bool = True,
+                   processing_time: str | None = None):
+    """S2 with sinks: every micro-batch is marked once, persisted, and
+    written to both the clean target and the quarantine store (the streaming
+    form of the checked write). Both writes go to the batch's own
+    ``batch_id=`` partition with dynamic overwrite, so a replayed batch
+    replaces its rows. Keyed rules are refused as in ``stream_split``."""
+    keyed = [r.name for r in rules if r.is_keyed]
+    if keyed:
+        raise ValueError(f"keyed rules need unbounded state on a stream: {keyed}; run them in batch")
+
+    def per_batch(batch_df: DataFrame, batch_id: int) -> None:
+        s = quality.split(quality.mark_failures(batch_df, rules), rules)
+        marked = s.marked.persist()
+        try:
+            (s.clean.drop(quality.FAILED).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(clean_target))
+            q = quality.to_quarantine_rows(s.quarantine, table, load_ts).withColumn("batch_id", F.lit(batch_id))
+            (q.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("table_name", "batch_id").parquet(quarantine_target))
+        finally:
+            marked.unpersist()
+
+    writer = stream_df.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    if available_now:
+        q = writer.trigger(availableNow=True).start()
+        q.awaitTermination()
+        return q
+    return writer.trigger(processingTime=processing_time or "1 minute").start()
+
+
 def stream_distinct(stream_df: DataFrame, keys: Sequence[str], ts_col: str, delay: str) -> DataFrame:
     """S3: one row per key among events at most ``delay`` apart; state for a
     key is dropped once the watermark passes it. ``withWatermark`` needs a
