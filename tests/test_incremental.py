@@ -65,3 +65,14 @@ def test_replay_without_state_row_does_not_duplicate(spark):
     back = spark.read.parquet(target)
     assert back.count() == 3
     assert [r[0] for r in back.select("load_batch").distinct().collect()] == ["initial"]
+
+
+def test_late_rows_at_the_watermark_are_kept(spark):
+    """Two rows share the stored maximum; one was loaded, one arrived later."""
+    t = dt.datetime(2024, 1, 2)
+    loaded = spark.createDataFrame([(1, t)], "id int, ts timestamp_ntz")
+    source = spark.createDataFrame([(1, t), (2, t), (3, t + dt.timedelta(1)), (0, t - dt.timedelta(1))],
+                                   "id int, ts timestamp_ntz")
+    got = incremental.after_watermark_with_ties(source, "ts", "2024-01-02 00:00:00", loaded, "id")
+    assert sorted(r["id"] for r in got.collect()) == [2, 3]
+    assert sorted(r["id"] for r in incremental.after_watermark(source, "ts", "2024-01-02 00:00:00").collect()) == [3]

@@ -31,6 +31,22 @@ def after_watermark(df: DataFrame, col: str, wm, inclusive: bool = False) -> Dat
     return df.filter(F.col(col) >= lit if inclusive else F.col(col) > lit)
 
 
+def after_watermark_with_ties(df: DataFrame, col: str, wm, loaded: DataFrame | None, keys) -> DataFrame:
+    """M1 without losing late ties: rows with ``col >= wm`` except those
+    whose key was already loaded AT the watermark value. Only the boundary
+    rows of ``loaded`` (``col == wm``) take part in the anti-join, so that
+    side stays small however large the loaded table is."""
+    if wm is None:
+        return df
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    lit = _typed_literal(df, col, wm)
+    candidates = df.filter(F.col(col) >= lit)
+    if loaded is None:
+        return candidates
+    boundary = loaded.filter(F.col(col) == _typed_literal(loaded, col, wm)).select(*keys).distinct()
+    return candidates.join(boundary, keys, "left_anti")
+
+
 def advance(batch: DataFrame, table: str, col: str, previous, batch_id: str | None = None) -> DataFrame:
     """M2 (lazy): one state row. The new watermark is the batch maximum, but
     never lower than ``previous``; an empty batch keeps ``previous``."""

@@ -259,6 +259,15 @@ def summarize(df: DataFrame, rules: Sequence[Rule], parents=None) -> DataFrame:
     return union_all_by_name(parts)
 
 
+def suite_verdict(summary: DataFrame) -> DataFrame:
+    """E1 suite verdict from a ``summarize`` result: one row
+    ``success, failed_tests, failing_rows`` (success = no test failed)."""
+    return summary.agg(
+        (F.coalesce(F.max("failures"), F.lit(0)) == 0).alias("success"),
+        F.count_if(F.col("failures") > 0).alias("failed_tests"),
+        F.coalesce(F.sum("failures"), F.lit(0)).cast("bigint").alias("failing_rows"))
+
+
 def rule_report(df: DataFrame | None, rules: Sequence[Rule], parents=None) -> DataFrame:
     """Q18: one row per rule, runnable or not: ``table_name, column_name,
     rule_text, rule_kind, status, message, failures`` (NULL failures for

@@ -238,6 +238,16 @@ def q_dq_summary(spark, sf):
     return quality.summarize(tpl.customer_stage(spark, sf), rules)
 
 
+@query("dq_suite_verdict", f"""
+WITH s AS ({tpl.CUSTOMER_STAGE_SQL}), t AS ({_summary_sql()})
+SELECT coalesce(max(failures), 0) = 0 AS success, count_if(failures > 0) AS failed_tests,
+       CAST(coalesce(sum(failures), 0) AS BIGINT) AS failing_rows FROM t""")
+def q_suite_verdict(spark, sf):
+    """The verdict of the whole customer rule suite."""
+    rules = rules_from_rows(tpl.CUSTOMER_RULE_ROWS)
+    return quality.suite_verdict(quality.summarize(tpl.customer_stage(spark, sf), rules))
+
+
 @query("dq_record_count", f"""
 SELECT 'orders' AS table_name, count(*) AS record_count, CAST(0 AS BIGINT) AS expected,
        CASE WHEN count(*) > 0 THEN 'passed' ELSE 'failed' END AS status
