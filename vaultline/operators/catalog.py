@@ -73,7 +73,7 @@ def profile_keys(df: DataFrame, table_name: str, columns: list[str] | None = Non
 
 
 def find_keys(df: DataFrame, table_name: str, columns: list[str] | None = None,
-              rsd: float = 0.02) -> DataFrame:
+              rsd: float = 0.05) -> DataFrame:
     """K2 in two phases: one pass with HyperLogLog distinct counts for every
     column; then exact counts only for columns that may be unique (no NULLs
     and an estimate within 3 x ``rsd`` of the row count). The per-column
@@ -84,8 +84,13 @@ def find_keys(df: DataFrame, table_name: str, columns: list[str] | None = None,
     rows = approx.collect()
     survivors = [r["column_name"] for r in rows
                  if r["nulls"] == 0 and r["distinct_values"] >= (1 - 3 * rsd) * r["rows"]]
-    others = approx.filter(~F.col("column_name").isin(survivors)).withColumns(
-        {"is_unique": F.lit(False), "exact": F.lit(False)})
+    # The estimate rows are already on the driver (one per column): reuse
+    # them instead of running the estimate pass again.
+    others = df.sparkSession.createDataFrame(
+        [(r["table_name"], r["column_name"], r["rows"], r["nulls"], r["distinct_values"], False, False)
+         for r in rows if r["column_name"] not in survivors],
+        "table_name string, column_name string, rows bigint, nulls bigint, distinct_values bigint, "
+        "is_unique boolean, exact boolean")
     if not survivors:
         return others
     exact = profile_keys(df, table_name, survivors, exact=True).withColumn("exact", F.lit(True))
