@@ -8,7 +8,7 @@ from tests.conftest import SF001
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-ROWS_ONLY = {"lineage_json", "encrypt_columns"}
+ROWS_ONLY = {"encrypt_columns"}
 
 
 def test_entry(spark):

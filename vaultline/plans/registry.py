@@ -514,22 +514,28 @@ def _etl_specs(spark):
     return {s.name: s for s in specs_from_metadata(tpl.TARGET_ROWS, tpl.MAPPING_ROWS, tpl.LOAD_ROWS)}
 
 
-@query("etl_customer", """
+ETL_CUSTOMER_SQL = """
 SELECT CAST(c_custkey AS BIGINT) AS customer_id, CAST(c_name AS VARCHAR) AS customer_name FROM customer
 WHERE c_custkey IS NOT NULL AND c_name IS NOT NULL AND coalesce(length(c_name) <= 50, true)
   AND c_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL
-                        GROUP BY c_custkey HAVING count(*) > 1)""")
+                        GROUP BY c_custkey HAVING count(*) > 1)"""
+
+
+@query("etl_customer", ETL_CUSTOMER_SQL)
 def q_etl_customer(spark, sf):
     spec = _etl_specs(spark)["customer"]
     spec.null_check_all = True
     return checked_target(spec, tpl.sources(spark, sf)).clean.drop(quality.FAILED)
 
 
-@query("etl_orders", f"""
+ETL_ORDERS_SQL = f"""
 WITH t AS (SELECT CAST(o_orderkey AS BIGINT) AS order_id FROM orders JOIN customer ON o_custkey = c_custkey
            WHERE o_orderdate > TIMESTAMP '{tpl.ORDER_CUTOFF}')
 SELECT order_id FROM t WHERE order_id IS NOT NULL
-  AND order_id NOT IN (SELECT order_id FROM t WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1)""")
+  AND order_id NOT IN (SELECT order_id FROM t WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1)"""
+
+
+@query("etl_orders", ETL_ORDERS_SQL)
 def q_etl_orders(spark, sf):
     spec = _etl_specs(spark)["orders"]
     spec.null_check_all = True
@@ -905,30 +911,43 @@ def _lineage_edges_with_rows(spark, sf, mode="full"):
 
 
 ETL_ROWS_SQL = f"""
-SELECT 'customer' AS target_table, count(*) AS target_rows FROM customer WHERE c_custkey IS NOT NULL AND c_name IS NOT NULL
+SELECT 'customer' AS target_table, count(*) AS target_rows FROM ({ETL_CUSTOMER_SQL})
 UNION ALL
-SELECT 'orders', count(*) FROM orders JOIN customer ON o_custkey = c_custkey
-WHERE o_orderdate > TIMESTAMP '{tpl.ORDER_CUTOFF}' AND o_orderkey IS NOT NULL"""
+SELECT 'orders', count(*) FROM ({ETL_ORDERS_SQL})"""
+
+# The template's mapping rows, and the default lineage rule ([table.]target =
+# [table.]source, bare names take the row's tables), in SQL.
+MAPPINGS_SQL = "SELECT * FROM (VALUES " + ", ".join(
+    f"('{m['rule_id']}', '{m['target_table']}', '{m['source_table']}', '{m['expression']}')"
+    for m in tpl.MAPPING_ROWS) + ") m(rule_id, target_table, source_table, expression)"
+_FULL_RE = r"^\s*(?:(\w+)\.)?(\w+)\s*=\s*(?:(\w+)\.)?(\w+)\s*$"
+EDGES_SQL = f"""
+SELECT 'edge_' || rule_id AS edge_id,
+       coalesce(nullif(regexp_extract(expression, '{_FULL_RE}', 3), ''), source_table) AS source_table,
+       regexp_extract(expression, '{_FULL_RE}', 4) AS source_column,
+       coalesce(nullif(regexp_extract(expression, '{_FULL_RE}', 1), ''), target_table) AS target_table,
+       regexp_extract(expression, '{_FULL_RE}', 2) AS target_column,
+       trim(expression) AS transformation
+FROM ({MAPPINGS_SQL}) WHERE regexp_matches(trim(expression), '{_FULL_RE}')"""
 
 
 @query("lineage_edges", f"""
-WITH r AS ({ETL_ROWS_SQL})
-SELECT e.*, r.target_rows FROM (VALUES
-  ('edge_0', 'customer.c_custkey', 'customer.customer_id', 'customer_id = c_custkey'),
-  ('edge_1', 'orders.o_orderkey', 'orders.order_id', 'order_id = o_orderkey'))
-  e(edge_id, source, target, transformation)
-JOIN r ON split_part(e.target, '.', 1) = r.target_table""")
+WITH e AS ({EDGES_SQL}), r AS ({ETL_ROWS_SQL})
+SELECT e.edge_id, e.source_table || '.' || e.source_column AS source,
+       e.target_table || '.' || e.target_column AS target, e.transformation, r.target_rows
+FROM e JOIN r ON e.target_table = r.target_table""")
 def q_lineage_edges(spark, sf):
     e, counts = _lineage_edges_with_rows(spark, sf)
     return (e.join(counts, "target_table")
             .select("edge_id", "source", "target", "transformation", "target_rows"))
 
 
-@query("lineage_nodes", """
-WITH n(id, table_name, column_name) AS (VALUES
-  ('customer.c_custkey', 'customer', 'c_custkey'), ('customer.customer_id', 'customer', 'customer_id'),
-  ('orders.o_orderkey', 'orders', 'o_orderkey'), ('orders.order_id', 'orders', 'order_id')),
- c AS (SELECT 'customer' AS t, count(*) AS rows FROM customer UNION ALL SELECT 'orders', count(*) FROM orders)
+@query("lineage_nodes", f"""
+WITH e AS ({EDGES_SQL}),
+n AS (SELECT source_table || '.' || source_column AS id, source_table AS table_name, source_column AS column_name
+      FROM e UNION
+      SELECT target_table || '.' || target_column, target_table, target_column FROM e),
+c AS (SELECT 'customer' AS t, count(*) AS rows FROM customer UNION ALL SELECT 'orders', count(*) FROM orders)
 SELECT n.*, c.rows AS source_rows FROM n JOIN c ON n.table_name = c.t""")
 def q_lineage_nodes(spark, sf):
     """L2, each node with the row count of its table's source (data read)."""
@@ -941,7 +960,28 @@ def q_lineage_nodes(spark, sf):
     return nodes.join(counts, "table_name")
 
 
-@query("lineage_json")
+LINEAGE_JSON_SQL = f"""
+WITH e AS ({EDGES_SQL}),
+n AS (SELECT DISTINCT target_table AS doc, source_table || '.' || source_column AS id, source_table AS tbl,
+             source_column AS col FROM e
+      UNION SELECT target_table, target_table || '.' || target_column, target_table, target_column FROM e),
+nl AS (SELECT doc, list_sort(list(struct_pack(id := id, type := 'Column', name := col,
+             parent := struct_pack(id := tbl, type := 'Table', name := tbl)))) AS nodes FROM n GROUP BY doc),
+el AS (SELECT target_table AS doc, list_sort(list(struct_pack(id := edge_id,
+             source := source_table || '.' || source_column, target := target_table || '.' || target_column,
+             label := transformation, transformation := transformation))) AS edges FROM e GROUP BY target_table),
+r AS ({ETL_ROWS_SQL})
+SELECT nl.doc AS target_table,
+       to_json(struct_pack(codeGraph := struct_pack(nodes := nl.nodes, edges := el.edges),
+                           sourceProperties := []::VARCHAR[], targetProperties := []::VARCHAR[],
+                           script := struct_pack(codeFormat := 'python',
+                                                 placeholder := '# Transformation logic not provided')))
+         AS lineage_json,
+       r.target_rows
+FROM nl JOIN el ON nl.doc = el.doc JOIN r ON r.target_table = nl.doc"""
+
+
+@query("lineage_json", LINEAGE_JSON_SQL)
 def q_lineage_json(spark, sf):
     e, counts = _lineage_edges_with_rows(spark, sf)
     docs = lineage.document(lineage.nodes(e), e)
