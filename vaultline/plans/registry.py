@@ -1010,6 +1010,24 @@ def q_encrypt_columns(spark, sf):
     return protect.encrypt_columns(c, flags["encrypt"], F.lit(key))
 
 
+@query("encrypt_roundtrip", """
+SELECT c_custkey, CAST(c_acctbal AS VARCHAR) AS acctbal_decrypted,
+       CAST(4 * ceil((length(CAST(c_acctbal AS VARCHAR)) + 28) / 3.0) AS INTEGER) AS cipher_length,
+       true AS cipher_differs
+FROM customer""")
+def q_encrypt_roundtrip(spark, sf):
+    """P2 checked by value: AES-GCM ciphertext (random IV, so not comparable
+    itself) decrypts back to the text, has the length GCM fixes (12-byte IV
+    + text + 16-byte tag, base64) and differs from the text."""
+    from vaultline.functions.protect import decrypt_value
+    c = _t(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    key = F.lit(spark.conf.get("spark.vaultline.protect.key", "0123456789abcdef"))
+    enc = protect.encrypt_columns(c.withColumn("plain", F.col("c_acctbal").cast("string")), ["c_acctbal"], key)
+    return enc.select("c_custkey", decrypt_value("c_acctbal", key).alias("acctbal_decrypted"),
+                      F.length("c_acctbal").alias("cipher_length"),
+                      (F.col("c_acctbal") != F.col("plain")).alias("cipher_differs"))
+
+
 # ====================================================================== S: streaming
 
 @query("stream_hub_load", _hub_sql("orders", "o_custkey", "customer"))
