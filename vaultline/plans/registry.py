@@ -665,6 +665,26 @@ def q_hub_incremental(spark, sf):
     return vault.new_hub_rows(batch, existing, "hub_customer_key")
 
 
+@query("hub_load", f"""
+WITH b1 AS ({_hub_sql('orders', 'o_custkey', 'customer', TS1, f"o_orderdate < TIMESTAMP '{tpl.HUB_BATCH1_CUTOFF}'")}),
+     b2 AS ({_hub_sql('orders', 'o_custkey', 'customer', TS2)})
+SELECT *, 'b1' AS batch_id FROM b1
+UNION ALL
+SELECT *, 'b2' FROM b2 WHERE hub_customer_key NOT IN (SELECT hub_customer_key FROM b1)""")
+def q_hub_load(spark, sf):
+    """I1 as a stored-table load: two batches written with
+    write_vault_increment (batch 2 replayed once), then the table read back."""
+    o = _t(spark, sf, "orders")
+    target = scratch_path(spark, "hub_load")
+    early = o.filter(F.col("o_orderdate") < _lit_ts(tpl.HUB_BATCH1_CUTOFF))
+    writers.write_vault_increment(vault.hub(early, "o_custkey", "customer", tpl.LOAD_TS, tpl.RECORD_SOURCE),
+                                  target, "hub_customer_key", "b1")
+    for _ in range(2):      # a replay of batch 2 must not add rows
+        writers.write_vault_increment(vault.hub(o, "o_custkey", "customer", tpl.LOAD_TS2, tpl.RECORD_SOURCE),
+                                      target, "hub_customer_key", "b2")
+    return spark.read.parquet(target)
+
+
 @query("link_incremental", f"""
 SELECT * FROM ({_link_sql('orders', LINK_OC, 'order_customer', TS2)}) b
 WHERE link_order_customer_key NOT IN (SELECT link_order_customer_key FROM

@@ -18,40 +18,26 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.operators import quality, vault
+from vaultline.operators import quality
 from vaultline.plans.rules import Rule
-
-
-def _read_existing(spark, target: str, batch_id: int) -> DataFrame | None:
-    try:
-        return spark.read.parquet(target).filter(F.col("batch_id") != F.lit(batch_id))
-    except AnalysisException:
-        return None
+from vaultline.sources.writers import write_vault_increment
 
 
 def stream_vault_load(stream_df: DataFrame, build: Callable[[DataFrame], DataFrame], target: str,
                       key_col: str, checkpoint: str, kind: str = "insert_new",
                       available_now: bool = True, processing_time: str | None = None):
     """S1 (action): run ``build`` (e.g. ``vault.hub``) on every micro-batch and
-    add the rows the target lacks. ``kind``: ``insert_new`` (hubs, links:
+    add the rows the target lacks through ``write_vault_increment`` (the same
+    code path as a batch load). ``kind``: ``insert_new`` (hubs, links:
     anti-join on the hash key) or ``sat_changes`` (satellites: changed
     hash_diff against the current row). Returns the finished query when
     ``available_now``, else the running query."""
 
     def per_batch(batch_df: DataFrame, batch_id: int) -> None:
-        spark = batch_df.sparkSession
-        new = build(batch_df)
-        existing = _read_existing(spark, target, batch_id)
-        if kind == "sat_changes":
-            rows = vault.changed_sat_rows(new, existing, key_col)
-        else:
-            rows = vault.new_hub_rows(new, existing, key_col)
-        (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(target))
+        write_vault_increment(build(batch_df), target, key_col, batch_id, kind)
 
     writer = stream_df.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if available_now:
