@@ -108,3 +108,20 @@ def test_write_vault_increment_batches_and_replay(spark):
     assert rows(stored, "hub_customer_key") == rows(full, "hub_customer_key")
     # first load time kept for keys of batch 1
     assert stored.filter("batch_id = 'b1'").select("load_datetime").distinct().count() == 1
+
+
+def test_vault_from_metadata(spark):
+    from vaultline.plans import template as tpl
+    from vaultline.plans.vault_job import build_vault, vault_models_from_metadata
+    models = {m.name: m for m in vault_models_from_metadata(tpl.SOURCE_COLUMN_ROWS, tpl.MAPPING_ROWS)}
+    assert sorted(models) == ["hub_customer", "hub_orders", "link_orders_customer", "sat_customer", "sat_orders"]
+    assert models["link_orders_customer"].keys == {"orders": ["o_orderkey"], "customer": ["o_custkey"]}
+    assert models["sat_orders"].attrs == ["o_orderstatus", "o_totalprice", "o_orderdate"]   # fk left out
+    built = build_vault(list(models.values()), tpl.sources(spark, SF01), TS1, "tpch")
+    # the link's customer hub key equals the customer hub's key for the same customer
+    link, hubc = built["link_orders_customer"], built["hub_customer"]
+    assert link.join(hubc, "hub_customer_key", "left_anti").count() == 0
+    # without primary-key flags the first key-looking column is the business key
+    rows_nopk = [dict(r, primary_key=None) for r in tpl.SOURCE_COLUMN_ROWS]
+    m2 = {m.name: m for m in vault_models_from_metadata(rows_nopk, tpl.MAPPING_ROWS)}
+    assert m2["hub_customer"].keys == {"customer": ["c_custkey"]}

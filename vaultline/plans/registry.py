@@ -778,6 +778,42 @@ def q_vault_generic(spark, sf):
     return fmt.unionByName(quality.audit_failures(h))
 
 
+def _vault_models_sql() -> str:
+    def part(model, kind, key_sql, cols, table, nn):
+        return (f"SELECT '{model}' AS model, '{kind}' AS kind, count(*) AS rows, min({key_sql}) AS min_key, "
+                f"max({key_sql}) AS max_key FROM (SELECT DISTINCT {cols} FROM {table} WHERE {nn})")
+    return " UNION ALL ".join([
+        part("hub_customer", "hub", sk("c_custkey"), "c_custkey", "customer", "c_custkey IS NOT NULL"),
+        part("hub_orders", "hub", sk("o_orderkey"), "o_orderkey", "orders", "o_orderkey IS NOT NULL"),
+        part("link_orders_customer", "link", sk("o_orderkey", "o_custkey"), "o_orderkey, o_custkey", "orders",
+             "o_orderkey IS NOT NULL AND o_custkey IS NOT NULL"),
+        part("sat_customer", "satellite", sk("c_custkey"),
+             "c_custkey, nullif(trim(c_name), '') AS n, c_nationkey, c_acctbal, nullif(trim(c_mktsegment), '') AS m",
+             "customer", "c_custkey IS NOT NULL"),
+        part("sat_orders", "satellite", sk("o_orderkey"),
+             "o_orderkey, nullif(trim(o_orderstatus), '') AS s, o_totalprice, o_orderdate", "orders",
+             "o_orderkey IS NOT NULL"),
+    ])
+
+
+@query("vault_models", _vault_models_sql())
+def q_vault_models(spark, sf):
+    """The whole vault from metadata: hubs from
+    primary keys, a link from the mapping's join condition, satellites from
+    the remaining columns; one summary row per model."""
+    from vaultline.plans.vault_job import build_vault, vault_models_from_metadata
+    models = vault_models_from_metadata(tpl.SOURCE_COLUMN_ROWS, tpl.MAPPING_ROWS)
+    built = build_vault(models, tpl.sources(spark, sf), tpl.LOAD_TS, tpl.RECORD_SOURCE)
+    parts = []
+    for m in models:
+        df = built[m.name]
+        key = df.columns[0]
+        parts.append(df.agg(F.lit(m.name).alias("model"), F.lit(m.kind).alias("kind"),
+                            F.count(F.lit(1)).alias("rows"), F.min(key).alias("min_key"),
+                            F.max(key).alias("max_key")))
+    return ordered.union_all_by_name(parts)
+
+
 # ====================================================================== M: watermark loads
 
 @query("watermark_load", f"SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '{tpl.ORDER_CUTOFF}'")

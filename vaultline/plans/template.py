@@ -39,6 +39,19 @@ MAPPING_ROWS = [
          join_condition="customer ON orders.o_custkey = customer.c_custkey"),
 ]
 
+SOURCE_COLUMN_ROWS = [
+    dict(system="tpch", table_name="customer", column_name="c_custkey", data_type="BIGINT", primary_key=True),
+    dict(system="tpch", table_name="customer", column_name="c_name", data_type="VARCHAR(25)"),
+    dict(system="tpch", table_name="customer", column_name="c_nationkey", data_type="INTEGER"),
+    dict(system="tpch", table_name="customer", column_name="c_acctbal", data_type="DOUBLE"),
+    dict(system="tpch", table_name="customer", column_name="c_mktsegment", data_type="VARCHAR(10)"),
+    dict(system="tpch", table_name="orders", column_name="o_orderkey", data_type="BIGINT", primary_key=True),
+    dict(system="tpch", table_name="orders", column_name="o_custkey", data_type="BIGINT"),
+    dict(system="tpch", table_name="orders", column_name="o_orderstatus", data_type="VARCHAR(1)"),
+    dict(system="tpch", table_name="orders", column_name="o_totalprice", data_type="DOUBLE"),
+    dict(system="tpch", table_name="orders", column_name="o_orderdate", data_type="TIMESTAMP_NTZ"),
+]
+
 LOAD_ROWS = [
     dict(table_name="customer", frequency="daily", load_mode="full"),
     dict(table_name="orders", frequency="daily", load_mode="incremental", watermark_column="o_orderdate"),
