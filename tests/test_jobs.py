@@ -140,3 +140,18 @@ def test_bare_lookup_table_from_sheet(spark):
     out = build_target(spec, srcs)
     assert out.count() == srcs["customer"].count()            # a lookup never fans out
     assert out.filter("nation IS NULL").count() == 0
+
+
+def test_declared_lengths_and_string_only_length_rules(spark):
+    tcols = [dict(table_name="t", column_name="name", data_type="VARCHAR(5)", transformation="name"),
+             dict(table_name="t", column_name="code", data_type="VARCHAR(3)", transformation="code",
+                  rule="max_length(2)"),
+             dict(table_name="t", column_name="qty", data_type="INTEGER", transformation="qty", rule="max_length(2)")]
+    spec = specs_from_metadata(tcols, [dict(rule_id="1", target_table="t", source_table="s")])[0]
+    by_col = {(r.column, r.kind): r for r in spec.rules}
+    assert by_col[("name", "max_length")].args == (5,)                 # implied by VARCHAR(5)
+    assert by_col[("code", "max_length")].args == (2,)                 # explicit rule wins
+    assert by_col[("qty", "max_length")].status == "malformed"         # not a string column
+    src = spark.createDataFrame([("abcdef", "ab", 123), ("abc", "abc", 1)], "name string, code string, qty int")
+    s = checked_target(spec, {"s": src})
+    assert s.clean.count() == 0 and s.quarantine.count() == 2

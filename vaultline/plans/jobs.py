@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from vaultline.operators.joins import join_lookup
 from vaultline.operators.quality import Split, cast_rule, mark_failures, null_rules, split
 from vaultline.operators.transform import cast_columns, fill_default, filter_rows
 from vaultline.plans.rules import Rule, parse_cell
-from vaultline.plans.types import to_spark_type
+from vaultline.plans.types import declared_length, is_string_type, to_spark_type
 
 
 @dataclass
@@ -100,7 +100,7 @@ def specs_from_metadata(target_columns, mappings=None, loads=None, rules=None) -
             spec.types[r["column_name"]] = r["data_type"]
         if r["partition_key"]:
             spec.partition_cols.append(r["column_name"])
-        spec.rules += parse_cell(r["rule"], r["column_name"], t)
+        spec.rules += _typed_rules(parse_cell(r["rule"], r["column_name"], t), r["data_type"])
     for t, spec in specs.items():
         for m in (m for m in maps if m["target_table"] == t):
             if m["filter_condition"]:
@@ -120,12 +120,43 @@ def specs_from_metadata(target_columns, mappings=None, loads=None, rules=None) -
             spec.watermark_column = ld["watermark_column"]
         for r in rls:
             if r.get("table_name") in (None, t) and (r["column_name"] in spec.columns or r.get("table_name") == t):
-                spec.rules += parse_cell(r["rule"], r["column_name"], t, r.get("reject_handling"), r.get("severity"))
+                dtype = next((c["data_type"] for c in tcols
+                              if c["table_name"] == t and c["column_name"] == r["column_name"]), None)
+                spec.rules += _typed_rules(parse_cell(r["rule"], r["column_name"], t, r.get("reject_handling"),
+                                                      r.get("severity")), dtype)
                 if r.get("record_count_expected") is not None:
                     spec.expected_count = int(r["record_count_expected"])
+    for spec in specs.values():
+        spec.rules += _declared_length_rules(spec, tcols)
     return list(specs.values())
 
 
+_LENGTH_KINDS = ("max_length", "min_length", "length_between")
+
+
+def _typed_rules(rules: list[Rule], data_type: str | None) -> list[Rule]:
+    """Length rules apply to string columns only: on a column declared with
+    another type they are reported as malformed instead of run."""
+    if not data_type or is_string_type(data_type):
+        return rules
+    return [replace(r, status="malformed", message=f"length rule on a {data_type} column")
+            if r.kind in _LENGTH_KINDS and r.status == "ok" else r for r in rules]
+
+
+def _declared_length_rules(spec: TargetSpec, tcols: list[dict]) -> list[Rule]:
+    """A column declared VARCHAR(n) gets max_length(n) unless it already has one."""
+    out = []
+    for c in tcols:
+        if c["table_name"] != spec.name:
+            continue
+        n = declared_length(c["data_type"] or "")
+        has = any(r.kind == "max_length" and r.column == c["column_name"] for r in spec.rules)
+        if n is not None and not has:
+            out.append(Rule(column=c["column_name"], kind="max_length", args=(n,),
+                            text=f"declared {c['data_type']}", table=spec.name))
+    return out
+
+
 _JOIN = re.compile(r"^\s*(?:(inner|left|right|full)(?:\s+outer)?\s+)?(?:join\s+)?(\w+)\s+on\s+(.+)$",
                    re.IGNORECASE | re.DOTALL)
 _QUALIFIED = re.compile(r"(\w+)\.(\w+)")
