@@ -155,3 +155,17 @@ def test_declared_lengths_and_string_only_length_rules(spark):
     src = spark.createDataFrame([("abcdef", "ab", 123), ("abc", "abc", 1)], "name string, code string, qty int")
     s = checked_target(spec, {"s": src})
     assert s.clean.count() == 0 and s.quarantine.count() == 2
+
+
+def test_dq_suite_from_sheet(spark):
+    from vaultline.plans.jobs import dq_suite
+    df = spark.createDataFrame([(1, "ann"), (2, None), (2, "x1")], "id int, name string")
+    sheet_rows = [dict(table_name="t", column_name="id", rule="not null; unique"),
+                  dict(table_name="t", column_name="name", rule="Regex(^[a-z]+$); Unsupported"),
+                  dict(table_name="other", column_name="id", rule="not null")]
+    report, verdict = dq_suite(df, sheet_rows, "t")
+    got = {(r["column_name"], r["rule_text"]): (r["status"], r["failures"]) for r in report.collect()}
+    assert got == {("id", "not null"): ("ok", 0), ("id", "unique"): ("ok", 2),
+                   ("name", "Regex(^[a-z]+$)"): ("ok", 1), ("name", "Unsupported"): ("unsupported", None)}
+    v = verdict.first()
+    assert (v["success"], v["failed_tests"], v["failing_rows"]) == (False, 2, 3)

@@ -251,6 +251,20 @@ def checked_target(spec: TargetSpec, sources: Mapping[str, DataFrame]) -> Split:
     return split(marked, rules)
 
 
+def dq_suite(df: DataFrame, rules_sheet, table: str,
+             parents: Mapping[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The validation suite of one table, from its rules or target sheet
+    (DataFrame or row dicts with ``table_name, column_name, rule, ...``),
+    run directly: ``(report, verdict)``. The report has one row per rule
+    (unsupported and malformed included, with NULL failures); the verdict
+    is derived from the report, so both come from one lineage."""
+    from vaultline.operators.quality import rule_report, suite_verdict
+    from vaultline.plans.rules import rules_from_rows
+    rows = [r for r in _rows(rules_sheet) if r["table_name"] in (None, table)]
+    report = rule_report(df, rules_from_rows(rows), parents)
+    return report, suite_verdict(report)
+
+
 def run_job(spark: SparkSession, specs: list[TargetSpec], sources: Mapping[str, DataFrame],
             targets: Mapping[str, str], quarantine_target: str | None, load_ts,
             state_path: str | None = None, batch_id: str | None = None) -> list[dict]:
