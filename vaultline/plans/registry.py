@@ -102,7 +102,7 @@ def q_sink_partitioned(spark, sf):
 
 @query("dq_store_failures", """
 SELECT 'customer' AS table_name, 'range:c_acctbal' AS rule, 'run-1' AS run_id,
-       to_json(struct_pack(c_custkey := c_custkey, c_name := c_name)) AS row_json
+       CAST(to_json(struct_pack(c_custkey := c_custkey, c_name := c_name)) AS VARCHAR) AS row_json
 FROM customer WHERE NOT coalesce(c_acctbal >= 0 AND c_acctbal <= 9000, true)""")
 def q_store_failures(spark, sf):
     c = _t(spark, sf, "customer")
@@ -229,7 +229,7 @@ def q_distinct_keys(spark, sf):
 
 def _summary_sql() -> str:
     return " UNION ALL ".join(
-        f"SELECT '{n}' AS test_name, count_if({cond}) AS failures FROM s" for n, cond, _ in tpl.CUSTOMER_RULES_SQL)
+        f"SELECT '{n}' AS test_name, CAST(count_if({cond}) AS BIGINT) AS failures FROM s" for n, cond, _ in tpl.CUSTOMER_RULES_SQL)
 
 
 @query("dq_summary", f"WITH s AS ({tpl.CUSTOMER_STAGE_SQL}) {_summary_sql()}")
@@ -240,7 +240,7 @@ def q_dq_summary(spark, sf):
 
 @query("dq_suite_verdict", f"""
 WITH s AS ({tpl.CUSTOMER_STAGE_SQL}), t AS ({_summary_sql()})
-SELECT coalesce(max(failures), 0) = 0 AS success, count_if(failures > 0) AS failed_tests,
+SELECT coalesce(max(failures), 0) = 0 AS success, CAST(count_if(failures > 0) AS BIGINT) AS failed_tests,
        CAST(coalesce(sum(failures), 0) AS BIGINT) AS failing_rows FROM t""")
 def q_suite_verdict(spark, sf):
     """The verdict of the whole customer rule suite."""
@@ -497,10 +497,12 @@ def q_severity(spark, sf):
 {MARKED_SQL},
 oq AS (SELECT o_orderkey, o_totalprice FROM orders WHERE NOT coalesce(o_totalprice <= 400000, true))
 SELECT 'customer' AS table_name, failed,
-       to_json(struct_pack(c_custkey := c_custkey, c_name := c_name)) AS row_json, {TS1} AS load_datetime
+       CAST(to_json(struct_pack(c_custkey := c_custkey, c_name := c_name)) AS VARCHAR) AS row_json,
+       {TS1} AS load_datetime
 FROM a WHERE dq_action = 'quarantine'
 UNION ALL
-SELECT 'orders', 'range:o_totalprice', to_json(struct_pack(o_orderkey := o_orderkey)), {TS1} FROM oq""")
+SELECT 'orders', 'range:o_totalprice', CAST(to_json(struct_pack(o_orderkey := o_orderkey)) AS VARCHAR), {TS1}
+FROM oq""")
 def q_quarantine_all(spark, sf):
     cq = _customer_split(spark, sf).quarantine.select("c_custkey", "c_name", quality.FAILED)
     o = _t(spark, sf, "orders").select("o_orderkey", "o_totalprice")
@@ -721,7 +723,8 @@ def q_sat_incremental(spark, sf):
 
 
 @query("upsert_by_key", """
-SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(18,2)) + CASE WHEN c_mktsegment = 'BUILDING' THEN 100 ELSE 0 END
+SELECT c_custkey, c_name,
+       CAST(CAST(c_acctbal AS DECIMAL(18,2)) + CASE WHEN c_mktsegment = 'BUILDING' THEN 100 ELSE 0 END AS DECIMAL(18,2))
        AS c_acctbal FROM customer""")
 def q_upsert(spark, sf):
     c = _t(spark, sf, "customer").select("c_custkey", "c_name", F.col("c_acctbal").cast("decimal(18,2)")
@@ -766,10 +769,11 @@ def q_hub_after_max(spark, sf):
 
 @query("dq_vault_generic", f"""
 WITH h AS ({_hub_sql('customer', 'c_custkey', 'customer')})
-SELECT 'hub_key_format' AS test_name, count_if(hub_customer_key IS NULL OR length(hub_customer_key) <> 32
-       OR NOT regexp_matches(hub_customer_key, '^[A-F0-9]+$')) AS failures FROM h
-UNION ALL SELECT 'load_datetime_not_null', count_if(load_datetime IS NULL) FROM h
-UNION ALL SELECT 'record_source_not_null', count_if(record_source IS NULL OR trim(record_source) = '') FROM h""")
+SELECT 'hub_key_format' AS test_name, CAST(count_if(hub_customer_key IS NULL OR length(hub_customer_key) <> 32
+       OR NOT regexp_matches(hub_customer_key, '^[A-F0-9]+$')) AS BIGINT) AS failures FROM h
+UNION ALL SELECT 'load_datetime_not_null', CAST(count_if(load_datetime IS NULL) AS BIGINT) FROM h
+UNION ALL SELECT 'record_source_not_null', CAST(count_if(record_source IS NULL OR trim(record_source) = '') AS BIGINT)
+FROM h""")
 def q_vault_generic(spark, sf):
     """Q11 + Q16 + Q17 as the generic vault test suite: one aggregation pass."""
     h = vault.hub(_t(spark, sf, "customer"), "c_custkey", "customer", tpl.LOAD_TS, tpl.RECORD_SOURCE)
@@ -847,7 +851,7 @@ PROFILE_TABLES = ("customer", "orders", "lineitem", "part", "supplier")
 
 def _profile_sql(table: str, cols: list[str]) -> str:
     return " UNION ALL ".join(
-        f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS rows, count_if({c} IS NULL) AS nulls, "
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS rows, CAST(count_if({c} IS NULL) AS BIGINT) AS nulls, "
         f"CAST(count(DISTINCT {c}) AS BIGINT) AS distinct_values, "
         f"(count_if({c} IS NULL) = 0 AND count(DISTINCT {c}) = count(*)) AS is_unique FROM {table}" for c in cols)
 
@@ -925,8 +929,8 @@ REL_SQL = """
 SELECT '1' AS rule_id, 0 AS pair_no, 'orders' AS left_table, 'o_custkey' AS left_column,
        'customer' AS right_table, 'c_custkey' AS right_column,
        count(*) AS child_rows,
-       count_if(o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL))
-         AS orphan_rows
+       CAST(count_if(o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer
+                                                                 WHERE c_custkey IS NOT NULL)) AS BIGINT) AS orphan_rows
 FROM orders"""
 
 
@@ -1028,11 +1032,11 @@ el AS (SELECT target_table AS doc, list_sort(list(struct_pack(id := edge_id,
              label := transformation, transformation := transformation))) AS edges FROM e GROUP BY target_table),
 r AS ({ETL_ROWS_SQL})
 SELECT nl.doc AS target_table,
-       to_json(struct_pack(codeGraph := struct_pack(nodes := nl.nodes, edges := el.edges),
+       CAST(to_json(struct_pack(codeGraph := struct_pack(nodes := nl.nodes, edges := el.edges),
                            sourceProperties := []::VARCHAR[], targetProperties := []::VARCHAR[],
                            script := struct_pack(codeFormat := 'python',
                                                  placeholder := '# Transformation logic not provided')))
-         AS lineage_json,
+            AS VARCHAR) AS lineage_json,
        r.target_rows
 FROM nl JOIN el ON nl.doc = el.doc JOIN r ON r.target_table = nl.doc"""
 
