@@ -5,6 +5,7 @@ import pytest
 from vaultline.metadata import normalize
 from vaultline.plans import template as tpl
 from vaultline.plans.jobs import LookupSpec, TargetSpec, build_target, checked_target, run_job, specs_from_metadata
+from vaultline.plans.rules import parse_cell
 from vaultline.session import scratch_path
 from tests.conftest import SF001, rows
 
@@ -169,3 +170,19 @@ def test_dq_suite_from_sheet(spark):
                    ("name", "Regex(^[a-z]+$)"): ("ok", 1), ("name", "Unsupported"): ("unsupported", None)}
     v = verdict.first()
     assert (v["success"], v["failed_tests"], v["failing_rows"]) == (False, 2, 3)
+
+
+def test_run_job_protects_outputs(spark):
+    from pyspark.sql import functions as F
+    from vaultline.metadata import sheet
+    src = spark.createDataFrame([(1, "Alice", "111-22"), (2, None, "333-44")], "id bigint, name string, ssn string")
+    spec = TargetSpec(name="p", source="s", columns={"id": "id", "name": "name", "ssn": "ssn"},
+                      rules=parse_cell("not null", "name"))
+    prot = sheet(spark, "protection", [dict(table_name="p", column_name="name", pii=True, mask=True, encrypt=False),
+                                       dict(table_name="p", column_name="ssn", pii=True, mask=False, encrypt=True)])
+    target, q = scratch_path(spark, "prot_t"), scratch_path(spark, "prot_q")
+    run_job(spark, [spec], {"s": src}, {"p": target}, q, tpl.LOAD_TS, protection=prot, key=F.lit("0123456789abcdef"))
+    row = spark.read.parquet(target).first()
+    assert row["name"] == "Xxxxx" and row["ssn"] not in ("111-22", None)
+    qjson = spark.read.parquet(q).first()["row_json"]
+    assert "333-44" not in qjson                     # no clear PII in the quarantine store

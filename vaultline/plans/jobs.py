@@ -267,14 +267,19 @@ def dq_suite(df: DataFrame, rules_sheet, table: str,
 
 def run_job(spark: SparkSession, specs: list[TargetSpec], sources: Mapping[str, DataFrame],
             targets: Mapping[str, str], quarantine_target: str | None, load_ts,
-            state_path: str | None = None, batch_id: str | None = None) -> list[dict]:
+            state_path: str | None = None, batch_id: str | None = None,
+            protection: DataFrame | None = None, key=None) -> list[dict]:
     """E10 (action): every target in load order; each is checked and written
     by ``write_checked`` (fail rules first, count check, quarantine append).
 
     Targets whose load mode is incremental (and that name a watermark column
     of their driving source) read only source rows in (watermark, upper],
     with ``upper`` fixed first; clean rows are appended and the watermark
-    advances only after the write succeeded (M1-M3)."""
+    advances only after the write succeeded (M1-M3).
+
+    With a ``protection`` sheet, flagged columns are masked or encrypted
+    (``key``: a Column from configuration) in everything written, the
+    quarantine's row JSON included (P1-P3)."""
     from vaultline.operators.incremental import (LOAD_BATCH, STATE_SCHEMA, after_watermark, batch_label,
                                                  read_watermark)
     from vaultline.sources.writers import write_checked
@@ -295,6 +300,10 @@ def run_job(spark: SparkSession, specs: list[TargetSpec], sources: Mapping[str,
             mode = "overwrite"                     # of this batch's own partition only
             batch_partition = batch_label(wm)
         s = checked_target(spec, srcs)
+        if protection is not None:
+            from vaultline.operators.protect import protect
+            s = s._replace(clean=protect(s.clean, protection, spec.name, key),
+                           quarantine=protect(s.quarantine, protection, spec.name, key))
         if batch_partition is not None:            # replay-safe: one partition per starting watermark
             s = s._replace(clean=s.clean.withColumn(LOAD_BATCH, F.lit(batch_partition)))
         parts = list(spec.partition_cols) + ([LOAD_BATCH] if batch_partition is not None else [])
