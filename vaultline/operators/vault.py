@@ -104,10 +104,13 @@ def satellite_history(df: DataFrame, key_cols, attrs: Sequence[str], ts_col: str
     keys, attrs = _names(key_cols), list(attrs)
     hk = key_col or hub_key_name(name)
     base = require_keys(df.select(*keys, *attrs, ts_col, *[t for t in tie_cols if t not in keys + attrs]), keys)
-    base = base.withColumns({hk: surrogate_key(keys, base.schema), HD: hash_diff(attrs, base.schema)})
-    lagged = ordered_lag(base, [hk], [ts_col, *tie_cols], [HD], prefix="_prev_", skew_safe=skew_safe)
+    base = base.withColumn(HD, hash_diff(attrs, base.schema))
+    # Ordered by the business key itself; the hub key is hashed only for
+    # the rows that survive (changes), not for every source row.
+    lagged = ordered_lag(base, keys, [ts_col, *tie_cols], [HD], prefix="_prev_", skew_safe=skew_safe)
     changed = lagged.filter(~F.col(HD).eqNullSafe(F.col(f"_prev_{HD}")))
-    return changed.select(hk, HD, *attrs, F.col(ts_col).alias(TS), F.lit(record_source).alias(SRC))
+    return changed.select(surrogate_key(keys, base.schema).alias(hk), HD, *attrs, F.col(ts_col).alias(TS),
+                          F.lit(record_source).alias(SRC))
 
 
 # ------------------------------------------------------------ incremental
