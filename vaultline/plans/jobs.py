@@ -9,6 +9,7 @@ projection/casts -> aggregation -> DQ split -> sinks.
 from __future__ import annotations
 
 import re
+from collections import ChainMap
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
@@ -285,7 +286,7 @@ def run_job(spark: SparkSession, specs: list[TargetSpec], sources: Mapping[str,
     from vaultline.sources.writers import write_checked
     reports = []
     for spec in specs:
-        srcs, upper, mode, batch_partition = dict(sources), None, "overwrite", None
+        srcs, upper, mode, batch_partition = sources, None, "overwrite", None
         incremental = (spec.load_mode or "").startswith("incr") and spec.watermark_column and state_path
         if incremental:
             src, col = sources[spec.source], spec.watermark_column
@@ -296,7 +297,8 @@ def run_job(spark: SparkSession, specs: list[TargetSpec], sources: Mapping[str,
                 reports.append({"table": spec.name, "clean_rows": 0, "valid": True, "quarantined": 0,
                                 "skipped": "no rows past the watermark"})
                 continue
-            srcs[spec.source] = pending.filter(F.col(col) <= F.lit(upper))
+            # Overlay the bounded batch; other sources are looked up as given.
+            srcs = ChainMap({spec.source: pending.filter(F.col(col) <= F.lit(upper))}, sources)
             mode = "overwrite"                     # of this batch's own partition only
             batch_partition = batch_label(wm)
         s = checked_target(spec, srcs)

@@ -6,6 +6,8 @@ The registered queries run these sheets over the driver's tables.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,9 +79,32 @@ def protection(spark: SparkSession) -> DataFrame:
     ])
 
 
-def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
-            for t in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")}
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+class _Sources(Mapping):
+    """Table name -> DataFrame, opened on first use (a job touching two
+    tables lists and reads the footers of two files, not eight)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._dir, self._open = spark, sf_dir, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in TABLES:
+            raise KeyError(name)
+        if name not in self._open:
+            self._open[name] = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self._open[name]
+
+    def __iter__(self):
+        return iter(TABLES)
+
+    def __len__(self) -> int:
+        return len(TABLES)
+
+
+def sources(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    return _Sources(spark, sf_dir)
 
 
 def customer_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
