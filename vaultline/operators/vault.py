@@ -115,13 +115,25 @@ def satellite_history(df: DataFrame, key_cols, attrs: Sequence[str], ts_col: str
 
 # ------------------------------------------------------------ incremental
 
+def touched(existing: DataFrame, batch: DataFrame, key_col: str) -> DataFrame:
+    """Rows of the (large) stored table whose key occurs in the (usually
+    small) batch: a semi-join with the batch's distinct keys on the build
+    side, which the planner may broadcast when it is small - so the stored
+    table is scanned (key column first) but not shuffled. A large batch
+    falls back to a sort-merge join."""
+    keys = batch.select(key_col).distinct()
+    return existing.join(keys, key_col, "left_semi")
+
+
 def new_hub_rows(batch: DataFrame, existing: DataFrame | None, key_col: str) -> DataFrame:
     """Hub rows whose hash key is not yet in the hub (insert-only, so a
     key's first load time is never overwritten). Idempotent: loading the same
-    batch twice adds nothing the second time."""
+    batch twice adds nothing the second time. Only the stored keys that the
+    batch touches take part in the anti-join."""
     if existing is None:
         return batch
-    return batch.join(existing.select(key_col), key_col, "left_anti")
+    present = touched(existing.select(key_col), batch, key_col)
+    return batch.join(present, key_col, "left_anti")
 
 
 def new_link_rows(batch: DataFrame, existing: DataFrame | None, key_col: str) -> DataFrame:
@@ -139,8 +151,10 @@ def changed_sat_rows(batch: DataFrame, existing: DataFrame | None, key_col: str,
     current row."""
     order = list(order)
     if existing is not None:
-        # One row per key on the right side; AQE splits a hot key on the left.
-        cur = current_rows(existing.select(key_col, HD, *order), key_col, order).select(
+        # Current rows only for the keys the batch touches; one row per key on
+        # the right side of the join, and AQE splits a hot key on the left.
+        relevant = touched(existing.select(key_col, HD, *order), batch, key_col)
+        cur = current_rows(relevant, key_col, order).select(
             key_col, F.col(HD).alias("_cur_hd"), F.struct(*order).alias("_cur_order"))
         batch = (batch.join(cur, key_col, "left")
                  .filter(F.col("_cur_order").isNull() | (F.struct(*order) > F.col("_cur_order")))
