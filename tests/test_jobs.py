@@ -186,3 +186,13 @@ def test_run_job_protects_outputs(spark):
     assert row["name"] == "Xxxxx" and row["ssn"] not in ("111-22", None)
     qjson = spark.read.parquet(q).first()["row_json"]
     assert "333-44" not in qjson                     # no clear PII in the quarantine store
+
+
+def test_read_sheet_from_csv(spark):
+    from vaultline.metadata import read_sheet
+    path = scratch_path(spark, "sheet")
+    spark.createDataFrame([("crm", "customers", "customer_id", "INTEGER", "Y"), ("crm", "customers", "name", "VARCHAR(20)", "N")],
+                          ["Source System Name", "Source Table Name", "Source Column Name", "Data Type", "Primary Key?"]
+                          ).coalesce(1).write.option("header", "true").csv(path)
+    got = read_sheet(spark, path, "source_columns")
+    assert rows(got, "column_name", "primary_key") == [("customer_id", True), ("name", False)]

@@ -97,3 +97,14 @@ def sheet(spark: SparkSession, kind: str, rows: list[tuple | dict]) -> DataFrame
         names = [f.split()[0] for f in SCHEMAS[kind].split(", ")]
         rows = [tuple(r.get(n) for n in names) for r in rows]
     return spark.createDataFrame(rows, SCHEMAS[kind])
+
+
+def read_sheet(spark: SparkSession, path: str, kind: str, fmt: str = "csv", **options) -> DataFrame:
+    """A metadata sheet exported as CSV (or any format Spark reads), with
+    either header spelling, normalised to the canonical schema. Everything
+    is read as text first, so cells like 'Y' or '10' are interpreted by
+    ``normalize``, not by schema inference."""
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.option("header", "true").option("inferSchema", "false")
+    return normalize(reader.options(**options).load(path), kind)
