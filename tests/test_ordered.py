@@ -61,3 +61,15 @@ def test_hot_key_is_spread_over_many_groups(spark):
     sizes = g.filter(F.col("user_id") == 7).groupBy("_grp").count()
     assert sizes.count() > 100
     assert sizes.agg(F.max("count")).first()[0] < hot / 50
+
+
+@pytest.mark.parametrize("slices", [3, 1024])
+def test_lag_with_null_order_values(spark, slices):
+    t = dt.datetime(2024, 1, 1)
+    data = [(1, None, 1), (1, t, 2), (1, None, 3), (1, t + dt.timedelta(days=5), 4), (2, None, 5),
+            (2, t + dt.timedelta(days=9), 6)]
+    df = spark.createDataFrame(data, "k int, ts timestamp_ntz, id int")
+    got = ordered_lag(df, "k", ["ts", "id"], ["id"], slices=slices)
+    want = ordered_lag(df, "k", ["ts", "id"], ["id"], skew_safe=False)
+    assert rows(got, "id", "prev_id") == rows(want, "id", "prev_id")
+    assert rows(got, "id", "prev_id") == [(1, None), (2, 3), (3, 1), (4, 2), (5, None), (6, 5)]

@@ -65,12 +65,13 @@ def test_hub_is_distinct_non_null_keys(spark, keys):
 
 
 @SETTINGS
-@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 50)), min_size=1, max_size=60),
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.one_of(st.none(), st.integers(0, 50))),
+                min_size=1, max_size=60),
        st.sampled_from([2, 3, 17, 1024]))
 def test_sliced_lag_equals_window(spark, data, slices):
     t0 = dt.datetime(2024, 1, 1)
-    df = spark.createDataFrame([(i, k, t0 + dt.timedelta(hours=h)) for i, (k, h) in enumerate(data)],
-                               "id int, k int, ts timestamp_ntz")
+    df = spark.createDataFrame([(i, k, None if h is None else t0 + dt.timedelta(hours=h))
+                                for i, (k, h) in enumerate(data)], "id int, k int, ts timestamp_ntz")
     got = ordered_lag(df, "k", ["ts", "id"], ["id"], slices=slices)
     want = ordered_lag(df, "k", ["ts", "id"], ["id"], skew_safe=False)
     assert sorted(tuple(r) for r in got.select("id", "prev_id").collect()) == \

@@ -70,6 +70,8 @@ def with_slice_groups(df: DataFrame, keys: Sequence[str], num: Column, slices: i
         lo = stats.select(F.min("_x")).scalar()
         width = stats.select((F.max("_x") - F.min("_x")) / F.lit(float(slices))).scalar()
         sl = F.when(width > 0, F.least(F.floor((num - lo) / width), F.lit(slices - 1))).otherwise(F.lit(0))
+    # NULL order values sort first: they get their own slice before all others.
+    sl = F.when(num.isNull(), F.lit(-1)).otherwise(sl)
     grp = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], sl.cast("long").alias("s"))
     return df.withColumn("_grp", grp)
 
