@@ -73,3 +73,11 @@ def test_lag_with_null_order_values(spark, slices):
     want = ordered_lag(df, "k", ["ts", "id"], ["id"], skew_safe=False)
     assert rows(got, "id", "prev_id") == rows(want, "id", "prev_id")
     assert rows(got, "id", "prev_id") == [(1, None), (2, 3), (3, 1), (4, 2), (5, None), (6, 5)]
+
+
+def test_double_order_with_nan_falls_back_to_window(spark):
+    df = spark.createDataFrame([(1, float("nan"), 1), (1, 1.0, 2), (1, float("inf"), 3), (1, -1.0, 4)],
+                               "k int, x double, id int")
+    got = ordered_lag(df, "k", ["x", "id"], ["id"], slices=8)
+    want = ordered_lag(df, "k", ["x", "id"], ["id"], skew_safe=False)
+    assert rows(got, "id", "prev_id") == rows(want, "id", "prev_id")

@@ -18,8 +18,9 @@ a large share of all rows is NOT sent whole to one task, which a plain
    the data side is not shuffled again.
 
 Rows with equal order values always share a slice, so ties behave exactly as
-in a plain window. Order columns that are not time or numbers fall back to a
-plain window.
+in a plain window; NULL order values get a slice of their own, first. Order
+columns other than timestamps, dates, integers and decimals (strings,
+float/double with NaN or infinities) fall back to a plain window.
 
 ``current_rows`` (latest row per key) is an aggregate (``max_by``), so it has
 a map-side partial step and needs no sort at all.
@@ -51,8 +52,9 @@ def _order_number(df: DataFrame, col: str) -> Column | None:
         return F.unix_micros(c).cast("double")
     if isinstance(dt, T.DateType):
         return F.unix_date(c).cast("double")
-    if isinstance(dt, (T.IntegralType, T.FractionalType, T.DecimalType)):
+    if isinstance(dt, (T.IntegralType, T.DecimalType)):
         return c.cast("double")
+    # float/double may hold NaN or infinities, which have no slice: plain window.
     return None
 
 
