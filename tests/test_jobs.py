@@ -196,3 +196,8 @@ def test_read_sheet_from_csv(spark):
                           ).coalesce(1).write.option("header", "true").csv(path)
     got = read_sheet(spark, path, "source_columns")
     assert rows(got, "column_name", "primary_key") == [("customer_id", True), ("name", False)]
+
+
+def test_bad_numeric_cell_reads_as_unspecified(spark):
+    df = spark.createDataFrame([("t", "c", "high")], ["Target Table Name", "Target Column Name", "Load Order / Priority"])
+    assert normalize(df, "target_columns").first()["load_order"] is None

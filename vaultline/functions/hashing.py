@@ -38,7 +38,13 @@ def as_text(c, data_type: T.DataType | None = None) -> Column:
     """
     col = _col(c)
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return col.cast(DEFAULT_FLOAT_DECIMAL).cast("string")
+        # NaN and values a decimal cannot hold (infinities, > 1e29) keep their
+        # own double text, so nothing raises under ANSI mode and none of them
+        # collides with NULL.
+        dec = col.try_cast(DEFAULT_FLOAT_DECIMAL)
+        return (F.when(col.isNull(), F.lit(None).cast("string"))
+                .when(F.isnan(col) | dec.isNull(), col.cast("string"))
+                .otherwise(dec.cast("string")))
     if isinstance(data_type, T.TimestampType):
         return F.to_utc_timestamp(col, F.current_timezone()).cast("timestamp_ntz").cast("string")
     return col.cast("string")

@@ -80,7 +80,9 @@ def normalize(df: DataFrame, kind: str) -> DataFrame:
             src = F.col(f.name)
             if f.dataType.simpleString() == "boolean":
                 src = _yes(src)
-            cols.append(src.cast(f.dataType).alias(f.name))
+            # A free-text cell that is not a number (e.g. load order "high")
+            # reads as unspecified instead of failing the job.
+            cols.append(src.try_cast(f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
     return renamed.select(*cols)
