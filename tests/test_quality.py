@@ -116,3 +116,14 @@ def test_empty_table(spark):
     assert s.clean.count() == 0 and s.quarantine.count() == 0
     assert dict(rows(quality.summarize(df, rules()))) == {"not_null:name": 0, "range:qty": 0,
                                                             "accepted_values:seg": 0, "unique:id": 0}
+
+
+def test_text_columns_are_ansi_safe(spark):
+    df = spark.createDataFrame([(1, "01"), (2, "AB"), (3, "7"), (4, None)], "id int, code string")
+    rs = parse_cell("in('01', '02')", "code") + parse_cell("range(1, 5)", "code", handling="log")
+    got = {r["id"]: sorted(r["failed_rules"]) for r in quality.mark_failures(df, rs).collect()}
+    assert got == {1: [], 2: ["accepted_values:code"], 3: ["accepted_values:code", "range:code"], 4: []}
+    assert dict(rows(quality.summarize(df, rs))) == {"accepted_values:code": 2, "range:code": 1}
+    nums = spark.createDataFrame([(1, 1), (2, 3)], "id int, v int")
+    m = quality.mark_failures(nums, parse_cell("in(1, 2)", "v"))
+    assert rows(m.filter(F.size("failed_rules") > 0), "id") == [(2,)]

@@ -29,16 +29,23 @@ class DataQualityError(RuntimeError):
 
 # ---------------------------------------------------------------- row rules
 
-def rule_predicate(rule: Rule) -> Column:
-    """Column that is TRUE when the row fails ``rule`` (row rules only)."""
+def rule_predicate(rule: Rule, dtype: T.DataType | None = None) -> Column:
+    """Column that is TRUE when the row fails ``rule`` (row rules only).
+    ``dtype`` (the column's type, when known) keeps comparisons ANSI-safe:
+    on a string column accepted values compare as written text, and numeric
+    range bounds read the text with ``try_cast`` (non-numbers pass, as NULL
+    does) instead of failing the job."""
     c, a = rule.column, rule.args
     k = rule.kind
+    is_text = isinstance(dtype, T.StringType)
     if k == "not_null":
         return checks.not_null(c)
     if k == "range":
-        return checks.in_range(c, a[0], a[1])
+        numeric = all(isinstance(x, (int, float)) or x is None for x in a)
+        col = F.col(c).try_cast("double") if is_text and numeric else c
+        return checks.in_range(col, a[0], a[1])
     if k == "accepted_values":
-        return checks.accepted(c, a)
+        return checks.accepted(c, rule.extra.get("texts", a) if is_text else a)
     if k == "regex":
         return checks.matches(c, a[0])
     if k == "max_length":
@@ -64,6 +71,10 @@ def cast_rule(flag: str = "_cast_failures", handling: str = "quarantine") -> Rul
                 handling=handling)
 
 
+def _dtype(df: DataFrame, col: str | None) -> T.DataType | None:
+    return df.schema[col].dataType if col and col in df.columns else None
+
+
 def null_rules(columns: Iterable[str], handling: str = "quarantine") -> list[Rule]:
     """The sample job's check: every column must be non-NULL (E2 any-null)."""
     return [Rule(column=c, kind="not_null", text="not null", handling=handling) for c in columns]
@@ -153,7 +164,7 @@ def mark_failures(df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, Da
     helper_cols: list[str] = []
     for r in rules:
         if r.is_row_rule:
-            parts.append(F.when(rule_predicate(r), F.lit(r.name)))
+            parts.append(F.when(rule_predicate(r, _dtype(out, r.column)), F.lit(r.name)))
         elif r.is_keyed:
             before = set(out.columns)
             out, fails = _keyed_flag(out, r, parents)
@@ -239,7 +250,7 @@ def summarize(df: DataFrame, rules: Sequence[Rule], parents=None) -> DataFrame:
     parts: list[DataFrame] = []
     if row:
         names = [f"_r{i}" for i in range(len(row))]
-        wide = df.agg(*[F.count_if(rule_predicate(r)).alias(n) for r, n in zip(row, names)])
+        wide = df.agg(*[F.count_if(rule_predicate(r, _dtype(df, r.column))).alias(n) for r, n in zip(row, names)])
         stack = "stack({}, {}) as (test_name, failures)".format(
             len(row), ", ".join(f"'{r.name}', {n}" for r, n in zip(row, names)))
         parts.append(wide.selectExpr(stack))

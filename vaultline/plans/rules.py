@@ -175,7 +175,12 @@ def parse_rule(text: str, column: str | None = None, table: str | None = None,
         lo, hi = (None if p.lower() in ("", "none", "null") else _number(p) for p in parts)
         return Rule(kind=kind, args=(lo, hi), **base)
     if kind == "accepted_values":
-        return Rule(kind=kind, args=tuple(_number(p) for p in parts), **base) if parts else bad("no values")
+        if not parts:
+            return bad("no values")
+        # args: typed values for numeric columns; extra["texts"]: the values as
+        # written, compared as text on string columns.
+        return Rule(kind=kind, args=tuple(_number(p) for p in parts),
+                    extra={"texts": tuple(_unquote(p) for p in parts)}, **base)
     if kind in ("max_length", "min_length"):
         if len(parts) != 1 or not isinstance(_number(parts[0]), int):
             return bad("length needs one integer")
