@@ -161,5 +161,9 @@ def span_text(spans: Column) -> Column:
 def digest(found: DataFrame, spans: str = "pii") -> list[Column]:
     """Counts per base kind, hash of the base spans, and all spans as text."""
     base = F.filter(F.col(spans), lambda s: s["kind"].isin(*BASE_KINDS))
-    counts = [F.size(F.filter(F.col(spans), lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(F.col(spans), lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in BASE_KINDS]
     return [*counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col(spans)).alias("spans")]

@@ -9,8 +9,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import decontamination, pii, quality_rules, sharding, url_rules
+from vaultline.llm import decontamination, pii, quality_rules, sharding, simhash, token_counts, url_rules
 from vaultline.llm.common import table
+from vaultline.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,6 +54,19 @@ def op4_pii_spans(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", *pii.digest(found))
 
 
+@_query
+def op8_gray_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@_query
+def op9_digest_cache_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """A cache of its own for each run: no count is carried over."""
+    cache = scratch_path(spark, "token-cache")
+    return token_counts.count_tokens(table(spark, sf, "documents"), cache).drop("content")
+
+
 @_query
 def op10_virtual_slot_shards(spark: SparkSession, sf: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf, "documents").select("doc_id", "text"), n_shards=40)
