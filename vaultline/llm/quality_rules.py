@@ -131,15 +131,15 @@ def calibrate(feats: DataFrame, labels: DataFrame, stratum: str = "lang", doc_id
     cells = F.array(*[F.struct(F.lit(s).alias("signal"), F.lit(i).alias("step"), F.lit(c).cast("long").alias("cutoff"),
                                F.col(f"good_{s}_{c}").alias("k_good"), F.col(f"bad_{s}_{c}").alias("k_bad"))
                       for s in SIGNALS for i, c in enumerate(CUTOFFS)])
-    families = counts.agg((F.count(F.lit(1)) * len(SIGNALS)).alias("families"))
+    counts = materialize(counts, "quality-counts")  # a row per stratum
+    families = max(1, counts.count() * len(SIGNALS))
     tested = (counts.select("stratum", "n_good", "n_bad", F.explode(cells).alias("c"))
               .select("stratum", "n_good", "n_bad", "c.*")
               .withColumn("p", binomial_tail(F.col("k_good"), F.col("n_good"), alpha / len(SIGNALS))))
     run = Window.partitionBy("stratum", "signal").orderBy("step")  # at most len(CUTOFFS) rows
     gain = F.col("k_bad") / F.greatest("n_bad", F.lit(1)) - F.col("k_good") / F.greatest("n_good", F.lit(1))
-    return (tested.join(F.broadcast(families))  # one row
-            .withColumn("p_value", F.max("p").over(run))
-            .filter(F.col("p_value") <= F.lit(delta) / F.col("families"))
+    return (tested.withColumn("p_value", F.max("p").over(run))
+            .filter(F.col("p_value") <= delta / families)
             .withColumn("gain", gain).filter("gain > 0")
             .groupBy("stratum", "signal")
             .agg(F.max(F.struct("gain", (-F.col("step")).alias("loose"), "cutoff", "n_good", "n_bad", "p_value")).alias("b"))

@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import decontamination, pii, quality_rules, sharding, simhash, token_counts, url_rules
+from vaultline.llm import (
+    decontamination, packing, pii, quality_rules, sharding, simhash, token_counts, toxicity, url_rules, warc)
 from vaultline.llm.common import table
 from vaultline.session import scratch_path
 
@@ -54,6 +55,28 @@ def op4_pii_spans(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", *pii.digest(found))
 
 
+@_query
+def op5_salvage_warc(spark: SparkSession, sf: str) -> DataFrame:
+    manifest = warc.write_archives(table(spark, sf, "pages"), scratch_path(spark, "warc"))
+    found = warc.read_archives(manifest, with_payload=False).filter(F.col("status") == "record")
+    return found.select(F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                        F.col("refers_to").cast("long").alias("refers_to"))
+
+
+@_query
+def op6_segment_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.learn(docs, table(spark, sf, "labels")))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+                         F.size("passages").cast("long").alias("n_passages"))
+
+
+@_query
+def op7_bin_completion_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @_query
 def op8_gray_simhash(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf, "documents"))
