@@ -1,19 +1,24 @@
 """Toxic passages by maximum-scoring segments.
 
-Tokens get log-odds between toxic and clean labelled documents, smoothed by a
-Dirichlet prior with the whole corpus's token shares as its mean. Tokens whose
-log-odds are within ``Z`` standard errors of none share one pooled score, so
-noise does not add up. A linear-time scan (Ruzzo and Tompa) finds all maximal
-segments of a document. Their scores are calibrated by an extreme-value law:
+Tokens, and stems (the first 4 and 5 letters of longer tokens, for inflected
+words not seen in training), get log-odds between toxic and clean labelled
+documents, smoothed by a Dirichlet prior with the whole corpus's shares as its
+mean. A document counts a token once, so that repeats are not taken for
+evidence. Tokens score their log-odds where these pass a bar in size and in
+standard errors; a token too rare to tell scores its stem's; all others share
+one pooled, negative score, so noise does not add up. Of the bars in ``BARS``
+the one with the least logistic loss is used. A linear-time scan
+(Ruzzo and Tompa) finds all maximal segments of a document. Their scores are calibrated by an extreme-value law:
 in a clean document of n tokens P(best >= s) = 1 - exp(-K n exp(-lambda s)), with
-lambda and K fitted by maximum likelihood to clean labelled documents. A segment is a
+lambda and K fitted by maximum likelihood to clean labelled documents (those
+without a segment count as censored). A segment is a
 significant passage when its expected number K n exp(-lambda s) is at most
 ``MAX_EXPECTED``. The document's evidence, the summed calibrated scores of its
 segments above that law's mode or else the best one's, becomes a probability by
 a logistic fit.
 
 Bounds: labels come from at most about ``TRAIN_ROWS`` labelled documents (a
-hash sample of stated size), half for the log-odds, half for the two fits; so
+hash sample of stated size), two thirds for the log-odds, the rest for the two fits; so
 the vocabulary and the fits that reach the driver are bounded. The prior's token
 shares are counted over all documents, and every document is scored whole.
 
@@ -37,10 +42,12 @@ from pyspark.sql import functions as F
 from vaultline.llm.common import materialize, text_or_empty
 
 TRAIN_ROWS = 50_000
-PRIOR, MIN_COUNT, Z = 1000.0, 5, 3.0
+PRIOR, MIN_COUNT = 1000.0, 5
+# (least log-odds, least standard errors) of a token with a score of its own; the fits choose one.
+BARS = ((1.0, 3.0), (1.5, 3.5), (2.0, 4.0))
+STEMS = (5, 4)
 MAX_EXPECTED, THRESHOLD = 0.05, 0.3
 TOKEN = re.compile(r"[^\W\d_]+")
-MODEL = dict[str, float]
 
 
 def tokens(text: str | None) -> list[str]:
@@ -70,9 +77,29 @@ def segments(scores: list[float]) -> list[tuple[int, int, float]]:
     return [(a, b, r - lo) for a, b, lo, r in zip(start, end, left, right)]
 
 
-def scan(text: str | None, model: MODEL, rest: float) -> tuple[int, list[tuple[int, int, float]]]:
+def stems(token: str) -> list[str]:
+    return [token[:k] + "*" for k in STEMS if len(token) > k]
+
+
+class Scores(dict):
+    """Score of every token: its own, its stem's or the pooled one. ``plain``
+    are tokens seen often enough not to fall back on their stem."""
+
+    def __init__(self, odds: dict[str, float], plain: set[str], rest: float):
+        super().__init__()
+        self.odds, self.plain, self.rest = odds, plain, rest
+
+    def __missing__(self, token: str) -> float:
+        if len(self) > 1_000_000:
+            self.clear()
+        known = [token] if token in self.plain else [token, *stems(token)]
+        self[token] = found = next((self.odds[t] for t in known if t in self.odds), self.rest)
+        return found
+
+
+def scan(text: str | None, scores: Scores) -> tuple[int, list[tuple[int, int, float]]]:
     words = tokens(text)
-    return len(words), segments([model.get(w, rest) for w in words])
+    return len(words), segments([scores[w] for w in words])
 
 
 def held_out(doc_id: Column) -> Column:
@@ -82,30 +109,31 @@ def held_out(doc_id: Column) -> Column:
 
 def training_labels(labels: DataFrame, rows: int, doc_id: str, label: str) -> DataFrame:
     """(doc_id, toxic, fits): at most about ``rows`` labelled documents, picked
-    by a hash; ``fits`` marks the half for the fits."""
+    by a hash; ``fits`` marks the third for the fits."""
     truth = (labels.filter(F.col(doc_id).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(doc_id)))
              .groupBy(F.col(doc_id).alias("doc_id")).agg(F.max(label).cast("int").alias("toxic")))
     truth = materialize(truth, "toxic-labels")
     n = truth.count()
     spread = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
     part = math.floor(1_000_000 * min(1.0, rows / max(1, n)))
-    return truth.filter(spread < part).withColumn("fits", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)) == 1)
+    return truth.filter(spread < part).withColumn("fits", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(3)) == 1)
 
 
 def _token_counts(texts: DataFrame, known: set[str] | None = None) -> DataFrame:
-    """(token, side, n) summed over ``texts`` (text, side); counted per batch
-    before the shuffle, and only ``known`` tokens where given."""
+    """(token, side, n): documents of ``texts`` (text, side) that hold a token
+    or stem; counted per batch before the shuffle, and only ``known`` ones where
+    given. The token "" counts the documents."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         for b in batches:
             counts: dict[int, Counter] = {}
             for text, side in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                counts.setdefault(side, Counter()).update(tokens(text))
+                words = set(tokens(text))
+                words.update([w[:k] + "*" for k in STEMS for w in words if len(w) > k])
+                c = counts.setdefault(side, Counter())
+                c.update(words if known is None else words & known)
+                c[""] += 1
             for side, c in counts.items():
-                if known is not None:
-                    every = sum(c.values())
-                    c = {t: n for t, n in c.items() if t in known}
-                    c[""] = every
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(c), pa.string()), pa.array([side] * len(c), pa.int32()),
                      pa.array(list(c.values()), pa.int64())], names=["token", "side", "n"])
@@ -114,48 +142,60 @@ def _token_counts(texts: DataFrame, known: set[str] | None = None) -> DataFrame:
             .groupBy("token", "side").agg(F.sum("n").alias("n")))
 
 
-def log_odds(toxic: dict[str, int], clean: dict[str, int], corpus: dict[str, int], corpus_total: int,
-             prior: float = PRIOR, z: float = Z) -> tuple[MODEL, float]:
-    """Scores of the tokens that differ by at least ``z`` standard errors, and
-    the pooled score of all others."""
-    n1, n0 = sum(toxic.values()), sum(clean.values())
+def log_odds(toxic: dict[str, int], clean: dict[str, int], corpus: dict[str, int], bar: tuple[float, float] = BARS[-1],
+             prior: float = PRIOR) -> Scores:
+    """Scores from the numbers of documents that hold each token ("": all)."""
+    effect, z = bar
+    n1, n0, n = (d.get("", 0) for d in (toxic, clean, corpus))
+    odds: dict[str, float] = {}
     if not n1 or not n0:
-        return {}, 0.0
-    model, pooled1, pooled0, share = {}, 0, 0, 0.0
-    for t in toxic.keys() | clean.keys():
-        p = max(corpus.get(t, 0), 1) / max(corpus_total, 1)
-        a, c1, c0 = prior * p, toxic.get(t, 0), clean.get(t, 0)
-        odds1 = (c1 + a) / max(n1 + prior - c1 - a, 1e-9)
-        odds0 = (c0 + a) / max(n0 + prior - c0 - a, 1e-9)
-        delta = math.log(odds1) - math.log(odds0)
-        if c1 + c0 >= MIN_COUNT and abs(delta) >= z * math.sqrt(1 / (c1 + a) + 1 / (c0 + a)):
-            model[t] = delta
-        else:
-            pooled1, pooled0, share = pooled1 + c1, pooled0 + c0, share + p
-    a = prior * min(1.0, share)
-    rest = math.log((pooled1 + a + 1) / (n1 + prior + 1)) - math.log((pooled0 + a + 1) / (n0 + prior + 1))
-    return model, min(rest, -1e-3)  # the scan needs a falling background
-
-
-def fit_extremes(best: np.ndarray, n: np.ndarray) -> tuple[float, float]:
+        return Scores(odds, set(), -1e-3)
+    seen = {t for t in toxic.keys() | clean.keys() if t and toxic.get(t, 0) + clean.get(t, 0) >= MIN_COUNT}
+    rest1 = rest0 = 0
+    for t in seen:
+        p = min(0.5, max(corpus.get(t, 0), 1) / max(n, 1))
+        a = min(prior, n1) * p
+        c1, c0 = toxic.get(t, 0), clean.get(t, 0)
+        delta = (math.log((c1 + a) / max(n1 + min(prior, n1) - c1 - a, 0.5))
+                 - math.log((c0 + a) / max(n0 + min(prior, n1) - c0 - a, 0.5)))
+        if delta >= effect and delta >= z * math.sqrt(1 / (c1 + a) + 1 / (c0 + a)):
+            odds[t] = delta
+        elif not t.endswith("*"):
+            rest1, rest0 = rest1 + c1, rest0 + c0
+    all1 = rest1 + sum(toxic.get(t, 0) for t in odds if not t.endswith("*"))
+    all0 = rest0 + sum(clean.get(t, 0) for t in odds if not t.endswith("*"))
+    rest = math.log((rest1 + 1) / (all1 + 1)) - math.log((rest0 + 1) / (all0 + 1))
+    plain = {t for t in seen if t not in odds and any(x in odds for x in stems(t))}
+    return Scores(odds, plain, min(rest, -1e-3))  # the scan needs a falling background
+
+
+def fit_extremes(best: np.ndarray, n: np.ndarray, least: float) -> tuple[float, float]:
     """(lambda, ln K) of the extreme-value law, by maximum likelihood on the
-    best scores of clean documents with n tokens."""
-    use = (best > 0) & (n > 0)
-    s, n = best[use].astype(float), n[use].astype(float)
-    if len(s) < 10 or s.std() == 0:
+    best scores of clean documents with n tokens; 0 means below ``least``. With
+    too few scores to fit lambda it is 1, its value for log-odds."""
+    n = np.maximum(n.astype(float), 1.0)
+    hit = best > 0
+    s = np.where(hit, best, least).astype(float)
+
+    def ln_k(lam: float) -> float:
+        low = s.min()
+        return math.log(max(int(hit.sum()), 1)) - math.log((n * np.exp(-lam * (s - low))).sum()) + lam * low
+
+    if not len(s):
         return 1.0, 0.0
+    if hit.sum() < 10 or s[hit].std() == 0:
+        return 1.0, ln_k(1.0)
 
     def slope(lam: float) -> float:
         w = n * np.exp(-lam * (s - s.min()))
-        return 1 / lam - s.mean() + (s * w).sum() / w.sum()
+        return 1 / lam - s[hit].mean() + (s * w).sum() / w.sum()
 
     low, high = 1e-3, 1e3
-    for _ in range(200):
+    for _ in range(100):
         mid = math.sqrt(low * high)
         low, high = (mid, high) if slope(mid) > 0 else (low, mid)
     lam = math.sqrt(low * high)
-    ln_k = math.log(len(s)) - (math.log((n * np.exp(-lam * (s - s.min()))).sum()) - lam * s.min())
-    return lam, ln_k
+    return lam, ln_k(lam)
 
 
 def evidence(n: int, found: list[tuple[int, int, float]], lam: float, ln_k: float) -> float:
@@ -188,7 +228,7 @@ def squash(x: float) -> float:
 
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
           train_rows: int = TRAIN_ROWS) -> dict:
-    """The fitted model: scores, rest, lam, ln_k, slope, intercept."""
+    """The fitted model: scores, lam, ln_k, slope, intercept, loss."""
     sample = F.broadcast(training_labels(labels, train_rows, doc_id, label))  # about train_rows rows at most
     texts = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
     train = materialize(texts.join(sample, "doc_id").select("text", "toxic", "fits"), "toxic-train")
@@ -198,28 +238,35 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         by[1 if side >= 1 else 0][t] = n
     vocabulary = {t for t in by[0].keys() | by[1].keys() if by[0].get(t, 0) + by[1].get(t, 0) >= MIN_COUNT}
     corpus = {t: n for t, _, n in _token_counts(texts.select("text", F.lit(0).alias("side")), vocabulary).collect()}
-    scores, rest = log_odds(by[1], by[0], corpus, corpus.pop("", 0))
+    options = [log_odds(by[1], by[0], corpus, bar) for bar in BARS]
 
     def measure(batches: Iterator) -> Iterator:
         import pyarrow as pa
         for b in batches:
-            rows = [(n, max((s for *_, s in found), default=0.0), len(found), [s for *_, s in found])
-                    for n, found in (scan(t, scores, rest) for t in b.column(0).to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(1), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.float64()),
-                 pa.array([r[3] for r in rows], pa.list_(pa.float64()))], names=["toxic", "n", "best", "found"])
-
-    fits = train.filter("fits").select("text", "toxic").mapInArrow(measure, "toxic int, n long, best double, found array<double>")
-    rows = fits.collect()  # half of the training sample
-    y = np.array([r[0] >= 1 for r in rows], dtype=float)
-    n, best = np.array([r[1] for r in rows], dtype=float), np.array([r[2] for r in rows], dtype=float)
-    model = {"scores": scores, "rest": rest, "lam": 1.0, "ln_k": 0.0, "slope": 0.0, "intercept": -30.0}
-    if not scores or not len(rows) or y.min() == y.max():
-        return model
-    lam, ln_k = fit_extremes(best[y == 0], n[y == 0])
-    x = np.array([squash(evidence(int(r[1]), [(0, 0, s) for s in r[3]], lam, ln_k)) for r in rows])
-    slope, intercept = fit_logistic(x, y)
-    return model | {"lam": lam, "ln_k": ln_k, "slope": slope, "intercept": intercept}
+            for k, scores in enumerate(options):
+                rows = [scan(t, scores) for t in b.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k] * len(rows), pa.int32()), b.column(1), pa.array([n for n, _ in rows], pa.int64()),
+                     pa.array([[s for *_, s in found] for _, found in rows], pa.list_(pa.float64()))],
+                    names=["option", "toxic", "n", "found"])
+
+    rows = (train.filter("fits").select("text", "toxic")
+            .mapInArrow(measure, "option int, toxic int, n long, found array<double>").collect())  # a third of the sample
+    best = {"scores": options[-1], "lam": 1.0, "ln_k": 0.0, "slope": 0.0, "intercept": -30.0, "loss": math.inf}
+    for k, scores in enumerate(options):
+        mine = [r for r in rows if r[0] == k]
+        y = np.array([r[1] >= 1 for r in mine], dtype=float)
+        if not scores.odds or not len(mine) or y.min() == y.max():
+            continue
+        n, top = np.array([r[2] for r in mine], dtype=float), np.array([max(r[3], default=0.0) for r in mine])
+        lam, ln_k = fit_extremes(top[y == 0], n[y == 0], min(scores.odds.values()))
+        x = np.array([squash(evidence(r[2], [(0, 0, s) for s in r[3]], lam, ln_k)) for r in mine])
+        slope, intercept = fit_logistic(x, y)
+        p = 1 / (1 + np.exp(-np.clip(slope * x + intercept, -30, 30)))
+        loss = float(-np.log(np.where(y > 0, p, 1 - p) + 1e-12).mean())
+        if loss < best["loss"]:
+            best = {"scores": scores, "lam": lam, "ln_k": ln_k, "slope": slope, "intercept": intercept, "loss": loss}
+    return best
 
 
 def score(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -236,7 +283,7 @@ def score(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "tex
         for b in batches:
             ns, ps, out = [], [], []
             for t in b.column(1).to_pylist():
-                n, found = scan(t, model["scores"], model["rest"])
+                n, found = scan(t, model["scores"])
                 x = slope * squash(evidence(n, found, lam, ln_k)) + intercept
                 ns.append(n)
                 ps.append(1 / (1 + math.exp(-max(-30.0, min(30.0, x)))) if intercept > -30 else 0.0)
