@@ -109,7 +109,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     pairs = materialize(pairs, "leak-candidates")
     # Only candidates' texts are read again, for the slots.
     wanted = pairs.select(F.col("doc_id").alias("_id"), F.col("content").alias("_content")).distinct()
-    texts = (rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["_id"]) & (rows["content"] == wanted["_content"]), "left_semi")
+    maybe = rows.join(_content_buckets(pairs), F.col("content").bitwiseAND(mask) == F.col("_bucket"), "left_semi")
+    texts = (maybe.join(wanted, rows["doc_id"].eqNullSafe(wanted["_id"]) & (rows["content"] == wanted["_content"]), "left_semi")
              .dropDuplicates(["doc_id", "content"])
              .select(F.col("doc_id").alias("_id"), F.col("content").alias("_content"),
                      words_of(text_or_empty("_text")).alias("words")))
@@ -142,6 +143,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
                     F.size(F.filter("slots", lambda s: s["value"] != s["item_value"])).cast("long").alias("n_changed")))
 
 
+def _content_buckets(pairs: DataFrame) -> DataFrame:
+    """Low bits of the contents to look at: at most 2 ** BUCKET_BITS rows, so
+    that most other texts are told apart without a shuffle."""
+    low = F.col("content").bitwiseAND(F.lit(2 ** BUCKET_BITS - 1))
+    return F.broadcast(pairs.select(low.alias("_bucket")).distinct())
+
+
 def _covered(hits: str) -> Column:
     return F.size(F.array_distinct(F.transform(hits, lambda h: h["item_at"])))
 
@@ -149,7 +157,12 @@ def _covered(hits: str) -> Column:
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **kw) -> DataFrame:
     """``docs`` without the contaminated ones; clean rows are kept as they are."""
     leaks = materialize(find_leaks(docs, benchmark, doc_id, text, **kw).select("doc_id", "content").distinct(), "leaks")
-    i, c = fresh(docs, "_leak_id", "_leak_content")
-    leaks = leaks.toDF(i, c)
+    i, c, low = fresh(docs, "_leak_id", "_leak_content", "_leak_low")
+    buckets = _content_buckets(leaks).toDF(low)
     body = F.xxhash64(text_or_empty(docs[text]))
-    return docs.join(leaks, docs[doc_id].eqNullSafe(leaks[i]) & (body == leaks[c]), "left_anti")
+    here = body.bitwiseAND(F.lit(2 ** BUCKET_BITS - 1)) == buckets[low]
+    leaks = leaks.toDF(i, c)
+    # Texts in no leak's bucket are clean at once; only the others are compared (and shuffled, when leaks are many).
+    suspects = docs.join(buckets, here, "left_semi").join(
+        leaks, docs[doc_id].eqNullSafe(leaks[i]) & (body == leaks[c]), "left_anti")
+    return docs.join(buckets, here, "left_anti").unionByName(suspects)
