@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultline.llm import decontamination, pii, quality_rules
+from vaultline.llm import decontamination, packing, pii, quality_rules, simhash
 from vaultline.llm.common import materialize, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -19,6 +19,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.filter("kept").select(*COLUMNS)
 
 
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return simhash.keep_one(docs.select(*COLUMNS), shingle=simhash.SHINGLE, max_bits=simhash.MAX_BITS)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     return decontamination.remove_leaks(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
@@ -30,7 +35,12 @@ def mask(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return masked.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
-STAGES = [("quality", quality), ("decontaminate", decontaminate), ("pii", mask)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their places in sequences of at most 4,096."""
+    return packing.pack(docs.select("doc_id", "text"))
+
+
+STAGES = [("quality", quality), ("dedup", dedup), ("decontaminate", decontaminate), ("pii", mask), ("pack", pack)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
