@@ -40,8 +40,9 @@ PATTERNS = {
 # A text without this cannot hold the kind; tested before the pattern runs.
 NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+", "iban": "", "ssn": "-"}
 BASE_KINDS = ("email", "ip", "card", "phone")
-PRIOR = {"email": 0.8, "ip": 0.6, "card": 0.4, "phone": 0.6, "iban": 0.3, "ssn": 0.35}
-CONFIRMED, CONTEXT, THRESHOLD, REACH = 0.4, 0.2, 0.5, 40
+# Scores in hundredths, so that sums are exact.
+PRIOR = {"email": 80, "ip": 60, "card": 40, "phone": 60, "iban": 30, "ssn": 35}
+CONFIRMED, CONTEXT, THRESHOLD, REACH = 40, 20, 50, 40
 CONTEXT_WORDS = {
     "email": ("mail", "contact", "write"),
     "ip": ("ip", "address", "server", "host"),
@@ -51,7 +52,7 @@ CONTEXT_WORDS = {
     "ssn": ("ssn", "social", "security"),
 }
 AGAINST_WORDS = ("version", "order", "isbn", "serial", "part")
-SPAN = "array<struct<kind:string,start:int,end:int,text:string,score:double>>"
+SPAN = "array<struct<kind:string,start:int,end:int,text:string,score:int>>"
 
 
 def _digits(c: Column) -> Column:
@@ -108,11 +109,11 @@ def _spans(kind: str, text: Column) -> Column:
 
     def scored(x: Column) -> Column:
         around = F.concat_ws(" ", x["before"], x["after"])
-        score = (F.lit(PRIOR[kind]) + (CONFIRMED if kind in ("card", "iban") else 0.0)
-                 + F.when(_near(around, CONTEXT_WORDS[kind]), CONTEXT).otherwise(0.0)
-                 - F.when(_near(around, AGAINST_WORDS), CONTEXT).otherwise(0.0))
+        score = (F.lit(PRIOR[kind]) + (CONFIRMED if kind in ("card", "iban") else 0)
+                 + F.when(_near(around, CONTEXT_WORDS[kind]), CONTEXT).otherwise(0)
+                 - F.when(_near(around, AGAINST_WORDS), CONTEXT).otherwise(0))
         return F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
-                        x["m"].alias("text"), F.least(F.lit(1.0), score).alias("score"))
+                        x["m"].alias("text"), F.least(F.lit(100), score).alias("score"))
 
     out = F.transform(F.filter(placed, lambda x: _valid(kind, x["m"])), scored)
     if kind not in BASE_KINDS:
@@ -124,7 +125,7 @@ def _spans(kind: str, text: Column) -> Column:
 
 
 def find_pii(docs: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:
-    """``docs`` plus ``out``: array of (kind, start, end, text, score), by kind
+    """``docs`` plus ``out``: array of (kind, start, end, text, score in hundredths), by kind
     in the order of ``PATTERNS`` and then by start."""
     (t,) = fresh(docs, "t")
     df = docs.withColumn(t, text_or_empty(text))

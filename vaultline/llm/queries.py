@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from vaultline.llm import (
     decontamination, packing, pii, quality_rules, sharding, simhash, token_counts, toxicity, url_rules, warc)
 from vaultline.llm.common import table
+from vaultline.llm.oracles import ORACLES  # noqa: F401  (read by the driver contract)
 from vaultline.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+
 
 
 def _query(fn):
