@@ -52,7 +52,8 @@ def initial_map(n_shards: int, n_slots: int = N_SLOTS) -> list[int]:
 def edit_map(shard_of: list[int], weight: list[int], n_shards: int) -> list[int]:
     """The map after rebalancing. The fullest shard gives the emptiest one the
     slot, or swaps the pair of slots, whose difference is nearest to half the
-    gap; it ends when no such step narrows the gap. Empty slots stay."""
+    gap. A shard that no step can ease (one slot is its load) is left as it is
+    and the next fullest goes on. Empty slots stay."""
     shard_of = list(shard_of)
     load = [0] * n_shards
     held: list[list[tuple[int, int]]] = [[] for _ in range(n_shards)]
@@ -74,8 +75,12 @@ def edit_map(shard_of: list[int], weight: list[int], n_shards: int) -> list[int]
         i = bisect_left(items, (w, -1))
         return items[max(0, i - 1):i + 1]
 
+    full = set(range(n_shards))
     for _ in range(20 * len(weight)):
-        high, low = max(range(n_shards), key=load.__getitem__), min(range(n_shards), key=load.__getitem__)
+        low = min(range(n_shards), key=load.__getitem__)
+        high = max(full, key=load.__getitem__, default=low)
+        if high == low:
+            break
         gap = load[high] - load[low]
         # (distance to the ideal, item given, item taken back)
         steps = [(abs(2 * x[0] - gap), x, None) for x in nearest(held[high], gap // 2) if 0 < x[0] < gap]
@@ -83,8 +88,9 @@ def edit_map(shard_of: list[int], weight: list[int], n_shards: int) -> list[int]
             steps += [(abs(2 * (x[0] - y[0]) - gap), x, y) for y in held[low]
                       for x in nearest(held[high], y[0] + gap // 2) if 0 < x[0] - y[0] < gap]
         if not steps:
-            break
-        _, give, take = min(steps)
+            full.discard(high)
+            continue
+        _, give, take = min(steps, key=lambda step: step[0])
         move(give, high, low)
         if take:
             move(take, low, high)
