@@ -63,6 +63,8 @@ def count_tokens(docs: DataFrame, cache_path: str, model: str = MODEL, limit: in
 
     (misses.mapInArrow(encode, "content string, n_tokens long").withColumn("tokenizer", F.lit(tokenizer))
      .write.mode("append").parquet(cache_path))
-    return (rows.join(read_cache(spark, cache_path, tokenizer), "content")
+    # Written, so that the join deals both sides itself and can split a hot content.
+    known = materialize(read_cache(spark, cache_path, tokenizer), "token-known")
+    return (rows.join(known, "content")
             .withColumn("over_limit", F.col("n_tokens") > limit)
             .select("doc_id", "n_bytes", "n_tokens", "over_limit", "content"))

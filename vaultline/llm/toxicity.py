@@ -6,7 +6,8 @@ documents, smoothed by a Dirichlet prior with the whole corpus's shares as its
 mean. A document counts a token once, so that repeats are not taken for
 evidence. Tokens score their log-odds where these pass a bar in size and in
 standard errors; a token too rare to tell scores its stem's; all others share
-one pooled, negative score, so noise does not add up. Of the bars in ``BARS``
+one pooled, negative score, so noise does not add up. Only tokens whose plain
+odds ratio is at least ``CANDIDATE`` can pass a bar. Of the bars in ``BARS``
 the one with the least logistic loss is used. A linear-time scan
 (Ruzzo and Tompa) finds all maximal segments of a document. Their scores are calibrated by an extreme-value law:
 in a clean document of n tokens P(best >= s) = 1 - exp(-K n exp(-lambda s)), with
@@ -45,6 +46,7 @@ TRAIN_ROWS = 50_000
 PRIOR, MIN_COUNT = 1000.0, 5
 # (least log-odds, least standard errors) of a token with a score of its own; the fits choose one.
 BARS = ((1.0, 3.0), (1.5, 3.5), (2.0, 4.0))
+CANDIDATE = 2.0
 STEMS = (5, 4)
 MAX_EXPECTED, THRESHOLD = 0.05, 0.3
 TOKEN = re.compile(r"[^\W\d_]+")
@@ -142,31 +144,30 @@ def _token_counts(texts: DataFrame, known: set[str] | None = None) -> DataFrame:
             .groupBy("token", "side").agg(F.sum("n").alias("n")))
 
 
-def log_odds(toxic: dict[str, int], clean: dict[str, int], corpus: dict[str, int], bar: tuple[float, float] = BARS[-1],
-             prior: float = PRIOR) -> Scores:
-    """Scores from the numbers of documents that hold each token ("": all)."""
-    effect, z = bar
-    n1, n0, n = (d.get("", 0) for d in (toxic, clean, corpus))
+def candidates(counts: DataFrame, n1: int, n0: int) -> DataFrame:
+    """Tokens and stems of ``counts`` (token, c1, c0: toxic and clean documents
+    that hold it) that may pass a bar."""
+    ratio = ((F.col("c1") + 0.5) / (n1 + 1)) / ((F.col("c0") + 0.5) / (n0 + 1))
+    return counts.filter((F.col("token") != "") & (F.col("c1") + F.col("c0") >= MIN_COUNT) & (ratio >= CANDIDATE))
+
+
+def log_odds(found: dict[str, tuple[int, int, int]], totals: tuple[int, int, int], words: tuple[int, int],
+             bar: tuple[float, float], prior: float = PRIOR) -> tuple[dict[str, float], float]:
+    """(scores, pooled score). ``found``: toxic, clean and all documents with a
+    candidate; ``totals``: toxic, clean and all documents; ``words``: token counts
+    of the toxic and of the clean documents."""
+    (effect, z), (n1, n0, n) = bar, totals
+    weight = min(prior, n1)
     odds: dict[str, float] = {}
-    if not n1 or not n0:
-        return Scores(odds, set(), -1e-3)
-    seen = {t for t in toxic.keys() | clean.keys() if t and toxic.get(t, 0) + clean.get(t, 0) >= MIN_COUNT}
-    rest1 = rest0 = 0
-    for t in seen:
-        p = min(0.5, max(corpus.get(t, 0), 1) / max(n, 1))
-        a = min(prior, n1) * p
-        c1, c0 = toxic.get(t, 0), clean.get(t, 0)
-        delta = (math.log((c1 + a) / max(n1 + min(prior, n1) - c1 - a, 0.5))
-                 - math.log((c0 + a) / max(n0 + min(prior, n1) - c0 - a, 0.5)))
+    for t, (c1, c0, c) in found.items():
+        a = weight * min(0.5, max(c, 1) / max(n, 1))
+        delta = (math.log((c1 + a) / max(n1 + weight - c1 - a, 0.5)) - math.log((c0 + a) / max(n0 + weight - c0 - a, 0.5)))
         if delta >= effect and delta >= z * math.sqrt(1 / (c1 + a) + 1 / (c0 + a)):
             odds[t] = delta
-        elif not t.endswith("*"):
-            rest1, rest0 = rest1 + c1, rest0 + c0
-    all1 = rest1 + sum(toxic.get(t, 0) for t in odds if not t.endswith("*"))
-    all0 = rest0 + sum(clean.get(t, 0) for t in odds if not t.endswith("*"))
-    rest = math.log((rest1 + 1) / (all1 + 1)) - math.log((rest0 + 1) / (all0 + 1))
-    plain = {t for t in seen if t not in odds and any(x in odds for x in stems(t))}
-    return Scores(odds, plain, min(rest, -1e-3))  # the scan needs a falling background
+    mine = [found[t] for t in odds if not t.endswith("*")]
+    rest = (math.log((words[0] - sum(c[0] for c in mine) + 1) / (words[0] + 1))
+            - math.log((words[1] - sum(c[1] for c in mine) + 1) / (words[1] + 1)))
+    return odds, min(rest, -1e-3)  # the scan needs a falling background
 
 
 def fit_extremes(best: np.ndarray, n: np.ndarray, least: float) -> tuple[float, float]:
@@ -229,16 +230,30 @@ def squash(x: float) -> float:
 def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
           train_rows: int = TRAIN_ROWS) -> dict:
     """The fitted model: scores, lam, ln_k, slope, intercept, loss."""
+    spark = docs.sparkSession
     sample = F.broadcast(training_labels(labels, train_rows, doc_id, label))  # about train_rows rows at most
     texts = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
     train = materialize(texts.join(sample, "doc_id").select("text", "toxic", "fits"), "toxic-train")
     counts = _token_counts(train.filter("NOT fits").select("text", F.col("toxic").alias("side")))
-    by: dict[int, dict[str, int]] = {0: {}, 1: {}}
-    for t, side, n in counts.collect():  # the vocabulary of at most train_rows documents
-        by[1 if side >= 1 else 0][t] = n
-    vocabulary = {t for t in by[0].keys() | by[1].keys() if by[0].get(t, 0) + by[1].get(t, 0) >= MIN_COUNT}
-    corpus = {t: n for t, _, n in _token_counts(texts.select("text", F.lit(0).alias("side")), vocabulary).collect()}
-    options = [log_odds(by[1], by[0], corpus, bar) for bar in BARS]
+    toxic = F.col("side") >= 1
+    counts = materialize(counts.groupBy("token").agg(
+        F.sum(F.when(toxic, F.col("n")).otherwise(0)).alias("c1"), F.sum(F.when(toxic, 0).otherwise(F.col("n"))).alias("c0")),
+        "toxic-counts")
+    docs1, docs0 = next(((r[1], r[2]) for r in counts.filter("token = ''").collect()), (0, 0))
+    word = (F.col("token") != "") & ~F.col("token").endswith("*") & (F.col("c1") + F.col("c0") >= MIN_COUNT)
+    words = tuple(x or 0 for x in counts.filter(word).agg(F.sum("c1"), F.sum("c0")).first())
+    # Of the vocabulary of at most train_rows documents, the part that may score.
+    found = {r["token"]: (r["c1"], r["c0"]) for r in candidates(counts, docs1, docs0).collect()} if docs1 and docs0 else {}
+    corpus = {t: n for t, _, n in _token_counts(texts.select("text", F.lit(0).alias("side")), set(found)).collect()}
+    found = {t: (c1, c0, corpus.get(t, 0)) for t, (c1, c0) in found.items()}
+    fitted = [log_odds(found, (docs1, docs0, corpus.get("", 0)), words, bar) for bar in BARS] if found else []
+    stem = [F.concat(F.substr("token", F.lit(1), F.lit(k)), F.lit("*")) for k in STEMS]
+    scoring = sorted({t for odds, _ in fitted for t in odds if t.endswith("*")})
+    near = spark.createDataFrame([(t,) for t in scoring], "stem string")
+    # Words seen often enough to speak for themselves though their stem scores.
+    plain = {r[0] for r in counts.filter(word).select("token", F.explode(F.array(*stem)).alias("stem"))
+             .join(near, "stem", "left_semi").select("token").distinct().collect()}
+    options = [Scores(odds, plain - odds.keys(), rest) for odds, rest in fitted] or [Scores({}, set(), -1e-3)]
 
     def measure(batches: Iterator) -> Iterator:
         import pyarrow as pa
