@@ -76,3 +76,59 @@ def test_late_rows_at_the_watermark_are_kept(spark):
     got = incremental.after_watermark_with_ties(source, "ts", "2024-01-02 00:00:00", loaded, "id")
     assert sorted(r["id"] for r in got.collect()) == [2, 3]
     assert sorted(r["id"] for r in incremental.after_watermark(source, "ts", "2024-01-02 00:00:00").collect()) == [3]
+
+
+def ids(spark, target):
+    return sorted(r[0] for r in spark.read.parquet(target).select("id").collect())
+
+
+def test_rows_without_watermark_and_late_ties_arrive_once(spark):
+    target, state = scratch_path(spark, "edge_t"), scratch_path(spark, "edge_s")
+    day = lambda i, d: (i, None if d is None else T + dt.timedelta(days=d))
+
+    def load(*rows):
+        df = spark.createDataFrame(list(rows), "id int, ts timestamp_ntz")
+        return incremental.load(df, "incremental", target, state, "ts", "t").count()
+    first = [day(1, 0), day(2, 1), day(3, None)]
+    assert load(*first) == 3 and ids(spark, target) == [1, 2, 3]
+    late = [*first, day(4, 1), day(4, 1), day(5, None)]     # ties at the maximum, one row twice
+    assert load(*late) == 3 and ids(spark, target) == [1, 2, 3, 4, 4, 5]
+    assert load(*late) == 0
+    assert load(*late, day(6, 1), day(7, 9)) == 2 and ids(spark, target) == [1, 2, 3, 4, 4, 5, 6, 7]
+    assert load(day(8, 9)) == 1 and load(day(8, 9)) == 0 and ids(spark, target)[-1] == 8
+
+
+def test_only_null_watermarks(spark):
+    target, state = scratch_path(spark, "null_t"), scratch_path(spark, "null_s")
+    df = spark.createDataFrame([(1, None)], "id int, ts timestamp_ntz")
+    assert incremental.load(df, "incremental", target, state, "ts", "t").count() == 1
+    assert incremental.load(df, "incremental", target, state, "ts", "t").count() == 0
+    assert incremental.load(df.union(frame(spark, [3])), "incremental", target, state, "ts", "t").count() == 1
+    assert spark.read.parquet(target).count() == 2
+
+
+def test_full_then_incremental_then_lower_full(spark):
+    target, state = scratch_path(spark, "fi_t"), scratch_path(spark, "fi_s")
+    incremental.load(frame(spark, [0, 5]), "full", target, state, "ts", "t")
+    more = frame(spark, [0, 5, 7])
+    assert incremental.load(more, "incremental", target, state, "ts", "t").count() == 1
+    assert ids(spark, target) == [0, 1, 2]
+    incremental.load(frame(spark, [0, 1]), "full", target, state, "ts", "t")   # the watermark goes back with it
+    assert ids(spark, target) == [0, 1]
+    assert incremental.load(frame(spark, [0, 1, 2]), "incremental", target, state, "ts", "t").count() == 1
+
+
+def test_unreadable_state_is_not_a_first_load(spark, tmp_path):
+    import pytest
+    bad = tmp_path / "state"
+    bad.mkdir()
+    (bad / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        incremental.read_watermark(spark, f"file://{bad}", "t")
+    target = scratch_path(spark, "lost")
+    incremental.load(frame(spark, [0]), "incremental", target, scratch_path(spark, "s1"), "ts", "t")
+    state = scratch_path(spark, "s2")
+    incremental.load(frame(spark, [0]), "incremental", target, state, "ts", "t")
+    incremental.load(frame(spark, [0, 1]), "incremental", target, state, "ts", "t")
+    with pytest.raises(ValueError):    # batches are there, their state is not
+        incremental.load(frame(spark, [0]), "incremental", target, scratch_path(spark, "s3"), "ts", "t")

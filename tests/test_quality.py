@@ -122,8 +122,34 @@ def test_text_columns_are_ansi_safe(spark):
     df = spark.createDataFrame([(1, "01"), (2, "AB"), (3, "7"), (4, None)], "id int, code string")
     rs = parse_cell("in('01', '02')", "code") + parse_cell("range(1, 5)", "code", handling="log")
     got = {r["id"]: sorted(r["failed_rules"]) for r in quality.mark_failures(df, rs).collect()}
-    assert got == {1: [], 2: ["accepted_values:code"], 3: ["accepted_values:code", "range:code"], 4: []}
-    assert dict(rows(quality.summarize(df, rs))) == {"accepted_values:code": 2, "range:code": 1}
+    assert got == {1: [], 2: ["accepted_values:code", "range:code"], 3: ["accepted_values:code", "range:code"], 4: []}
+    assert dict(rows(quality.summarize(df, rs))) == {"accepted_values:code": 2, "range:code": 2}
     nums = spark.createDataFrame([(1, 1), (2, 3)], "id int, v int")
     m = quality.mark_failures(nums, parse_cell("in(1, 2)", "v"))
     assert rows(m.filter(F.size("failed_rules") > 0), "id") == [(2,)]
+
+
+def test_rules_of_one_kind_are_told_apart(spark):
+    """Two ranges and two regexes on one column: each row fails only what it breaks,
+    and the action follows the rule broken."""
+    df = spark.createDataFrame([(1, 20, "ab"), (2, 70, "AB"), (3, 170, "12")], "id int, v int, s string")
+    rs = (parse_cell("range(0, 100)", "v", handling="quarantine") + parse_cell("range(0, 50)", "v", handling="log")
+          + parse_cell("regex(^[a-z]+$)", "s", handling="log") + parse_cell("regex(^[A-Za-z]+$)", "s", handling="discard"))
+    s = quality.apply_rules(df, rs)
+    assert {r["id"]: (r["dq_action"], len(r["failed_rules"])) for r in s.marked.collect()} == {
+        1: ("pass", 0), 2: ("log", 2), 3: ("quarantine", 4)}
+    report = quality.rule_report(df, rs).collect()
+    assert sorted((r["rule_text"], r["failures"]) for r in report) == [
+        ("range(0, 100)", 1), ("range(0, 50)", 2), ("regex(^[A-Za-z]+$)", 1), ("regex(^[a-z]+$)", 2)]
+    twice = parse_cell("range(0, 100); range(0, 100)", "v")
+    assert [r["failures"] for r in quality.rule_report(df, twice).collect()] == [1, 1]
+
+
+def test_rules_that_cannot_run_are_not_success(spark):
+    df = spark.createDataFrame([(1, 2)], "id int, v int")
+    rs = parse_cell("rnge(0, 5); not null", "v")
+    verdict = quality.suite_verdict(quality.rule_report(df, rs)).first()
+    assert not verdict["success"] and verdict["failed_tests"] == 0
+    assert quality.enforce_runnable(rs)[0]["rule"] == "rnge(0, 5)"
+    with pytest.raises(quality.DataQualityError):
+        quality.enforce_runnable(parse_cell("rnge(0, 5)", "v", handling="fail_job"))

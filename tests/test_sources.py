@@ -53,7 +53,7 @@ def test_write_checked(spark):
     rules = parse_cell("not null", "v", handling="quarantine")
     target, q = scratch_path(spark, "tgt"), scratch_path(spark, "q")
     rep = writers.write_checked(quality.apply_rules(df, rules), target, q, "t", 1, "2024-01-01 00:00:00")
-    assert rep == {"table": "t", "clean_rows": 2, "valid": True, "quarantined": 1}
+    assert rep == {"table": "t", "clean_rows": 2, "valid": True, "quarantined": 1, "logged": 0}
     assert spark.read.parquet(target).count() == 2 and spark.read.parquet(q).count() == 1
     # count not above the expectation: target untouched, quarantine still appended
     target2 = scratch_path(spark, "tgt2")

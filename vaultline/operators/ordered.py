@@ -4,26 +4,29 @@
 a large share of all rows is NOT sent whole to one task, which a plain
 ``Window.partitionBy(key)`` would do:
 
-1. the leading order column (a time or a number) is cut into ``slices``
-   equal ranges between its global min and max (two scalar subqueries, so
-   the slice of a row is a pure function of the row: recomputing a lost task
-   gives the same answer);
-2. ``lag`` runs inside (key, slice) - a hot key is spread over many groups
-   (``slice_width`` can fix the slices instead, saving the statistics pass);
+1. rows are ordered by the order columns and then by a hash of the whole row, a
+   total order but for equal rows. A bounded sample of order values gives slice
+   bounds at its quantiles, so slices hold about as many rows each whatever the
+   values: an outlier (9999-12-31) makes no slice empty, and a burst at one time
+   is cut by the next order column or the hash. Bounds are literals, so the slice
+   of a row is a pure function of the row (recomputing a lost task gives the
+   same answer), and they decide the balance only, never the result;
+2. ``lag`` runs inside (key, slice) - a hot key is spread over many groups;
 3. the first row of every (key, slice) takes its predecessor from the last
    row of the key's previous non-empty slice: a ``max_by`` aggregate per
-   (key, slice) (map-side partial, so skew-safe), then ``lag`` over the
-   slices of a key (at most ``slices`` rows per key), joined back on the
-   (key, slice) struct - the same column the window was partitioned by, so
+   (key, slice) by the same total order (map-side partial, so skew-safe), then
+   ``lag`` over the slices of a key (at most ``slices`` rows per key), joined back
+   on the (key, slice) struct - the same column the window was partitioned by, so
    the data side is not shuffled again.
 
-Rows with equal order values always share a slice, so ties behave exactly as
-in a plain window; NULL order values get a slice of their own, first. Order
-columns other than timestamps, dates, integers and decimals (strings,
-float/double with NaN or infinities) fall back to a plain window.
+NULL order values come first, as in a plain ascending window. Any type that
+Spark can order works.
 
-``current_rows`` (latest row per key) is an aggregate (``max_by``), so it has
-a map-side partial step and needs no sort at all.
+``current_rows`` (latest row per key) is a ``max_by`` aggregate with a map-side
+partial step: a hot key is collapsed before the shuffle. Spark plans it as a sort
+aggregate where the kept row has variable-length fields (the sort is inside a
+task); the alternative, a hash aggregate of the largest order value joined back,
+reads and shuffles the rows a second time.
 """
 
 from __future__ import annotations
@@ -33,67 +36,63 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-DEFAULT_SLICES = 1024
+DEFAULT_SLICES = 256
+SAMPLE_PER_SLICE = 50   # the sample of order values has about slices times this many rows
 
 
 def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _order_number(df: DataFrame, col: str) -> Column | None:
-    """A number that grows with ``col`` (None if the type has no such map)."""
-    dt = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(dt, T.TimestampNTZType):
-        return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)").cast("double")
-    if isinstance(dt, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(dt, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dt, (T.IntegralType, T.DecimalType)):
-        return c.cast("double")
-    # float/double may hold NaN or infinities, which have no slice: plain window.
-    return None
-
-
-def with_slice_groups(df: DataFrame, keys: Sequence[str], num: Column, slices: int,
-                      slice_width: float | None = None) -> DataFrame:
-    """Add ``_grp = struct(keys..., s)``. ``s`` is the slice of the order
-    number ``num``: ``floor(num / slice_width)`` when a width is given (no
-    extra pass), else one of ``slices`` equal ranges between its global min
-    and max (two scalar subqueries, merged by Spark into one aggregate pass
-    over the order column only)."""
-    if slice_width:
-        sl = F.floor(num / F.lit(float(slice_width)))
-    else:
-        stats = df.select(num.alias("_x"))
-        lo = stats.select(F.min("_x")).scalar()
-        width = stats.select((F.max("_x") - F.min("_x")) / F.lit(float(slices))).scalar()
-        sl = F.when(width > 0, F.least(F.floor((num - lo) / width), F.lit(slices - 1))).otherwise(F.lit(0))
-    # NULL order values sort first: they get their own slice before all others.
-    sl = F.when(num.isNull(), F.lit(-1)).otherwise(sl)
-    grp = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], sl.cast("long").alias("s"))
-    return df.withColumn("_grp", grp)
+def _sample_bounds(df: DataFrame, order: Sequence[str], slices: int) -> list[Column]:
+    """Up to ``slices - 1`` ascending order tuples at quantiles of a sample."""
+    n = df.count()
+    share = min(1.0, slices * SAMPLE_PER_SLICE / max(n, 1))
+    sample = df.select(*order)
+    if share < 1.0:
+        sample = sample.sample(share, seed=7)
+    values = sample.orderBy(*order).select(*[F.col(c).cast("string") for c in order]).collect()  # about slices * 50 rows
+    types = [df.schema[c].dataType for c in order]
+    picked: list[tuple] = []
+    for i in range(1, slices):
+        row = tuple(values[i * len(values) // slices]) if values else None
+        if row is not None and (not picked or picked[-1] != row):
+            picked.append(row)
+    return [F.struct(*[F.lit(v).cast(t) if v is not None else F.lit(None).cast(t) for v, t in zip(row, types)])
+            for row in picked]
+
+
+def _slice_of(at: Column, bounds: list[Column], low: int = 0) -> Column:
+    """Number of bounds at or before ``at``: a binary decision tree."""
+    if not bounds:
+        return F.lit(low)
+    m = len(bounds) // 2
+    return (F.when(at >= bounds[m], _slice_of(at, bounds[m + 1:], low + m + 1))
+            .otherwise(_slice_of(at, bounds[:m], low)))
+
+
+def with_slice_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int) -> DataFrame:
+    """Add ``_grp = struct(keys..., s)``, ``s`` the slice of the order tuple."""
+    # Field names do not matter to a comparison; positions do.
+    at = F.struct(*[F.col(c) for c in order])
+    sl = _slice_of(at, _sample_bounds(df, order, slices))
+    return df.withColumn("_grp", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], sl.cast("long").alias("s")))
 
 
 def ordered_lag(df: DataFrame, keys, order, values, prefix: str = "prev_",
-                skew_safe: bool = True, slices: int = DEFAULT_SLICES,
-                slice_width: float | None = None) -> DataFrame:
+                skew_safe: bool = True, slices: int = DEFAULT_SLICES) -> DataFrame:
     """Add ``prefix + v`` = value of ``v`` on the previous row of the same
-    key in ``order`` (NULL on a key's first row). ``order`` should end in a
-    unique tie-breaker when rows can tie; otherwise tied rows are in any order.
-
-    ``slice_width`` (in the order number's unit: microseconds for
-    timestamps, days for dates) fixes the slices without a statistics pass."""
+    key in ``order`` (NULL on a key's first row). Rows that tie in ``order`` are
+    ordered by a hash of the row, the same in every run and plan."""
     keys, order, values = _names(keys), _names(order), _names(values)
-    num = _order_number(df, order[0]) if skew_safe else None
-    if num is None or (slices <= 1 and not slice_width):
+    base = df.withColumn("_tie", F.xxhash64(*[F.col(c) for c in df.columns]))
+    order = [*order, "_tie"]
+    if not skew_safe or slices <= 1:
         w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({f"{prefix}{v}": F.lag(v).over(w) for v in values})
+        return base.withColumns({f"{prefix}{v}": F.lag(v).over(w) for v in values}).drop("_tie")
 
-    base = with_slice_groups(df, keys, num, slices, slice_width)
+    base = with_slice_groups(base, keys, order, slices)
     w = Window.partitionBy("_grp").orderBy(*order)
     lagged = base.withColumns({
         **{f"{prefix}{v}": F.lag(v).over(w) for v in values},
@@ -101,13 +100,13 @@ def ordered_lag(df: DataFrame, keys, order, values, prefix: str = "prev_",
     })
     # Last row of every (key, slice), aggregated on top of the window's own
     # shuffle (already clustered by _grp, so no new exchange). Naming a
-    # window output keeps the window in this branch, and the trailing checksum
-    # reads every input column, so both branches have the same subtree below
-    # that shuffle and Spark reuses it instead of computing the input again
-    # (results do not depend on the reuse: slices are deterministic).
+    # window output keeps the window in this branch, so both branches have the
+    # same subtree below that shuffle and Spark reuses it instead of computing
+    # the input again (results do not depend on the reuse: slices are
+    # deterministic). Equal rows tie, and are equal.
     last = lagged.groupBy("_grp").agg(
         F.max_by(F.struct(*[F.col(v).alias(f"v{i}") for i, v in enumerate(values)]),
-                 F.struct(*order, F.col("_run_first"), F.xxhash64(*[F.col(c) for c in df.columns])))
+                 F.struct(*order, ~F.col("_run_first")))
         .alias("_last"))
     keys_of = [F.col(f"_grp.k{i}") for i in range(len(keys))]
     prev = last.select("_grp", F.lag("_last").over(
@@ -115,7 +114,7 @@ def ordered_lag(df: DataFrame, keys, order, values, prefix: str = "prev_",
     joined = lagged.join(prev, "_grp", "left")
     fixed = {f"{prefix}{v}": F.when(F.col("_run_first"), F.col(f"_pl.v{i}")).otherwise(F.col(f"{prefix}{v}"))
              for i, v in enumerate(values)}
-    return joined.withColumns(fixed).drop("_grp", "_run_first", "_pl")
+    return joined.withColumns(fixed).drop("_grp", "_run_first", "_pl", "_tie")
 
 
 def changes(df: DataFrame, keys, hash_col: str, order, skew_safe: bool = True) -> DataFrame:

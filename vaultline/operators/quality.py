@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from vaultline.functions import checks
 from vaultline.operators.ordered import ordered_lag
-from vaultline.plans.rules import HANDLING_ORDER, Rule
+from vaultline.plans.rules import HANDLING_ORDER, Rule, named, problems
 
 FAILED = "failed_rules"
 
@@ -33,8 +33,8 @@ def rule_predicate(rule: Rule, dtype: T.DataType | None = None) -> Column:
     """Column that is TRUE when the row fails ``rule`` (row rules only).
     ``dtype`` (the column's type, when known) keeps comparisons ANSI-safe:
     on a string column accepted values compare as written text, and numeric
-    range bounds read the text with ``try_cast`` (non-numbers pass, as NULL
-    does) instead of failing the job."""
+    range bounds read the text with ``try_cast`` (text that is no number is
+    outside any range; NULL passes) instead of failing the job."""
     c, a = rule.column, rule.args
     k = rule.kind
     is_text = isinstance(dtype, T.StringType)
@@ -42,8 +42,10 @@ def rule_predicate(rule: Rule, dtype: T.DataType | None = None) -> Column:
         return checks.not_null(c)
     if k == "range":
         numeric = all(isinstance(x, (int, float)) or x is None for x in a)
-        col = F.col(c).try_cast("double") if is_text and numeric else c
-        return checks.in_range(col, a[0], a[1])
+        if is_text and numeric:
+            value = F.col(c).try_cast("double")
+            return (F.col(c).isNotNull() & value.isNull()) | checks.in_range(value, a[0], a[1])
+        return checks.in_range(c, a[0], a[1])
     if k == "accepted_values":
         return checks.accepted(c, rule.extra.get("texts", a) if is_text else a)
     if k == "regex":
@@ -123,12 +125,18 @@ def chronology_failures(df: DataFrame, key, load_col: str, tie: Sequence[str] =
     return lagged.filter(F.col(load_col) <= F.col(f"prev_{load_col}"))
 
 
-def _keyed_flag(df: DataFrame, rule: Rule, parents: Mapping[str, DataFrame]) -> tuple[DataFrame, Column]:
-    """Attach what a keyed rule needs and return (df, failing-Column)."""
-    tag = "_k_" + "".join(ch if ch.isalnum() else "_" for ch in rule.name)
+def _keyed_flag(df: DataFrame, rule: Rule, parents: Mapping[str, DataFrame], tag: str,
+                stored: DataFrame | None = None) -> tuple[DataFrame, Column]:
+    """Attach what a keyed rule needs (columns that start with ``tag``) and
+    return (df, failing-Column). ``stored``: rows of earlier batches, with which
+    a unique key must not clash either."""
     if rule.kind in ("unique", "unique_combination"):
         cols = [rule.column] if rule.kind == "unique" else list(rule.args)
-        dups = duplicate_keys(df, cols, skip_nulls=rule.kind == "unique")
+        skip = rule.kind == "unique"
+        dups = duplicate_keys(df, cols, skip_nulls=skip)
+        if stored is not None and all(c in stored.columns for c in cols):
+            held = stored.select(*cols).withColumn("_n", F.lit(1)).groupBy(*cols).agg(F.lit(2).cast("bigint").alias("n"))
+            dups = dups.unionByName(checks_all_not_null(held, cols) if skip else held).dropDuplicates(cols)
         dups = dups.select(*[F.col(c).alias(f"{tag}{i}") for i, c in enumerate(cols)], F.lit(True).alias(tag))
         cond = F.lit(True)
         for i, c in enumerate(cols):
@@ -154,20 +162,22 @@ def _keyed_flag(df: DataFrame, rule: Rule, parents: Mapping[str, DataFrame]) ->
 
 
 def mark_failures(df: DataFrame, rules: Sequence[Rule], parents: Mapping[str, DataFrame] | None = None,
-                  flag: str = FAILED) -> DataFrame:
+                  flag: str = FAILED, stored: DataFrame | None = None) -> DataFrame:
     """Add ``flag`` = array of names of the rules each row fails (empty
     array when it passes all). Unsupported/malformed rules are ignored here
-    and reported by ``rule_report``."""
+    and reported by ``rule_report`` and by jobs. ``stored``: rows that earlier
+    batches wrote, for unique keys."""
     parents = parents or {}
+    rules = named(rules)
     out = df
     parts: list[Column] = []
     helper_cols: list[str] = []
-    for r in rules:
+    for i, r in enumerate(rules):
         if r.is_row_rule:
             parts.append(F.when(rule_predicate(r, _dtype(out, r.column)), F.lit(r.name)))
         elif r.is_keyed:
             before = set(out.columns)
-            out, fails = _keyed_flag(out, r, parents)
+            out, fails = _keyed_flag(out, r, parents, f"_k{i}_", stored)
             helper_cols += [c for c in out.columns if c not in before]
             parts.append(F.when(fails, F.lit(r.name)))
     arr = F.array_compact(F.array(*parts)) if parts else F.array().cast(T.ArrayType(T.StringType()))
@@ -193,7 +203,7 @@ def _has_any(names: Sequence[str], flag: str) -> Column:
 def action_column(rules: Sequence[Rule], flag: str = FAILED) -> Column:
     """Per row: the strongest handling among failed rules:
     fail_job > quarantine > discard > log; ``pass`` when nothing failed."""
-    by = {h: sorted({r.name for r in rules if r.effective_handling == h}) for h in HANDLING_ORDER}
+    by = {h: sorted({r.name for r in named(rules) if r.effective_handling == h}) for h in HANDLING_ORDER}
     expr = F.when(F.size(F.col(flag)) == 0, F.lit("pass"))
     for h in HANDLING_ORDER:
         expr = expr.when(_has_any(by[h], flag), F.lit(h))
@@ -204,7 +214,11 @@ def split(marked: DataFrame, rules: Sequence[Rule], flag: str = FAILED,
           action: str = "dq_action") -> Split:
     """One marked DataFrame, four filtered views. Writers that
     use two of them should persist ``marked`` first (see sources.writers)."""
-    m = marked.withColumn(action, action_column(rules, flag))
+    return split_marked(marked.withColumn(action, action_column(rules, flag)), action)
+
+
+def split_marked(m: DataFrame, action: str = "dq_action") -> Split:
+    """The four views of rows that already carry their action."""
     a = F.col(action)
     return Split(clean=m.filter(a.isin("pass", "log")).drop(action),
                  quarantine=m.filter(a == "quarantine").drop(action),
@@ -224,6 +238,15 @@ def enforce_fail_rules(s: Split, table: str = "") -> None:
         raise DataQualityError(f"table {table!r}: a fail_job rule failed; nothing written")
 
 
+def enforce_runnable(rules: Sequence[Rule], table: str = "") -> list[dict]:
+    """Q18 in a job: the rules that cannot run, for the report. One that was to
+    fail the job fails it: nothing says that the data pass."""
+    bad = [r for r in rules if r.status != "ok" and r.effective_handling == "fail_job"]
+    if bad:
+        raise DataQualityError(f"table {table!r}: fail_job rules that cannot run: {problems(bad)}")
+    return problems(rules)
+
+
 def to_quarantine_rows(rejected: DataFrame, table_name: str, load_ts, flag: str = FAILED) -> DataFrame:
     """Uniform quarantine rows for tables with different schemas:
     ``table_name, failed_rules, row_json, load_datetime``."""
@@ -245,15 +268,15 @@ def summarize(df: DataFrame, rules: Sequence[Rule], parents=None) -> DataFrame:
     """``test_name, failures`` for every runnable rule. All row rules
     are counted in ONE aggregation pass (``count_if`` each), then unpivoted;
     keyed rules add one aggregation each."""
+    rules = named(rules)
     row = [r for r in rules if r.is_row_rule]
     keyed = [r for r in rules if r.is_keyed]
     parts: list[DataFrame] = []
     if row:
         names = [f"_r{i}" for i in range(len(row))]
         wide = df.agg(*[F.count_if(rule_predicate(r, _dtype(df, r.column))).alias(n) for r, n in zip(row, names)])
-        stack = "stack({}, {}) as (test_name, failures)".format(
-            len(row), ", ".join(f"'{r.name}', {n}" for r, n in zip(row, names)))
-        parts.append(wide.selectExpr(stack))
+        cells = F.array(*[F.struct(F.lit(r.name).alias("test_name"), F.col(n).alias("failures")) for r, n in zip(row, names)])
+        parts.append(wide.select(F.explode(cells).alias("c")).select("c.*"))
     for r in keyed:
         if r.kind in ("unique", "unique_combination"):
             cols = [r.column] if r.kind == "unique" else list(r.args)
@@ -271,10 +294,11 @@ def summarize(df: DataFrame, rules: Sequence[Rule], parents=None) -> DataFrame:
 
 
 def suite_verdict(summary: DataFrame) -> DataFrame:
-    """E1 suite verdict from a ``summarize`` result: one row
-    ``success, failed_tests, failing_rows`` (success = no test failed)."""
+    """E1 suite verdict from a ``summarize`` or ``rule_report`` result: one row
+    ``success, failed_tests, failing_rows``. Success means that no test failed
+    and that none could not run (its failures are NULL in a report)."""
     return summary.agg(
-        (F.coalesce(F.max("failures"), F.lit(0)) == 0).alias("success"),
+        ((F.coalesce(F.max("failures"), F.lit(0)) == 0) & (F.count_if(F.col("failures").isNull()) == 0)).alias("success"),
         F.count_if(F.col("failures") > 0).alias("failed_tests"),
         F.coalesce(F.sum("failures"), F.lit(0)).cast("bigint").alias("failing_rows"))
 
@@ -285,12 +309,13 @@ def rule_report(df: DataFrame | None, rules: Sequence[Rule], parents=None) -> Da
     unsupported or malformed rules)."""
     from vaultline.operators.ordered import union_all_by_name  # noqa: F401
     spark = (df.sparkSession if df is not None else None)
+    rules = named(rules)
     meta = spark.createDataFrame(
         [(r.table, r.column, r.text, r.kind, r.status, r.message, r.name if r.status == "ok" else None)
          for r in rules],
         "table_name string, column_name string, rule_text string, rule_kind string, "
         "status string, message string, test_name string")
-    counts = summarize(df, [r for r in rules if r.status == "ok"], parents)
+    counts = summarize(df, rules, parents)
     # Rule list is metadata (one row per rule): a bounded broadcast.
     return (F.broadcast(meta).join(counts, "test_name", "left")
             .select("table_name", "column_name", "rule_text", "rule_kind", "status", "message",

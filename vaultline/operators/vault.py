@@ -128,12 +128,11 @@ def touched(existing: DataFrame, batch: DataFrame, key_col: str) -> DataFrame:
 def new_hub_rows(batch: DataFrame, existing: DataFrame | None, key_col: str) -> DataFrame:
     """Hub rows whose hash key is not yet in the hub (insert-only, so a
     key's first load time is never overwritten). Idempotent: loading the same
-    batch twice adds nothing the second time. Only the stored keys that the
-    batch touches take part in the anti-join."""
+    batch twice adds nothing the second time. One anti-join on the key column
+    alone; with a hub bucketed by its key, its side needs no exchange."""
     if existing is None:
         return batch
-    present = touched(existing.select(key_col), batch, key_col)
-    return batch.join(present, key_col, "left_anti")
+    return batch.join(existing.select(key_col), key_col, "left_anti")
 
 
 def new_link_rows(batch: DataFrame, existing: DataFrame | None, key_col: str) -> DataFrame:
@@ -143,28 +142,21 @@ def new_link_rows(batch: DataFrame, existing: DataFrame | None, key_col: str) ->
 
 def changed_sat_rows(batch: DataFrame, existing: DataFrame | None, key_col: str,
                      order: Sequence[str] = (TS,), skew_safe: bool = True) -> DataFrame:
-    """Satellite rows to insert. Batch rows not newer than the key's
-    current row in ``existing`` are skipped (already loaded: replaying a batch
-    adds nothing). Inside the batch, consecutive equal versions of a key
-    collapse to the first (intermediate changes and A->B->A survive); the
-    first version of each key is kept only if it differs from the key's
-    current row."""
+    """Satellite rows to insert: those that differ from the version before
+    them in the key's history (stored and batch rows together, by ``order``, then
+    hash_diff, stored rows first). Late and same-time versions take their place
+    in the history; consecutive equal versions collapse to the first, so
+    intermediate changes and A->B->A survive; a version that is already stored
+    follows itself and is not inserted again, so replaying a batch adds nothing."""
     order = list(order)
+    rows = batch.withColumn("_stored", F.lit(1))
     if existing is not None:
-        # Current rows only for the keys the batch touches; one row per key on
-        # the right side of the join, and AQE splits a hot key on the left.
-        relevant = touched(existing.select(key_col, HD, *order), batch, key_col)
-        cur = current_rows(relevant, key_col, order).select(
-            key_col, F.col(HD).alias("_cur_hd"), F.struct(*order).alias("_cur_order"))
-        batch = (batch.join(cur, key_col, "left")
-                 .filter(F.col("_cur_order").isNull() | (F.struct(*order) > F.col("_cur_order")))
-                 .drop("_cur_order"))
-    else:
-        batch = batch.withColumn("_cur_hd", F.lit(None).cast("string"))
-    lagged = ordered_lag(batch, [key_col], order, [HD], prefix="_prev_", skew_safe=skew_safe)
-    first = F.col(f"_prev_{HD}").isNull()
-    keep = F.when(first, ~F.col(HD).eqNullSafe(F.col("_cur_hd"))).otherwise(F.col(HD) != F.col(f"_prev_{HD}"))
-    return lagged.filter(keep).drop(f"_prev_{HD}", "_cur_hd")
+        # Only the history of the keys the batch touches, and only what orders and tells versions apart.
+        history = touched(existing.select(key_col, HD, *order), batch, key_col).withColumn("_stored", F.lit(0))
+        rows = rows.unionByName(history, allowMissingColumns=True)
+    lagged = ordered_lag(rows, [key_col], [*order, HD, "_stored"], [HD], prefix="_prev_", skew_safe=skew_safe)
+    keep = (F.col("_stored") == 1) & ~F.col(HD).eqNullSafe(F.col(f"_prev_{HD}"))
+    return lagged.filter(keep).select(*batch.columns)
 
 
 def upsert_by_key(batch: DataFrame, existing: DataFrame | None, keys, order: Sequence[str] | None = None) -> DataFrame:

@@ -13,14 +13,15 @@ from collections import ChainMap
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.operators.aggregate import aggregate_rule
 from vaultline.operators.joins import join_lookup
-from vaultline.operators.quality import Split, cast_rule, mark_failures, null_rules, split
+from vaultline.operators.quality import Split, cast_rule, enforce_runnable, mark_failures, null_rules, split, split_marked
 from vaultline.operators.transform import cast_columns, fill_default, filter_rows
-from vaultline.plans.rules import Rule, parse_cell
+from vaultline.plans.rules import Rule, handling_in, parse_cell
 from vaultline.plans.types import declared_length, is_string_type, to_spark_type
 
 
@@ -49,6 +50,7 @@ class TargetSpec:
     watermark_column: str | None = None
     partition_cols: list[str] = field(default_factory=list)
     cast_handling: str = "quarantine"             # rows whose value failed its cast
+    file_pattern: str | None = None               # files of the source, under the job's source_root
 
 
 def _rows(sheet) -> list[dict]:
@@ -71,7 +73,7 @@ class _Defaults(dict):
         return None
 
 
-def specs_from_metadata(target_columns, mappings=None, loads=None, rules=None) -> list[TargetSpec]:
+def specs_from_metadata(target_columns, mappings=None, loads=None, rules=None, source_columns=None) -> list[TargetSpec]:
     """Canonical sheets (see ``vaultline.metadata``; DataFrames or lists of
     row dicts) -> one spec per target table.
 
@@ -82,11 +84,18 @@ def specs_from_metadata(target_columns, mappings=None, loads=None, rules=None) -
       ``<source> ON <condition>`` or a plain condition naming tables,
       ``lookup_table`` as ``<table>(<col>=<lookup col>; ...) -> <take>, ...``,
       ``aggregation`` as ``SUM(x) AS y ... GROUP BY ...``.
-    - loads: load mode and watermark column per target.
+      A row without a target table goes to the only target, else to the one
+      its expression or source table names; no such target raises. ``target =
+      expr`` fills a blank transformation. Repeated joins count once.
+    - loads: load mode, watermark column, file pattern and error handling (of
+      failed casts and of rules without a handling of their own) per target.
     - rules: validations with reject handling / severity / expected count.
+    - source_columns: defaults of source columns fill the targets mapped straight
+      from them; a column that is not nullable gives them a not-null rule.
     """
     tcols = _rows(target_columns)
-    maps = _rows(mappings)
+    targets = list(dict.fromkeys(r["table_name"] for r in tcols))
+    maps = [_Defaults({**m, "target_table": _target_of(m, targets, tcols)}) for m in _rows(mappings)]
     lds = {r["table_name"]: r for r in _rows(loads)}
     rls = _rows(rules)
     specs: dict[str, TargetSpec] = {}
@@ -95,43 +104,91 @@ def specs_from_metadata(target_columns, mappings=None, loads=None, rules=None) -
         m_rows = [m for m in maps if m["target_table"] == t]
         src = next((m["source_table"] for m in m_rows if m["source_table"]), None) or t
         spec = specs.setdefault(t, TargetSpec(name=t, source=src, columns={}))
-        spec.columns[r["column_name"]] = (r["transformation"] or r["column_name"]).strip()
+        given = [m for m in (_ASSIGN.match(x["expression"] or "") for x in m_rows)
+                 if m and m.group(2) == r["column_name"] and m.group(1) in (None, t)]
+        spec.columns[r["column_name"]] = (r["transformation"] or (given[0].group(3) if given else r["column_name"])).strip()
         if r["data_type"]:
             to_spark_type(r["data_type"])          # fail early on unknown types
             spec.types[r["column_name"]] = r["data_type"]
         if r["partition_key"]:
             spec.partition_cols.append(r["column_name"])
-        spec.rules += _typed_rules(parse_cell(r["rule"], r["column_name"], t), r["data_type"])
+        usual = handling_in(lds[t]["error_handling"]) if t in lds else None
+        spec.cast_handling = usual or spec.cast_handling
+        spec.rules += _typed_rules(parse_cell(r["rule"], r["column_name"], t, usual), r["data_type"])
+    filters: dict[str, list[str]] = {t: [] for t in specs}
     for t, spec in specs.items():
         for m in (m for m in maps if m["target_table"] == t):
-            if m["filter_condition"]:
+            if m["filter_condition"] and m["filter_condition"] not in filters[t]:
+                filters[t].append(m["filter_condition"])
                 spec.filter = (f"({spec.filter}) AND ({m['filter_condition']})" if spec.filter
                                else m["filter_condition"])
-            if m["join_condition"]:
-                spec.joins.append(_join_of(m["join_condition"], spec.source))
+            if m["join_condition"] and (j := _join_of(m["join_condition"], spec.source)) not in spec.joins:
+                spec.joins.append(j)
         for m in (m for m in maps if m["target_table"] == t):
             if m["lookup_table"]:
+                if any(lk.table == m["lookup_table"].strip() for lk in spec.lookups):
+                    continue
                 lk, spec.joins = _lookup_of(m["lookup_table"], spec.joins)
-                spec.lookups.append(lk)
+                if lk not in spec.lookups:
+                    spec.lookups.append(lk)
             if m["aggregation"]:
                 spec.aggregation = m["aggregation"]
         ld = lds.get(t)
         if ld:
             spec.load_mode = (ld["load_mode"] or "full").lower()
             spec.watermark_column = ld["watermark_column"]
+            spec.file_pattern = ld["file_pattern"]
         for r in rls:
             if r.get("table_name") in (None, t) and (r["column_name"] in spec.columns or r.get("table_name") == t):
                 dtype = next((c["data_type"] for c in tcols
                               if c["table_name"] == t and c["column_name"] == r["column_name"]), None)
-                spec.rules += _typed_rules(parse_cell(r["rule"], r["column_name"], t, r.get("reject_handling"),
+                usual = handling_in(ld["error_handling"]) if ld else None
+                spec.rules += _typed_rules(parse_cell(r["rule"], r["column_name"], t, r.get("reject_handling") or usual,
                                                       r.get("severity")), dtype)
                 if r.get("record_count_expected") is not None:
                     spec.expected_count = int(r["record_count_expected"])
     for spec in specs.values():
         spec.rules += _declared_length_rules(spec, tcols)
+        _source_facts(spec, _rows(source_columns))
     return list(specs.values())
 
 
+# [table.]target = expression, not a comparison of conditions.
+_ASSIGN = re.compile(r"^\s*(?:(\w+)\.)?(\w+)\s*=(?!=)\s*(.+?)\s*$", re.DOTALL)
+
+
+def _target_of(m: dict, targets: list[str], tcols: list[dict]) -> str | None:
+    """The target table of a mapping row (the guide's sheet does not name it)."""
+    if m["target_table"]:
+        return m["target_table"]
+    if len(targets) == 1:
+        return targets[0]
+    a = _ASSIGN.match(m["expression"] or "")
+    if a and a.group(1) in targets:
+        return a.group(1)
+    owners = {r["table_name"] for r in tcols if a and r["column_name"] == a.group(2)}
+    if len(owners) == 1:
+        return owners.pop()
+    if m["source_table"] in targets:
+        return m["source_table"]
+    raise ValueError(f"mapping row {m['rule_id'] or dict(m)!r}: its target table is not given and cannot be told")
+
+
+def _source_facts(spec: TargetSpec, scols: list[dict]) -> None:
+    """Default values and NOT NULL of the source columns a target maps directly."""
+    tables = {spec.source, *(j[0] for j in spec.joins)}
+    facts = {c["column_name"]: c for c in scols if c["table_name"] in tables}
+    for target, expr in spec.columns.items():
+        fact = facts.get(expr.split(".")[-1]) if re.fullmatch(r"(\w+\.)?[A-Za-z_]\w*", expr) else None
+        if fact is None:
+            continue
+        if fact["default_value"] not in (None, "") and target not in spec.defaults:
+            spec.defaults[target] = fact["default_value"]
+        if fact["nullable"] is False and not any(r.kind == "not_null" and r.column == target for r in spec.rules):
+            spec.rules.append(Rule(column=target, kind="not_null", text=f"not nullable {expr}", table=spec.name,
+                                   handling=spec.cast_handling))
+
+
 _LENGTH_KINDS = ("max_length", "min_length", "length_between")
 
 
@@ -212,14 +269,19 @@ def build_target(spec: TargetSpec, sources: Mapping[str, DataFrame], keep_cast_f
     """Lazy transform for one target (no DQ). With ``keep_cast_flag`` the
     names of columns whose cast failed stay in ``_cast_failures`` for DQ."""
     df = sources[spec.source].alias(spec.source)
-    df = filter_rows(df, spec.filter, spec.name)
+    # A filter on the source alone goes first, where an unqualified name cannot clash with a joined table's. Any
+    # other waits for the joins; Catalyst pushes it to its table.
+    early = all(how in ("inner", "left") for _, _, how in spec.joins) and _resolves(df, spec.filter)
+    if early or not spec.joins:
+        df = filter_rows(df, spec.filter, spec.name)
     for other, cond, how in spec.joins:
         df = df.join(sources[other].alias(other), F.expr(cond), how)
+    if spec.joins and not early:
+        df = filter_rows(df, spec.filter, spec.name)
     for lk in spec.lookups:
         take = lk.take or [c for c in sources[lk.table].columns if c not in {r for _, r in lk.on}]
         df = join_lookup(df, sources[lk.table], lk.on, take)
-    df = df.select(*[(F.col(e) if e.replace("_", "").isalnum() else F.expr(e)).alias(c)
-                     for c, e in spec.columns.items()])
+    df = df.select(*[(F.col(e) if e in df.columns else F.expr(e)).alias(c) for c, e in spec.columns.items()])
     if spec.defaults:
         df = fill_default(df, spec.defaults)
     if spec.types:
@@ -231,14 +293,23 @@ def build_target(spec: TargetSpec, sources: Mapping[str, DataFrame], keep_cast_f
     return df
 
 
+def _resolves(df: DataFrame, condition: str | None) -> bool:
+    try:
+        df.filter(F.expr(condition or "true")).schema
+        return True
+    except AnalysisException:
+        return False
+
+
 def transform_only(specs: list[TargetSpec], sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """E10 without sinks: ``{target: DataFrame}``."""
     return {s.name: build_target(s, sources) for s in specs}
 
 
-def checked_target(spec: TargetSpec, sources: Mapping[str, DataFrame]) -> Split:
+def checked_target(spec: TargetSpec, sources: Mapping[str, DataFrame], stored: DataFrame | None = None) -> Split:
     """Transform + DQ split for one target. Values that failed their declared
-    type cast are rejects (``cast_failed``), not silent NULLs."""
+    type cast are rejects (``cast_failed``), not silent NULLs. ``stored``: what
+    earlier batches wrote, with which unique keys must not clash."""
     df = build_target(spec, sources, keep_cast_flag=True)
     rules = list(spec.rules)
     has_flag = CAST_FLAG in df.columns
@@ -246,7 +317,7 @@ def checked_target(spec: TargetSpec, sources: Mapping[str, DataFrame]) -> Split:
         rules.append(cast_rule(CAST_FLAG, spec.cast_handling))
     if spec.null_check_all:
         rules += null_rules([c for c in df.columns if c != CAST_FLAG])
-    marked = mark_failures(df, rules, parents=sources)
+    marked = mark_failures(df, rules, parents=sources, stored=stored)
     if has_flag:                 # consumed by the cast rule; every view derives from this frame
         marked = marked.drop(CAST_FLAG)
     return split(marked, rules)
@@ -269,52 +340,59 @@ def dq_suite(df: DataFrame, rules_sheet, table: str,
 def run_job(spark: SparkSession, specs: list[TargetSpec], sources: Mapping[str, DataFrame],
             targets: Mapping[str, str], quarantine_target: str | None, load_ts,
             state_path: str | None = None, batch_id: str | None = None,
-            protection: DataFrame | None = None, key=None) -> list[dict]:
+            protection: DataFrame | None = None, key=None, source_root: str | None = None) -> list[dict]:
     """E10 (action): every target in load order; each is checked and written
-    by ``write_checked`` (fail rules first, count check, quarantine append).
+    by ``write_checked`` (fail rules first, count check, quarantine).
 
     Targets whose load mode is incremental (and that name a watermark column
-    of their driving source) read only source rows in (watermark, upper],
-    with ``upper`` fixed first; clean rows are appended and the watermark
-    advances only after the write succeeded (M1-M3).
+    of their driving source) take the source rows that ``plan_batch`` finds:
+    past the watermark up to a bound, late rows at it, and rows without one.
+    They go to the batch's own partition, unique keys are checked against the
+    earlier batches too, and the state advances only after the write (M1-M3).
+
+    A source that ``sources`` lacks is read by the target's file pattern under
+    ``source_root``. Rules that cannot run are in every report; one of them
+    that was to fail the job fails it before any write.
 
     With a ``protection`` sheet, flagged columns are masked or encrypted
-    (``key``: a Column from configuration) in everything written, the
-    quarantine's row JSON included (P1-P3)."""
-    from vaultline.operators.incremental import (LOAD_BATCH, STATE_SCHEMA, after_watermark, batch_label,
-                                                 read_watermark)
+    (``key``: a Column from configuration) in everything written, the scratch
+    copy and the quarantine's row JSON included (P1-P3)."""
+    from vaultline.operators.incremental import LOAD_BATCH, check_first, commit, path_exists, plan_batch, write_hashes
+    from vaultline.sources.readers import scan_glob
     from vaultline.sources.writers import write_checked
+    trouble = {spec.name: enforce_runnable(spec.rules, spec.name) for spec in specs}
+    globbed = {s.source: scan_glob(spark, source_root, s.file_pattern) for s in specs
+               if s.source not in sources and s.file_pattern and source_root}
+    sources = ChainMap(globbed, sources)
     reports = []
     for spec in specs:
-        srcs, upper, mode, batch_partition = sources, None, "overwrite", None
-        incremental = (spec.load_mode or "").startswith("incr") and spec.watermark_column and state_path
-        if incremental:
-            src, col = sources[spec.source], spec.watermark_column
-            wm = read_watermark(spark, state_path, spec.name, src.schema[col].dataType)
-            pending = after_watermark(src, col, wm)
-            upper = pending.agg(F.max(col)).first()[0]
-            if upper is None:
-                reports.append({"table": spec.name, "clean_rows": 0, "valid": True, "quarantined": 0,
-                                "skipped": "no rows past the watermark"})
+        srcs, batch, stored, target = sources, None, None, targets[spec.name]
+        if (spec.load_mode or "").startswith("incr") and spec.watermark_column and state_path:
+            batch = plan_batch(sources[spec.source], spec.watermark_column, state_path, spec.name)
+            if batch is None:
+                reports.append({"table": spec.name, "clean_rows": 0, "valid": True, "quarantined": 0, "logged": 0,
+                                "rule_problems": trouble[spec.name], "skipped": "no rows past the watermark"})
                 continue
+            if batch.first:
+                check_first(spark, target)
+            elif path_exists(spark, target):
+                stored = spark.read.parquet(target).filter(F.col(LOAD_BATCH) != batch.label)
             # Overlay the bounded batch; other sources are looked up as given.
-            srcs = ChainMap({spec.source: pending.filter(F.col(col) <= F.lit(upper))}, sources)
-            mode = "overwrite"                     # of this batch's own partition only
-            batch_partition = batch_label(wm)
-        s = checked_target(spec, srcs)
+            srcs = ChainMap({spec.source: batch.rows}, sources)
+        s = checked_target(spec, srcs, stored)
         if protection is not None:
             from vaultline.operators.protect import protect
-            s = s._replace(clean=protect(s.clean, protection, spec.name, key),
-                           quarantine=protect(s.quarantine, protection, spec.name, key))
-        if batch_partition is not None:            # replay-safe: one partition per starting watermark
-            s = s._replace(clean=s.clean.withColumn(LOAD_BATCH, F.lit(batch_partition)))
-        parts = list(spec.partition_cols) + ([LOAD_BATCH] if batch_partition is not None else [])
-        rep = write_checked(s, targets[spec.name], quarantine_target, spec.name, spec.expected_count, load_ts,
-                            mode=mode, partition_cols=parts, batch=batch_partition)
-        if incremental and rep["valid"]:
-            state = spark.createDataFrame([(spec.name, spec.watermark_column, str(upper), batch_id, rep["clean_rows"])],
-                                          STATE_SCHEMA)
-            state.write.mode("append").parquet(state_path)
-            rep["watermark"] = str(upper)
+            s = split_marked(protect(s.marked, protection, spec.name, key))
+        if batch is not None:
+            write_hashes(batch, state_path, spec.name)
+        rep = write_checked(s, target, quarantine_target, spec.name, spec.expected_count, load_ts,
+                            partition_cols=list(spec.partition_cols), batch=batch.label if batch else None,
+                            load_batch=batch.label if batch else None, replace_all=batch is None or batch.first)
+        rep["rule_problems"] = trouble[spec.name]
+        if batch is not None:
+            rep["null_watermarks"] = batch.nulls
+            if rep["valid"]:
+                commit(spark, state_path, spec.name, spec.watermark_column, batch.upper, batch.seq, rep["clean_rows"], batch_id)
+                rep["watermark"] = batch.upper
         reports.append(rep)
     return reports

@@ -96,8 +96,9 @@ def q_sink_append(spark, sf):
 @query("sink_partitioned", "SELECT * FROM orders WHERE o_orderstatus = 'F'")
 def q_sink_partitioned(spark, sf):
     path = scratch_path(spark, "sink_partitioned")
-    writers.write_partitioned(_t(spark, sf, "orders"), path, ["o_orderstatus"])
-    return spark.read.parquet(path).filter(F.col("o_orderstatus") == "F")
+    orders = _t(spark, sf, "orders")
+    writers.write_partitioned(orders, path, ["o_orderstatus"])
+    return writers.read_partitioned(spark, path, orders.schema).filter(F.col("o_orderstatus") == "F")
 
 
 @query("dq_store_failures", """
@@ -722,6 +723,31 @@ def q_sat_incremental(spark, sf):
     return vault.changed_sat_rows(batch, existing, "hub_user_key")
 
 
+@query("sat_load", f"""
+WITH s AS (SELECT {sk('user_id')} AS hub_user_key, {sk('event_type')} AS hash_diff, event_type,
+             ts AS load_datetime, 'tpch' AS record_source FROM events WHERE user_id IS NOT NULL),
+d AS (SELECT DISTINCT * FROM s)
+SELECT hub_user_key, hash_diff, event_type, load_datetime, record_source FROM (
+  SELECT *, lag(hash_diff) OVER (PARTITION BY hub_user_key ORDER BY load_datetime, hash_diff) AS prev FROM d)
+WHERE prev IS DISTINCT FROM hash_diff""")
+def q_sat_load(spark, sf):
+    """I3 as a stored-table load: later events first, then the late ones, then a
+    replay of both. The history of changes, read back from the table, holds every
+    version: late rows are not lost and replays add none."""
+    e = _t(spark, sf, "events").select("user_id", "event_type", F.col("ts"))
+    rows = require_keys(e, ["user_id"]).select(
+        surrogate_key(["user_id"], e.schema).alias("hub_user_key"), vault.hash_diff(["event_type"], e.schema).alias("hash_diff"),
+        "event_type", F.col("ts").alias("load_datetime"), F.lit(tpl.RECORD_SOURCE).alias("record_source"))
+    target = scratch_path(spark, "sat_load")
+    cut = _lit_ts(tpl.SAT_BATCH1_CUTOFF)
+    late, now = rows.filter(F.col("load_datetime") < cut), rows.filter(F.col("load_datetime") >= cut)
+    for name, part in (("b1", now), ("b2", late), ("b2", late), ("b3", rows)):
+        writers.write_vault_increment(part, target, "hub_user_key", name, "sat_changes")
+    stored = spark.read.parquet(target).drop("batch_id")
+    # A late version can make the stored one after it a repeat: the history skips repeats.
+    return ordered.changes(stored, "hub_user_key", "hash_diff", ["load_datetime", "hash_diff"])
+
+
 @query("upsert_by_key", """
 SELECT c_custkey, c_name,
        CAST(CAST(c_acctbal AS DECIMAL(18,2)) + CASE WHEN c_mktsegment = 'BUILDING' THEN 100 ELSE 0 END AS DECIMAL(18,2))
@@ -841,9 +867,32 @@ def q_watermark_advance(spark, sf):
 def q_load_full(spark, sf):
     path = scratch_path(spark, "load_full")
     incremental.load(_t(spark, sf, "orders"), "full", path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop(incremental.LOAD_BATCH)
 
 
+@query("load_incremental", "SELECT * EXCLUDE (o_orderdate), CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE "
+       "date_trunc('month', o_orderdate) END AS o_orderdate FROM orders")
+def q_load_incremental(spark, sf):
+    """M1-M3 as a table load: a full load of the early rows, an increment, a
+    replay, and a last increment with late rows at the stored maximum (months
+    make ties) and rows without a watermark. Every row arrives exactly once."""
+    o = _t(spark, sf, "orders")
+    month = F.col("o_orderdate").cast("date")
+    month = F.trunc(month, "month").cast("timestamp_ntz")
+    o = o.withColumn("o_orderdate", F.when(F.col("o_orderkey") % 50 != 0, month))
+    when, half = F.col("o_orderdate"), F.col("o_orderkey") % 2 == 0
+    cut = F.trunc(F.lit(tpl.HUB_BATCH1_CUTOFF[:10]).cast("date"), "month").cast("timestamp_ntz")
+    target, state = scratch_path(spark, "load_incremental"), scratch_path(spark, "load_state")
+
+    def load(rows, mode):
+        incremental.load(rows, mode, target, state, "o_orderdate", "orders")
+    load(o.filter(when < cut), "full")
+    load(o.filter((when <= cut) & (half | (when < cut))), "incremental")
+    load(o.filter((when <= cut) & (half | (when < cut))), "incremental")
+    load(o.filter(when.isNull() & half | (when <= cut)), "incremental")
+    load(o, "incremental")
+    return spark.read.parquet(target).drop(incremental.LOAD_BATCH).select(o.columns)
+
 # ====================================================================== K: keys and relationships
 
 PROFILE_TABLES = ("customer", "orders", "lineitem", "part", "supplier")

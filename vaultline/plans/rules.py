@@ -11,7 +11,7 @@ a blank cell means no rule.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 # Accepted rule spellings -> rule kind.
 RULE_NAMES = {
@@ -57,11 +57,13 @@ class Rule:
     status: str = "ok"          # ok | unsupported | malformed
     message: str = ""
     extra: dict = field(default_factory=dict, compare=False, hash=False)
+    label: str | None = None    # set by ``named`` where kind and column do not tell rules apart
 
     @property
     def name(self) -> str:
-        """Stable identifier used in failure arrays and summaries."""
-        return f"{self.kind}:{self.column}" if self.column else self.kind
+        """Identifier used in failure arrays and summaries, unique within a list
+        that went through ``named``."""
+        return self.label or (f"{self.kind}:{self.column}" if self.column else self.kind)
 
     @property
     def effective_handling(self) -> str:
@@ -77,6 +79,41 @@ class Rule:
         return self.status == "ok" and self.kind in KEYED_KINDS
 
 
+def named(rules) -> list[Rule]:
+    """The rules with unique names: where several share kind and column, the
+    arguments are part of the name, then handling, then a number. The same list
+    always gets the same names."""
+    rules = [replace(r, label=None) for r in rules]
+    same: dict[str, int] = {}
+    for r in rules:
+        same[r.name] = same.get(r.name, 0) + 1
+    out, taken = [], set()
+    for r in rules:
+        label = r.name
+        if same[label] > 1:
+            label = f"{r.name}({', '.join(map(str, r.args))})" if r.args else r.name
+            if label in taken:
+                label = f"{label} {r.effective_handling}"
+            n, base = 2, label
+            while label in taken:
+                label, n = f"{base} #{n}", n + 1
+            r = replace(r, label=label)
+        taken.add(label)
+        out.append(r)
+    return out
+
+
+def problems(rules) -> list[dict]:
+    """What a job must report: rules that cannot run."""
+    return [{"column": r.column, "rule": r.text, "status": r.status, "message": r.message} for r in rules if r.status != "ok"]
+
+
+def handling_in(text: str | None) -> str | None:
+    """The reject handling that a free text ("Log and continue") names, if any."""
+    words = re.findall(r"[a-z_]+", (text or "").lower())
+    return next((_HANDLING_SPELLINGS[w] for w in words if w in _HANDLING_SPELLINGS), None)
+
+
 def normalize_handling(text: str | None) -> str:
     t = (text or "").strip().lower()
     if not t:

@@ -11,15 +11,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pyspark.errors import AnalysisException
-
 from vaultline.operators import vault
 from vaultline.operators.aggregate import count_valid
-from vaultline.operators.quality import Split, enforce_fail_rules, to_quarantine_rows
+from vaultline.operators.incremental import path_exists
+from vaultline.operators.quality import FAILED, Split, enforce_fail_rules, split_marked, to_quarantine_rows
+from vaultline.session import scratch_path
 
 
 def write_overwrite(df: DataFrame, target: str, fmt: str = "parquet") -> str:
@@ -36,14 +35,21 @@ def write_append(df: DataFrame, target: str, fmt: str = "parquet") -> str:
 
 
 def write_partitioned(df: DataFrame, target: str, partition_cols: Sequence[str],
-                      mode: str = "overwrite", fmt: str = "parquet") -> str:
+                      mode: str = "overwrite", fmt: str = "parquet", replace_all: bool = False) -> str:
     """Partitioned by the metadata's partition keys. Overwrite is
-    dynamic: only the partitions present in ``df`` are replaced."""
-    (df.write.mode(mode).format(fmt).option("partitionOverwriteMode", "dynamic")
+    dynamic (only the partitions present in ``df`` are replaced) unless
+    ``replace_all``: then partitions that ``df`` no longer has go too."""
+    (df.write.mode(mode).format(fmt).option("partitionOverwriteMode", "static" if replace_all else "dynamic")
      .partitionBy(*partition_cols).save(target))
     return target
 
 
+def read_partitioned(spark: SparkSession, target: str, schema, fmt: str = "parquet") -> DataFrame:
+    """A9 read back with the declared types: a partition value '007' stays
+    text instead of being guessed to be the number 7."""
+    return spark.read.format(fmt).schema(schema).load(target)
+
+
 def write_versioned(df: DataFrame, base: str, fmt: str = "parquet") -> str:
     """Write to ``base/v=<new id>`` and return that path (safe replacement for
     overwriting a table that ``df`` itself reads)."""
@@ -67,35 +73,39 @@ def store_failures(failures: DataFrame, target: str, run_id: str, rule: str, tab
 
 def write_checked(s: Split, target: str, quarantine_target: str | None, table: str,
                   expected: int | None, load_ts, fmt: str = "parquet", mode: str = "overwrite",
-                  partition_cols: Sequence[str] = (), batch: str | None = None) -> dict:
+                  partition_cols: Sequence[str] = (), batch: str | None = None, replace_all: bool = True,
+                  load_batch: str | None = None) -> dict:
     """E9 (action): fail_job rules first (nothing written if one failed);
-    then the clean rows are written only if their count is valid
-    (count > expected); quarantined rows are always stored, in a
-    ``table_name/load_batch`` partition (``batch``, default the load time)
-    that a rerun of the same batch overwrites instead of appending to.
-
-    The marked DataFrame feeds three actions (fail check, count, two writes):
-    it is persisted (memory, spilling to disk) for the duration and released
-    after, so the source is scanned once."""
-    marked = s.marked.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        enforce_fail_rules(s, table)
-        n, valid = count_valid(s.clean, expected)
-        if valid:
-            if partition_cols:
-                write_partitioned(s.clean, target, partition_cols, mode, fmt)
-            else:
-                s.clean.write.mode(mode).format(fmt).save(target)
-        q = 0
-        if quarantine_target is not None:
-            label = batch if batch is not None else "".join(ch if ch.isalnum() else "_" for ch in str(load_ts))
-            qrows = to_quarantine_rows(s.quarantine, table, load_ts).withColumn("load_batch", F.lit(label))
-            q = s.quarantine.count()
-            if q:
-                write_partitioned(qrows, quarantine_target, ["table_name", "load_batch"], "overwrite", fmt)
-        return {"table": table, "clean_rows": n, "valid": valid, "quarantined": q}
-    finally:
-        marked.unpersist()
+    then the clean rows are written, with their declared columns only, if their
+    count is valid (count > expected). The quarantine's ``table_name/load_batch``
+    partition (``batch``, default the load time) is replaced by this run's
+    rejects, also by none. ``load_batch`` names the target partition of an
+    incremental batch; without ``replace_all`` other partitions stay.
+
+    The marked rows are written once to the shared scratch folder and every
+    view reads them from there: the source is computed once, and a lost
+    executor loses nothing."""
+    spark = s.marked.sparkSession
+    path = scratch_path(spark, "marked")
+    s.marked.write.mode("overwrite").parquet(path)
+    s = split_marked(spark.read.schema(s.marked.schema).parquet(path))
+    enforce_fail_rules(s, table)
+    clean = s.clean.drop(FAILED)
+    if load_batch is not None:
+        clean, partition_cols = clean.withColumn("load_batch", F.lit(load_batch)), [*partition_cols, "load_batch"]
+    n, valid = count_valid(clean, expected)
+    logged = s.clean.filter(F.size(FAILED) > 0).count()
+    if valid:
+        if partition_cols:
+            write_partitioned(clean, target, partition_cols, mode, fmt, replace_all)
+        else:
+            clean.write.mode(mode).format(fmt).save(target)
+    q = s.quarantine.count()
+    if quarantine_target is not None:
+        label = batch if batch is not None else "".join(ch if ch.isalnum() else "_" for ch in str(load_ts))
+        (to_quarantine_rows(s.quarantine, table, load_ts).drop("table_name").write.mode("overwrite").format(fmt)
+         .save(f"{quarantine_target.rstrip('/')}/table_name={table}/load_batch={label}"))
+    return {"table": table, "clean_rows": n, "valid": valid, "quarantined": q, "logged": logged}
 
 
 def write_vault_increment(new_rows: DataFrame, target: str, key_col: str, batch, kind: str = "insert_new",
@@ -103,23 +113,26 @@ def write_vault_increment(new_rows: DataFrame, target: str, key_col: str, batch,
     """I1-I3 as a table load (what an incremental vault model run does):
     compare ``new_rows`` (a built hub/link/satellite batch) with the stored
     target *without* this batch's own partition, keep what is new
-    (``insert_new``: hash key not present; ``sat_changes``: hash_diff changed
-    against the current row), and write it to ``<batch_col>=<batch>`` with
-    dynamic overwrite. Replaying the same batch rewrites the same partition,
-    so a crash anywhere leaves no duplicates. Only the key (and for
-    satellites hash_diff and load time) of the target is read. Returns the
-    rows that were to be written (lazy)."""
+    (``insert_new``: hash key not present; ``sat_changes``: differs from the
+    version before it in the key's history), and write it to
+    ``<batch_col>=<batch>`` with dynamic overwrite. Replaying the same batch
+    rewrites the same partition, so a crash anywhere leaves no duplicates. Only
+    an absent target is an empty one: any other trouble raises. Returns the rows
+    that were written."""
     spark = new_rows.sparkSession
-    try:
-        existing = spark.read.format(fmt).load(target).filter(F.col(batch_col) != F.lit(batch))
-    except AnalysisException:
-        existing = None
+    existing = None
+    if path_exists(spark, target):
+        existing = spark.read.format(fmt).load(target)
+        if batch_col not in existing.columns:
+            raise ValueError(f"{target} has no column {batch_col!r}: it was not written batch by batch")
+        existing = existing.filter(F.col(batch_col).cast("string") != F.lit(str(batch)))
     if kind == "sat_changes":
         rows = vault.changed_sat_rows(new_rows, existing, key_col)
     elif kind == "insert_new":
         rows = vault.new_hub_rows(new_rows, existing, key_col)
     else:
         raise ValueError(f"unknown increment kind {kind!r}")
-    (rows.withColumn(batch_col, F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(batch_col).format(fmt).save(target))
-    return rows
+    part = f"{target.rstrip('/')}/{batch_col}={batch}"
+    # This batch's own partition alone is replaced, also by no rows.
+    rows.write.mode("overwrite").format(fmt).save(part)
+    return spark.read.format(fmt).schema(rows.schema).load(part)
