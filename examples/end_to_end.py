@@ -39,7 +39,7 @@ def main(sf_dir: str) -> None:
     targets = {s.name: scratch_path(spark, f"etl_{s.name}") for s in specs}
     reports = run_job(spark, specs, sources, targets, scratch_path(spark, "quarantine"), tpl.LOAD_TS,
                       state_path=scratch_path(spark, "watermarks"), batch_id="run-1",
-                      protection=tpl.protection(spark), key=F.lit("0123456789abcdef"))
+                      protection=tpl.protection(spark), key=F.lit(os.environ["VAULTLINE_KEY"]))
     print("ETL:", json.dumps(reports, default=str))
 
     # 2. The vault, loaded as increments (a rerun of a batch adds nothing).

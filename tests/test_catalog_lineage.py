@@ -49,6 +49,8 @@ def test_lineage_literal_mode_reproduces_original_naming(spark):
                                   dict(rule_id="1", expression="order_id = o_orderkey"),
                                   dict(rule_id="2", expression="total = a + b")])
     e = lineage.edges(m, mode="literal")
+    assert e.filter("NOT matched").count() == 1
+    e = e.filter("matched")
     assert rows(e, "source", "target") == [("c.c_custkey", "customer.customer"), ("o.o_orderkey", "order.order")]
     n = lineage.nodes(e)
     assert n.count() == 4
@@ -63,7 +65,7 @@ def test_lineage_full_mode_keeps_names_and_reports_unmatched(spark):
     got = rows(e, "edge_id", "source", "target", "matched")
     assert got == [("edge_0", "customer.c_custkey", "customer.customer_id", True),
                    ("edge_1", "orders.o_orderkey", "dim.order_id", True),
-                   ("edge_2", "", "", False)]
+                   ("edge_2", None, None, False)]
 
 
 def test_lineage_document_shape(spark):
@@ -82,10 +84,15 @@ def test_lineage_document_shape(spark):
     assert json.loads(per_table[0]["lineage_json"]) == d
 
 
-def test_find_keys_two_phase(spark):
+def test_find_keys_is_exact(spark):
     from tests.conftest import SF01
     c = spark.read.parquet(f"{SF01}/customer.parquet")
-    got = {r["column_name"]: (r["is_unique"], r["exact"]) for r in catalog.find_keys(c, "customer").collect()}
-    assert got["c_custkey"] == (True, True)          # survived the estimate, confirmed exactly
-    assert got["c_mktsegment"] == (False, False)     # ruled out by the estimate alone
-    assert got["c_nationkey"][1] is False
+    got = {r["column_name"]: r for r in catalog.find_keys(c, "customer").collect()}
+    assert got["c_custkey"]["is_unique"] and not got["c_mktsegment"]["is_unique"]
+    assert got["c_nationkey"]["distinct_values"] == c.select("c_nationkey").distinct().count()
+    nulls = spark.createDataFrame([(1, None), (2, None), (3, 4)], "a int, b int")
+    rows_ = {r["column_name"]: (r["rows"], r["nulls"], r["distinct_values"], r["is_unique"])
+             for r in catalog.profile_keys(nulls, "t").collect()}
+    assert rows_ == {"a": (3, 0, 3, True), "b": (3, 2, 1, False)}
+    # An estimate decides nothing.
+    assert {r["is_unique"] for r in catalog.profile_keys(nulls, "t", exact=False).collect()} == {None}

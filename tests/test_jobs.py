@@ -201,3 +201,90 @@ def test_read_sheet_from_csv(spark):
 def test_bad_numeric_cell_reads_as_unspecified(spark):
     df = spark.createDataFrame([("t", "c", "high")], ["Target Table Name", "Target Column Name", "Load Order / Priority"])
     assert normalize(df, "target_columns").first()["load_order"] is None
+
+
+GUIDE_T = [dict(table_name="t", column_name=c, transformation=e, rule=r) for c, e, r in
+           (("id", "", "not null; unique"), ("one", "1", ""), ("name", "c_name", ""))]
+JOIN = "c ON o.cust = c.cid"
+
+
+def _guide_sources(spark):
+    return {"o": spark.createDataFrame([(1, 10, "x"), (2, 11, None), (3, 12, "z")], "oid bigint, cust int, note string"),
+            "c": spark.createDataFrame([(10, "ann", 5), (11, "bob", 50), (12, "cy", 70)], "cid int, c_name string, bal int")}
+
+
+def test_guide_sheet_rows_without_target_table(spark):
+    maps = [dict(rule_id="1", source_table="o", expression="id = oid", join_condition=JOIN),
+            dict(rule_id="2", source_table="o", filter_condition="c.bal > 10", join_condition=JOIN)]
+    spec, = specs_from_metadata(GUIDE_T, maps)
+    assert len(spec.joins) == 1 and spec.columns["id"] == "oid"
+    got = build_target(spec, _guide_sources(spark)).collect()
+    assert sorted((r["id"], r["one"], r["name"]) for r in got) == [(2, 1, "bob"), (3, 1, "cy")]
+    two = GUIDE_T + [dict(table_name="u", column_name="x", transformation="oid")]
+    with pytest.raises(ValueError):
+        specs_from_metadata(two, [dict(rule_id="9", source_table="o", filter_condition="oid > 1")])
+    assert [s.columns["id"] for s in specs_from_metadata(two, maps[:1]) if s.name == "t"] == ["oid"]
+
+
+def test_source_defaults_error_handling_and_pattern(spark):
+    cols = [dict(table_name="t", column_name="id", transformation="oid", data_type="BIGINT"),
+            dict(table_name="t", column_name="note", transformation="note", rule="in('x', 'none')")]
+    maps = [dict(rule_id="1", source_table="o", expression="id = oid")]
+    loads = [dict(table_name="t", load_mode="full", error_handling="Drop the row", file_pattern="part*.parquet")]
+    source = [dict(table_name="o", column_name="note", default_value="none", nullable=True),
+              dict(table_name="o", column_name="oid", nullable=False)]
+    spec, = specs_from_metadata(cols, maps, loads, source_columns=source)
+    assert spec.defaults == {"note": "none"} and {r.effective_handling for r in spec.rules} == {"discard"}
+    assert any(r.kind == "not_null" and r.column == "id" for r in spec.rules)
+    root = scratch_path(spark, "pattern")
+    _guide_sources(spark)["o"].coalesce(1).write.parquet(f"{root}/o.parquet")
+    target, q = scratch_path(spark, "pat_t"), scratch_path(spark, "pat_q")
+    rep, = run_job(spark, [spec], {}, {"t": target}, q, tpl.LOAD_TS, source_root=root)
+    out = spark.read.parquet(target)
+    assert out.columns == ["id", "note"] and sorted(map(tuple, out.collect())) == [(1, "x"), (2, "none")]
+    assert rep["quarantined"] == 0 and rep["rule_problems"] == []
+
+
+def test_job_reports_rules_that_cannot_run(spark):
+    src = {"s": spark.createDataFrame([(1, 2)], "id int, v int")}
+    spec = TargetSpec(name="t", source="s", columns={"id": "id", "v": "v"}, rules=parse_cell("rnge(0, 5)", "v"))
+    target = scratch_path(spark, "bad_t")
+    rep, = run_job(spark, [spec], src, {"t": target}, None, tpl.LOAD_TS)
+    assert rep["rule_problems"][0]["rule"] == "rnge(0, 5)" and spark.read.parquet(target).columns == ["id", "v"]
+    spec.rules = parse_cell("rnge(0, 5)", "v", handling="fail_job")
+    with pytest.raises(Exception, match="cannot run"):
+        run_job(spark, [spec], src, {"t": scratch_path(spark, "bad_u")}, None, tpl.LOAD_TS)
+
+
+def test_incremental_job_edges_and_keys(spark):
+    """NULL watermarks, late ties, a key that an earlier batch holds, stale rejects."""
+    def src(*r):
+        return {"s": spark.createDataFrame(list(r), "id int, day int, v int")}
+    spec = TargetSpec(name="t", source="s", columns={"id": "id", "v": "v"}, load_mode="incremental", watermark_column="day",
+                      rules=parse_cell("unique", "id") + parse_cell("not null", "v"))
+    target, q, state = (scratch_path(spark, f"edge_{x}") for x in "tqs")
+
+    def go(*r):
+        return run_job(spark, [spec], src(*r), {"t": target}, q, tpl.LOAD_TS, state_path=state)[0]
+    one = [(1, 1, 1), (2, 2, 2), (3, None, 3), (4, 2, None)]
+    rep = go(*one)
+    assert (rep["clean_rows"], rep["quarantined"], rep["null_watermarks"]) == (3, 1, 1)
+    late = [*one, (5, 2, 5), (6, None, 6), (1, 9, 1)]
+    rep = go(*late)
+    assert (rep["clean_rows"], rep["quarantined"]) == (2, 1)      # id 1 is there already
+    assert "skipped" in go(*late)
+    assert sorted(r["id"] for r in spark.read.parquet(target).collect()) == [1, 2, 3, 5, 6]
+
+
+def test_full_reload_drops_stale_partitions(spark):
+    spec = TargetSpec(name="t", source="s", columns={"id": "id", "p": "p"}, partition_cols=["p"], rules=parse_cell("not null", "id"))
+    target, q = scratch_path(spark, "stale_t"), scratch_path(spark, "stale_q")
+
+    def go(*r):
+        run_job(spark, [spec], {"s": spark.createDataFrame(list(r), "id int, p string")}, {"t": target}, q, tpl.LOAD_TS)
+    go((1, "007"), (2, "b"), (None, "b"))
+    assert spark.read.parquet(q).count() == 1
+    go((1, "007"))
+    from vaultline.sources.writers import read_partitioned
+    assert [tuple(r) for r in read_partitioned(spark, target, "id int, p string").collect()] == [(1, "007")]
+    assert spark.read.parquet(q).count() == 0                     # the rerun had no rejects

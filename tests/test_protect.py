@@ -10,7 +10,7 @@ from vaultline.operators import protect
 def test_mask_modes(spark):
     df = spark.createDataFrame([("Ab-12c",), (None,), ("abc",)], "v string")
     assert [r[0] for r in protect.mask_columns(df, ["v"], "mask").collect()] == ["Xx-nnx", None, "xxx"]
-    assert [r[0] for r in protect.mask_columns(df, ["v"], "last4").collect()] == ["**-12c", None, "abc"]
+    assert [r[0] for r in protect.mask_columns(df, ["v"], "last4").collect()] == ["**-12c", None, "***"]
     h = protect.mask_columns(df, ["v"], "hash").first()[0]
     assert len(h) == 64
 

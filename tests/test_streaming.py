@@ -5,7 +5,7 @@ import pytest
 from vaultline.operators import vault
 from vaultline.plans.rules import parse_cell
 from vaultline.session import scratch_path
-from vaultline.streaming.loads import (run_available, stream_distinct, stream_dq_load, stream_split,
+from vaultline.streaming.loads import (run_available, stream_distinct, stream_distinct_keys, stream_dq_load, stream_split,
                                       stream_vault_load)
 from tests.conftest import SF001, rows
 
@@ -73,3 +73,41 @@ def test_stream_dq_load_writes_both_sinks(spark):
     n_ok = c.filter("c_acctbal BETWEEN 0 AND 5000").count()
     assert spark.read.parquet(clean).count() == n_ok
     assert spark.read.parquet(quar).count() == c.count() - n_ok
+
+
+def files_stream(spark, df, name, n=3):
+    path = scratch_path(spark, name)
+    df.repartition(n).write.parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def test_fail_job_rows_stop_the_stream_before_any_write(spark):
+    import os
+    df = spark.createDataFrame([(1, 5), (2, None), (3, 7)], "id int, v int")
+    clean, quar = scratch_path(spark, "f_clean"), scratch_path(spark, "f_q")
+    rules = parse_cell("not null", "v", handling="fail_job")
+    with pytest.raises(Exception, match="fail_job"):
+        stream_dq_load(files_stream(spark, df, "f_src", 1), rules, "t", clean, quar, scratch_path(spark, "f_ck"),
+                       "2024-01-01 00:00:00")
+    assert not os.path.exists(clean.replace("file:", "")) and not os.path.exists(quar.replace("file:", ""))
+
+
+def test_distinct_keys_over_batches_and_any_time(spark):
+    """Keys whose events are years apart, in several micro-batches, come once."""
+    df = spark.createDataFrame([(k, f"{y}-01-01") for y in (1990, 2005, 2024) for k in (1, 2, None)], "k int, day string")
+    target = scratch_path(spark, "dk")
+    stream_distinct_keys(files_stream(spark, df, "dk_src"), ["k"], target, scratch_path(spark, "dk_ck"))
+    got = spark.read.parquet(target)
+    assert rows(got, "k") == [(1,), (2,), (None,)]
+    assert got.select("batch_id").distinct().count() >= 1
+
+
+def test_hub_over_several_micro_batches(spark):
+    o, _ = orders_stream(spark)
+    target = scratch_path(spark, "mb")
+
+    def build(b):
+        return vault.hub(b, "o_custkey", "customer", "2024-01-01 00:00:00", "tpch")
+    stream_vault_load(files_stream(spark, o, "mb_src"), build, target, "hub_customer_key", scratch_path(spark, "mb_ck"))
+    got = spark.read.parquet(target)
+    assert rows(got.drop("batch_id")) == rows(build(o)) and got.select("batch_id").distinct().count() > 1

@@ -74,6 +74,7 @@ def surrogate_key(cols: Iterable, schema: T.StructType | None = None,
     return F.upper(F.md5(F.concat_ws(SEPARATOR, *[F.coalesce(p, F.lit(NULL_SENTINEL)) for p in parts])))
 
 
-def hash_diff(attrs: Iterable, schema: T.StructType | None = None, framed: bool = False) -> Column:
-    """H2: the same hash over descriptive attributes, in the given fixed order."""
+def hash_diff(attrs: Iterable, schema: T.StructType | None = None, framed: bool = True) -> Column:
+    """H2: a hash over descriptive attributes, in the given fixed order. Framed by
+    default: free text often holds the separator, and a change must not vanish."""
     return surrogate_key(list(attrs), schema, framed)

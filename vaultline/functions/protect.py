@@ -15,7 +15,8 @@ def _col(c) -> Column:
 def mask_value(c, how: str = "mask") -> Column:
     """P1. ``mask``: upper -> X, lower -> x, digit -> n (others kept);
     ``hash``: SHA-256 hex of the text; ``last4``: all but the last four
-    characters become '*'; ``null``: drop the value."""
+    characters become '*', and all of a value of four or fewer; ``null``: drop the
+    value."""
     col = _col(c).cast("string")
     if how == "mask":
         return F.mask(col)
@@ -23,7 +24,7 @@ def mask_value(c, how: str = "mask") -> Column:
         return F.sha2(col, 256)
     if how == "last4":
         n = F.length(col)
-        return F.when(n <= 4, col).otherwise(
+        return F.when(n <= 4, F.repeat(F.lit("*"), n)).otherwise(
             F.concat(F.repeat(F.lit("*"), n - 4), F.substring(col, -4, 4)))
     if how == "null":
         return F.lit(None).cast("string")

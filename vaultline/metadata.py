@@ -47,7 +47,7 @@ HEADER_ALIASES = {
     "target schema": "schema_name", "transformation logic": "transformation",
     "is derived?": "derived", "load order / priority": "load_order", "partition key?": "partition_key",
     "hash key or business key?": "key_kind",
-    "mapping rule id": "rule_id", "business rule / expression": "expression",
+    "mapping rule id": "rule_id", "source table": "source_table", "target table": "target_table", "business rule / expression": "expression",
     "lookup table used": "lookup_table", "filter conditions": "filter_condition",
     "join conditions": "join_condition", "aggregation rule": "aggregation",
     "load frequency": "frequency", "incremental or full load": "load_mode",

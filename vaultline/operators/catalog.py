@@ -11,6 +11,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vaultline.operators.ordered import union_all_by_name
+
 # Name words that mark an identifier column.
 KEY_WORDS = ("id", "key", "code", "pk", "uuid", "guid")
 # Literal mode reproduces a plain substring test on these words, excluding "date".
@@ -53,48 +55,35 @@ def key_candidates(columns: DataFrame, mode: str = "words") -> DataFrame:
 
 def profile_keys(df: DataFrame, table_name: str, columns: list[str] | None = None,
                  exact: bool = True, rsd: float = 0.05) -> DataFrame:
-    """K2: per column ``rows, nulls, distinct_values, is_unique`` in ONE
-    aggregation pass. ``exact=False`` uses ``approx_count_distinct`` (HLL,
-    fixed memory per column) - use it first on wide tables, then run the
-    exact profile only for columns that may be unique."""
+    """K2: per column ``rows, nulls, distinct_values, is_unique``. Exact: one
+    count per value and column (partial counts before the shuffle, only that
+    column is read), so a hot value is one row and nothing is expanded over the
+    columns. ``exact=False`` estimates ``distinct_values`` (HLL, fixed memory per
+    column) in one pass over all columns; ``is_unique`` is then NULL, not tested."""
     cols = columns or df.columns
-    dist = (lambda c: F.count_distinct(F.col(c))) if exact else (lambda c: F.approx_count_distinct(c, rsd))
-    aggs = [F.count(F.lit(1)).alias("_rows")]
+    if exact:
+        parts = [df.groupBy(F.col(f"`{c}`").alias("v")).agg(F.count(F.lit(1)).alias("n")).agg(
+            F.lit(table_name).alias("table_name"), F.lit(c).alias("column_name"),
+            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("rows"),
+            F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).cast("bigint").alias("nulls"),
+            F.count("v").cast("bigint").alias("distinct_values")) for c in cols]
+        long = union_all_by_name(parts)
+        unique = (F.col("nulls") == 0) & (F.col("distinct_values") == F.col("rows"))
+        return long.withColumn("is_unique", unique)
+    aggs = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(cols):
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"_n{i}"), dist(c).cast("bigint").alias(f"_d{i}")]
-    wide = df.agg(*aggs)
-    stack = "stack({}, {}) as (column_name, nulls, distinct_values)".format(
-        len(cols), ", ".join(f"'{c}', _n{i}, _d{i}" for i, c in enumerate(cols)))
-    long = wide.selectExpr("_rows", stack)
-    return long.select(
-        F.lit(table_name).alias("table_name"), "column_name", F.col("_rows").alias("rows"),
-        "nulls", "distinct_values",
-        ((F.col("nulls") == 0) & (F.col("distinct_values") == F.col("_rows"))).alias("is_unique"))
-
-
-def find_keys(df: DataFrame, table_name: str, columns: list[str] | None = None,
-              rsd: float = 0.05) -> DataFrame:
-    """K2 in two phases: one pass with HyperLogLog distinct counts for every
-    column; then exact counts only for columns that may be unique (no NULLs
-    and an estimate within 3 x ``rsd`` of the row count). The per-column
-    profile rows are tiny and read on the driver between the phases.
-    Adds ``exact``: whether ``distinct_values`` is exact."""
-    cols = columns or df.columns
-    approx = profile_keys(df, table_name, cols, exact=False, rsd=rsd)
-    rows = approx.collect()
-    survivors = [r["column_name"] for r in rows
-                 if r["nulls"] == 0 and r["distinct_values"] >= (1 - 3 * rsd) * r["rows"]]
-    # The estimate rows are already on the driver (one per column): reuse
-    # them instead of running the estimate pass again.
-    others = df.sparkSession.createDataFrame(
-        [(r["table_name"], r["column_name"], r["rows"], r["nulls"], r["distinct_values"], False, False)
-         for r in rows if r["column_name"] not in survivors],
-        "table_name string, column_name string, rows bigint, nulls bigint, distinct_values bigint, "
-        "is_unique boolean, exact boolean")
-    if not survivors:
-        return others
-    exact = profile_keys(df, table_name, survivors, exact=True).withColumn("exact", F.lit(True))
-    return exact.unionByName(others)
+        aggs += [F.count_if(F.col(f"`{c}`").isNull()).alias(f"_n{i}"), F.approx_count_distinct(f"`{c}`", rsd).alias(f"_d{i}")]
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_n{i}").alias("nulls"),
+                               F.col(f"_d{i}").alias("distinct_values")) for i, c in enumerate(cols)])
+    return (df.agg(*aggs).select("rows", F.explode(cells).alias("c"))
+            .select(F.lit(table_name).alias("table_name"), "c.column_name", "rows", "c.nulls", "c.distinct_values",
+                    F.lit(None).cast("boolean").alias("is_unique")))
+
+
+def find_keys(df: DataFrame, table_name: str, columns: list[str] | None = None) -> DataFrame:
+    """K2 for discovery: every column is tested exactly, so a true key is never
+    denied by an estimate. One partially aggregated count per column."""
+    return profile_keys(df, table_name, columns)
 
 
 def satellite_groups(columns: DataFrame, key_flag: str = "is_key") -> DataFrame:

@@ -27,9 +27,11 @@ SCRIPT_PLACEHOLDER = "# Transformation logic not provided"
 
 
 def edges(mappings: DataFrame, expr_col: str = "expression", mode: str = "full",
-          include_unmatched: bool = False) -> DataFrame:
+          include_unmatched: bool = True) -> DataFrame:
     """L1: ``edge_id, source, target, source_table, source_column,
-    target_table, target_column, transformation, matched``."""
+    target_table, target_column, transformation, matched``. Rules that are no
+    plain mapping come with ``matched = false`` and without ends, unless
+    ``include_unmatched`` is off."""
     e = F.coalesce(F.trim(F.col(expr_col)), F.lit(""))
     cols = mappings.columns
     tt_default = F.col("target_table") if "target_table" in cols else F.lit(None).cast("string")
@@ -47,19 +49,25 @@ def edges(mappings: DataFrame, expr_col: str = "expression", mode: str = "full",
         stab = F.coalesce(F.nullif(F.regexp_extract(e, _FULL, 3), F.lit("")), st_default)
         scol = F.regexp_extract(e, _FULL, 4)
         matched = matched & ttab.isNotNull() & stab.isNotNull()
+    stab, scol, ttab, tcol = (F.when(matched, c) for c in (stab, scol, ttab, tcol))
     rid = F.col("rule_id") if "rule_id" in cols else F.monotonically_increasing_id().cast("string")
     out = mappings.select(
         F.concat(F.lit("edge_"), rid.cast("string")).alias("edge_id"),
-        F.concat_ws(".", stab, scol).alias("source"), F.concat_ws(".", ttab, tcol).alias("target"),
+        F.concat(stab, F.lit("."), scol).alias("source"), F.concat(ttab, F.lit("."), tcol).alias("target"),
         stab.alias("source_table"), scol.alias("source_column"),
         ttab.alias("target_table"), tcol.alias("target_column"),
         F.when(e == "", F.lit(DIRECT_MAPPING_LABEL)).otherwise(e).alias("transformation"),
         matched.alias("matched"))
-    return out if include_unmatched else out.filter("matched").drop("matched")
+    return out if include_unmatched else out.filter("matched")
+
+
+def _matched(edges_df: DataFrame) -> DataFrame:
+    return edges_df.filter("matched") if "matched" in edges_df.columns else edges_df
 
 
 def nodes(edges_df: DataFrame) -> DataFrame:
     """L2: one node per distinct ``table.column`` over both edge ends."""
+    edges_df = _matched(edges_df)
     ends = edges_df.select(F.explode(F.array(
         F.struct(F.col("source").alias("id"), F.col("source_table").alias("table_name"),
                  F.col("source_column").alias("column_name")),
@@ -80,7 +88,7 @@ def document(nodes_df: DataFrame, edges_df: DataFrame, per_target_table: bool =
     edge_struct = F.struct(F.col("edge_id").alias("id"), "source", "target",
                            F.col("transformation").alias("label"), "transformation")
     doc_key = F.col("target_table") if per_target_table else F.lit("*")
-    e = edges_df.withColumn("_doc", doc_key)
+    e = _matched(edges_df).withColumn("_doc", doc_key)
     if per_target_table:
         # Nodes of a document = both ends of its edges.
         ends = e.select("_doc", F.explode(F.array(

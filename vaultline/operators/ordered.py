@@ -37,7 +37,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_SLICES = 256
+# Slices by default: one per this many rows, within the bounds.
+ROWS_PER_SLICE, LEAST_SLICES, MOST_SLICES = 500_000, 8, 1024
 SAMPLE_PER_SLICE = 50   # the sample of order values has about slices times this many rows
 
 
@@ -45,9 +46,10 @@ def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _sample_bounds(df: DataFrame, order: Sequence[str], slices: int) -> list[Column]:
+def _sample_bounds(df: DataFrame, order: Sequence[str], slices: int | None) -> list[Column]:
     """Up to ``slices - 1`` ascending order tuples at quantiles of a sample."""
     n = df.count()
+    slices = slices or max(LEAST_SLICES, min(MOST_SLICES, n // ROWS_PER_SLICE))
     share = min(1.0, slices * SAMPLE_PER_SLICE / max(n, 1))
     sample = df.select(*order)
     if share < 1.0:
@@ -72,7 +74,7 @@ def _slice_of(at: Column, bounds: list[Column], low: int = 0) -> Column:
             .otherwise(_slice_of(at, bounds[:m], low)))
 
 
-def with_slice_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int) -> DataFrame:
+def with_slice_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None) -> DataFrame:
     """Add ``_grp = struct(keys..., s)``, ``s`` the slice of the order tuple."""
     # Field names do not matter to a comparison; positions do.
     at = F.struct(*[F.col(c) for c in order])
@@ -81,14 +83,14 @@ def with_slice_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def ordered_lag(df: DataFrame, keys, order, values, prefix: str = "prev_",
-                skew_safe: bool = True, slices: int = DEFAULT_SLICES) -> DataFrame:
+                skew_safe: bool = True, slices: int | None = None) -> DataFrame:
     """Add ``prefix + v`` = value of ``v`` on the previous row of the same
     key in ``order`` (NULL on a key's first row). Rows that tie in ``order`` are
     ordered by a hash of the row, the same in every run and plan."""
     keys, order, values = _names(keys), _names(order), _names(values)
     base = df.withColumn("_tie", F.xxhash64(*[F.col(c) for c in df.columns]))
     order = [*order, "_tie"]
-    if not skew_safe or slices <= 1:
+    if not skew_safe or slices == 1:
         w = Window.partitionBy(*keys).orderBy(*order)
         return base.withColumns({f"{prefix}{v}": F.lag(v).over(w) for v in values}).drop("_tie")
 

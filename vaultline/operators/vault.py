@@ -60,17 +60,19 @@ def staging(source: DataFrame, columns: Mapping[str, str] | Sequence[str],
 
 
 def hub(stg: DataFrame, key_cols, name: str, load_ts, record_source: str,
-        key_col: str | None = None) -> DataFrame:
-    """distinct non-NULL business keys + hash key + audit columns."""
+        key_col: str | None = None, framed: bool = False) -> DataFrame:
+    """distinct non-NULL business keys + hash key + audit columns. ``framed``
+    keys cannot collide across the columns of a composite key; the default is
+    the public convention, which other tools reproduce. Use one form per vault."""
     keys = _names(key_cols)
     hk = key_col or hub_key_name(name)
     distinct = require_keys(stg.select(*keys), keys).distinct()
-    hashed = distinct.select(surrogate_key(keys, distinct.schema).alias(hk), *keys)
+    hashed = distinct.select(surrogate_key(keys, distinct.schema, framed).alias(hk), *keys)
     return audit_columns(hashed, load_ts, record_source)
 
 
 def link(stg: DataFrame, hubs: Mapping[str, Sequence[str]], name: str, load_ts, record_source: str,
-         key_col: str | None = None) -> DataFrame:
+         key_col: str | None = None, framed: bool = False) -> DataFrame:
     """one row per distinct combination of the hubs' business keys (rows
     with any NULL key dropped); a hash key per hub and one over all keys."""
     all_cols: list[str] = []
@@ -78,19 +80,19 @@ def link(stg: DataFrame, hubs: Mapping[str, Sequence[str]], name: str, load_ts,
         all_cols += [c for c in _names(cols) if c not in all_cols]
     distinct = require_keys(stg.select(*all_cols), all_cols).distinct()
     lk = key_col or f"link_{name.lower()}_key"
-    hub_keys = [surrogate_key(_names(cols), distinct.schema).alias(hub_key_name(h)) for h, cols in hubs.items()]
-    hashed = distinct.select(surrogate_key(all_cols, distinct.schema).alias(lk), *hub_keys)
+    hub_keys = [surrogate_key(_names(cols), distinct.schema, framed).alias(hub_key_name(h)) for h, cols in hubs.items()]
+    hashed = distinct.select(surrogate_key(all_cols, distinct.schema, framed).alias(lk), *hub_keys)
     return audit_columns(hashed, load_ts, record_source)
 
 
 def satellite(stg: DataFrame, key_cols, attrs: Sequence[str], name: str, load_ts, record_source: str,
-              key_col: str | None = None) -> DataFrame:
+              key_col: str | None = None, framed: bool = False) -> DataFrame:
     """hub key + hash_diff over ``attrs`` (fixed order) + attributes,
     one row per distinct (key, attribute values)."""
     keys, attrs = _names(key_cols), list(attrs)
     hk = key_col or hub_key_name(name)
     distinct = require_keys(stg.select(*keys, *attrs), keys).distinct()
-    out = distinct.select(surrogate_key(keys, distinct.schema).alias(hk),
+    out = distinct.select(surrogate_key(keys, distinct.schema, framed).alias(hk),
                           hash_diff(attrs, distinct.schema).alias(HD), *attrs)
     return audit_columns(out, load_ts, record_source)
 

@@ -8,6 +8,7 @@ times, never row subsets.
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,8 @@ from vaultline.functions.hashing import NULL_SENTINEL, surrogate_key
 from vaultline.operators import aggregate as agg
 from vaultline.operators import catalog, incremental, joins, lineage, ordered, protect, quality, transform, vault
 from vaultline.plans import template as tpl
-from vaultline.plans.jobs import checked_target, specs_from_metadata
+from vaultline.metadata import normalize
+from vaultline.plans.jobs import checked_target, run_job, specs_from_metadata
 from vaultline.plans.rules import Rule, rules_from_rows
 from vaultline.operators.transform import require_keys
 from vaultline.session import scratch_path
@@ -47,6 +49,12 @@ def sk(*exprs: str) -> str:
     return f"upper(md5(concat_ws('-', {parts})))"
 
 
+def hd(*exprs: str) -> str:
+    """The framed hash of ``hash_diff``."""
+    parts = ", ".join(f"coalesce(length(CAST({e} AS VARCHAR)) || ':' || CAST({e} AS VARCHAR), '~')" for e in exprs)
+    return f"upper(md5(concat_ws('|', {parts})))"
+
+
 TS1 = f"TIMESTAMP '{tpl.LOAD_TS}'"
 TS2 = f"TIMESTAMP '{tpl.LOAD_TS2}'"
 
@@ -193,20 +201,23 @@ def q_join_lookup(spark, sf):
 
 @query("anti_not_in", """
 SELECT c_custkey, c_nationkey FROM customer
-WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000)""")
+WHERE c_nationkey NOT IN (SELECT CASE WHEN s_acctbal > 5000 THEN s_nationkey ELSE -1 END FROM supplier)""")
 def q_anti_not_in(spark, sf):
     c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    s = _t(spark, sf, "supplier").filter(F.col("s_acctbal") > 5000)
+    # The whole list; poorer suppliers' nations are replaced, so that some are missing.
+    s = _t(spark, sf, "supplier").select(F.when(F.col("s_acctbal") > 5000, F.col("s_nationkey")).otherwise(-1).alias("s_nationkey"))
     return joins.anti_not_in(c, "c_nationkey", s, "s_nationkey")
 
 
 @query("dq_relationships", """
 SELECT o_orderkey, o_custkey FROM orders o
 WHERE o_custkey IS NOT NULL AND NOT EXISTS (
-  SELECT 1 FROM customer c WHERE c.c_mktsegment <> 'BUILDING' AND c.c_custkey = o.o_custkey)""")
+  SELECT 1 FROM customer c WHERE CASE WHEN c.c_mktsegment <> 'BUILDING' THEN c.c_custkey ELSE -1 END = o.o_custkey)""")
 def q_relationships_check(spark, sf):
     o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    parent = _t(spark, sf, "customer").filter(F.col("c_mktsegment") != "BUILDING")
+    # The whole parent table; one segment's keys are replaced, so that there are orphans.
+    parent = _t(spark, sf, "customer").select(
+        F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_custkey")).otherwise(-1).alias("c_custkey"))
     return joins.orphans(o, "o_custkey", parent, "c_custkey")
 
 
@@ -252,10 +263,9 @@ def q_suite_verdict(spark, sf):
 @query("dq_record_count", f"""
 SELECT 'orders' AS table_name, count(*) AS record_count, CAST(0 AS BIGINT) AS expected,
        CASE WHEN count(*) > 0 THEN 'passed' ELSE 'failed' END AS status
-FROM orders WHERE o_orderdate > TIMESTAMP '{tpl.ORDER_CUTOFF}'""")
+FROM orders""")
 def q_record_count(spark, sf):
-    o = transform.filter_rows(_t(spark, sf, "orders"), f"o_orderdate > '{tpl.ORDER_CUTOFF[:10]}'")
-    return agg.record_count_check(o, "orders", 0)
+    return agg.record_count_check(_t(spark, sf, "orders"), "orders", 0)
 
 
 # ====================================================================== W: current row per key
@@ -300,22 +310,22 @@ def q_accepted(spark, sf):
 
 
 @query("dq_regex", """
-SELECT c_custkey, c_name FROM customer WHERE NOT coalesce(regexp_matches(c_name, '^Customer#00000[0-4]'), true)""")
+SELECT c_custkey, c_name FROM customer WHERE NOT coalesce(regexp_matches(c_name, '^Customer#[0-9]*[02468]$'), true)""")
 def q_regex(spark, sf):
     c = _t(spark, sf, "customer").select("c_custkey", "c_name")
-    return c.filter(quality.rule_predicate(Rule(column="c_name", kind="regex", args=("^Customer#00000[0-4]",))))
+    return c.filter(quality.rule_predicate(Rule(column="c_name", kind="regex", args=("^Customer#[0-9]*[02468]$",))))
 
 
-@query("dq_max_length", "SELECT p_partkey, p_name FROM part WHERE NOT coalesce(length(p_name) <= 30, true)")
+@query("dq_max_length", "SELECT p_partkey, p_name FROM part WHERE NOT coalesce(length(p_name) <= 8, true)")
 def q_max_length(spark, sf):
     p = _t(spark, sf, "part").select("p_partkey", "p_name")
-    return p.filter(quality.rule_predicate(Rule(column="p_name", kind="max_length", args=(30,))))
+    return p.filter(quality.rule_predicate(Rule(column="p_name", kind="max_length", args=(8,))))
 
 
-@query("dq_min_length", "SELECT p_partkey, p_name FROM part WHERE NOT coalesce(length(p_name) >= 25, true)")
+@query("dq_min_length", "SELECT p_partkey, p_name FROM part WHERE NOT coalesce(length(p_name) >= 9, true)")
 def q_min_length(spark, sf):
     p = _t(spark, sf, "part").select("p_partkey", "p_name")
-    return p.filter(quality.rule_predicate(Rule(column="p_name", kind="min_length", args=(25,))))
+    return p.filter(quality.rule_predicate(Rule(column="p_name", kind="min_length", args=(9,))))
 
 
 @query("dq_length_between", """
@@ -402,8 +412,8 @@ def q_unique_combination(spark, sf):
     return quality.duplicate_combinations(_t(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-REPORT_RULES = [("customer", "c_custkey", "not null; unique"), ("customer", "c_acctbal", "Range(0, 5000)"),
-                ("customer", "c_name", "Regex(^Customer#00000[0-4]); Unsupported"),
+REPORT_RULES = [("customer", "c_custkey", "not null; unique"), ("customer", "c_acctbal", "Range(0, 5000); Range(0, 9000)"),
+                ("customer", "c_name", "Regex(^Customer#00000[0-4]); Regex([02468]$); Unsupported"),
                 ("customer", "c_phone", "format(phone)"), ("customer", "c_mktsegment", "range(1)")]
 
 
@@ -411,17 +421,20 @@ RULE_REPORT_SQL = """
 WITH meta(table_name, column_name, rule_text, rule_kind, status, message, test_name) AS (VALUES
   ('customer', 'c_custkey', 'not null', 'not_null', 'ok', '', 'not_null:c_custkey'),
   ('customer', 'c_custkey', 'unique', 'unique', 'ok', '', 'unique:c_custkey'),
-  ('customer', 'c_acctbal', 'Range(0, 5000)', 'range', 'ok', '', 'range:c_acctbal'),
-  ('customer', 'c_name', 'Regex(^Customer#00000[0-4])', 'regex', 'ok', '', 'regex:c_name'),
+  ('customer', 'c_acctbal', 'Range(0, 5000)', 'range', 'ok', '', 'range 5000'),
+  ('customer', 'c_acctbal', 'Range(0, 9000)', 'range', 'ok', '', 'range 9000'),
+  ('customer', 'c_name', 'Regex(^Customer#00000[0-4])', 'regex', 'ok', '', 'regex start'),
+  ('customer', 'c_name', 'Regex([02468]$)', 'regex', 'ok', '', 'regex end'),
   ('customer', 'c_name', 'Unsupported', 'unsupported', 'unsupported', 'unsupported rule ''Unsupported''', NULL),
   ('customer', 'c_phone', 'format(phone)', 'unsupported', 'unsupported', 'unsupported rule ''format(phone)''',
    NULL),
   ('customer', 'c_mktsegment', 'range(1)', 'range', 'malformed', 'range needs two bounds', NULL)),
 counts AS (
   SELECT 'not_null:c_custkey' AS test_name, count_if(c_custkey IS NULL) AS failures FROM customer
-  UNION ALL SELECT 'range:c_acctbal', count_if(NOT coalesce(c_acctbal >= 0 AND c_acctbal <= 5000, true)) FROM customer
-  UNION ALL SELECT 'regex:c_name', count_if(NOT coalesce(regexp_matches(c_name, '^Customer#00000[0-4]'), true))
-            FROM customer
+  UNION ALL SELECT 'range 5000', count_if(NOT coalesce(c_acctbal >= 0 AND c_acctbal <= 5000, true)) FROM customer
+  UNION ALL SELECT 'range 9000', count_if(NOT coalesce(c_acctbal >= 0 AND c_acctbal <= 9000, true)) FROM customer
+  UNION ALL SELECT 'regex start', count_if(NOT coalesce(regexp_matches(c_name, '^Customer#00000[0-4]'), true)) FROM customer
+  UNION ALL SELECT 'regex end', count_if(NOT coalesce(regexp_matches(c_name, '[02468]$'), true)) FROM customer
   UNION ALL SELECT 'unique:c_custkey', CAST(coalesce(sum(n), 0) AS BIGINT) FROM (
             SELECT count(*) AS n FROM customer WHERE c_custkey IS NOT NULL GROUP BY c_custkey HAVING count(*) > 1))
 SELECT meta.table_name, meta.column_name, meta.rule_text, meta.rule_kind, meta.status, meta.message,
@@ -545,6 +558,58 @@ def q_etl_orders(spark, sf):
     return checked_target(spec, tpl.sources(spark, sf)).clean.drop(quality.FAILED)
 
 
+@query("etl_job", f"SELECT order_id, CAST(order_id * 10 AS BIGINT) AS tenfold FROM ({ETL_ORDERS_SQL})")
+def q_etl_job(spark, sf):
+    """E10 with its sinks: the orders job run on the early half of the source,
+    on the whole source and again; the target read back as it was written."""
+    specs = [s for s in specs_from_metadata(tpl.TARGET_ROWS, tpl.MAPPING_ROWS, tpl.LOAD_ROWS) if s.name == "orders"]
+    specs[0].columns["tenfold"], specs[0].types["tenfold"] = "o_orderkey * 10", "BIGINT"
+    src = tpl.sources(spark, sf)
+    target, quarantine, state = (scratch_path(spark, f"etl_job_{x}") for x in ("target", "quarantine", "state"))
+    early = {**src, "orders": src["orders"].filter(F.col("o_orderdate") < _lit_ts(tpl.JOB_CUTOFF))}
+    for sources in (early, src, src):
+        run_job(spark, specs, sources, {"orders": target}, quarantine, tpl.LOAD_TS, state_path=state)
+    return spark.read.parquet(target).drop(incremental.LOAD_BATCH)
+
+
+# A user's sheets as the guide heads them: no target table in the mapping, one
+# row per rule, the same join twice, a filter on the joined table, a literal.
+GUIDE_TARGET = [("order_facts", "order_id", "BIGINT", "", "not null; unique"),
+                ("order_facts", "segment", "VARCHAR(20)", "c_mktsegment", ""),
+                ("order_facts", "priority", "VARCHAR(20)", "o_orderpriority", "in('1-URGENT', '2-HIGH', 'NONE')"),
+                ("order_facts", "one", "INTEGER", "1", "")]
+GUIDE_JOIN = "customer ON orders.o_custkey = customer.c_custkey"
+GUIDE_MAPPING = [("1", "order_id = o_orderkey", "", GUIDE_JOIN, "orders"), ("2", "", "customer.c_acctbal > 1000", GUIDE_JOIN, "orders")]
+
+
+@query("etl_guide_sheets", """
+WITH t AS (SELECT o_orderkey AS order_id, c_mktsegment AS segment,
+    coalesce(CASE WHEN o_orderpriority LIKE '1%' THEN NULL ELSE o_orderpriority END, 'NONE') AS priority, 1 AS one
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal > 1000)
+SELECT order_id, segment, priority, one FROM t WHERE priority IN ('1-URGENT', '2-HIGH', 'NONE')""")
+def q_etl_guide_sheets(spark, sf):
+    """E10 from sheets with the guide's own headers, through ``run_job``: inferred
+    target, expression for a blank transformation, default value of a source
+    column, "Drop" as error handling."""
+    def sheet_of(rows, headers, kind):
+        return normalize(spark.createDataFrame(rows, ", ".join(f"`{h}` string" for h in headers)), kind)
+    specs = specs_from_metadata(
+        sheet_of(GUIDE_TARGET, ["Target Table Name", "Target Column Name", "Target Data Type", "Transformation Logic", "Validations"],
+                 "target_columns"),
+        sheet_of(GUIDE_MAPPING, ["Mapping Rule ID", "Business Rule / Expression", "Filter Conditions", "Join Conditions",
+                                 "Source Table"], "mappings"),
+        sheet_of([("order_facts", "Daily", "Full", "Drop bad rows")],
+                 ["Target Table Name", "Load Frequency", "Incremental or Full Load", "Error Handling Logic"], "loads"),
+        source_columns=sheet_of([("orders", "o_orderpriority", "true", "NONE")],
+                                ["Source Table Name", "Source Column Name", "Nullable", "Default Value"], "source_columns"))
+    src = tpl.sources(spark, sf)
+    urgent = F.when(~F.col("o_orderpriority").startswith("1"), F.col("o_orderpriority"))
+    target, quarantine = scratch_path(spark, "guide_target"), scratch_path(spark, "guide_quarantine")
+    run_job(spark, specs, {"orders": _t(spark, sf, "orders").withColumn("o_orderpriority", urgent), "customer": src["customer"]},
+            {"order_facts": target}, quarantine, tpl.LOAD_TS)
+    return spark.read.parquet(target)
+
+
 # ====================================================================== H/F/I: vault
 
 @query("surrogate_key", f"""
@@ -560,7 +625,7 @@ def q_surrogate_key(spark, sf):
 SAT_ATTRS_SQL = ("c_name", "CAST(c_acctbal AS DECIMAL(18,2))", "nullif(c_mktsegment, 'BUILDING')")
 
 
-@query("hash_diff", f"SELECT c_custkey, {sk(*SAT_ATTRS_SQL)} AS hash_diff FROM customer")
+@query("hash_diff", f"SELECT c_custkey, {hd(*SAT_ATTRS_SQL)} AS hash_diff FROM customer")
 def q_hash_diff(spark, sf):
     s = _customer_sat_stage(spark, sf)
     return s.select(F.col("customer_id").alias("c_custkey"), vault.hash_diff(["customer_name", "acctbal", "segment"],
@@ -578,7 +643,7 @@ def _customer_sat_stage(spark, sf):
 SELECT c_custkey AS customer_id, nullif(trim(c_name), '') AS customer_name,
        CAST(c_acctbal AS DECIMAL(18,2)) AS acctbal, nullif(trim(nullif(c_mktsegment, 'BUILDING')), '') AS segment,
        {sk('c_custkey')} AS hub_customer_key,
-       {sk("nullif(trim(c_name), '')", 'CAST(c_acctbal AS DECIMAL(18,2))',
+       {hd("nullif(trim(c_name), '')", 'CAST(c_acctbal AS DECIMAL(18,2))',
            "nullif(trim(nullif(c_mktsegment, 'BUILDING')), '')")} AS hash_diff
 FROM customer""")
 def q_staging_customer(spark, sf):
@@ -630,7 +695,7 @@ def q_link_lineitem(spark, sf):
 
 
 @query("sat_customer_details", f"""
-SELECT {sk('c_custkey')} AS hub_customer_key, {sk('c_name', 'acctbal', 'segment')} AS hash_diff,
+SELECT {sk('c_custkey')} AS hub_customer_key, {hd('c_name', 'acctbal', 'segment')} AS hash_diff,
        c_name, acctbal, segment, {TS1} AS load_datetime, 'tpch' AS record_source
 FROM (SELECT DISTINCT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(18,2)) AS acctbal,
              nullif(c_mktsegment, 'BUILDING') AS segment FROM customer WHERE c_custkey IS NOT NULL)""")
@@ -644,8 +709,8 @@ def q_sat_customer(spark, sf):
 
 SAT_HISTORY_SQL = f"""
 SELECT hub_user_key, hash_diff, event_type, ts AS load_datetime, 'tpch' AS record_source FROM (
-  SELECT {sk('user_id')} AS hub_user_key, {sk('event_type')} AS hash_diff, event_type, ts,
-         lag({sk('event_type')}) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_hd
+  SELECT {sk('user_id')} AS hub_user_key, {hd('event_type')} AS hash_diff, event_type, ts,
+         lag({hd('event_type')}) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev_hd
   FROM events WHERE user_id IS NOT NULL)
 WHERE prev_hd IS DISTINCT FROM hash_diff"""
 
@@ -701,7 +766,7 @@ def q_link_incremental(spark, sf):
 
 
 def _latest_sat_sql(where: str, ts: str) -> str:
-    return f"""SELECT {sk('user_id')} AS hub_user_key, {sk('event_type')} AS hash_diff, event_type,
+    return f"""SELECT {sk('user_id')} AS hub_user_key, {hd('event_type')} AS hash_diff, event_type,
        {ts} AS load_datetime, 'tpch' AS record_source FROM events {where}
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
 
@@ -724,7 +789,7 @@ def q_sat_incremental(spark, sf):
 
 
 @query("sat_load", f"""
-WITH s AS (SELECT {sk('user_id')} AS hub_user_key, {sk('event_type')} AS hash_diff, event_type,
+WITH s AS (SELECT {sk('user_id')} AS hub_user_key, {hd('event_type')} AS hash_diff, event_type,
              ts AS load_datetime, 'tpch' AS record_source FROM events WHERE user_id IS NOT NULL),
 d AS (SELECT DISTINCT * FROM s)
 SELECT hub_user_key, hash_diff, event_type, load_datetime, record_source FROM (
@@ -1007,70 +1072,51 @@ def q_relationships(spark, sf):
 
 # ====================================================================== L: lineage
 
-def _lineage_edges_with_rows(spark, sf, mode="full"):
-    e = lineage.edges(tpl.mappings(spark), mode=mode)
-    specs = _etl_specs(spark)
-    srcs = tpl.sources(spark, sf)
-    counts = []
-    for name, spec in specs.items():
-        spec.null_check_all = True
-        clean = checked_target(spec, srcs).clean
-        counts.append(clean.agg(F.count(F.lit(1)).alias("target_rows")).withColumn("target_table", F.lit(name)))
-    return e, ordered.union_all_by_name(counts)
+# A mapping sheet with a rule per part: most map a column, some are no plain
+# mapping, some are blank, tables are named in the rule or by the row.
+_RULE_SQL = ("CASE WHEN p_partkey % 7 = 0 THEN 'SUM(p_size) over parts' WHEN p_partkey % 11 = 0 THEN NULL "
+             "WHEN p_partkey % 2 = 0 THEN 'item_' || p_partkey || ' = ' || lower(p_type) "
+             "ELSE replace(p_brand, '#', '_') || '.item_' || p_partkey || ' = part.' || lower(p_type) END")
+MAPPINGS_SQL = (f"SELECT CAST(p_partkey AS VARCHAR) AS rule_id, replace(p_brand, '#', '_') AS target_table, "
+                f"'part' AS source_table, {_RULE_SQL} AS expression FROM part")
 
 
-ETL_ROWS_SQL = f"""
-SELECT 'customer' AS target_table, count(*) AS target_rows FROM ({ETL_CUSTOMER_SQL})
-UNION ALL
-SELECT 'orders', count(*) FROM ({ETL_ORDERS_SQL})"""
+def _mapping_sheet(spark, sf):
+    return _t(spark, sf, "part").selectExpr("CAST(p_partkey AS STRING) AS rule_id", "replace(p_brand, '#', '_') AS target_table",
+                                            "'part' AS source_table", f"{_RULE_SQL} AS expression")
+
 
-# The template's mapping rows, and the default lineage rule ([table.]target =
-# [table.]source, bare names take the row's tables), in SQL.
-MAPPINGS_SQL = "SELECT * FROM (VALUES " + ", ".join(
-    f"('{m['rule_id']}', '{m['target_table']}', '{m['source_table']}', '{m['expression']}')"
-    for m in tpl.MAPPING_ROWS) + ") m(rule_id, target_table, source_table, expression)"
 _FULL_RE = r"^\s*(?:(\w+)\.)?(\w+)\s*=\s*(?:(\w+)\.)?(\w+)\s*$"
 EDGES_SQL = f"""
 SELECT 'edge_' || rule_id AS edge_id,
-       coalesce(nullif(regexp_extract(expression, '{_FULL_RE}', 3), ''), source_table) AS source_table,
-       regexp_extract(expression, '{_FULL_RE}', 4) AS source_column,
-       coalesce(nullif(regexp_extract(expression, '{_FULL_RE}', 1), ''), target_table) AS target_table,
-       regexp_extract(expression, '{_FULL_RE}', 2) AS target_column,
-       trim(expression) AS transformation
-FROM ({MAPPINGS_SQL}) WHERE regexp_matches(trim(expression), '{_FULL_RE}')"""
+       CASE WHEN ok THEN coalesce(nullif(regexp_extract(e, '{_FULL_RE}', 3), ''), source_table) END AS source_table,
+       CASE WHEN ok THEN regexp_extract(e, '{_FULL_RE}', 4) END AS source_column,
+       CASE WHEN ok THEN coalesce(nullif(regexp_extract(e, '{_FULL_RE}', 1), ''), target_table) END AS target_table,
+       CASE WHEN ok THEN regexp_extract(e, '{_FULL_RE}', 2) END AS target_column,
+       CASE WHEN e = '' THEN 'direct mapping' ELSE e END AS transformation, ok AS matched
+FROM (SELECT *, coalesce(trim(expression), '') AS e, regexp_matches(coalesce(trim(expression), ''), '{_FULL_RE}') AS ok
+      FROM ({MAPPINGS_SQL}))"""
 
 
 @query("lineage_edges", f"""
-WITH e AS ({EDGES_SQL}), r AS ({ETL_ROWS_SQL})
-SELECT e.edge_id, e.source_table || '.' || e.source_column AS source,
-       e.target_table || '.' || e.target_column AS target, e.transformation, r.target_rows
-FROM e JOIN r ON e.target_table = r.target_table""")
+SELECT edge_id, source_table || '.' || source_column AS source, target_table || '.' || target_column AS target,
+       transformation, matched FROM ({EDGES_SQL})""")
 def q_lineage_edges(spark, sf):
-    e, counts = _lineage_edges_with_rows(spark, sf)
-    return (e.join(counts, "target_table")
-            .select("edge_id", "source", "target", "transformation", "target_rows"))
+    """L1, rules that are no plain mapping included."""
+    return lineage.edges(_mapping_sheet(spark, sf)).select("edge_id", "source", "target", "transformation", "matched")
 
 
 @query("lineage_nodes", f"""
-WITH e AS ({EDGES_SQL}),
-n AS (SELECT source_table || '.' || source_column AS id, source_table AS table_name, source_column AS column_name
-      FROM e UNION
-      SELECT target_table || '.' || target_column, target_table, target_column FROM e),
-c AS (SELECT 'customer' AS t, count(*) AS rows FROM customer UNION ALL SELECT 'orders', count(*) FROM orders)
-SELECT n.*, c.rows AS source_rows FROM n JOIN c ON n.table_name = c.t""")
+WITH e AS (SELECT * FROM ({EDGES_SQL}) WHERE matched)
+SELECT source_table || '.' || source_column AS id, source_table AS table_name, source_column AS column_name FROM e
+UNION SELECT target_table || '.' || target_column, target_table, target_column FROM e""")
 def q_lineage_nodes(spark, sf):
-    """L2, each node with the row count of its table's source (data read)."""
-    e = lineage.edges(tpl.mappings(spark))
-    nodes = lineage.nodes(e)
-    src = tpl.sources(spark, sf)
-    counts = ordered.union_all_by_name(
-        [src[t].agg(F.count(F.lit(1)).alias("source_rows")).withColumn("table_name", F.lit(t))
-         for t in ("customer", "orders")])
-    return nodes.join(counts, "table_name")
+    """L2."""
+    return lineage.nodes(lineage.edges(_mapping_sheet(spark, sf)))
 
 
 LINEAGE_JSON_SQL = f"""
-WITH e AS ({EDGES_SQL}),
+WITH e AS (SELECT * FROM ({EDGES_SQL}) WHERE matched),
 n AS (SELECT DISTINCT target_table AS doc, source_table || '.' || source_column AS id, source_table AS tbl,
              source_column AS col FROM e
       UNION SELECT target_table, target_table || '.' || target_column, target_table, target_column FROM e),
@@ -1078,23 +1124,21 @@ nl AS (SELECT doc, list_sort(list(struct_pack(id := id, type := 'Column', name :
              parent := struct_pack(id := tbl, type := 'Table', name := tbl)))) AS nodes FROM n GROUP BY doc),
 el AS (SELECT target_table AS doc, list_sort(list(struct_pack(id := edge_id,
              source := source_table || '.' || source_column, target := target_table || '.' || target_column,
-             label := transformation, transformation := transformation))) AS edges FROM e GROUP BY target_table),
-r AS ({ETL_ROWS_SQL})
+             label := transformation, transformation := transformation))) AS edges FROM e GROUP BY target_table)
 SELECT nl.doc AS target_table,
        CAST(to_json(struct_pack(codeGraph := struct_pack(nodes := nl.nodes, edges := el.edges),
                            sourceProperties := []::VARCHAR[], targetProperties := []::VARCHAR[],
                            script := struct_pack(codeFormat := 'python',
                                                  placeholder := '# Transformation logic not provided')))
-            AS VARCHAR) AS lineage_json,
-       r.target_rows
-FROM nl JOIN el ON nl.doc = el.doc JOIN r ON r.target_table = nl.doc"""
+            AS VARCHAR) AS lineage_json
+FROM nl JOIN el ON nl.doc = el.doc"""
 
 
 @query("lineage_json", LINEAGE_JSON_SQL)
 def q_lineage_json(spark, sf):
-    e, counts = _lineage_edges_with_rows(spark, sf)
-    docs = lineage.document(lineage.nodes(e), e)
-    return docs.join(counts, "target_table").select("target_table", "lineage_json", "target_rows")
+    """L3: a document per target table."""
+    e = lineage.edges(_mapping_sheet(spark, sf))
+    return lineage.document(lineage.nodes(e), e)
 
 
 # ====================================================================== P: protection
@@ -1111,14 +1155,6 @@ def q_mask_columns(spark, sf):
     return protect.mask_columns(out, ["c_mktsegment"], "hash")
 
 
-@query("encrypt_columns")
-def q_encrypt_columns(spark, sf):
-    c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
-    key = spark.conf.get("spark.vaultline.protect.key", "0123456789abcdef")
-    flags = protect.flagged(tpl.protection(spark), "customer")
-    return protect.encrypt_columns(c, flags["encrypt"], F.lit(key))
-
-
 @query("encrypt_roundtrip", """
 SELECT c_custkey, CAST(c_acctbal AS VARCHAR) AS acctbal_decrypted,
        CAST(4 * ceil((length(CAST(c_acctbal AS VARCHAR)) + 28) / 3.0) AS INTEGER) AS cipher_length,
@@ -1130,7 +1166,8 @@ def q_encrypt_roundtrip(spark, sf):
     + text + 16-byte tag, base64) and differs from the text."""
     from vaultline.functions.protect import decrypt_value
     c = _t(spark, sf, "customer").select("c_custkey", "c_acctbal")
-    key = F.lit(spark.conf.get("spark.vaultline.protect.key", "0123456789abcdef"))
+    # The configured key; a round trip needs none in particular, so without one a random key does.
+    key = F.lit(spark.conf.get("spark.vaultline.protect.key", None) or secrets.token_hex(8))
     enc = protect.encrypt_columns(c.withColumn("plain", F.col("c_acctbal").cast("string")), ["c_acctbal"], key)
     return enc.select("c_custkey", decrypt_value("c_acctbal", key).alias("acctbal_decrypted"),
                       F.length("c_acctbal").alias("cipher_length"),
@@ -1143,8 +1180,9 @@ def q_encrypt_roundtrip(spark, sf):
 def q_stream_hub_load(spark, sf):
     from vaultline.streaming.loads import stream_vault_load
     o = _t(spark, sf, "orders")
-    stream = (spark.readStream.schema(o.schema).option("pathGlobFilter", "orders.parquet")
-              .option("maxFilesPerTrigger", 1).parquet(sf))
+    files = scratch_path(spark, "stream_orders")      # three files, one per micro-batch
+    o.repartition(3).write.parquet(files)
+    stream = spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 1).parquet(files)
     target = scratch_path(spark, "stream_hub")
 
     def build(batch):
@@ -1171,10 +1209,12 @@ def q_stream_dq_split(spark, sf):
 
 @query("stream_distinct", "SELECT DISTINCT user_id FROM events")
 def q_stream_distinct(spark, sf):
-    from vaultline.streaming.loads import run_available, stream_distinct
+    """S3: complete distinct keys over three micro-batches."""
+    from vaultline.streaming.loads import stream_distinct_keys
     e = _t(spark, sf, "events")
-    stream = spark.readStream.schema(e.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    d = stream_distinct(stream, ["user_id"], "ts", "60 days")
+    files = scratch_path(spark, "stream_events")
+    e.repartition(3).write.parquet(files)
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(files)
     target = scratch_path(spark, "stream_distinct")
-    run_available(d.select("user_id"), target, scratch_path(spark, "stream_distinct_ckpt"))
-    return spark.read.parquet(target)
+    stream_distinct_keys(stream, ["user_id"], target, scratch_path(spark, "stream_distinct_ckpt"))
+    return spark.read.parquet(target).select("user_id")

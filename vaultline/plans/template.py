@@ -18,6 +18,7 @@ LOAD_TS = "2024-01-01 00:00:00"
 LOAD_TS2 = "2024-02-01 00:00:00"
 RECORD_SOURCE = "tpch"
 ORDER_CUTOFF = "2000-01-01 00:00:00"        # sample job's date filter (data ends 2001-08)
+JOB_CUTOFF = "2001-01-01 00:00:00"          # first batch of the incremental job
 HUB_BATCH1_CUTOFF = "1996-01-01 00:00:00"
 SAT_BATCH1_CUTOFF = "2024-01-15 00:00:00"
 

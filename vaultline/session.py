@@ -4,6 +4,7 @@ taken from the cluster's shared checkpoint folder."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -24,17 +25,17 @@ DEFAULT_CONF = {
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "vaultline", extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session. On a cluster, pass master=None and let the
-    launcher decide; locally defaults to local[$BENCH_CPUS or *]."""
+    """Build (or reuse) a session. With ``master=None`` nothing is said about the
+    master or the driver's memory: the launcher (``spark-submit --master``,
+    ``spark-defaults.conf``, a running session) decides, and Spark's own default
+    is local. A master given here is for tests and benches."""
     builder = SparkSession.builder.appName(app)
-    if master is None and not os.environ.get("SPARK_REMOTE"):
-        master = f"local[{os.environ.get('BENCH_CPUS', '*')}]"
-    if master:
-        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if master is not None:
+        builder = builder.master(master)
+        conf["spark.driver.memory"] = os.environ.get("SPARK_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -46,14 +47,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster
-    (``spark.checkpoint.dir``). Only when none is configured (local tests) a
-    fresh folder is created and registered."""
+    (``spark.checkpoint.dir``). Where none is configured a local session (tests)
+    gets a fresh folder; any other raises, since a folder of the driver's machine
+    is not there for executors."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="vaultline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -61,6 +65,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for written
-    tables (sinks in queries, lineage cuts). Never a machine-local temp dir."""
+    tables (sinks in queries, lineage cuts)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/vaultline/{name}-{uuid.uuid4().hex[:12]}"

@@ -10,8 +10,9 @@ S2: row rules on a streaming DataFrame are plain projections and filters.
 Keyed rules (unique, chronology, ...) would need unbounded state and are
 refused.
 
-S3: distinct keys with bounded state: event-time watermark +
-``dropDuplicatesWithinWatermark``.
+S3: distinct keys. ``stream_distinct_keys`` compares every micro-batch with the
+stored key table (S1's path): complete however long the stream runs.
+``stream_distinct`` keeps bounded state instead and says what that costs.
 """
 
 from __future__ import annotations
@@ -21,8 +22,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vaultline.functions.hashing import surrogate_key
 from vaultline.operators import quality
 from vaultline.plans.rules import Rule
+from vaultline.session import scratch_path
 from vaultline.sources.writers import write_vault_increment
 
 
@@ -58,26 +61,28 @@ def stream_split(stream_df: DataFrame, rules: Sequence[Rule]) -> quality.Split:
 def stream_dq_load(stream_df: DataFrame, rules: Sequence[Rule], table: str, clean_target: str,
                    quarantine_target: str, checkpoint: str, load_ts, available_now: bool = True,
                    processing_time: str | None = None):
-    """S2 with sinks: every micro-batch is marked once, persisted, and
-    written to both the clean target and the quarantine store (the streaming
-    form of the checked write). Both writes go to the batch's own
-    ``batch_id=`` partition with dynamic overwrite, so a replayed batch
-    replaces its rows. Keyed rules are refused as in ``stream_split``."""
+    """S2 with sinks: every micro-batch is marked and written once to scratch,
+    and from there to both the clean target and the quarantine store (the
+    streaming form of the checked write). A fail_job rule that a row breaks
+    raises before either is written. Both writes replace the batch's own
+    ``batch_id=`` partition, so a replayed batch replaces its rows. Keyed rules
+    are refused as in ``stream_split``; rules that cannot run are refused when
+    they were to fail the job."""
     keyed = [r.name for r in rules if r.is_keyed]
     if keyed:
         raise ValueError(f"keyed rules need unbounded state on a stream: {keyed}; run them in batch")
 
+    quality.enforce_runnable(rules, table)
+
     def per_batch(batch_df: DataFrame, batch_id: int) -> None:
-        s = quality.split(quality.mark_failures(batch_df, rules), rules)
-        marked = s.marked.persist()
-        try:
-            (s.clean.drop(quality.FAILED).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(clean_target))
-            q = quality.to_quarantine_rows(s.quarantine, table, load_ts).withColumn("batch_id", F.lit(batch_id))
-            (q.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("table_name", "batch_id").parquet(quarantine_target))
-        finally:
-            marked.unpersist()
+        marked = quality.split(quality.mark_failures(batch_df, rules), rules).marked
+        path = scratch_path(batch_df.sparkSession, "stream-marked")
+        marked.write.parquet(path)
+        s = quality.split_marked(batch_df.sparkSession.read.schema(marked.schema).parquet(path))
+        quality.enforce_fail_rules(s, table)
+        s.clean.drop(quality.FAILED).write.mode("overwrite").parquet(f"{clean_target.rstrip('/')}/batch_id={batch_id}")
+        (quality.to_quarantine_rows(s.quarantine, table, load_ts).drop("table_name").write.mode("overwrite")
+         .parquet(f"{quarantine_target.rstrip('/')}/table_name={table}/batch_id={batch_id}"))
 
     writer = stream_df.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
     if available_now:
@@ -87,10 +92,23 @@ def stream_dq_load(stream_df: DataFrame, rules: Sequence[Rule], table: str, clea
     return writer.trigger(processingTime=processing_time or "1 minute").start()
 
 
+def stream_distinct_keys(stream_df: DataFrame, keys: Sequence[str], target: str, checkpoint: str,
+                         available_now: bool = True, processing_time: str | None = None):
+    """S3 (action): every distinct key tuple of the stream once, whatever its
+    events' times: each micro-batch adds the keys that the stored table lacks.
+    NULL is a value. The target has the keys, their hash ``_key`` and ``batch_id``."""
+    def build(batch: DataFrame) -> DataFrame:
+        found = batch.select(*keys).distinct()
+        return found.withColumn("_key", surrogate_key(keys, found.schema, framed=True))
+    return stream_vault_load(stream_df, build, target, "_key", checkpoint, "insert_new", available_now, processing_time)
+
+
 def stream_distinct(stream_df: DataFrame, keys: Sequence[str], ts_col: str, delay: str) -> DataFrame:
-    """S3: one row per key among events at most ``delay`` apart; state for a
-    key is dropped once the watermark passes it. ``withWatermark`` needs a
-    session-zone TIMESTAMP, so a TIMESTAMP_NTZ column is cast first."""
+    """One row per key among events at most ``delay`` apart, in bounded state: a
+    key comes again once its events are further apart, and events later than
+    ``delay`` are dropped. For complete distinct keys use
+    ``stream_distinct_keys``. ``withWatermark`` needs a session-zone TIMESTAMP,
+    so a TIMESTAMP_NTZ column is cast first."""
     wm_col = f"_{ts_col}_wm"
     return (stream_df.withColumn(wm_col, F.col(ts_col).cast("timestamp"))
             .withWatermark(wm_col, delay)
