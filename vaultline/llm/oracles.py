@@ -4,7 +4,7 @@ them against brute force."""
 
 from __future__ import annotations
 
-from vaultline.llm import pii, quality_rules as qr, url_rules
+from vaultline.llm import decontamination as dc, pii, quality_rules as qr, url_rules
 
 WS = r"[\x20\x09-\x0D]+"
 
@@ -59,6 +59,61 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   array_to_string(why, ',') AS rejected_by FROM judged"""
 
 
+# ---------------------------------------------------------------- decontamination
+
+def _leaks() -> str:
+    edge = r"^[^\p{L}\p{N}%$€]+|[^\p{L}\p{N}%$€]+$"
+    units = ", ".join(map(_quote, dc.UNITS))
+    slots = f"('{dc.NUM}', '{dc.NAME}', '{dc.UNIT}')"
+
+    def bare(x: str) -> str:
+        return f"lower(regexp_replace({x}, '{edge}', '', 'g'))"
+
+    def template(words: str) -> str:
+        w, before = f"{words}[i]", f"{words}[i - 1]"
+        return f"""list_transform(range(1, len({words}) + 1), lambda i: CASE
+          WHEN regexp_matches({w}, '^\p{{Ll}}{{9,}}$') THEN {w}
+          WHEN regexp_matches({w}, '{dc.NUMBER}') THEN '{dc.NUM}'
+          WHEN regexp_matches({w}, '^[^\p{{L}}\p{{N}}]*\p{{Lu}}\p{{Ll}}') AND i > 1 AND NOT regexp_matches({before}, '[.!?:]\W*$') THEN '{dc.NAME}'
+          WHEN i > 1 AND regexp_matches({before}, '{dc.NUMBER}') AND {bare(w)} IN ({units}) THEN '{dc.UNIT}'
+          ELSE {bare(w)} END)"""
+
+    def windows(name: str, keys: str) -> str:
+        # A window of placeholders only is told by its words.
+        return f"""{name} AS (SELECT {keys}, i - 1 AS pos, CASE
+            WHEN len(list_filter(tokens[i:i + {dc.WINDOW - 1}], lambda x: x IN {slots})) = {dc.WINDOW}
+            THEN list_transform(words[i:i + {dc.WINDOW - 1}], lambda x: lower(x)) ELSE tokens[i:i + {dc.WINDOW - 1}] END AS h
+          FROM (SELECT *, unnest(range(1, len(words) - {dc.WINDOW - 2})) AS i FROM {name}_of))"""
+
+    cut = f"list_filter(string_split_regex(coalesce(text, ''), '{WS}'), lambda x: x <> '')"
+    return f"""
+WITH bw_of AS (SELECT *, {template("words")} AS tokens FROM (SELECT item_id, {cut} AS words FROM benchmark WHERE item_id IS NOT NULL)),
+dw_of AS (SELECT *, {template("words")} AS tokens FROM (SELECT DISTINCT doc_id, coalesce(text, '') AS body, {cut} AS words FROM documents)),
+{windows("bw", "item_id")}, {windows("dw", "doc_id, body, words")},
+ix AS (SELECT item_id, h, min(pos) AS item_at FROM bw GROUP BY item_id, h),
+sizes AS (SELECT item_id, count(*) AS n_item FROM ix GROUP BY item_id),
+hits AS (SELECT DISTINCT doc_id, body, words, item_id, dw.pos, item_at FROM dw JOIN ix USING (h)),
+pairs AS (SELECT doc_id, body, item_id, n_item FROM hits JOIN sizes USING (item_id)
+  GROUP BY doc_id, body, item_id, n_item HAVING count(DISTINCT item_at) >= {dc.SIMILARITY} * n_item),
+h AS (SELECT hits.*, n_item, b.words AS item_words, b.tokens AS item_tokens FROM hits
+  JOIN pairs p ON p.doc_id IS NOT DISTINCT FROM hits.doc_id AND p.body = hits.body AND p.item_id = hits.item_id
+  JOIN bw_of b ON b.item_id = hits.item_id),
+k AS (SELECT *, unnest(range(0, {dc.WINDOW})) AS k FROM h),
+slots AS (SELECT doc_id, body, item_id, pos, item_at, pos - item_at AS line, {bare("item_words[item_at + k + 1]")} AS item_value,
+  {bare("words[pos + k + 1]")} AS value FROM k WHERE item_tokens[item_at + k + 1] IN {slots}),
+broken AS (SELECT doc_id, body, item_id, line, item_value FROM slots GROUP BY ALL HAVING count(DISTINCT value) > 1),
+bad AS (SELECT DISTINCT s.doc_id, s.body, s.item_id, s.pos, s.item_at FROM slots s JOIN broken b
+  ON s.doc_id IS NOT DISTINCT FROM b.doc_id AND s.body = b.body AND s.item_id = b.item_id AND s.line = b.line AND s.item_value = b.item_value),
+sound AS (SELECT * FROM h WHERE NOT EXISTS (SELECT 1 FROM bad b WHERE b.doc_id IS NOT DISTINCT FROM h.doc_id AND b.body = h.body
+  AND b.item_id = h.item_id AND b.pos = h.pos AND b.item_at = h.item_at)),
+changed AS (SELECT doc_id, body, item_id, count(DISTINCT {{'l': line, 'i': item_value, 'v': value}}) FILTER (value <> item_value) AS n
+  FROM slots GROUP BY doc_id, body, item_id)
+SELECT s.doc_id, s.item_id, count(DISTINCT item_at) AS n_windows, count(DISTINCT item_at) / any_value(n_item) AS coverage,
+  coalesce(any_value(c.n), 0) AS n_changed
+FROM sound s LEFT JOIN changed c ON c.doc_id IS NOT DISTINCT FROM s.doc_id AND c.body = s.body AND c.item_id = s.item_id
+GROUP BY s.doc_id, s.body, s.item_id HAVING count(DISTINCT item_at) >= {dc.SIMILARITY} * any_value(n_item)"""
+
+
 # ---------------------------------------------------------------- URL rules
 
 def _urls() -> str:
@@ -163,6 +218,7 @@ SELECT page_id, n AS payload_bytes,
   CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to FROM q"""
 
 ORACLES = {
+    "op1_template_decontamination": _leaks(),
     "op2_risk_controlled_quality": _quality(),
     "op3_association_url_rules": _urls(),
     "op4_pii_spans": _pii(),
