@@ -74,6 +74,12 @@ def test_templates(spark):
     by = {r["doc_id"]: r for r in got}
     assert set(by) == {1, 2, None} and {r["item_id"] for r in got} == {7}
     assert by[1]["n_changed"] == 0 and by[2]["n_changed"] >= 4 and by[1]["coverage"] >= 0.8
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR); CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", [(7, ITEM), (8, None), (9, "too short")])
+    want = con.execute("SELECT doc_id, item_id, n_windows, coverage, n_changed FROM (" + ORACLES["op1_template_decontamination"] + ")").fetchall()
+    assert sorted(want, key=repr) == sorted(((r["doc_id"], r["item_id"], r["n_windows"], r["coverage"], r["n_changed"]) for r in got), key=repr)
     kept = decontamination.remove_leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench)
     assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5, 6]
 

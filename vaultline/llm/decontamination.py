@@ -107,17 +107,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
              .join(sizes, "item_id")
              .filter(_covered("hits") >= similarity * F.col("n_item")))
     pairs = materialize(pairs, "leak-candidates")
-    # Only candidates' texts are read again, for the slots.
-    wanted = pairs.select(F.col("doc_id").alias("_id"), F.col("content").alias("_content")).distinct()
-    maybe = rows.join(_content_buckets(pairs), F.col("content").bitwiseAND(mask) == F.col("_bucket"), "left_semi")
-    texts = (maybe.join(wanted, rows["doc_id"].eqNullSafe(wanted["_id"]) & (rows["content"] == wanted["_content"]), "left_semi")
-             .dropDuplicates(["doc_id", "content"])
-             .select(F.col("doc_id").alias("_id"), F.col("content").alias("_content"),
-                     words_of(text_or_empty("_text")).alias("words")))
+    # Only candidates' texts are read again, for the slots: texts in no candidate's bucket are passed over at once.
+    low = F.col("content").bitwiseAND(mask)
+    texts = (rows.join(_content_buckets(pairs), low == F.col("_bucket"), "left_semi")
+             .select(F.col("doc_id").alias("_id"), F.col("content").alias("_content"), "_text"))
     item_words = (items.select("item_id", words_of(F.col("_text")).alias("item_words"))
                   .groupBy("item_id").agg(F.min("item_words").alias("item_words"))
                   .withColumn("item_tokens", template(F.col("item_words"))))
-    both = (pairs.join(texts, pairs["doc_id"].eqNullSafe(texts["_id"]) & (pairs["content"] == texts["_content"]))
+    both = (texts.join(pairs, pairs["doc_id"].eqNullSafe(texts["_id"]) & (pairs["content"] == texts["_content"]))
+            .withColumn("words", words_of(text_or_empty("_text"))).drop("_text", "_id", "_content")
             .join(item_words, "item_id"))
     plain = lambda c: F.lower(F.regexp_replace(c, r"^[^\p{L}\p{N}%$€]+|[^\p{L}\p{N}%$€]+$", ""))
 
@@ -140,7 +138,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", te
     both = both.withColumn("sound", sound).withColumn("n_windows", _covered("sound").cast("long"))
     return (both.filter(F.col("n_windows") >= similarity * F.col("n_item"))
             .select("doc_id", "item_id", "content", "n_windows", (F.col("n_windows") / F.col("n_item")).alias("coverage"),
-                    F.size(F.filter("slots", lambda s: s["value"] != s["item_value"])).cast("long").alias("n_changed")))
+                    F.size(F.filter("slots", lambda s: s["value"] != s["item_value"])).cast("long").alias("n_changed"))
+            .dropDuplicates(["doc_id", "content", "item_id"]))  # repeated rows
 
 
 def _content_buckets(pairs: DataFrame) -> DataFrame:

@@ -71,7 +71,7 @@ def _leaks() -> str:
 
     def template(words: str) -> str:
         w, before = f"{words}[i]", f"{words}[i - 1]"
-        return f"""list_transform(range(1, len({words}) + 1), lambda i: CASE
+        return rf"""list_transform(range(1, len({words}) + 1), lambda i: CASE
           WHEN regexp_matches({w}, '^\p{{Ll}}{{9,}}$') THEN {w}
           WHEN regexp_matches({w}, '{dc.NUMBER}') THEN '{dc.NUM}'
           WHEN regexp_matches({w}, '^[^\p{{L}}\p{{N}}]*\p{{Lu}}\p{{Ll}}') AND i > 1 AND NOT regexp_matches({before}, '[.!?:]\W*$') THEN '{dc.NAME}'

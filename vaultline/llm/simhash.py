@@ -32,10 +32,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultline.llm.common import materialize
+from vaultline.llm.common import fresh, materialize
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
-PREFIX, RANGE_SIZE, FANOUT, CHUNK = 16, 1024, 8, 2048
+PREFIX, RANGE_SIZE, FANOUT, CHUNK, BUCKET_BITS = 16, 1024, 8, 2048, 20
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -259,9 +259,18 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     rows of that id become one; rows without an id cannot be told apart and
     stay."""
     found = near_duplicates(docs.select(doc_id, text), doc_id, text, shingle, max_bits)
-    kept = materialize(found.filter(F.col("doc_id") == F.col("component_id")).groupBy(F.col("doc_id").alias("_kept"))
-                       .agg(F.count(F.lit(1)).alias("_rows")), "simhash-kept")
-    out = docs.join(kept, docs[doc_id] == kept["_kept"], "left_semi")
-    if kept.filter("_rows > 1").take(1):
-        out = out.dropDuplicates([doc_id])
-    return out.unionByName(docs.filter(F.col(doc_id).isNull()))
+    i, b = fresh(docs, "_gone_id", "_gone_bucket")
+    ids = materialize(found.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias(i)).agg(
+        F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("n")), "simhash-ids")
+    # Ids that go. Documents whose id falls into no such id's bucket stay at once; only the others are compared
+    # (and shuffled, when many go). At most 2 ** BUCKET_BITS buckets are broadcast.
+    gone = materialize(ids.filter("NOT stays").select(i), "simhash-gone")
+    low = lambda c: F.xxhash64(c).bitwiseAND(F.lit(2 ** BUCKET_BITS - 1))
+    buckets = F.broadcast(gone.select(low(F.col(i)).alias(b)).distinct())
+    suspect = low(docs[doc_id]) == F.col(b)
+    out = (docs.join(buckets, suspect, "left_anti")
+           .unionByName(docs.join(buckets, suspect, "left_semi").join(gone, docs[doc_id] == gone[i], "left_anti")))
+    if ids.filter("n > 1").take(1):
+        named = out.filter(F.col(doc_id).isNotNull()).dropDuplicates([doc_id])
+        out = named.unionByName(out.filter(F.col(doc_id).isNull()))
+    return out
