@@ -20,6 +20,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Texts can be long: a batch of this many bounds a Python worker's memory.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 
