@@ -96,3 +96,11 @@ def test_find_keys_is_exact(spark):
     assert rows_ == {"a": (3, 0, 3, True), "b": (3, 2, 1, False)}
     # An estimate decides nothing.
     assert {r["is_unique"] for r in catalog.profile_keys(nulls, "t", exact=False).collect()} == {None}
+
+
+def test_one_key_name_rule(spark):
+    """The driver's form of the rule agrees with the Column form."""
+    names = ["id", "custKey", "c_custkey", "keyed", "code_page", "paid", "width", "monkey", "orderId", "id_date", "uuid", ""]
+    df = spark.createDataFrame([(n,) for n in names], "column_name string")
+    got = {r[0] for r in df.filter(catalog.key_name_match()).collect()}
+    assert got == {n for n in names if catalog.is_key_name(n)}

@@ -6,6 +6,7 @@ built from metadata sheets or from the schemas of the tables themselves.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,12 @@ def key_name_match(col="column_name", mode: str = "words") -> "F.Column":
     return F.exists(words, lambda w: w.isin(*KEY_WORDS) | w.endswith("key"))
 
 
+def is_key_name(name: str) -> bool:
+    """K1's ``words`` rule for one name, on the driver (metadata)."""
+    words = [w for w in re.split(r"[^a-z0-9]+", re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", name).lower()) if w]
+    return any(w in KEY_WORDS or w.endswith("key") for w in words)
+
+
 def key_candidates(columns: DataFrame, mode: str = "words") -> DataFrame:
     """K1: catalog rows whose names look like identifiers."""
     return columns.filter(key_name_match("column_name", mode))

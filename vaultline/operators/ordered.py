@@ -36,6 +36,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Slices by default: one per this many rows, within the bounds.
 ROWS_PER_SLICE, LEAST_SLICES, MOST_SLICES = 500_000, 8, 1024
@@ -46,16 +47,22 @@ def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+def _order_key(df: DataFrame, col: str) -> Column:
+    """The column, in a form whose text reads back in the same order: a session-zone
+    timestamp's text repeats itself in the hour the clocks go back."""
+    return F.unix_micros(F.col(col)) if isinstance(df.schema[col].dataType, T.TimestampType) else F.col(col)
+
+
 def _sample_bounds(df: DataFrame, order: Sequence[str], slices: int | None) -> list[Column]:
     """Up to ``slices - 1`` ascending order tuples at quantiles of a sample."""
     n = df.count()
     slices = slices or max(LEAST_SLICES, min(MOST_SLICES, n // ROWS_PER_SLICE))
     share = min(1.0, slices * SAMPLE_PER_SLICE / max(n, 1))
-    sample = df.select(*order)
+    sample = df.select(*[_order_key(df, c).alias(f"o{i}") for i, c in enumerate(order)])
+    types = [f.dataType for f in sample.schema.fields]
     if share < 1.0:
         sample = sample.sample(share, seed=7)
-    values = sample.orderBy(*order).select(*[F.col(c).cast("string") for c in order]).collect()  # about slices * 50 rows
-    types = [df.schema[c].dataType for c in order]
+    values = sample.orderBy(*sample.columns).select(*[F.col(c).cast("string") for c in sample.columns]).collect()  # about slices * 50
     picked: list[tuple] = []
     for i in range(1, slices):
         row = tuple(values[i * len(values) // slices]) if values else None
@@ -77,7 +84,7 @@ def _slice_of(at: Column, bounds: list[Column], low: int = 0) -> Column:
 def with_slice_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None) -> DataFrame:
     """Add ``_grp = struct(keys..., s)``, ``s`` the slice of the order tuple."""
     # Field names do not matter to a comparison; positions do.
-    at = F.struct(*[F.col(c) for c in order])
+    at = F.struct(*[_order_key(df, c) for c in order])
     sl = _slice_of(at, _sample_bounds(df, order, slices))
     return df.withColumn("_grp", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], sl.cast("long").alias("s")))
 

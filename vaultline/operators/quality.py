@@ -353,6 +353,7 @@ def record_source_failures(df: DataFrame, col: str, known: DataFrame, known_col:
 
 def audit_failures(df: DataFrame, ts_col: str = "load_datetime", source_col: str = "record_source") -> DataFrame:
     """Q16/Q17 as a one-pass summary: ``test_name, failures``."""
+    # The two test names.
     return df.agg(F.count_if(F.col(ts_col).isNull()).alias("a"),
                   F.count_if(checks.blank(source_col)).alias("b")).selectExpr(
         "stack(2, 'load_datetime_not_null', a, 'record_source_not_null', b) as (test_name, failures)")

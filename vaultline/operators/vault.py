@@ -24,6 +24,7 @@ from vaultline.functions.hashing import hash_diff, surrogate_key
 from vaultline.operators.ordered import current_rows, ordered_lag
 from vaultline.operators.transform import audit_columns, cast_columns, cleanse_strings, require_keys
 
+# Column names of the vault row shapes.
 TS, SRC, HD = "load_datetime", "record_source", "hash_diff"
 
 

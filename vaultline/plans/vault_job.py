@@ -22,10 +22,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from vaultline.operators import vault
+from vaultline.operators.catalog import is_key_name
 from vaultline.plans.jobs import _rows
 
-# Name words that mark an identifier column (as in K1).
-_KEY_WORD = re.compile(r"(^|_)(id|key|code|pk|uuid|guid)$|key$", re.IGNORECASE)
 _PAIR = re.compile(r"(\w+)\.(\w+)\s*=\s*(\w+)\.(\w+)")
 
 
@@ -38,11 +37,6 @@ class VaultModel:
     attrs: list[str] = field(default_factory=list)
 
 
-def _looks_like_key(col: str) -> bool:
-    snake = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", col)
-    return bool(_KEY_WORD.search(snake))
-
-
 def vault_models_from_metadata(source_columns, mappings=None) -> list[VaultModel]:
     """Source-columns and mapping sheets (DataFrames or row dicts) -> models."""
     cols: dict[str, list[dict]] = {}
@@ -51,7 +45,7 @@ def vault_models_from_metadata(source_columns, mappings=None) -> list[VaultModel
     business: dict[str, list[str]] = {}
     for t, rs in cols.items():
         flagged = [r["column_name"] for r in rs if r["primary_key"]]
-        named = [r["column_name"] for r in rs if _looks_like_key(r["column_name"])]
+        named = [r["column_name"] for r in rs if is_key_name(r["column_name"])]
         if flagged or named:
             business[t] = flagged or named[:1]
     models = [VaultModel(f"hub_{t}", "hub", t, {t: ks}) for t, ks in business.items()]
