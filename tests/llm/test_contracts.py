@@ -84,6 +84,22 @@ def test_templates(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5, 6]
 
 
+TOM = "Tom has 3 apples. Tom buys 5 apples more. How many apples does Tom have now?"
+
+
+def test_names_open_sentences(spark):
+    """Capitals that open a sentence may be names; the word before an item does not matter; short items count whole."""
+    bench = [(1, TOM), (2, "What is the capital of France?"), (3, "Boil the kettle"), (4, "- ..."), (5, "Add 7 spoons")]
+    other = TOM.replace("Tom", "Anna").replace("3", "4").replace("5", "7")
+    rows = [(1, f"Here is one. {other}"), (2, "so please answer What is the capital of France? Thanks a lot"),
+            (3, "you should boil the Kettle, then"), (4, other.replace("Anna buys", "Eve buys")),
+            (5, "what is the capital of france?"), (6, "add 8 spoons - ... of the kettle boil"), (7, "Boil the"), (8, None)]
+    got = decontamination.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"),
+                                     spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]): r["coverage"] for r in got} == {(1, 1): 1, (2, 2): 1, (3, 3): 1, (5, 2): 1}
+    assert {r["doc_id"]: r["n_changed"] for r in got} == {1: 3, 2: 0, 3: 0, 5: 0}
+
+
 def test_leaks_brute_force(spark, docs):
     """Exact copies of items are all found; what is found holds most of the item."""
     items = duckdb.sql(f"SELECT item_id, text FROM '{SF001}/benchmark.parquet'").fetchall()
