@@ -251,6 +251,15 @@ def test_pii_base(spark):
     assert kinds[6].count("iban") == 1 and kinds[7].count("ssn") == 1
 
 
+def test_pii_context(spark):
+    """One context word serves every number within its reach, past other matches of the kind."""
+    texts = ["SSNs: 111-22-3333, 222-33-4444, 333-44-5555", "ssn 000-12-3456 111-22-3333",
+             "serial 111-22-3333 222-33-4444 ssn", "ssn" + " " * 38 + "111-22-3333"]
+    got = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "i int, text string")).collect()
+    assert {r["i"]: [(s["start"], s["score"]) for s in r["pii"] if s["kind"] == "ssn"] for r in got} == {
+        0: [(6, 55), (19, 55), (32, 55)], 1: [(16, 55)], 2: [], 3: []}
+
+
 def test_pii_mask(spark, odd, empty):
     df = spark.createDataFrame([("write a@b.cd now: 4111 1111 1111 1111!",), (None,), ("clean",), ("+12345678901234x a@b.c",)], "text string")
     assert [r[0] for r in pii.mask_pii(df).collect()] == ["write <EMAIL> now: <CARD>!", None, "clean", "<PHONE>x <EMAIL>"]

@@ -93,22 +93,22 @@ def _spans(kind: str, text: Column) -> Column:
     pattern = PATTERNS[kind]
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
-    # Running offset over (text before the match, match, text after it).
-    pairs = F.transform(found, lambda m, i: F.struct(
-        m.alias("m"), F.get(pieces, i).alias("before"), F.get(pieces, i + 1).alias("after")))
-    empty = F.array().cast("array<struct<kind:string,start:int,end:int,m:string,before:string,after:string>>")
+    # Running offset over (text before the match, match).
+    pairs = F.transform(found, lambda m, i: F.struct(m.alias("m"), F.get(pieces, i).alias("before")))
+    empty = F.array().cast("array<struct<kind:string,start:int,end:int,m:string>>")
 
     def step(acc: Column, p: Column) -> Column:
         start = acc["at"] + F.length(p["before"])
         end = start + F.length(p["m"])
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.struct(
-            F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), p["m"].alias("m"),
-            F.right(p["before"], F.lit(REACH)).alias("before"), F.left(p["after"], F.lit(REACH)).alias("after")))).alias("out"))
+            F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), p["m"].alias("m")))).alias("out"))
 
     placed = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda a: a["out"])
 
     def scored(x: Column) -> Column:
-        around = F.concat_ws(" ", x["before"], x["after"])
+        # From the text itself: a neighbouring match, kept or not, does not end the context.
+        first = F.greatest(x["start"] - REACH, F.lit(0))
+        around = F.concat_ws(" ", F.substr(text, first + 1, x["start"] - first), F.substr(text, x["end"] + 1, F.lit(REACH)))
         score = (F.lit(PRIOR[kind]) + (CONFIRMED if kind in ("card", "iban") else 0)
                  + F.when(_near(around, CONTEXT_WORDS[kind]), CONTEXT).otherwise(0)
                  - F.when(_near(around, AGAINST_WORDS), CONTEXT).otherwise(0))
