@@ -458,6 +458,17 @@ def test_plan():
     assert sum(m for m, _ in big) == 10 ** 9 + 1
 
 
+def test_plan_is_optimal():
+    """Small inputs: no plan is better, and the search says so. 88 needs {4, 4, 4} beside it."""
+    rng = random.Random(4)
+    cases = [[88, 87, 7, 6, 4, 4, 4]] + [
+        sorted((rng.randrange(1, rng.choice((60, 100))) for _ in range(rng.randrange(1, 11))), reverse=True) for _ in range(60)]
+    for lengths in cases:
+        patterns, proven = packing.search({n: lengths.count(n) for n in lengths}, 100)
+        assert proven and sum(m for m, _ in patterns) == brute_bins(lengths, 100), lengths
+    assert brute_bins(cases[0], 100) == 2
+
+
 # ---------------------------------------------------------------- 8 SimHash
 
 def brute_fp(text):

@@ -4,10 +4,13 @@ Documents become token pieces of at most ``CAPACITY`` (only longer documents
 are cut) that go into as few sequences as possible. What has to be solved
 depends on the lengths alone, so the search runs on the histogram of lengths:
 at most ``CAPACITY`` rows, however many documents there are. A node takes the
-largest length left and enumerates undominated fillings of the room beside it;
-each is used as often as the counts allow. Best-fit-decreasing gives the first
+largest length left and enumerates fillings of the room beside it; each is used
+as often as the counts allow. A first search over a few likely fillings improves
+the incumbent; a second one takes all undominated fillings, least waste first
+and only as far as they are asked for, also once instead of as often as it goes. Best-fit-decreasing gives the first
 incumbent; branches whose waste already rules out an improvement are cut, and
-the search ends at the Martello-Toth lower bound or after ``NODES`` nodes. The
+the search ends at the Martello-Toth lower bound, with all branches tried (both
+prove the result optimal), or after ``NODES`` nodes each. The
 result is a list of patterns with multiplicities.
 
 Pieces find their places by rank: the pieces of a length are numbered in
@@ -34,6 +37,7 @@ from vaultline.llm.common import materialize, text_or_empty
 
 TOKENIZER, END_ID, CAPACITY = "word_bpe_49k.json", 1, 4096
 SALTS, NODES, WIDTH = 64, 20_000, 8
+COMPARED = 64  # fillings that a later one is held against; past them a dominated one only costs a node
 
 Pattern = tuple[int, tuple[tuple[int, int], ...]]  # (how often, ((length, uses), ...))
 
@@ -119,8 +123,8 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[Pattern]:
     return [(many, pattern) for room in classes for many, pattern in classes[room]]
 
 
-def fillings(left: list[int], counts: dict[int, int], room: int, width: int = WIDTH) -> list[tuple[int, tuple]]:
-    """Undominated fillings of ``room``: (waste, ((length, uses), ...)), least
+def likely_fillings(left: list[int], counts: dict[int, int], room: int, width: int = WIDTH) -> list[tuple[int, tuple]]:
+    """A few good fillings of ``room``: (waste, ((length, uses), ...)), least
     waste first. ``left``: lengths still there, ascending."""
     first = bisect_right(left, room)
     if not first:
@@ -155,6 +159,61 @@ def fillings(left: list[int], counts: dict[int, int], room: int, width: int = WI
     return out
 
 
+def fillings(left: list[int], counts: dict[int, int], large: int, room: int, most: int) -> Iterator[tuple[int, tuple | None]]:
+    """All undominated fillings of the ``room`` beside one ``large``: (waste,
+    ((length, uses), ...)), least waste first, up to waste ``most``; None in
+    place of a dominated one. ``left``: lengths still there, ascending. Made as
+    they are asked for; ``counts`` must then be as at the start."""
+    def free(n: int) -> int:
+        return counts[n] - (n == large)
+
+    fit = [n for n in left[:bisect_right(left, room)] if free(n)]
+    if not fit:
+        if room <= most:
+            yield room, ()
+        return
+    full = (1 << room + 1) - 1
+    sums = [1]  # sums[i]: bit t is set if the lengths fit[:i] can reach the total t
+    for n in fit:
+        reach, many, step = sums[-1], min(free(n), room // n), 1
+        while many:
+            take = min(step, many)
+            reach |= (reach << take * n) & full
+            many, step = many - take, 2 * step
+        sums.append(reach)
+
+    def exact(total: int) -> Iterator[tuple]:
+        # Depth first; a total that cannot be reached is never tried, so each descent ends in a filling.
+        todo = [(len(fit), total, ())]
+        while todo:
+            i, need, taken = todo.pop()
+            if not need:
+                yield taken
+                continue
+            i = min(i, bisect_right(fit, need))
+            if not sums[i] >> need & 1:
+                continue
+            n = fit[i - 1]
+            for uses in range(min(free(n), need // n) + 1):
+                if sums[i - 1] >> (need - uses * n) & 1:
+                    todo.append((i - 1, need - uses * n, taken + ((n, uses),) if uses else taken))
+
+    tried: list[tuple] = []
+    for waste in range(min(room, most) + 1):
+        if not sums[-1] >> (room - waste) & 1:
+            continue
+        for f in exact(room - waste):
+            used = dict(f)
+            spare = next((n for n in fit if free(n) > used.get(n, 0)), None)
+            # With room for one more length, a fuller filling dominates it.
+            if spare is not None and spare <= waste or any(_dominates(g, f) for g in tried):
+                yield waste, None
+                continue
+            if len(tried) < COMPARED:
+                tried.append(f)
+            yield waste, f
+
+
 def _dominates(better: tuple, worse: tuple) -> bool:
     """Whether worse's lengths fit, grouped, into better's (first fit)."""
     holes = sorted((n for n, u in better for _ in range(u)), reverse=True)
@@ -172,15 +231,32 @@ def _dominates(better: tuple, worse: tuple) -> bool:
 def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[Pattern]:
     """Patterns that hold every length as often as ``counts`` says, in as few
     sequences as the search finds."""
+    return search(counts, capacity, nodes)[0]
+
+
+def search(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> tuple[list[Pattern], bool]:
+    """The patterns, and whether no plan with fewer sequences exists (proven)."""
     counts = {n: c for n, c in counts.items() if c}
     best = best_fit(counts, capacity)
     used = sum(m for m, _ in best)
-    bound, total = lower_bound(counts, capacity), sum(n * c for n, c in counts.items())
+    bound = lower_bound(counts, capacity)
     if used == bound:
-        return best
+        return best, True
+    for whole in (False, True):
+        best, ended = _descend(counts, capacity, nodes, best, bound, whole)
+        used = sum(m for m, _ in best)
+        if used == bound:
+            return best, True
+    return best, ended
+
+
+def _descend(counts: dict[int, int], capacity: int, nodes: int, best: list[Pattern], bound: int,
+             whole: bool) -> tuple[list[Pattern], bool]:
+    """The best of ``best`` and what at most ``nodes`` nodes find; whether all branches were tried."""
     # Depth first over an explicit stack of choices, so depth is no limit.
+    used, total = sum(m for m, _ in best), sum(n * c for n, c in counts.items())
     left, rest = sorted(counts), dict(counts)
-    path: list[tuple[Pattern, list]] = []
+    path: list[tuple[Pattern, int]] = []
     opened, waste, seen = 0, 0, 0
 
     def apply(pattern: Pattern, sign: int) -> None:
@@ -192,34 +268,42 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -
             elif not before:
                 insort(left, n)
 
-    def choices() -> list[tuple[Pattern, int]]:
+    def choices() -> Iterator[tuple[Pattern | None, int]]:
         large = left[-1]
-        rest[large] -= 1
-        if not rest[large]:
-            left.pop()
-        options = fillings(left, rest, capacity - large)
-        if not rest[large]:
-            left.append(large)
-        rest[large] += 1
-        out = []
-        for w, f in options:
-            uses = dict(f)
-            uses[large] = uses.get(large, 0) + 1
-            many = min(rest[n] // u for n, u in uses.items())
-            out.append(((many, tuple(sorted(uses.items(), reverse=True))), w))
-        return out[::-1]  # the least waste is taken first, from the end
+        most = (used - 1) * capacity - total - waste
+        if whole:
+            def options():
+                return fillings(left, rest, large, capacity - large, most)
+        else:
+            there = [n for n in left if n != large or rest[n] > 1]
+            few = likely_fillings(there, {**rest, large: rest[large] - 1}, capacity - large)
+
+            def options():
+                return few
+        for once in (False, True)[:1 + whole]:  # as often as it goes; then once, and the next node decides again
+            for w, f in options():
+                if f is None:
+                    yield None, w
+                    continue
+                uses = dict(f)
+                uses[large] = uses.get(large, 0) + 1
+                many = min(rest[n] // u for n, u in uses.items())
+                if not once or many > 1:
+                    yield (1 if once else many, tuple(sorted(uses.items(), reverse=True))), w
 
     todo = [choices()] if left else []
     while todo and seen < nodes and used > bound:
-        if not todo[-1]:
+        pattern, w = next(todo[-1], (None, None))
+        if w is None:
             todo.pop()
             if path:
                 last, w = path.pop()
                 apply(last, -1)
                 opened, waste = opened - last[0], waste - w
             continue
-        pattern, w = todo[-1].pop()
         seen += 1
+        if pattern is None:
+            continue
         # To improve by one sequence, the waste may not pass this.
         if waste + w * pattern[0] > (used - 1) * capacity - total:
             many = ((used - 1) * capacity - total - waste) // w if w else 0
@@ -232,10 +316,10 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -
         if not left:
             if opened < used:
                 best, used = [p for p, _ in path], opened
-            todo.append([])
+            todo.append(iter(()))
         else:
             todo.append(choices())
-    return best
+    return best, not todo
 
 
 def intervals(patterns: list[Pattern]) -> np.ndarray:
