@@ -49,7 +49,7 @@ def run(spark, name):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels", "benchmark"):
+    for t in ("documents", "pages", "labels", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     want = con.execute(ORACLES[name])
     cols = [d[0] for d in want.description]

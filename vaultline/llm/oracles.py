@@ -4,7 +4,7 @@ them against brute force."""
 
 from __future__ import annotations
 
-from vaultline.llm import decontamination as dc, pii, quality_rules as qr, url_rules
+from vaultline.llm import centroids, decontamination as dc, pii, quality_rules as qr, url_rules
 
 WS = r"[\x20\x09-\x0D]+"
 
@@ -217,10 +217,48 @@ SELECT page_id, n AS payload_bytes,
   CASE WHEN last IS NULL OR page_id IS NOT DISTINCT FROM last THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to FROM q"""
 
+# ---------------------------------------------------------------- clusters
+
+KEPT = """
+WITH kept AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS row_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+ FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x) AND abs(x) <= 524288)) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS k, v AS c FROM kept WHERE vec_id IS NOT NULL
+ ORDER BY sha256('2:' || vec_id), v LIMIT 40)"""
+ASSIGN = """, a{i} AS MATERIALIZED (SELECT vec_id, v, arg_min(struct_pack(k := k, d := d), struct_pack(d := d, k := k)) AS near FROM (
+  SELECT vec_id, row_id, v, k, CAST(list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d FROM kept, c{i})
+  GROUP BY vec_id, row_id, v)"""
+MOVE = """, c{j} AS MATERIALIZED (SELECT k, coalesce(m, c) AS c FROM c{i} LEFT JOIN (
+  SELECT k, list(q ORDER BY pos) AS m FROM (
+    SELECT k, pos, CAST((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS q
+    FROM (SELECT near.k AS k, unnest(v) AS x, unnest(range(len(v))) AS pos FROM a{i}) GROUP BY k, pos) GROUP BY k) USING (k))"""
+
+
+def _clusters() -> str:
+    steps = "".join(ASSIGN.format(i=i) + MOVE.format(i=i, j=i + 1) for i in range(centroids.ROUNDS))
+    return KEPT + steps + ASSIGN.format(i=centroids.ROUNDS) + f"""
+SELECT vec_id, CAST(near.k AS INT) AS cluster, near.d AS distance, CAST(sum(near.d) OVER (PARTITION BY near.k) AS BIGINT) AS cluster_inertia,
+ CAST(sum(near.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256 FROM a{centroids.ROUNDS} JOIN c{centroids.ROUNDS} ON k = near.k"""
+
+
+# ---------------------------------------------------------------- fill in the middle
+
+FIM = """
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+ sha256(t) AS restored_sha256
+FROM (SELECT *, substr(t, 1, a) AS pre, substr(t, a + 1, b - a) AS mid, substr(t, b + 1) AS suf,
+ CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+  WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+ FROM (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b
+  FROM (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+   list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')), i, 8) AS BIGINT)) AS h FROM documents)))"""
+
 ORACLES = {
     "op1_template_decontamination": _leaks(),
     "op2_risk_controlled_quality": _quality(),
     "op3_association_url_rules": _urls(),
     "op4_pii_spans": _pii(),
     "op5_salvage_warc": WARC,
+    "op12_laesa_clusters": _clusters(),
+    "op13_frame_fill_in_middle": FIM,
 }

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators (and the pipeline), with SQL
+"""The registered queries of the operators (and the pipeline), with SQL
 where SQL can express them. Each query is thin: it runs the operator over the
 whole table with production parameters and derives the contract's columns."""
 
@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.llm import (
-    decontamination, packing, pii, quality_rules, sharding, simhash, token_counts, toxicity, url_rules, warc)
+    centroids, decontamination, fim, packing, pii, quality_rules, sharding, simhash, suffix_index, token_counts, toxicity,
+    url_rules, warc)
 from vaultline.llm.common import table
 from vaultline.llm.oracles import ORACLES  # noqa: F401  (read by the driver contract)
 from vaultline.session import scratch_path
@@ -96,3 +97,19 @@ def op10_virtual_slot_shards(spark: SparkSession, sf: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf, "documents").select("doc_id", "text"), n_shards=40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version")
+
+
+@_query
+def op11_logarithmic_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return suffix_index.remove_repeats(docs, scratch_path(spark, "suffix-family"), keep=False)
+
+
+@_query
+def op12_laesa_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    return centroids.with_inertia(centroids.cluster(table(spark, sf, "embeddings").select("vec_id", "embedding")))
+
+
+@_query
+def op13_frame_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    return fim.fill_in_middle(table(spark, sf, "documents").select("doc_id", "text"), output=False)
