@@ -7,7 +7,8 @@ built from metadata sheets or from the schemas of the tables themselves.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,6 +94,94 @@ def find_keys(df: DataFrame, table_name: str, columns: list[str] | None = None)
     return profile_keys(df, table_name, columns)
 
 
+def _key_pass(df: DataFrame, sets: Sequence[tuple[str, ...]]) -> dict[tuple[str, ...], tuple[int, int, int]]:
+    """{set: (rows, distinct values, rows with a NULL)} of column sets, exact, in
+    one scan and one shuffle: a row gives one 128-bit name per set, counted in part
+    before they move, so a hot value is one row a task."""
+    names = [F.struct(F.lit(i).alias("i"), F.xxhash64(F.lit("a"), *[F.col(f"`{c}`") for c in s]).alias("a"),
+                      F.xxhash64(F.lit("b"), *[F.col(f"`{c}`") for c in s]).alias("b"),
+                      F.exists(F.array(*[F.col(f"`{c}`").isNull() for c in s]), lambda x: x).alias("blank"))
+             for i, s in enumerate(sets)]
+    counted = (df.select(F.inline(F.array(*names))).groupBy("i", "a", "b", "blank").agg(F.count(F.lit(1)).alias("n"))
+               .groupBy("i").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("values"),
+                                 F.coalesce(F.sum(F.when(F.col("blank"), F.col("n"))), F.lit(0)).alias("blanks")))
+    found = {r["i"]: (r["rows"], r["values"], r["blanks"]) for r in counted.collect()}  # a row per set
+    return {s: found.get(i, (0, 0, 0)) for i, s in enumerate(sets)}
+
+
+def key_combinations(df: DataFrame, table_name: str, columns: Sequence[str] | None = None, width: int = 3) -> DataFrame:
+    """K2 for composite keys: the minimal sets of at most ``width`` columns, none
+    of them NULL in any row, whose values tell all rows apart. Level by level: a
+    set is tested only if no part of it is a key (it would not be minimal) and if
+    its parts have enough distinct values between them to tell the rows apart;
+    all tests of a level share one scan. Every test is exact. An empty table has no keys."""
+    spark = df.sparkSession
+    columns = sorted(columns or df.columns)
+    level = _key_pass(df, [(c,) for c in columns])
+    n = max((r for r, _, _ in level.values()), default=0)
+    usable = [s[0] for s, (_, _, blanks) in level.items() if not blanks]
+    distinct, keys = {}, []
+    for size in range(1, min(width, len(usable)) + 1):
+        if size > 1:
+            sets = [s for s in combinations(usable, size) if not any(set(k) <= set(s) for k in keys) and all(
+                distinct[part] * distinct[(c,)] >= n for c in s for part in [tuple(x for x in s if x != c)] if part in distinct)]
+            level = _key_pass(df, sets) if sets else {}
+        for s, (_, values, _) in level.items():
+            distinct[s] = values
+            if n and values == n and s[0] in usable:
+                keys.append(s)
+    return spark.createDataFrame([(table_name, ",".join(k), len(k), n) for k in keys],
+                                 "table_name string, key_columns string, width int, rows long")
+
+
+def _comparable(df: DataFrame, table: str) -> list[tuple[str, "F.Column"]]:
+    """(column, its values as text) of the columns whose values can be compared
+    across tables: whole numbers, text, dates. The kind is part of the text."""
+    out = []
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        kind = "n" if t in ("tinyint", "smallint", "int", "bigint") else "s" if t in ("string",) or t.startswith("varchar") else (
+            "d" if t == "date" else None)
+        if kind:
+            out.append((f"{table}.{f.name}", F.concat(F.lit(f"{kind}:"), F.col(f"`{f.name}`").cast("string"))))
+    return out
+
+
+def inclusion_dependencies(tables: Mapping[str, DataFrame], columns: Sequence[str] | None = None,
+                           least_values: int = 2) -> DataFrame:
+    """K4 for relationships that no join condition spells out: pairs of columns
+    (``table.column``) where every value of the dependent column occurs in the
+    referenced one: ``dependent, referenced, distinct_values, is_unique`` (the
+    referenced column has no value twice: a likely foreign key). Columns with
+    fewer than ``least_values`` values say nothing and are left out as dependents.
+
+    Each table is read once. Its columns become distinct (value, column) rows with
+    counts; per value the set of columns it occurs in is built, equal sets are counted
+    together, and a dependency holds where the counts of the sets with both
+    columns reach the dependent's number of values. No pair of columns is joined."""
+    listed, parts = [], []
+    for table, df in tables.items():
+        cells = [(n, v) for n, v in _comparable(df, table) if columns is None or n in columns]
+        if not cells:
+            continue
+        at = len(listed)
+        listed += [n for n, _ in cells]
+        parts.append(df.select(F.inline(F.array(*[F.struct(F.lit(at + i).alias("c"), v.alias("v")) for i, (_, v) in enumerate(cells)])))
+                     .filter("v IS NOT NULL").groupBy("c", "v").agg(F.count(F.lit(1)).alias("n")))
+    values = union_all_by_name(parts)
+    # Of one value: at most as many entries as there are columns.
+    sets = values.groupBy("v").agg(F.array_sort(F.collect_list(F.struct("c", (F.col("n") > 1).alias("twice")))).alias("s"))
+    counted = sets.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
+    met = counted.select("n", "s", F.explode("s").alias("d")).select("n", F.col("d.c").alias("d"), F.explode("s").alias("r"))
+    pairs = met.groupBy("d", F.col("r.c").alias("r")).agg(F.sum("n").alias("both"))
+    own = met.filter("d = r.c").groupBy("d").agg(F.sum("n").alias("own"), F.max("r.twice").alias("twice"))
+    names = F.array(*[F.lit(n) for n in listed])
+    return (pairs.filter("d <> r").join(own.select("d", "own"), "d").filter(f"both = own AND own >= {int(least_values)}")
+            .join(own.select(F.col("d").alias("r"), "twice"), "r")
+            .select(F.get(names, F.col("d")).alias("dependent"), F.get(names, F.col("r")).alias("referenced"),
+                    F.col("own").alias("distinct_values"), (~F.col("twice")).alias("is_unique")))
+
+
 def satellite_groups(columns: DataFrame, key_flag: str = "is_key") -> DataFrame:
     """K3: per table, the sorted list of non-key columns (satellite attributes)."""
     return (columns.filter(~F.coalesce(F.col(key_flag), F.lit(False)))

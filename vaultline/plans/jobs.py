@@ -23,6 +23,7 @@ from vaultline.operators.quality import Split, cast_rule, enforce_runnable, mark
 from vaultline.operators.transform import cast_columns, fill_default, filter_rows
 from vaultline.plans.rules import Rule, handling_in, parse_cell
 from vaultline.plans.types import declared_length, is_string_type, to_spark_type
+from vaultline.sources.snapshots import Snapshots
 
 
 @dataclass
@@ -340,7 +341,8 @@ def dq_suite(df: DataFrame, rules_sheet, table: str,
 def run_job(spark: SparkSession, specs: list[TargetSpec], sources: Mapping[str, DataFrame],
             targets: Mapping[str, str], quarantine_target: str | None, load_ts,
             state_path: str | None = None, batch_id: str | None = None,
-            protection: DataFrame | None = None, key=None, source_root: str | None = None) -> list[dict]:
+            protection: DataFrame | None = None, key=None, source_root: str | None = None,
+            store: Snapshots | None = None) -> list[dict]:
     """E10 (action): every target in load order; each is checked and written
     by ``write_checked`` (fail rules first, count check, quarantine).
 
@@ -356,7 +358,11 @@ def run_job(spark: SparkSession, specs: list[TargetSpec], sources: Mapping[str,
 
     With a ``protection`` sheet, flagged columns are masked or encrypted
     (``key``: a Column from configuration) in everything written, the scratch
-    copy and the quarantine's row JSON included (P1-P3)."""
+    copy and the quarantine's row JSON included (P1-P3).
+
+    With a ``store``, targets of full loads are tables of that name in it. They
+    are staged one by one and change together, in one commit after the last: a
+    job that fails, or is killed, half way leaves every table as it was."""
     from vaultline.operators.incremental import LOAD_BATCH, check_first, commit, path_exists, plan_batch, write_hashes
     from vaultline.sources.readers import scan_glob
     from vaultline.sources.writers import write_checked
@@ -364,9 +370,10 @@ def run_job(spark: SparkSession, specs: list[TargetSpec], sources: Mapping[str,
     globbed = {s.source: scan_glob(spark, source_root, s.file_pattern) for s in specs
                if s.source not in sources and s.file_pattern and source_root}
     sources = ChainMap(globbed, sources)
-    reports = []
+    reports, staged, seen = [], {}, store.at() if store is not None else None
     for spec in specs:
-        srcs, batch, stored, target = sources, None, None, targets[spec.name]
+        srcs, batch, stored = sources, None, None
+        target = targets.get(spec.name, spec.name) if store is not None else targets[spec.name]
         if (spec.load_mode or "").startswith("incr") and spec.watermark_column and state_path:
             batch = plan_batch(sources[spec.source], spec.watermark_column, state_path, spec.name)
             if batch is None:
@@ -387,7 +394,10 @@ def run_job(spark: SparkSession, specs: list[TargetSpec], sources: Mapping[str,
             write_hashes(batch, state_path, spec.name)
         rep = write_checked(s, target, quarantine_target, spec.name, spec.expected_count, load_ts,
                             partition_cols=list(spec.partition_cols), batch=batch.label if batch else None,
-                            load_batch=batch.label if batch else None, replace_all=batch is None or batch.first)
+                            load_batch=batch.label if batch else None, replace_all=batch is None or batch.first,
+                            **({"store": store} if store is not None and batch is None else {}))
+        if rep.get("entry") is not None:
+            staged[target] = rep.pop("entry")
         rep["rule_problems"] = trouble[spec.name]
         if batch is not None:
             rep["null_watermarks"] = batch.nulls
@@ -395,4 +405,6 @@ def run_job(spark: SparkSession, specs: list[TargetSpec], sources: Mapping[str,
                 commit(spark, state_path, spec.name, spec.watermark_column, batch.upper, batch.seq, rep["clean_rows"], batch_id)
                 rep["watermark"] = batch.upper
         reports.append(rep)
+    if staged:
+        store.commit(seen, staged)
     return reports

@@ -736,21 +736,22 @@ def q_hub_incremental(spark, sf):
 @query("hub_load", f"""
 WITH b1 AS ({_hub_sql('orders', 'o_custkey', 'customer', TS1, f"o_orderdate < TIMESTAMP '{tpl.HUB_BATCH1_CUTOFF}'")}),
      b2 AS ({_hub_sql('orders', 'o_custkey', 'customer', TS2)})
-SELECT *, 'b1' AS batch_id FROM b1
+SELECT *, '007' AS batch_id FROM b1
 UNION ALL
-SELECT *, 'b2' FROM b2 WHERE hub_customer_key NOT IN (SELECT hub_customer_key FROM b1)""")
+SELECT *, '1.0' FROM b2 WHERE hub_customer_key NOT IN (SELECT hub_customer_key FROM b1)""")
 def q_hub_load(spark, sf):
     """I1 as a stored-table load: two batches written with
-    write_vault_increment (batch 2 replayed once), then the table read back."""
+    write_vault_increment (batch 2 replayed once), then the table read back. The
+    labels read as numbers and must stay text."""
     o = _t(spark, sf, "orders")
     target = scratch_path(spark, "hub_load")
     early = o.filter(F.col("o_orderdate") < _lit_ts(tpl.HUB_BATCH1_CUTOFF))
     writers.write_vault_increment(vault.hub(early, "o_custkey", "customer", tpl.LOAD_TS, tpl.RECORD_SOURCE),
-                                  target, "hub_customer_key", "b1")
+                                  target, "hub_customer_key", "007")
     for _ in range(2):      # a replay of batch 2 must not add rows
         writers.write_vault_increment(vault.hub(o, "o_custkey", "customer", tpl.LOAD_TS2, tpl.RECORD_SOURCE),
-                                      target, "hub_customer_key", "b2")
-    return spark.read.parquet(target)
+                                      target, "hub_customer_key", "1.0")
+    return writers.read_batches(spark, target)
 
 
 @query("link_incremental", f"""
@@ -808,7 +809,7 @@ def q_sat_load(spark, sf):
     late, now = rows.filter(F.col("load_datetime") < cut), rows.filter(F.col("load_datetime") >= cut)
     for name, part in (("b1", now), ("b2", late), ("b2", late), ("b3", rows)):
         writers.write_vault_increment(part, target, "hub_user_key", name, "sat_changes")
-    stored = spark.read.parquet(target).drop("batch_id")
+    stored = writers.read_batches(spark, target).drop("batch_id")
     # A late version can make the stored one after it a repeat: the history skips repeats.
     return ordered.changes(stored, "hub_user_key", "hash_diff", ["load_datetime", "hash_diff"])
 
