@@ -256,7 +256,8 @@ class SuffixFamily:
             if e.kind == "level":
                 level = self.spark.read.schema(LEVEL).parquet(e.path).filter("repeated").select("key", "contested")
                 found = level if found is None else found.unionByName(level)
-        found = found.groupBy("key").agg(F.max("contested").alias("contested"))
+        # Written, so that both sides of the join are plain shuffles: a hot key's side can then be split.
+        found = materialize(found.groupBy("key").agg(F.max("contested").alias("contested")), "suffix-keys")
         own = self.spark.read.schema(OCCURRENCES).parquet(*[e.path for e in entries if e.kind == "batch"])
         return own.join(found, "key")
 
@@ -346,8 +347,9 @@ def _windows(blocks: DataFrame, need: int) -> DataFrame:
 
 
 def _repeated(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Groups that more than one name is in."""
-    return rows.groupBy(*by).agg(F.min("name").alias("a"), F.max("name").alias("b")).filter("a != b").select(*by)
+    """Groups that more than one name is in; written, so that joins with them can split a hot group."""
+    return materialize(rows.groupBy(*by).agg(F.min("name").alias("a"), F.max("name").alias("b")).filter("a != b").select(*by),
+                       "suffix-groups")
 
 
 def spans(family: SuffixFamily, docs: DataFrame, text: str = "text") -> DataFrame:
