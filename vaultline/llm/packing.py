@@ -27,6 +27,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -37,6 +38,7 @@ from vaultline.llm.common import materialize, text_or_empty
 
 TOKENIZER, END_ID, CAPACITY = "word_bpe_49k.json", 1, 4096
 SALTS, NODES, WIDTH = 64, 20_000, 8
+LIVE = 8  # enumerations of fillings kept open: each holds a table of up to capacity sets of capacity bits
 COMPARED = 64  # fillings that a later one is held against; past them a dominated one only costs a node
 
 Pattern = tuple[int, tuple[tuple[int, int], ...]]  # (how often, ((length, uses), ...))
@@ -45,7 +47,7 @@ Pattern = tuple[int, tuple[tuple[int, int], ...]]  # (how often, ((length, uses)
 def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER,
            end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, salt) of every piece."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).alias("text"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), text_or_empty(text).cast("binary").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     end = int(end_id).to_bytes(4, "little")
 
@@ -55,8 +57,8 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokenize
         seen = 0
         for b in batches:
             row, piece, start, length, crc = [], [], [], [], []
-            for r, text_ in enumerate(b.column(1).to_pylist()):
-                ids = encoder.ids(text_) + end
+            for r, value in enumerate(b.column(1)):
+                ids = encoder.ids(value.as_py()) + end
                 for p, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     row.append(r), piece.append(p), start.append(at // 4)
@@ -268,9 +270,8 @@ def _descend(counts: dict[int, int], capacity: int, nodes: int, best: list[Patte
             elif not before:
                 insort(left, n)
 
-    def choices() -> Iterator[tuple[Pattern | None, int]]:
+    def choices(most: int) -> Iterator[tuple[Pattern | None, int]]:
         large = left[-1]
-        most = (used - 1) * capacity - total - waste
         if whole:
             def options():
                 return fillings(left, rest, large, capacity - large, most)
@@ -291,9 +292,23 @@ def _descend(counts: dict[int, int], capacity: int, nodes: int, best: list[Patte
                 if not once or many > 1:
                     yield (1 if once else many, tuple(sorted(uses.items(), reverse=True))), w
 
-    todo = [choices()] if left else []
+    # A node: the waste it may add, how many choices were taken, and the open enumeration. Only the deepest LIVE are
+    # open; one that the search comes back to is made anew (lengths left are then as before) up to where it was.
+    def node() -> list:
+        most = (used - 1) * capacity - total - waste
+        if len(todo) >= LIVE:
+            todo[-LIVE][2] = None
+        return [most, 0, choices(most) if left else iter(())]
+
+    todo: list[list] = []
+    if left:
+        todo.append(node())
     while todo and seen < nodes and used > bound:
-        pattern, w = next(todo[-1], (None, None))
+        top = todo[-1]
+        if top[2] is None:
+            top[2] = islice(choices(top[0]), top[1], None)
+        pattern, w = next(top[2], (None, None))
+        top[1] += 1
         if w is None:
             todo.pop()
             if path:
@@ -313,12 +328,9 @@ def _descend(counts: dict[int, int], capacity: int, nodes: int, best: list[Patte
         apply(pattern, 1)
         path.append((pattern, w * pattern[0]))
         opened, waste = opened + pattern[0], waste + w * pattern[0]
-        if not left:
-            if opened < used:
-                best, used = [p for p, _ in path], opened
-            todo.append(iter(()))
-        else:
-            todo.append(choices())
+        if not left and opened < used:
+            best, used = [p for p, _ in path], opened
+        todo.append(node())
     return best, not todo
 
 
