@@ -64,8 +64,10 @@ def marked(words: Column) -> Column:
         capital = x.rlike(r"^[^\p{L}\p{N}]*\p{Lu}\p{Ll}")
         inside = before.isNotNull() & ~before.rlike(r"[.!?:]\W*$")
         unit = before.rlike(NUMBER) & bare(x).isin(*UNITS)
-        # Most words are lower-case letters only, or those and a full stop or comma: they stay as they are.
-        return (F.when(x.rlike(r"^\p{Ll}{9,}$"), x)
+        # Most words are lower-case letters, or those and one mark behind: unless they may be units they stay as they are.
+        but_last = x.substr(F.lit(1), F.length(x) - 1)
+        return (F.when(x.rlike(r"^\p{Ll}+$") & ~x.isin(*UNITS), x)
+                .when(x.rlike(r"^\p{Ll}+[.,;:!?]$") & ~but_last.isin(*UNITS), but_last)
                 .when(x.rlike(NUMBER), NUM)
                 .when(capital, F.when(inside, F.concat(F.lit(INSIDE), bare(x))).when(unit, UNIT)
                       .otherwise(F.concat(F.lit(OPENING), bare(x))))
@@ -110,21 +112,28 @@ def window_hashes(words: Column, tokens: Column) -> Column:
     return F.slice(hashes, F.lit(1), F.greatest(F.size(tokens) - (WINDOW - 1), F.lit(0)))
 
 
-def other_hashes(words: Column, marks: Column, reading: int, mark: str) -> Column:
+def other_hashes(words: Column, marks: Column, tokens: Column, reading: int, mark: str) -> Column:
     """Array of (at, level, h) of the windows that hold a marked word, which a
-    looser reading tells otherwise than the strict one."""
+    looser reading (its ``tokens``) tells otherwise than the strict one."""
     last = F.size(marks) - WINDOW
     where = F.filter(F.transform(marks, lambda m, i: F.when(m.startswith(mark), i)), lambda i: i.isNotNull())
     around = F.transform(where, lambda i: F.filter(F.sequence(F.greatest(i - (WINDOW - 1), F.lit(0)), i), lambda at: at <= last))
 
-    def placed(at: Column) -> Column:
-        tokens = [read_as(F.get(marks, at + k), reading) for k in range(WINDOW)]
-        only_slots = is_slot(tokens[0])
-        for t in tokens[1:]:
-            only_slots = only_slots & is_slot(t)
-        h = F.when(only_slots, F.xxhash64(*[F.lower(F.get(words, at + k)) for k in range(WINDOW)])).otherwise(F.xxhash64(*tokens))
-        return F.struct(at.alias("at"), F.lit(reading).alias("level"), h.alias("h"))
-    return F.transform(F.array_distinct(F.flatten(around)), placed)
+    def plain(at: Column) -> Column:
+        return F.xxhash64(*[F.get(tokens, at + k) for k in range(WINDOW)])
+
+    def careful(at: Column) -> Column:
+        only_slots = is_slot(F.get(tokens, at))
+        for k in range(1, WINDOW):
+            only_slots = only_slots & is_slot(F.get(tokens, at + k))
+        return F.when(only_slots, F.xxhash64(*[F.lower(F.get(words, at + k)) for k in range(WINDOW)])).otherwise(plain(at))
+
+    def placed(h):
+        return lambda at: F.struct(at.alias("at"), F.lit(reading).alias("level"), h(at).alias("h"))
+
+    many = F.size(F.filter(tokens, is_slot)) >= WINDOW
+    there = F.array_distinct(F.flatten(around))
+    return F.when(many, F.transform(there, placed(careful))).otherwise(F.transform(there, placed(plain)))
 
 
 def runs(words: Column, n: int | Column) -> Column:
@@ -138,13 +147,13 @@ def runs(words: Column, n: int | Column) -> Column:
 def _windows(df: DataFrame, keep: list[str], text: str, short: Callable[[Column], list[Column]]) -> DataFrame:
     """``keep`` plus one row (at, level, h) per window and per reading that
     tells it otherwise than the strict one; ``short`` adds runs of words."""
-    b, w, m, t = fresh(df, "_body", "_words", "_marks", "_tokens")
+    b, w, m, t, p, o = fresh(df, "_body", "_words", "_marks", "_tokens", "_plain", "_open")
     # Tokens are columns of their own: lambdas look into them, and would make them anew for each window.
     df = (df.select(*keep, text_or_empty(text).alias(b)).withColumn(w, words_of(F.col(b))).withColumn(m, marked(F.col(w)))
-          .withColumn(t, template(F.col(m), STRICT)))
+          .withColumns({x: template(F.col(m), reading) for x, reading in ((t, STRICT), (p, PLAIN), (o, OPEN))}))
     return df.select(*keep, F.inline(F.concat(
-        window_hashes(F.col(w), F.col(t)), other_hashes(F.col(w), F.col(m), PLAIN, INSIDE),
-        other_hashes(F.col(w), F.col(m), OPEN, OPENING), *short(F.col(w)))))
+        window_hashes(F.col(w), F.col(t)), other_hashes(F.col(w), F.col(m), F.col(p), PLAIN, INSIDE),
+        other_hashes(F.col(w), F.col(m), F.col(o), OPEN, OPENING), *short(F.col(w)))))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
