@@ -267,3 +267,39 @@ def test_fim_odd_rows(spark, odd):
 
 def test_sql_is_registered_where_it_can_be():
     assert {"op12_laesa_clusters", "op13_frame_fill_in_middle"} <= set(ORACLES)
+
+
+# ---------------------------------------------------------------- 7 packing: memory of the search
+
+def test_packing_search_stays_small():
+    """20,000 lengths of 300 to 2,400: the search held 0.7 GB of reachability tables at once."""
+    import tracemalloc
+    from collections import Counter
+
+    from vaultline.llm import packing
+    rng = random.Random(1)
+    counts = dict(Counter(rng.randrange(300, 2400) for _ in range(20_000)))
+    tracemalloc.start()
+    plan, _ = packing.search(counts, nodes=1500)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    held = Counter()
+    for many, pattern in plan:
+        assert sum(n * u for n, u in pattern) <= packing.CAPACITY
+        held.update({n: many * u for n, u in pattern})
+    assert held == counts and peak < 100e6
+
+
+def test_packing_search_does_not_depend_on_open_enumerations(monkeypatch):
+    """Enumerations that are made anew go on where they were."""
+    from collections import Counter
+
+    from vaultline.llm import packing
+    for seed in range(6):
+        rng = random.Random(seed)
+        counts = dict(Counter(rng.randrange(10, 70) for _ in range(40)))
+        found = []
+        for live in (1, 8, 10 ** 6):
+            monkeypatch.setattr(packing, "LIVE", live)
+            found.append(packing.search(counts, 100, 400))
+        assert found[0] == found[1] == found[2]

@@ -9,6 +9,7 @@ whole. Results equal the library's on the whole text (tests/llm).
 from __future__ import annotations
 
 import hashlib
+import struct
 
 CACHE_ENTRIES = 400_000  # of a worker; beyond it the cache starts anew
 _LOADED: dict = {}
@@ -43,38 +44,30 @@ class WordIds:
         import numpy as np
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def ids(self, text: str) -> bytes:
-        import numpy as np
-        raw = text.encode("utf-8")
+    def ids(self, text: str | bytes) -> bytes:
+        raw = text.encode("utf-8") if isinstance(text, str) else text
         if any(s in raw for s in self.specials):  # special strings may span blanks
-            return self.whole(text)
+            return self.whole(raw.decode("utf-8"))
         if b"\xcc" not in raw:  # no combining mark that could join a letter differently by its case
             raw = raw.lower()
         words = raw.split()
+        try:  # most texts have no new word
+            return b"".join(map(self.cache.__getitem__, words))
+        except KeyError:
+            self._learn(set(words))
+            return b"".join(map(self.cache.__getitem__, words))
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Put a text's words into the cache, encoded many a call and each by itself."""
         cache = self.cache
-        new = [w for w in set(words) if w not in cache]
-        if new:
-            if len(cache) > CACHE_ENTRIES:
-                cache.clear()
-                new = list(set(words))
-            # One call for many words, parted again by the blanks between them.
-            for i in range(0, len(new), 2000):
-                part = new[i:i + 2000]
-                enc = self.tokenizer.encode(" ".join(w.decode("utf-8") for w in part), add_special_tokens=False)
-                ids = np.array(enc.ids, dtype="<u4")
-                starts = np.array([a for a, _ in enc.offsets], dtype=np.int64)
-                lengths = np.array([len(w.decode("utf-8")) for w in part], dtype=np.int64)
-                ends = np.cumsum(lengths + 1)
-                cuts = np.searchsorted(starts, ends - 1, "left")
-                if len(starts) and (np.diff(starts) < 0).any():
-                    for w in part:
-                        cache[w] = self.whole(w.decode("utf-8"))
-                    continue
-                at = 0
-                for w, end in zip(part, cuts):
-                    cache[w] = ids[at:end].tobytes()
-                    at = end
-        return b"".join([cache[w] for w in words])
+        if len(cache) > CACHE_ENTRIES:
+            cache.clear()
+        new = [w for w in words if w not in cache]
+        for i in range(0, len(new), 4096):
+            part = new[i:i + 4096]
+            found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)
+            for w, enc in zip(part, found):
+                cache[w] = struct.pack(f"<{len(enc.ids)}I", *enc.ids)
 
 
 class PieceCounts:
