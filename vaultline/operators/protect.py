@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from vaultline.functions.protect import encrypt_value, mask_value
 
 
-def mask_columns(df: DataFrame, cols: Iterable[str], how: str = "mask") -> DataFrame:
+def mask_columns(df: DataFrame, cols: Iterable[str], how: str = "mask", secret: bytes | None = None) -> DataFrame:
     """Replace each listed column by its masked text."""
-    return df.withColumns({c: mask_value(c, how) for c in cols})
+    return df.withColumns({c: mask_value(c, how, secret) for c in cols})
 
 
 def encrypt_columns(df: DataFrame, cols: Iterable[str], key: Column) -> DataFrame:
@@ -36,10 +36,10 @@ def flagged(protection: DataFrame, table: str) -> dict[str, list[str]]:
 
 
 def protect(df: DataFrame, protection: DataFrame, table: str, key: Column | None = None,
-            how: str = "mask") -> DataFrame:
+            how: str = "mask", secret: bytes | None = None) -> DataFrame:
     """Apply P1/P2 as the protection sheet says."""
     f = flagged(protection, table)
-    out = mask_columns(df, [c for c in f["mask"] if c in df.columns], how)
+    out = mask_columns(df, [c for c in f["mask"] if c in df.columns], how, secret)
     enc = [c for c in f["encrypt"] if c in df.columns]
     if enc:
         if key is None:

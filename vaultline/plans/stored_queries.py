@@ -6,12 +6,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vaultline.functions.protect import hmac_pads
 from vaultline.operators import catalog, lineage, vault
 from vaultline.plans import template as tpl
 from vaultline.plans.registry import _hub_sql, _lit_ts, _t, TS1, query
+from vaultline.plans.rules import Rule
 from vaultline.session import scratch_path
 from vaultline.sources import keyed, writers
 from vaultline.sources.snapshots import Snapshots
+from vaultline.sources.tokens import TokenVault
 
 CUTS = ("1994-01-01 00:00:00", "1996-06-01 00:00:00")
 LABELS = ("007", "1.0", "b1")  # labels that read as numbers, too
@@ -235,3 +238,75 @@ def q_snapshot_diff(spark, sf):
     table = keyed.Bucketed(Snapshots(spark, scratch_path(spark, "diff")), "customer", "id", n=64)
     table.diff(was, "first")
     return table.diff(now, "second")
+
+
+# ====================================================================== P1: tokens
+
+SECRETS = {1: b"first secret of the example", 2: b"second secret of the example"}
+
+
+def _token_sql(value: str, version: int) -> str:
+    pads = hmac_pads(TokenVault(None, "customer", SECRETS).key("token", version))
+    inner, outer = ("'" + "".join(f"\\x{b:02X}" for b in p) + "'::BLOB" for p in pads)
+    return f"'v{version}_' || sha256({outer} || unhex(sha256({inner} || encode({value}))))"
+
+
+@query("tokenize_roundtrip", f"""
+WITH n AS (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY o_custkey),
+k AS (SELECT c_custkey, CAST(c_custkey AS VARCHAR) AS id FROM customer)
+SELECT {_token_sql('id', 1)} AS old_token, {_token_sql('id', 2)} AS token, id AS old_value, id AS value,
+  coalesce(n_orders, 0) AS n_orders, false AS plain_digest FROM k LEFT JOIN n ON o_custkey = c_custkey""")
+def q_tokenize_roundtrip(spark, sf):
+    """P1 by tokens: two tables tokenized under the first secret still join, one is carried over to the
+    second, and tokens of both versions read back."""
+    store = Snapshots(spark, scratch_path(spark, "tokens"))
+    first = TokenVault(store, "customer", {1: SECRETS[1]}, n=16)
+    c = first.tokenize(_t(spark, sf, "customer").select(F.col("c_custkey").alias("id")), ["id"])
+    o = first.tokenize(_t(spark, sf, "orders").select(F.col("o_custkey").alias("id")), ["id"])
+    n = o.groupBy("id").agg(F.count(F.lit(1)).alias("n_orders"))
+    both = (c.join(n, "id", "left").select(F.col("id").alias("old_token"), F.col("id").alias("token"),
+                                           F.coalesce("n_orders", F.lit(0)).alias("n_orders")))
+    second = TokenVault(store, "customer", SECRETS, n=16)
+    both = second.rotate(both, ["token"])
+    both = second.detokenize(both.withColumns({"old_value": F.col("old_token"), "value": F.col("token")}), ["old_value", "value"])
+    digest = F.sha2(F.col("value"), 256)
+    return both.withColumn("plain_digest", F.col("old_token").contains(digest) | F.col("token").contains(digest))
+
+
+# ====================================================================== S2: keyed rules on a stream
+
+KEYED_RULES = (Rule("l_quantity", "range", ("1", "45"), handling="log"),
+               Rule(None, "unique_combination", ("l_orderkey", "l_suppkey")),
+               Rule("l_suppkey", "chronology", ("l_shipdate", "l_orderkey", "l_linenumber")),
+               Rule("l_shipdate", "unique", handling="log"))
+
+
+@query("stream_keyed_dq", """
+WITH m AS (SELECT *, l_quantity NOT BETWEEN 1 AND 45 AS r0, count(*) OVER (PARTITION BY l_orderkey, l_suppkey) > 1 AS r1,
+  row_number() OVER (PARTITION BY l_suppkey, l_shipdate ORDER BY l_orderkey, l_linenumber) > 1 AND l_shipdate IS NOT NULL AS r2,
+  count(*) OVER (PARTITION BY l_shipdate) > 1 AND l_shipdate IS NOT NULL AS r3 FROM lineitem)
+SELECT l_orderkey, l_linenumber, concat_ws(',', CASE WHEN r0 THEN 'range:l_quantity' END, CASE WHEN r1 THEN 'unique_combination' END,
+  CASE WHEN r2 THEN 'chronology:l_suppkey' END, CASE WHEN r3 THEN 'unique:l_shipdate' END) AS failed,
+  CASE WHEN r1 OR r2 THEN 'quarantine' WHEN r0 OR r3 THEN 'log' ELSE 'pass' END AS dq_action FROM m""")
+def q_stream_keyed_dq(spark, sf):
+    """S2 with keyed rules over three micro-batches in no order of keys or times: equal to the batch rules."""
+    from vaultline.streaming.keyed_rules import read_checked, stream_keyed_dq
+    li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_quantity")
+    files, target = scratch_path(spark, "stream_lines"), scratch_path(spark, "stream_keyed")
+    li.repartition(3).write.parquet(files)
+    stream = spark.readStream.schema(li.schema).option("maxFilesPerTrigger", 1).parquet(files)
+    stream_keyed_dq(stream, KEYED_RULES, target, scratch_path(spark, "stream_keyed_ckpt"), buckets=8)
+    return read_checked(spark, target, li.schema, KEYED_RULES).marked.select(
+        "l_orderkey", "l_linenumber", F.array_join("failed_rules", ",").alias("failed"), "dq_action")
+
+
+@query("stream_distinct_bucketed", "SELECT DISTINCT user_id, event_type FROM events")
+def q_stream_distinct_bucketed(spark, sf):
+    """S3 with its keys in buckets, over five micro-batches."""
+    from vaultline.streaming.loads import stream_distinct_bucketed
+    e = _t(spark, sf, "events").select("user_id", "event_type")
+    files, store = scratch_path(spark, "stream_users"), Snapshots(spark, scratch_path(spark, "stream_buckets"))
+    e.repartition(5).write.parquet(files)
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(files)
+    stream_distinct_bucketed(stream, e.columns, store, "users", scratch_path(spark, "stream_buckets_ckpt"), buckets=8, compact_at=3)
+    return store.read("users")

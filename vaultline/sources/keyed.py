@@ -131,9 +131,14 @@ class Bucketed:
         placed.repartition(F.col(BUCKET)).write.mode("errorifexists").partitionBy(BUCKET).parquet(folder)
         return folder, [int(f.split("=")[1]) for f in self.store._list(folder) if f.startswith(f"{BUCKET}=")]
 
-    def _commit(self, seen, entry: dict, changed: dict[int, list[str]], label: str, **extra) -> None:
+    def _after(self, entry: dict, changed: dict[int, list[str]], label: str | None, **extra) -> dict:
+        """The table's entry with the changed buckets in place."""
         buckets = {**entry["buckets"], **{str(b): p for b, p in changed.items()}}
-        self.store.commit(seen, {self.table: {**entry, **extra, "buckets": buckets, "labels": [*entry["labels"], label]}})
+        labels = [*entry["labels"], label] if label is not None else entry["labels"]
+        return {**entry, "buckets": buckets, "labels": labels, **extra}
+
+    def _commit(self, seen, entry: dict, changed: dict[int, list[str]], label: str | None, **extra) -> None:
+        self.store.commit(seen, {self.table: self._after(entry, changed, label, **extra)})
 
     def upsert(self, batch: DataFrame, label: str, order: Sequence[str] | None = None) -> list[int]:
         """I4 (action): the batch's rows (the last by ``order`` of each key) replace
@@ -165,24 +170,30 @@ class Bucketed:
             old = self.store.read_paths([p for ps in changed.values() for p in ps], delta.schema)
         return old.join(delta.select(*self.keys), _same(old, delta, self.keys), "left_semi")
 
-    def add_keys(self, batch: DataFrame, label: str, compact_at: int = 8) -> DataFrame:
-        """S3 (action): store the batch's keys that are not there yet and return
-        them. Reads only the buckets the batch touches and writes only new keys, one
-        file a bucket; a bucket of ``compact_at`` files becomes one again."""
-        keys = _scratch(batch.select(*self.keys).distinct(), "keys")
-        seen, entry = self._entry(keys.schema)
-        if label in entry["labels"]:
-            return keys.limit(0)
-        touched = [r[0] for r in keys.select(self.bucket()).distinct().collect()]  # at most n
+    def insert(self, batch: DataFrame, label: str | None = None, compact_at: int = 8) -> DataFrame:
+        """Action: store the batch's rows (one per key) whose keys are not there
+        yet and return them. Reads only the buckets the batch touches and writes only new
+        rows, one file a bucket; a bucket of ``compact_at`` files becomes one again. Without a
+        label a replay is looked up like any batch, and finds nothing new."""
+        rows = _scratch(batch, "keys")
+        seen, entry = self._entry(rows.schema)
+        if label is not None and label in entry["labels"]:
+            return rows.limit(0)
+        touched = [r[0] for r in rows.select(self.bucket()).distinct().collect()]  # at most n
         old = self._stored(entry, touched)
-        folder, written = self._write(keys.join(old, _same(keys, old, self.keys), "left_anti"))
+        folder, written = self._write(rows.join(old, _same(rows, old, self.keys), "left_anti"))
         changed = {b: entry["buckets"].get(str(b), []) + [f"{folder}/{BUCKET}={b}"] for b in written}
         full = [b for b in changed if len(changed[b]) >= compact_at]
         if full:
-            again, _ = self._write(self.store.read_paths([p for b in full for p in changed[b]], keys.schema))
+            again, _ = self._write(self.store.read_paths([p for b in full for p in changed[b]], rows.schema))
             changed |= {b: [f"{again}/{BUCKET}={b}"] for b in full}
         self._commit(seen, entry, changed, label)
-        return self.store.read_paths([f"{folder}/{BUCKET}={b}" for b in written], keys.schema)
+        return self.store.read_paths([f"{folder}/{BUCKET}={b}" for b in written], rows.schema)
+
+    def add_keys(self, batch: DataFrame, label: str, compact_at: int = 8) -> DataFrame:
+        """S3 (action): store the batch's keys that are not there yet and return
+        them, as ``insert`` does."""
+        return self.insert(batch.select(*self.keys).distinct(), label, compact_at)
 
     def files_per_bucket(self) -> dict[int, int]:
         return {int(b): len(p) for b, p in self.store.at().tables[self.table]["buckets"].items()}

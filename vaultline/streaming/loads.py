@@ -7,11 +7,12 @@ against the target *without* that partition, so a batch replayed after a
 crash rewrites exactly the same rows: the load is idempotent.
 
 S2: row rules on a streaming DataFrame are plain projections and filters.
-Keyed rules (unique, chronology, ...) would need unbounded state and are
-refused.
+Keyed rules (unique, chronology, ...) need state and are refused here:
+``keyed_rules.stream_keyed_dq`` keeps it in bucketed tables.
 
-S3: distinct keys. ``stream_distinct_keys`` compares every micro-batch with the
-stored key table (S1's path): complete however long the stream runs.
+S3: distinct keys. ``stream_distinct_bucketed`` keeps them in hash buckets and
+reads only those a micro-batch touches. ``stream_distinct_keys`` compares every micro-batch with the
+whole stored key table (S1's path). Both are complete however long the stream runs.
 ``stream_distinct`` keeps bounded state instead and says what that costs.
 """
 
@@ -26,6 +27,8 @@ from vaultline.functions.hashing import surrogate_key
 from vaultline.operators import quality
 from vaultline.plans.rules import Rule
 from vaultline.session import scratch_path
+from vaultline.sources.keyed import Bucketed
+from vaultline.sources.snapshots import Snapshots
 from vaultline.sources.writers import write_vault_increment
 
 
@@ -54,7 +57,7 @@ def stream_split(stream_df: DataFrame, rules: Sequence[Rule]) -> quality.Split:
     """E1 + split on a stream; only row rules are allowed."""
     keyed = [r.name for r in rules if r.is_keyed]
     if keyed:
-        raise ValueError(f"keyed rules need unbounded state on a stream: {keyed}; run them in batch")
+        raise ValueError(f"keyed rules need state: {keyed}; run stream_keyed_dq")
     return quality.split(quality.mark_failures(stream_df, rules), rules)
 
 
@@ -70,7 +73,7 @@ def stream_dq_load(stream_df: DataFrame, rules: Sequence[Rule], table: str, clea
     they were to fail the job."""
     keyed = [r.name for r in rules if r.is_keyed]
     if keyed:
-        raise ValueError(f"keyed rules need unbounded state on a stream: {keyed}; run them in batch")
+        raise ValueError(f"keyed rules need state: {keyed}; run stream_keyed_dq")
 
     quality.enforce_runnable(rules, table)
 
@@ -103,6 +106,24 @@ def stream_distinct_keys(stream_df: DataFrame, keys: Sequence[str], target: str,
     return stream_vault_load(stream_df, build, target, "_key", checkpoint, "insert_new", available_now, processing_time)
 
 
+def stream_distinct_bucketed(stream_df: DataFrame, keys: Sequence[str], store: Snapshots, table: str, checkpoint: str,
+                             buckets: int = 64, compact_at: int = 8, available_now: bool = True,
+                             processing_time: str | None = None):
+    """S3 (action): every distinct key tuple of the stream once, in table
+    ``table`` of ``store``. A micro-batch looks its keys up in their buckets and appends the new
+    ones; a bucket of ``compact_at`` folders becomes one again, so the folders read per bucket
+    stay level. A replay finds all its keys there and adds none. NULL is a value."""
+    def per_batch(batch_df: DataFrame, batch_id: int) -> None:
+        Bucketed(store, table, keys, buckets).insert(batch_df.select(*keys).distinct(), compact_at=compact_at)
+
+    writer = stream_df.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
+    if available_now:
+        q = writer.trigger(availableNow=True).start()
+        q.awaitTermination()
+        return q
+    return writer.trigger(processingTime=processing_time or "1 minute").start()
+
+
 def stream_distinct(stream_df: DataFrame, keys: Sequence[str], ts_col: str, delay: str) -> DataFrame:
     """One row per key among events at most ``delay`` apart, in bounded state: a
     key comes again once its events are further apart, and events later than
