@@ -160,7 +160,8 @@ PLAIN = {
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": pii.PATTERNS["iban"], "ssn": pii.PATTERNS["ssn"],
+    **{k: pii.PATTERNS[k].replace(pii.LEFT, r"\b").replace(pii.RIGHT, r"\b") for k in ("iban", "ssn", "key")},
+    "secret": r"[A-Za-z0-9+/_-]{24,}={0,2}",
 }
 
 
@@ -178,11 +179,12 @@ def _pii() -> str:
         "ip": "len(list_filter(string_split(m, '.'), lambda x: length(ltrim(x, '0')) > 3 OR coalesce(try_cast(ltrim(x, '0') AS INT), 0) > 255)) = 0",
         "card": f"length({digits}) BETWEEN 13 AND 19 AND {luhn}",
         "phone": f"length({digits}) BETWEEN 9 AND 15", "iban": mod97,
-        "ssn": "NOT regexp_matches(m, '^(?:000|666|9)|-00-|-0000$')",
+        "ssn": "NOT regexp_matches(m, '^(?:000|666|9)|-00-|-0000$')", "key": "true",
+        "secret": "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]')",
     }
 
     def near(words: tuple[str, ...]) -> str:
-        return f"regexp_matches(around, '(?i)\\b(?:{'|'.join(words)})')"
+        return f"regexp_matches(around, '(?i)\\b(?:{'|'.join(words)})s?\\b')"
 
     score = {k: f"{pii.PRIOR[k] + (pii.CONFIRMED if k in ('card', 'iban') else 0)} + CASE WHEN {near(pii.CONTEXT_WORDS[k])} THEN {pii.CONTEXT} ELSE 0 END "
                 f"- CASE WHEN {near(pii.AGAINST_WORDS)} THEN {pii.CONTEXT} ELSE 0 END" for k in PLAIN}
@@ -197,8 +199,10 @@ def _pii() -> str:
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body FROM documents),
 found AS ({parts}),
 each AS (SELECT rid, ord, kind, ms, gs, unnest(range(1, len(ms) + 1)) AS i FROM found),
-placed AS (SELECT rid, ord, kind, ms[i] AS m, right(gs[i], {pii.REACH}) || ' ' || left(gs[i + 1], {pii.REACH}) AS around,
-  list_sum(list_transform(gs[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS s FROM each),
+put AS (SELECT rid, ord, kind, ms[i] AS m,
+  CAST(list_sum(list_transform(gs[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s FROM each),
+placed AS (SELECT put.*, substr(body, greatest(s - {pii.REACH}, 0) + 1, s - greatest(s - {pii.REACH}, 0)) || ' ' ||
+  substr(body, s + length(m) + 1, {pii.REACH}) AS around FROM put JOIN d USING (rid)),
 good AS (SELECT rid, ord, kind, m, CAST(s AS BIGINT) AS s FROM placed WHERE {ok}),
 told AS (SELECT rid, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in pii.BASE_KINDS)},
   string_agg({span}, ',' ORDER BY ord, s) FILTER ({base}) AS base, string_agg({span}, ',' ORDER BY ord, s) AS spans FROM good GROUP BY rid)
