@@ -662,8 +662,35 @@ def test_map_edits(spark, odd, empty):
     assert sum(a != b for a, b in zip(after, again)) < 20
     path = scratch_path(spark, "slot-map-test")
     got = sharding.shard(odd, 3, map_path=path).collect()
-    assert len(got) == len(ODD) and spark.read.parquet(path).select("version").distinct().count() == 2
+    assert len(got) == len(ODD) and spark.read.parquet(path).select("version").distinct().count() == 1
     for k in range(3):
         slots = sorted(r["slot"] for r in got if r["shard"] == k)
         assert slots == list(range(len(slots)))
     assert sharding.shard(empty, 3).count() == 0
+
+
+def test_map_versions(spark):
+    """Each run takes the stored map on: few slots move, a new shard only takes, a shard that goes is emptied."""
+    rows = lambda n: spark.range(n).selectExpr("id AS doc_id", "repeat('x', CAST(id * 7919 % 500 AS INT)) AS text")
+    path = scratch_path(spark, "slot-map-versions")
+    run = lambda n, shards, **kw: sharding.shard(rows(n), shards, n_slots=1024, map_path=path, **kw).collect()
+    maps = lambda v: sharding.read_map(spark, path, v)
+    first, again, more = run(4000, 8), run(4000, 8), run(6000, 8)
+    assert {r["map_version"] for r in first} == {1} and {r["map_version"] for r in again} <= {1, 2}
+    v = more[0]["map_version"]
+    assert v == again[0]["map_version"] + 1 == sharding.latest_version(spark, path)
+    moved = sum(a != b for a, b in zip(maps(1), maps(v)))
+    assert 0 < moved < 200
+    grown = run(6000, 9, grow_only=True)
+    assert {r["map_version"] for r in grown} == {v + 1}
+    changed = [(a, b) for a, b in zip(maps(v), maps(v + 1)) if a != b]
+    assert changed and {b for _, b in changed} == {8}
+    load = [sum(r["size"] for r in grown if r["shard"] == k) for k in range(9)]
+    assert abs(load[8] - sum(load) / 9) < 0.02 * sum(load) / 9
+    fewer = run(6000, 5)
+    load = [sum(r["size"] for r in fewer if r["shard"] == k) for k in range(9)]
+    assert sum(load[5:]) == 0 and max(load) < 1.05 * sum(load) / 5
+    for k in range(5):
+        assert sorted(r["slot"] for r in fewer if r["shard"] == k) == list(range(sum(r["shard"] == k for r in fewer)))
+    with pytest.raises(ValueError):
+        sharding.shard(rows(10), 5, n_slots=64, map_path=path)
