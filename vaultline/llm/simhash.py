@@ -60,18 +60,22 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                 content: bool = False) -> DataFrame:
+    """(doc_id, fp): fp is the fingerprint as a signed long. With ``content`` also c1
+    and c2, hashes of the text."""
+    more = [h.alias(f"c{n}") for n, h in enumerate(_content(F.col(text)), 1)] if content else []
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *more)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         for b in batches:
             fps = np.array([fingerprint(t, shingle) for t in b.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64)), *b.columns[2:]],
+                                             names=["doc_id", "fp", *b.schema.names[2:]])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, fp long")
+    return rows.mapInArrow(run, f"doc_id {kind}, fp long" + (", c1 long, c2 long" if content else ""))
 
 
 def gray_rank(fp: Column) -> Column:
@@ -236,41 +240,62 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
-                    max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fp, component_id) for every row."""
-    rows = materialize(fingerprints(docs, doc_id, text, shingle), "simhash-fingerprints")
+def classes(rows: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(fp, root, component_id) of every fingerprint of ``rows`` (doc_id, fp):
+    root is the component's smallest fingerprint, component_id its smallest document."""
     distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     star = components(links(distinct, max_bits))
     rooted = (distinct.join(star, distinct["fp"] == star["a"], "left")
               .select("fp", "first", F.coalesce("b", "fp").alias("root")))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = rooted.join(lowest, "root").select("fp", "component_id")
-    return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return rooted.join(lowest, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
+                    max_bits: int = MAX_BITS) -> DataFrame:
+    """(doc_id, fp, component_id) for every row."""
+    rows = materialize(fingerprints(docs, doc_id, text, shingle), "simhash-fingerprints")
+    found = classes(rows, max_bits).select("fp", "component_id")
+    return rows.join(found, "fp").select("doc_id", "fp", "component_id")
 
 
 def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+def _content(text: Column) -> list[Column]:
+    """128 bits of a text: tells rows of one id apart."""
+    return [F.xxhash64(F.coalesce(text, F.lit("")), F.lit(n)) for n in (1, 2)]
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
              max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each component: the one with the smallest id. Repeated
-    rows of that id become one; rows without an id cannot be told apart and
-    stay."""
-    found = near_duplicates(docs.select(doc_id, text), doc_id, text, shingle, max_bits)
-    i, b = fresh(docs, "_gone_id", "_gone_bucket")
-    ids = materialize(found.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias(i)).agg(
-        F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("n")), "simhash-ids")
-    # Ids that go. Documents whose id falls into no such id's bucket stay at once; only the others are compared
-    # (and shuffled, when many go). At most 2 ** BUCKET_BITS buckets are broadcast.
-    gone = materialize(ids.filter("NOT stays").select(i), "simhash-gone")
-    low = lambda c: F.xxhash64(c).bitwiseAND(F.lit(2 ** BUCKET_BITS - 1))
-    buckets = F.broadcast(gone.select(low(F.col(i)).alias(b)).distinct())
-    suspect = low(docs[doc_id]) == F.col(b)
-    out = (docs.join(buckets, suspect, "left_anti")
-           .unionByName(docs.join(buckets, suspect, "left_semi").join(gone, docs[doc_id] == gone[i], "left_anti")))
-    if ids.filter("n > 1").take(1):
-        named = out.filter(F.col(doc_id).isNotNull()).dropDuplicates([doc_id])
-        out = named.unionByName(out.filter(F.col(doc_id).isNull()))
+    """One document of each component: the one with the smallest id (a null id
+    comes last), and of several texts under that id the one with the smallest
+    hash. Rows are told apart by id and text, so other texts of a repeated id
+    stand for themselves; repeated rows of the same id and text become one."""
+    rows = materialize(fingerprints(docs, doc_id, text, shingle, content=True), "simhash-fingerprints")
+    root = classes(rows.select("doc_id", "fp"), max_bits).select("fp", "root")
+    i, c1, c2, b, act = fresh(docs, "_k_id", "_k_c1", "_k_c2", "_k_bucket", "_k_act")
+    entries = materialize(rows.groupBy("fp", "doc_id", "c1", "c2").agg(F.count(F.lit(1)).alias("n"))
+                          .join(root, "fp").select("root", "doc_id", "c1", "c2", "n"), "simhash-entries")
+    at = F.struct(F.col("doc_id").isNull(), "doc_id", "c1", "c2")
+    first = entries.groupBy("root").agg(F.min(at).alias("first"))  # summed up before the shuffle
+    # Entries that go, and those that stay as one row of several. Documents whose id and text fall into no such entry's
+    # bucket stay at once; only the others are compared (and shuffled, when many go). At most 2 ** BUCKET_BITS buckets
+    # are broadcast.
+    told = entries.join(first, "root").withColumn(act, F.when(~at.eqNullSafe(F.col("first")), "go").when(F.col("n") > 1, "one"))
+    told = materialize(told.filter(F.col(act).isNotNull()).select(
+        F.col("doc_id").alias(i), F.col("c1").alias(c1), F.col("c2").alias(c2), act), "simhash-told")
+    one, two = _content(docs[text])
+    low = lambda h, k: F.xxhash64(h, k).bitwiseAND(F.lit(2 ** BUCKET_BITS - 1))
+    buckets = F.broadcast(told.select(low(F.col(c1), F.col(i)).alias(b)).distinct())
+    suspect = low(one, docs[doc_id]) == F.col(b)
+    named = (docs.join(buckets, suspect, "left_semi")
+             .join(told, docs[doc_id].eqNullSafe(told[i]) & (one == told[c1]) & (two == told[c2]), "left")
+             .filter(F.col(act).isNull() | (F.col(act) == "one")))
+    out = docs.join(buckets, suspect, "left_anti").unionByName(named.filter(F.col(act).isNull()).select(*docs.columns))
+    if told.filter(F.col(act) == "one").take(1):
+        again = named.filter(F.col(act) == "one").dropDuplicates([doc_id, c1, c2])
+        out = out.unionByName(again.select(*docs.columns))
     return out
