@@ -358,7 +358,7 @@ def test_warc_salvage(spark, tmp_path):
     plain = warc.record(99, "p", b"x" * 200_000)
     broken = warc.record(98, "q", b"y" * 100).replace(b"y" * 100, b"z" * 100)
     got = salvage(spark, parts[0] + junk + plain + broken + parts[1] + parts[2][:-9], tmp_path)
-    assert [r["page_id"] for r in got if r["status"] == "record"] == ["0", "99", "1"]
+    assert [r["page_id"] for r in got if r["status"] == "record"] == ["0", "99", "1", "2"]  # 2: whole by its digest, its member is not
     gaps = [(r["offset"], r["end"]) for r in got if r["status"] == "gap"]
     a = len(parts[0])
     b = a + len(junk) + len(plain)
@@ -369,6 +369,50 @@ def test_warc_salvage(spark, tmp_path):
     assert [r["status"] for r in salvage(spark, b"no warc at all", tmp_path)] == ["gap"] and salvage(spark, b"", tmp_path) == []
 
 
+def test_warc_salvage_inside_members(spark, tmp_path):
+    """One stream for many records: a bad one costs itself only; a cut or broken tail costs what is behind it."""
+    recs = [warc.record(i, f"u{i}", b"payload %d " % i * 3000) for i in range(6)]
+    at = np.cumsum([0] + [len(r) for r in recs])
+    ids = lambda got: [r["page_id"] for r in got if r["status"] == "record"]
+    gaps = lambda got: [(r["inner"], r["inner_end"]) for r in got if r["status"] == "gap"]
+    wrong = [r if i != 2 else r.replace(b"payload 2", b"pAyload 2", 1) for i, r in enumerate(recs)]
+    data = warc.member(b"".join(wrong))
+    got = salvage(spark, data, tmp_path)
+    assert ids(got) == ["0", "1", "3", "4", "5"] and gaps(got) == [(at[2], at[3])]
+    assert {(r["offset"], r["end"]) for r in got} == {(0, len(data))}
+    # Bytes of other things between records, and a wrong length that points far behind.
+    odd = [recs[0], b"junk" * 50, recs[1].replace(b"Content-Length: ", b"Content-Length: 9", 2), recs[2]]
+    got = salvage(spark, warc.member(b"".join(odd)), tmp_path)
+    assert ids(got) == ["0", "2"] and gaps(got) == [(len(recs[0]), len(b"".join(odd[:3])))]
+    # A tail cut off, with a member behind it; what the digests confirm stays.
+    whole = zlib.compressobj(0, zlib.DEFLATED, 31)  # stored, so that the cut falls where it is meant to
+    stored = whole.compress(b"".join(recs)) + whole.flush()
+    cut = stored[:int(at[4]) + 2000]
+    got = salvage(spark, cut + warc.member(recs[5]), tmp_path)
+    assert ids(got) == ["0", "1", "2", "3", "5"] and len(gaps(got)) == 1 and gaps(got)[0][0] == at[4]
+    assert {r["end"] for r in got} == {len(cut), len(cut) + len(warc.member(recs[5]))}
+    assert ids(salvage(spark, cut, tmp_path)) == ["0", "1", "2", "3"]
+    # A byte changed in the middle of the stream, all of it within one read.
+    rng = random.Random(4)
+    noisy = [warc.record(i, f"u{i}", bytes(rng.randrange(256) for _ in range(2000))) for i in range(8)]
+    data = bytearray(warc.member(b"".join(noisy)))
+    data[len(data) * 5 // 8] ^= 0x55
+    got = ids(salvage(spark, bytes(data) + warc.member(recs[5]), tmp_path))
+    assert got[:4] == ["0", "1", "2", "3"] and got[-1] == "5" and len(got) == len(set(got) | {"5"}) and "4" not in got[:4]
+    # Only a digest confirms a record of a damaged member.
+    bare = re.sub(rb"WARC-Block-Digest: [^\r]*\r\n", b"", recs[0])
+    assert ids(salvage(spark, warc.member(bare)[:-4], tmp_path)) == [] and ids(salvage(spark, warc.member(bare), tmp_path)) == ["0"]
+
+
+@pytest.mark.parametrize("told,right", [
+    (lambda b: "sha256:" + hashlib.sha256(b).hexdigest(), True), (lambda b: "SHA-1:" + hashlib.sha1(b).hexdigest().upper(), True),
+    (lambda b: "md5:" + hashlib.md5(b).hexdigest(), True), (lambda b: "sha1:" + warc.digest(b).lower(), True),
+    (lambda b: "sha256:" + hashlib.sha256(b + b"x").hexdigest(), False), (lambda b: "sha1:", False),
+    (lambda b: "blake9:abc", None), (lambda b: None, None)])
+def test_warc_digests(told, right):
+    assert warc.agrees(told(b"block"), b"block") is right
+
+
 # ---------------------------------------------------------------- 6 toxicity
 
 def test_segments():
@@ -596,7 +640,7 @@ def test_simhash_odd(spark, odd, empty):
     assert sorted(((r["doc_id"], r["component_id"]) for r in got), key=repr) == want
     assert simhash.near_duplicates(empty).count() == 0
     kept = sorted((r["doc_id"] for r in simhash.keep_one(odd).collect()), key=repr)
-    assert kept == [1, 3, 5, 6, None, None]  # 2 and 4 are empty like 1; 3 comes twice; no id, no choice
+    assert kept == [1, 3, 5, 6, None]  # 2, 4 and one without an id are empty like 1; 3 comes twice
 
 
 # ---------------------------------------------------------------- 9 token counts
@@ -694,3 +738,15 @@ def test_map_versions(spark):
         assert sorted(r["slot"] for r in fewer if r["shard"] == k) == list(range(sum(r["shard"] == k for r in fewer)))
     with pytest.raises(ValueError):
         sharding.shard(rows(10), 5, n_slots=64, map_path=path)
+
+
+def test_keep_one_tells_texts_of_an_id_apart(spark):
+    """Repeated ids with other texts, null ids and repeated rows: one row of each group, no clean text lost."""
+    a, b, c = ("alpha beta gamma delta epsilon zeta eta", "one two three four five six seven", "red green blue cyan pink black white")
+    rows = [(1, a), (1, b), (2, a), (2, a), (3, b), (None, c), (None, c), (None, a), (5, None), (6, ""), (7, c + " end of it"), (1, a)]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, _k_id int")
+    out = simhash.keep_one(docs)
+    assert out.columns == docs.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr) == sorted(
+        [(1, a), (1, b), (None, c), (5, None), (7, c + " end of it")], key=repr)
+    assert simhash.keep_one(docs.limit(0)).count() == 0
