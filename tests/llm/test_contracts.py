@@ -1,6 +1,8 @@
 """Every opN query on the small tables against brute force written from the
 contract, and odd inputs of every operator."""
 
+import math
+import itertools
 import hashlib
 import random
 import re
@@ -205,6 +207,50 @@ def test_mined_rules(spark):
     assert none.count() == 0
 
 
+def test_rules_of_any_length(spark):
+    """Rules equal those of all subsets; a URL holds a token of each group just when it holds such a subset."""
+    r = random.Random(3)
+    for trial, support in ((0, 0.02), (1, 0.05)):
+        rows = []
+        for _ in range(120):
+            items = {t for t in "abcde" if r.random() < 0.6}
+            items |= {"f", "g"} if r.random() < 0.3 else set()  # always together
+            bad = len(items & set("abcd")) == 4 or ("e" in items and "f" in items and r.random() < 0.9)
+            rows += [(sorted(items | {"z"}), bad)] * r.randint(1, 3)
+        least, counts = max(1, math.ceil(support * len(rows))), {}
+        for items, bad in rows:
+            for k in range(1, len(items) + 1):
+                for c in itertools.combinations(items, k):
+                    n = counts.setdefault(frozenset(c), [0, 0])
+                    n[0] += 1
+                    n[1] += bad
+        sure = {c: b / n for c, (n, b) in counts.items() if b >= least and b / n >= 0.8}
+        want = {c: v for c, v in sure.items() if not any(d < c and w >= v for d, w in sure.items())}
+        assert max(map(len, want)) >= 4 or trial
+        mined = url_rules.mine_rules(spark.createDataFrame(rows, "items array<string>, bad boolean"), support).collect()
+        got = {frozenset(c): m["confidence"] for m in mined for c in itertools.product(*m["groups"])}
+        assert got.keys() == want.keys() and all(abs(got[c] - want[c]) < 1e-12 for c in want)
+        assert all(m["key_tokens"] in m["groups"] for m in mined)
+    none = spark.createDataFrame([(["a"], False), (["a", "b"], False)], "items array<string>, bad boolean")
+    assert url_rules.mine_rules(none).count() == 0
+    assert url_rules.mine_rules(none.limit(0)).count() == 0
+
+
+def test_long_url_shapes(spark):
+    """Forty tokens that occur together are one group, not two to the fortieth sets; a long URL is matched by its tokens."""
+    shape = "/".join(f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(40))
+    rows = [(i, f"http://s.example.com/{shape}" if i % 10 == 0 else f"http://s.example.com/news/x{chr(97 + i % 26)}") for i in range(200)]
+    rows += [(900, "http://other.example.com/wab/only"), (901, "http://s.example.com/" + "y/" * 50_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    labels = spark.createDataFrame([(i, i % 10 == 0) for i in range(200)], "page_id long, bad boolean")
+    by = {r["page_id"]: r for r in url_rules.judge(pages, labels).collect()}
+    assert len(by) == len(rows)
+    for i in range(200):
+        assert by[i]["verdict"] == ("block" if i % 10 == 0 else "allow")
+    assert (by[900]["mined_rule"], by[901]["verdict"]) == ("p:wab", "allow")
+    assert by[0]["mined_rule"] == "p:waa"
+
+
 # ---------------------------------------------------------------- 4 PII
 
 PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

@@ -126,12 +126,8 @@ def _urls() -> str:
         return (f"list_transform(list_filter(string_split_regex(lower({expr}), '{by}'), lambda x: x <> ''), "
                 f"lambda x: '{kind}' || regexp_replace(x, '[0-9]+', '#', 'g'))")
 
-    sets = " UNION ALL ".join([
-        "SELECT id, [a.t] AS ant FROM ti a",
-        "SELECT id, [a.t, b.t] FROM ti a JOIN ti b USING (id) WHERE a.t < b.t",
-        "SELECT id, [a.t, b.t, c.t] FROM ti a JOIN ti b USING (id) JOIN ti c USING (id) WHERE a.t < b.t AND b.t < c.t"])
     return f"""
-WITH u0 AS (SELECT row_number() OVER () AS rid, page_id, url, coalesce(url, '') AS u FROM pages),
+WITH RECURSIVE u0 AS (SELECT row_number() OVER () AS rid, page_id, url, coalesce(url, '') AS u FROM pages),
 u1 AS (SELECT *, CASE WHEN strpos(u, '://') > 0 THEN substr(u, strpos(u, '://') + 3) ELSE '' END AS rest FROM u0),
 u2 AS (SELECT *, translate(regexp_extract(rest, '^[^/?#]*', 0), '{url_rules.UPPER}', '{url_rules.LOWER}') AS host,
         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u1),
@@ -141,7 +137,8 @@ u AS (SELECT *, list_distinct(list_concat({toks("host", "[.]", "h:")},
 truth AS (SELECT doc_id AS page_id, max(quality = 0) AS bad FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
 known AS (SELECT row_number() OVER () AS id, items, bad FROM u JOIN truth USING (page_id) WHERE len(items) > 0),
 ti AS (SELECT id, unnest(items) AS t FROM known),
-sets AS ({sets}),
+sets AS (SELECT id, [t] AS ant FROM ti
+        UNION ALL SELECT s.id, list_append(s.ant, ti.t) FROM sets s JOIN ti ON ti.id = s.id AND ti.t > s.ant[-1]),
 counted AS (SELECT ant, count(*) AS n, count(*) FILTER (bad) AS n_bad FROM sets JOIN known USING (id) GROUP BY ant),
 rules AS (SELECT ant, array_to_string(ant, ' ') AS rule_id, n_bad / n AS confidence FROM counted
         WHERE n_bad >= greatest(1, ceil({url_rules.MIN_SUPPORT} * (SELECT count(*) FROM known))) AND n_bad / n >= {url_rules.MIN_CONFIDENCE}),

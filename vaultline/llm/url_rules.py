@@ -2,11 +2,16 @@
 
 Labelled URLs become sets of typed tokens (host labels, path and query
 tokens); bad ones also hold the item ``LABEL``. Spark's FP-growth finds the
-frequent sets, and rules "tokens -> LABEL" are kept that reach the support and
-confidence bounds and are not implied by a shorter rule of at least the same
-confidence. A rule is filed in an inverted index under its rarest token; a URL
-meets only the rules filed under its own tokens, and a rule fires when all its
-tokens are in the URL. A URL is blocked when a rule fires.
+sets frequent among bad ones, and rules "tokens -> LABEL" of any length are
+kept that reach the support and confidence bounds and are not implied by a
+shorter rule of at least the same confidence. Tokens that always occur together
+are mined as one group (any of them says the same), and tokens that make a
+rule sure alone, or that all URLs hold, are left out of longer sets, which they
+cannot make surer; so a URL shape of many tokens is not mined in all its
+subsets. Tokens that overlap without being equal still are. A rule is filed in an
+inverted index under its rarest group; a URL meets only the rules filed under
+its own tokens, and a rule fires when the URL holds a token of each group. A
+URL is blocked when a rule fires.
 
 A list of known (host, path) rules goes first: see :func:`list_verdict`.
 
@@ -18,6 +23,8 @@ disagree count as bad.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +32,7 @@ from pyspark.sql import functions as F
 from vaultline.llm.common import fresh, materialize
 
 LABEL = "label:block"
-MIN_SUPPORT, MIN_CONFIDENCE, MAX_TOKENS = 0.002, 0.8, 3
+MIN_SUPPORT, MIN_CONFIDENCE = 0.002, 0.8
 # (host, path, verdict) of the contract's list.
 LIST_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
               ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -66,45 +73,99 @@ def tokens(url: Column) -> Column:
         split(path, r"[^\p{L}\p{N}-]+", "p:"), split(query, "[&;]", "q:")))
 
 
-def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-               max_tokens: int = MAX_TOKENS) -> DataFrame:
+def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """``labelled``: (items array, bad boolean), one row per labelled URL. Gives
-    (rule_id, antecedent, n_items, key, confidence, support)."""
-    baskets = labelled.select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(LABEL))))
-                              .otherwise(F.col("items")).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    rules = (model.associationRules
-             .filter((F.col("consequent") == F.array(F.lit(LABEL))) & (F.size("antecedent") <= max_tokens))
-             .select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support"))
-    rules = materialize(rules.withColumn("rule_id", F.array_join("antecedent", " ")), "url-rules")
-    single = (model.freqItemsets.filter(F.size("items") == 1)
-              .select(F.element_at("items", 1).alias("token"), F.col("freq").alias("freq")))
-    parts = rules.select("rule_id", "antecedent", "confidence", F.explode("antecedent").alias("token"))
-    # A rule goes when dropping some of its tokens gives a rule at least as sure. At most
-    # max_tokens tokens: its proper subsets are few, and are looked up by id.
-    smaller = (rules.filter(F.size("antecedent") > 1)
-               .select("rule_id", "confidence", "antecedent",
-                       F.explode(F.array(*[F.lit(m) for m in range(1, 2 ** max_tokens - 1)])).alias("mask"))
-               .withColumn("part", F.filter("antecedent", lambda x, i: F.getbit(F.col("mask"), i) == 1))
-               .filter((F.size("part") > 0) & (F.size("part") < F.size("antecedent")))
-               .select("rule_id", "confidence", F.array_join("part", " ").alias("part_id")))
-    implied = (smaller.join(rules.select(F.col("rule_id").alias("part_id"), F.col("confidence").alias("sure")), "part_id")
-               .filter("sure >= confidence").select("rule_id").distinct())
-    key = (parts.join(single, "token").groupBy("rule_id")
-           .agg(F.min(F.struct("freq", "token"))["token"].alias("key")))
-    return (rules.join(implied, "rule_id", "left_anti").join(key, "rule_id")
-            .withColumn("n_items", F.size("antecedent")))
+    (rule_id, groups, key_tokens, confidence, support): a rule fires on a URL
+    that holds a token of each group; ``key_tokens`` is its rarest group."""
+    # Copies of a token set are one row with counts.
+    baskets = materialize(labelled.select(F.array_sort("items").alias("items"), F.col("bad").cast("long").alias("bad"))
+                          .groupBy("items").agg(F.count("*").alias("n"), F.sum("bad").alias("n_bad")), "url-baskets")
+    total, bad = baskets.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_bad"), F.lit(0))).first()
+    least = max(1, math.ceil(min_support * total))
+    # Tokens that are in the same token sets are one group, named by its smallest; sets are told by 128 bits of hashes.
+    same = [F.bit_xor(F.xxhash64("items", F.lit(k))).alias(f"sign{k}") for k in (1, 2)]
+    seen = (baskets.withColumn("token", F.explode("items"))
+            .groupBy("token").agg(F.sum("n").alias("n"), F.sum("n_bad").alias("n_bad"), *same).filter(F.col("n_bad") >= least))
+    groups = materialize(
+        seen.groupBy("sign1", "sign2", "n", "n_bad").agg(F.array_sort(F.collect_list("token")).alias("members"))  # one URL's tokens
+        .select(F.element_at("members", 1).alias("group"), "members", "n", "n_bad", (F.col("n_bad") / F.col("n")).alias("confidence")),
+        "url-token-groups")
+    # With a sure token, or with one that all sets hold, a longer rule is no surer than without its other tokens or without it.
+    useful = groups.filter((F.col("confidence") < 1) & (F.col("n") < total)).select("group")
+    grouped = (baskets.withColumn("group", F.explode("items")).join(useful, "group")
+               .groupBy(F.col("items").alias("whole"), "n", "n_bad").agg(F.array_sort(F.collect_list("group")).alias("items")))
+    grouped = materialize(grouped.groupBy("items").agg(F.sum("n").alias("n"), F.sum("n_bad").alias("n_bad")), "url-group-sets")
+    ones = groups.select(F.array("group").alias("antecedent"), "n", "n_bad", "confidence")
+    sets = materialize(_longer_sets(grouped, least), "url-frequent-sets") if bad >= least else ones.limit(0)
+    kept = _not_implied(ones, sets, min_confidence)
+    members = groups.select("group", "members", F.col("n").alias("n_group"))
+    return (kept.withColumn("rule_id", F.array_join("antecedent", " "))
+            .select("rule_id", "confidence", (F.col("n_bad") / F.lit(max(total, 1))).alias("support"), F.explode("antecedent").alias("group"))
+            .join(members, "group").groupBy("rule_id", "confidence", "support")
+            .agg(F.collect_list("members").alias("groups"), F.min_by("members", F.struct("n_group", "group")).alias("key_tokens")))
+
+
+def _longer_sets(baskets: DataFrame, least: int) -> DataFrame:
+    """(antecedent, n, n_bad, confidence) of all sets of two groups or more
+    that ``least`` bad URLs hold: FP-growth on the bad ones; then all URLs that
+    hold a set are counted by an index on its rarest group."""
+    rows = (baskets.filter("n_bad > 0").select(F.concat("items", F.array(F.lit(LABEL))).alias("items"),
+                                               F.explode(F.sequence(F.lit(1), F.col("n_bad"))).alias("copy")).select("items"))
+    rows = materialize(rows, "url-bad-sets")
+    n_rows = rows.count()
+    if n_rows < least:
+        empty = baskets.select(F.col("items").alias("antecedent"), "n", "n_bad", F.lit(0.0).alias("confidence"))
+        return empty.limit(0)
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_rows).fit(rows)
+    found = (model.freqItemsets.filter(F.array_contains("items", LABEL) & (F.size("items") > 2))
+             .select(F.array_sort(F.array_remove("items", LABEL)).alias("antecedent"), F.col("freq").alias("n_bad")))
+    found = materialize(found.withColumn("set_id", F.array_join("antecedent", " ")), "url-bad-frequent")
+    placed = baskets.select(F.xxhash64("items").alias("id"), "items", "n")
+    posted = placed.select("id", "n", F.explode("items").alias("group"))
+    sizes = posted.groupBy("group").agg(F.sum("n").alias("n_group"))
+    key = (found.select("set_id", F.explode("antecedent").alias("group")).join(sizes, "group")
+           .groupBy("set_id").agg(F.min_by("group", F.struct("n_group", "group")).alias("group")))
+    held = (posted.drop("n").join(found.select("set_id", "antecedent").join(key, "set_id"), "group")
+            .join(placed, "id").filter(F.size(F.array_intersect("items", "antecedent")) == F.size("antecedent"))
+            .groupBy("set_id").agg(F.sum("n").alias("n")))
+    return found.join(held, "set_id").select("antecedent", "n", "n_bad", (F.col("n_bad") / F.col("n")).alias("confidence"))
+
+
+def _not_implied(ones: DataFrame, sets: DataFrame, min_confidence: float) -> DataFrame:
+    """Sets that reach ``min_confidence`` and are surer than all their parts.
+    Parts of a frequent set are frequent, so a set learns the best of all its
+    parts from those one group shorter: one join a length."""
+    named = F.array_join("antecedent", " ")
+    level = ones.withColumn("best", F.col("confidence"))
+    kept = level
+    longest = sets.agg(F.max(F.size("antecedent"))).first()[0] or 1
+    for length in range(2, longest + 1):
+        mine = sets.filter(F.size("antecedent") == length).withColumn("set_id", named)
+        parts = (mine.select("set_id", "antecedent", F.explode("antecedent").alias("out"))
+                 .select("set_id", F.array_join(F.array_remove("antecedent", F.col("out")), " ").alias("part")))
+        sure = (parts.join(level.select(named.alias("part"), "best"), "part")
+                .groupBy("set_id").agg(F.max("best").alias("before")))
+        level = materialize(mine.join(sure, "set_id").withColumn("best", F.greatest("confidence", "before"))
+                            .drop("set_id"), "url-sets-of-length")
+        kept = kept.unionByName(level.filter("before < confidence").drop("before"))
+        level = level.drop("before")
+    return kept.filter(F.col("confidence") >= min_confidence).drop("best")
 
 
 def match(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
-    """(url, rule_id, confidence, antecedent): the surest rule that fires on
-    each distinct URL, by inverted index (ties: the rule's name)."""
-    posted = (urls.select(F.col(url).alias("url")).filter(F.col("url").isNotNull()).distinct()
-              .withColumn("items", tokens(F.col("url"))).withColumn("key", F.explode("items")))
-    fired = (posted.join(rules.select("key", "rule_id", "antecedent", "n_items", "confidence"), "key")
-             .filter(F.size(F.array_intersect("items", "antecedent")) == F.col("n_items")))
-    return (fired.groupBy("url").agg(F.min(F.struct((-F.col("confidence")).alias("unsure"), "rule_id")).alias("b"))
-            .select("url", F.col("b.rule_id").alias("mined_rule"), (-F.col("b.unsure")).alias("confidence")))
+    """(url, mined_rule, confidence): the surest rule that fires on each
+    distinct URL, by inverted index, named by the URL's own smallest token of each
+    group (ties: the rule's name)."""
+    distinct = urls.select(F.col(url).alias("url")).filter(F.col("url").isNotNull()).distinct()
+    index = rules.select("rule_id", F.explode("key_tokens").alias("key"))
+    met = (distinct.withColumn("key", F.explode(tokens(F.col("url")))).join(index, "key")
+           .select("url", "rule_id").distinct())  # only tokens are posted, not the URL's whole set
+    own = met.join(rules.select("rule_id", "groups", "confidence"), "rule_id").withColumn("items", tokens(F.col("url")))
+    fired = (own.filter(F.forall("groups", lambda g: F.arrays_overlap(g, F.col("items"))))
+             .withColumn("name", F.array_join(F.array_sort(F.transform(
+                 "groups", lambda g: F.array_min(F.array_intersect(g, F.col("items"))))), " ")))
+    return (fired.groupBy("url").agg(F.min(F.struct((-F.col("confidence")).alias("unsure"), "name")).alias("b"))
+            .select("url", F.col("b.name").alias("mined_rule"), (-F.col("b.unsure")).alias("confidence")))
 
 
 def judge(pages: DataFrame, labels: DataFrame, page_id: str = "page_id", url: str = "url", list_rules=LIST_RULES,
