@@ -1,9 +1,9 @@
 """Every opN query on the small tables against brute force written from the
 contract, and odd inputs of every operator."""
 
-import math
-import itertools
 import hashlib
+import itertools
+import math
 import random
 import re
 import time

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF001
 from tests.llm.test_contracts import ODD, SCHEMA
-from vaultline.llm import centroids, fim, suffix_index
+from vaultline.llm import centroids, fim, suffix_index, toxicity
 from vaultline.llm.queries import ORACLES, QUERIES
 from vaultline.session import scratch_path
 
@@ -303,3 +303,25 @@ def test_packing_search_does_not_depend_on_open_enumerations(monkeypatch):
             monkeypatch.setattr(packing, "LIVE", live)
             found.append(packing.search(counts, 100, 400))
         assert found[0] == found[1] == found[2]
+
+
+def test_toxic_candidates_by_odds(spark):
+    """A token that many clean documents hold too may still tell; no token that passes a bar is left out."""
+    n1, n0 = 5_000, 45_000
+    shares = (0.0, 0.001, 0.01, 0.1, 0.3, 0.5, 0.7, 0.9, 0.99, 1.0)
+    rows = [(f"t{i}x{j}", int(a * n1), int(b * n0)) for i, a in enumerate(shares) for j, b in enumerate(shares)]
+    counts = spark.createDataFrame([*rows, ("", n1, n0)], "token string, c1 long, c0 long")
+    got = {r["token"] for r in toxicity.candidates(counts, n1, n0).collect()}
+    assert "t7x5" in got and "" not in got  # 90 % against 50 %
+    found = {t: (c1, c0, c1 + c0) for t, c1, c0 in rows if c1 + c0 >= toxicity.MIN_COUNT}
+    passed = {t for bar in toxicity.BARS for t in toxicity.log_odds(found, (n1, n0, n1 + n0), (10 ** 7, 10 ** 8), bar)[0]}
+    assert passed and passed <= got
+
+
+def test_toxic_evidence_by_document(spark):
+    """Evidence made from the written segment scores equals that of each document alone."""
+    rows = [(0, 10, []), (1, 5, [3.0]), (2, 400, [1.5, 9.0, 4.0]), (0, 0, [])]
+    segments = spark.createDataFrame([(0, t, n, f) for t, n, f in rows], "option int, toxic int, n long, found array<double>")
+    told = sorted((r["toxic"], r["x"]) for r in toxicity.weigh(segments, 0.8, -1.0).collect())
+    want = sorted((t, toxicity.squash(toxicity.evidence(n, [(0, 0, s) for s in f], 0.8, -1.0))) for t, n, f in rows)
+    assert [t for t, _ in told] == [t for t, _ in want] and all(abs(a - b) < 1e-12 for (_, a), (_, b) in zip(told, want))

@@ -146,8 +146,10 @@ def _token_counts(texts: DataFrame, known: set[str] | None = None) -> DataFrame:
 
 def candidates(counts: DataFrame, n1: int, n0: int) -> DataFrame:
     """Tokens and stems of ``counts`` (token, c1, c0: toxic and clean documents
-    that hold it) that may pass a bar."""
-    ratio = ((F.col("c1") + 0.5) / (n1 + 1)) / ((F.col("c0") + 0.5) / (n0 + 1))
+    that hold it) that may pass a bar: their plain odds are far enough apart,
+    however common the token is among clean documents."""
+    odds = lambda c, n: (F.col(c) + 0.5) / (F.lit(n) - F.col(c) + 0.5)
+    ratio = odds("c1", n1) / odds("c0", n0)
     return counts.filter((F.col("token") != "") & (F.col("c1") + F.col("c0") >= MIN_COUNT) & (ratio >= CANDIDATE))
 
 
@@ -265,17 +267,20 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
                      pa.array([[s for *_, s in found] for _, found in rows], pa.list_(pa.float64()))],
                     names=["option", "toxic", "n", "found"])
 
-    rows = (train.filter("fits").select("text", "toxic")
-            .mapInArrow(measure, "option int, toxic int, n long, found array<double>").collect())  # a third of the sample
+    # Segment scores stay in a table: the driver takes a few numbers a document, however long its text is.
+    segments = materialize(train.filter("fits").select("text", "toxic")  # a third of the sample
+                           .mapInArrow(measure, "option int, toxic int, n long, found array<double>"), "toxicity-segments")
+    tops = segments.select("option", "toxic", "n", F.coalesce(F.array_max("found"), F.lit(0.0)).alias("top")).collect()
     best = {"scores": options[-1], "lam": 1.0, "ln_k": 0.0, "slope": 0.0, "intercept": -30.0, "loss": math.inf}
     for k, scores in enumerate(options):
-        mine = [r for r in rows if r[0] == k]
+        mine = [r for r in tops if r[0] == k]
         y = np.array([r[1] >= 1 for r in mine], dtype=float)
         if not scores.odds or not len(mine) or y.min() == y.max():
             continue
-        n, top = np.array([r[2] for r in mine], dtype=float), np.array([max(r[3], default=0.0) for r in mine])
+        n, top = np.array([r[2] for r in mine], dtype=float), np.array([r[3] for r in mine])
         lam, ln_k = fit_extremes(top[y == 0], n[y == 0], min(scores.odds.values()))
-        x = np.array([squash(evidence(r[2], [(0, 0, s) for s in r[3]], lam, ln_k)) for r in mine])
+        told = weigh(segments.filter(F.col("option") == k), lam, ln_k).collect()
+        y, x = np.array([r[0] >= 1 for r in told], dtype=float), np.array([r[1] for r in told])
         slope, intercept = fit_logistic(x, y)
         p = 1 / (1 + np.exp(-np.clip(slope * x + intercept, -30, 30)))
         loss = float(-np.log(np.where(y > 0, p, 1 - p) + 1e-12).mean())
@@ -284,6 +289,18 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     return best
 
 
+def weigh(segments: DataFrame, lam: float, ln_k: float) -> DataFrame:
+    """(toxic, x): each document's evidence from its segment scores."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for b in batches:
+            xs = [squash(evidence(n, [(0, 0, s) for s in found], lam, ln_k))
+                  for n, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(xs, pa.float64())], names=["toxic", "x"])
+
+    return segments.select("toxic", "n", "found").mapInArrow(run, "toxic int, x double")
+
+
 def score(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, score, passages): passages are the significant
     segments (first token, end, score, expected number in clean text)."""
