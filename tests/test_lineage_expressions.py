@@ -86,6 +86,31 @@ def test_key_combinations(spark):
     assert rows(catalog.key_combinations(hot, "t")) == [("t", "y", 1, 2000)]
 
 
+def shuffle_bytes(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).length() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_"))
+
+
+def test_key_combinations_leave_no_shuffles_behind(spark):
+    n = 20_000
+    df = spark.range(n).select(*[F.pmod(F.xxhash64(F.lit(i), F.col("id") % (n - 50)), F.lit(m)).alias(c)
+                                 for i, (c, m) in enumerate(zip("abcd", (n, 1000, 500, 7)))], "id")
+    before = shuffle_bytes(spark)
+    found = catalog.key_combinations(df, "t")
+    assert shuffle_bytes(spark) - before < 8 * n  # all sets' names together are over 20 names a row
+    assert rows(found) == [("t", "id", 1, n)]
+    assert rows(catalog.key_combinations(df.drop("id"), "t")) == []
+
+
+def test_key_combinations_compare_values_where_names_collide(spark, monkeypatch):
+    right = catalog._name_of
+    monkeypatch.setattr(catalog, "_name_of", lambda columns: F.pmod(right(columns), F.lit(3)))
+    rng, cols = random.Random(5), ["a", "b", "c"]
+    data = [(i // 5, i % 5, rng.randrange(9)) for i in range(30)]
+    got = catalog.key_combinations(spark.createDataFrame(data, "a int, b int, c int"), "t")
+    assert sorted(r["key_columns"] for r in got.collect()) == brute_keys(data, cols, 3) != []
+
+
 def test_inclusion_dependencies(spark):
     t = {"p": spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (3, "c", None)], "id int, name string, f double"),
          "c": spark.createDataFrame([(1, "1", "a"), (2, "2", "b"), (2, "2", "a"), (None, None, None)], "pid long, txt string, n string"),

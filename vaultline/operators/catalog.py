@@ -7,7 +7,9 @@ built from metadata sheets or from the schemas of the tables themselves.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,8 @@ from vaultline.operators.ordered import union_all_by_name
 KEY_WORDS = ("id", "key", "code", "pk", "uuid", "guid")
 # Literal mode reproduces a plain substring test on these words, excluding "date".
 LITERAL_WORDS = ("id", "key", "code")
+NAME_PARTS = 64  # one part of the names' range is looked at for all column sets before the rest for the sets left
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def catalog_of(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -94,42 +98,73 @@ def find_keys(df: DataFrame, table_name: str, columns: list[str] | None = None)
     return profile_keys(df, table_name, columns)
 
 
-def _key_pass(df: DataFrame, sets: Sequence[tuple[str, ...]]) -> dict[tuple[str, ...], tuple[int, int, int]]:
-    """{set: (rows, distinct values, rows with a NULL)} of column sets, exact, in
-    one scan and one shuffle: a row gives one 128-bit name per set, counted in part
-    before they move, so a hot value is one row a task."""
-    names = [F.struct(F.lit(i).alias("i"), F.xxhash64(F.lit("a"), *[F.col(f"`{c}`") for c in s]).alias("a"),
-                      F.xxhash64(F.lit("b"), *[F.col(f"`{c}`") for c in s]).alias("b"),
-                      F.exists(F.array(*[F.col(f"`{c}`").isNull() for c in s]), lambda x: x).alias("blank"))
-             for i, s in enumerate(sets)]
-    counted = (df.select(F.inline(F.array(*names))).groupBy("i", "a", "b", "blank").agg(F.count(F.lit(1)).alias("n"))
-               .groupBy("i").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("values"),
-                                 F.coalesce(F.sum(F.when(F.col("blank"), F.col("n"))), F.lit(0)).alias("blanks")))
-    found = {r["i"]: (r["rows"], r["values"], r["blanks"]) for r in counted.collect()}  # a row per set
-    return {s: found.get(i, (0, 0, 0)) for i, s in enumerate(sets)}
+def _name_of(columns: Sequence[str]) -> "F.Column":
+    """A 64-bit name of a row's values: other names, other values."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+
+
+def _shared(df: DataFrame, sets: Sequence[tuple[str, ...]], share: str) -> dict[tuple[str, ...], int]:
+    """{set: a name that two rows have} of the names ``h`` that ``share`` holds for,
+    in one scan; names are counted in part before they move."""
+    names = F.array(*[F.struct(F.lit(i).alias("i"), _name_of(s).alias("h")) for i, s in enumerate(sets)])
+    rows = df.select(F.inline(names)) if len(sets) > 1 else df.select(F.lit(0).alias("i"), _name_of(sets[0]).alias("h"))
+    twice = rows.filter(share).groupBy("i", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return {sets[r["i"]]: r["h"] for r in twice.groupBy("i").agg(F.min("h").alias("h")).collect()}  # a row per set
+
+
+def _repeating(df: DataFrame, shared: Mapping[tuple[str, ...], int]) -> set[tuple[str, ...]]:
+    """The sets of ``shared`` with equal values in two rows: all values of the shared
+    name are compared, in one scan. Where it stands for several, values are counted."""
+    if not shared:
+        return set()
+    hit = {s: _name_of(s) == F.lit(h) for s, h in shared.items()}
+    ends = []
+    for i, (s, here) in enumerate(hit.items()):
+        values = F.when(here, F.struct(*[F.col(f"`{c}`") for c in s]))
+        ends.append(F.min(values).eqNullSafe(F.max(values)).alias(f"e{i}"))
+    equal = df.filter(reduce(lambda x, y: x | y, hit.values())).agg(*ends).first()
+    return {s for s, one in zip(shared, equal) if one or df.groupBy(*[f"`{c}`" for c in s]).count().filter("count > 1").take(1)}
+
+
+def _keys_among(df: DataFrame, sets: Sequence[tuple[str, ...]]) -> list[tuple[str, ...]]:
+    """The sets that tell all rows apart, exact. Equal values have equal names, so a
+    name that two rows share in a part of the names' range shows at once that a set is no
+    key: one scan of that part for all sets. Only the sets that it leaves open are
+    looked at over the rest of the range, each by itself, so no shuffle holds more than a name a row."""
+    if not sets:
+        return []
+    part = f"pmod(h, {NAME_PARTS}) = 0"
+    gone, keys = _repeating(df, _shared(df, sets, part)), []
+    for s in sets:
+        if s not in gone and not _repeating(df, _shared(df, [s], f"NOT {part}")):
+            keys.append(s)
+    return keys
+
+
+@contextmanager
+def _shuffles_dropped(spark) -> Iterator[None]:
+    """Shuffle files go when their job ends, not when the driver's memory is next collected."""
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(DROP_SHUFFLES) if before is None else spark.conf.set(DROP_SHUFFLES, before)
 
 
 def key_combinations(df: DataFrame, table_name: str, columns: Sequence[str] | None = None, width: int = 3) -> DataFrame:
     """K2 for composite keys: the minimal sets of at most ``width`` columns, none
     of them NULL in any row, whose values tell all rows apart. Level by level: a
-    set is tested only if no part of it is a key (it would not be minimal) and if
-    its parts have enough distinct values between them to tell the rows apart;
-    all tests of a level share one scan. Every test is exact. An empty table has no keys."""
+    set is tested only if no part of it is a key (it would not be minimal). Most sets fall in
+    one scan of the level, the others take a scan each. Every test is exact. An empty table has no keys."""
     spark = df.sparkSession
     columns = sorted(columns or df.columns)
-    level = _key_pass(df, [(c,) for c in columns])
-    n = max((r for r, _, _ in level.values()), default=0)
-    usable = [s[0] for s, (_, _, blanks) in level.items() if not blanks]
-    distinct, keys = {}, []
-    for size in range(1, min(width, len(usable)) + 1):
-        if size > 1:
-            sets = [s for s in combinations(usable, size) if not any(set(k) <= set(s) for k in keys) and all(
-                distinct[part] * distinct[(c,)] >= n for c in s for part in [tuple(x for x in s if x != c)] if part in distinct)]
-            level = _key_pass(df, sets) if sets else {}
-        for s, (_, values, _) in level.items():
-            distinct[s] = values
-            if n and values == n and s[0] in usable:
-                keys.append(s)
+    counts = df.agg(F.count(F.lit(1)), *[F.count(f"`{c}`") for c in columns]).first()
+    n, usable = counts[0], [c for c, there in zip(columns, counts[1:]) if there == counts[0]]
+    keys: list[tuple[str, ...]] = []
+    with _shuffles_dropped(spark):
+        for size in range(1, min(width, len(usable)) + 1 if n else 1):
+            keys += _keys_among(df, [s for s in combinations(usable, size) if not any(set(k) <= set(s) for k in keys)])
     return spark.createDataFrame([(table_name, ",".join(k), len(k), n) for k in keys],
                                  "table_name string, key_columns string, width int, rows long")
 
