@@ -12,7 +12,7 @@ from vaultline.session import scratch_path
 from vaultline.sources.snapshots import Snapshots
 from vaultline.sources.keyed import Bucketed
 from vaultline.streaming import keyed_rules
-from vaultline.streaming.loads import stream_distinct_bucketed
+from vaultline.streaming.loads import micro_batches, stream_distinct_bucketed
 
 SCHEMA = "id long, k string, t long, v long"
 RULES = [Rule("v", "range", ("0", "8"), handling="log"), Rule("id", "unique"),
@@ -84,6 +84,30 @@ def test_a_crash_before_the_commit_and_fail_job(spark, monkeypatch):
     assert keyed_rules.read_checked(spark, target, schema, rules).clean.count() == 2
 
 
+def test_micro_batches_are_read_in_parts_and_buckets_written_by_more_tasks(spark):
+    """A batch is as many files as its rows were read in; rows come once."""
+    files, seen = scratch_path(spark, "files"), []
+    feed = micro_batches(spark.range(1200).repartition(4), files, 3)
+
+    def look(batch, i):
+        seen.append([r[0] for r in batch.collect()])
+    feed.writeStream.foreachBatch(look).option("checkpointLocation", scratch_path(spark, "ckpt")).trigger(availableNow=True).start().awaitTermination()
+    store = Snapshots(spark, scratch_path(spark, "store"))
+    assert len([f for f in store._list(files) if f.endswith(".parquet")]) == 12
+    assert len(seen) == 3 and sorted(x for ids in seen for x in ids) == list(range(1200))
+    # A table of one bucket is not one task's work.
+    kept = {key: spark.conf.get(key) for key in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        folder, written = Bucketed(store, "one", "id", 1)._write(spark.range(1000))
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+    assert written == [0] and len([f for f in store._list(f"{folder}/_bucket=0") if f.endswith(".parquet")]) > 1
+    assert sorted(r["id"] for r in spark.read.parquet(f"{folder}/_bucket=0").collect()) == list(range(1000))
+
+
 def test_distinct_keys_in_buckets(spark):
     """Six micro-batches of new and old keys, replayed: every key once, folders per bucket level."""
     files, store = scratch_path(spark, "files"), Snapshots(spark, scratch_path(spark, "store"))

@@ -1179,11 +1179,9 @@ def q_encrypt_roundtrip(spark, sf):
 
 @query("stream_hub_load", _hub_sql("orders", "o_custkey", "customer"))
 def q_stream_hub_load(spark, sf):
-    from vaultline.streaming.loads import stream_vault_load
+    from vaultline.streaming.loads import micro_batches, stream_vault_load
     o = _t(spark, sf, "orders")
-    files = scratch_path(spark, "stream_orders")      # three files, one per micro-batch
-    o.repartition(3).write.parquet(files)
-    stream = spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 1).parquet(files)
+    stream = micro_batches(o, scratch_path(spark, "stream_orders"), 3)
     target = scratch_path(spark, "stream_hub")
 
     def build(batch):
@@ -1211,11 +1209,9 @@ def q_stream_dq_split(spark, sf):
 @query("stream_distinct", "SELECT DISTINCT user_id FROM events")
 def q_stream_distinct(spark, sf):
     """S3: complete distinct keys over three micro-batches."""
-    from vaultline.streaming.loads import stream_distinct_keys
+    from vaultline.streaming.loads import micro_batches, stream_distinct_keys
     e = _t(spark, sf, "events")
-    files = scratch_path(spark, "stream_events")
-    e.repartition(3).write.parquet(files)
-    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(files)
+    stream = micro_batches(e, scratch_path(spark, "stream_events"), 3)
     target = scratch_path(spark, "stream_distinct")
     stream_distinct_keys(stream, ["user_id"], target, scratch_path(spark, "stream_distinct_ckpt"))
     return spark.read.parquet(target).select("user_id")

@@ -291,10 +291,10 @@ SELECT l_orderkey, l_linenumber, concat_ws(',', CASE WHEN r0 THEN 'range:l_quant
 def q_stream_keyed_dq(spark, sf):
     """S2 with keyed rules over three micro-batches in no order of keys or times: equal to the batch rules."""
     from vaultline.streaming.keyed_rules import read_checked, stream_keyed_dq
+    from vaultline.streaming.loads import micro_batches
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_quantity")
-    files, target = scratch_path(spark, "stream_lines"), scratch_path(spark, "stream_keyed")
-    li.repartition(3).write.parquet(files)
-    stream = spark.readStream.schema(li.schema).option("maxFilesPerTrigger", 1).parquet(files)
+    target = scratch_path(spark, "stream_keyed")
+    stream = micro_batches(li, scratch_path(spark, "stream_lines"), 3)
     stream_keyed_dq(stream, KEYED_RULES, target, scratch_path(spark, "stream_keyed_ckpt"), buckets=8)
     return read_checked(spark, target, li.schema, KEYED_RULES).marked.select(
         "l_orderkey", "l_linenumber", F.array_join("failed_rules", ",").alias("failed"), "dq_action")
@@ -303,10 +303,9 @@ def q_stream_keyed_dq(spark, sf):
 @query("stream_distinct_bucketed", "SELECT DISTINCT user_id, event_type FROM events")
 def q_stream_distinct_bucketed(spark, sf):
     """S3 with its keys in buckets, over five micro-batches."""
-    from vaultline.streaming.loads import stream_distinct_bucketed
+    from vaultline.streaming.loads import micro_batches, stream_distinct_bucketed
     e = _t(spark, sf, "events").select("user_id", "event_type")
-    files, store = scratch_path(spark, "stream_users"), Snapshots(spark, scratch_path(spark, "stream_buckets"))
-    e.repartition(5).write.parquet(files)
-    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(files)
+    store = Snapshots(spark, scratch_path(spark, "stream_buckets"))
+    stream = micro_batches(e, scratch_path(spark, "stream_users"), 5)
     stream_distinct_bucketed(stream, e.columns, store, "users", scratch_path(spark, "stream_buckets_ckpt"), buckets=8, compact_at=3)
     return store.read("users")

@@ -124,11 +124,13 @@ class Bucketed:
         return self.store.read_paths(paths, T.StructType.fromJson(entry["schema"]))
 
     def _write(self, rows: DataFrame) -> tuple[str, list[int]]:
-        """Rows to one folder per bucket; a bucket's rows are one task's (keys
-        are unique here, so buckets are even)."""
+        """Rows to one folder per bucket. Few buckets are split by further bits of
+        the keys' hash, so that tasks do not grow in size while most cores wait."""
         folder = self.store.new_folder(self.table)
         placed = rows.withColumn(BUCKET, self.bucket())
-        placed.repartition(F.col(BUCKET)).write.mode("errorifexists").partitionBy(BUCKET).parquet(folder)
+        split = max(1, int(self.store.spark.conf.get("spark.sql.shuffle.partitions")) // self.n)
+        further = F.pmod(F.xxhash64(F.lit("split"), *[F.col(f"`{k}`") for k in self.keys]), F.lit(split))
+        placed.repartition(F.col(BUCKET), further).write.mode("errorifexists").partitionBy(BUCKET).parquet(folder)
         return folder, [int(f.split("=")[1]) for f in self.store._list(folder) if f.startswith(f"{BUCKET}=")]
 
     def _after(self, entry: dict, changed: dict[int, list[str]], label: str | None, **extra) -> dict:

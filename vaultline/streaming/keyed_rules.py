@@ -62,17 +62,23 @@ def _new_failures(table: Bucketed, rule: Rule, rows: DataFrame, columns: Sequenc
     keys = {c: f"g{i}" for i, c in enumerate(cols)}
     placed = taken.select(*[F.col(f"`{c}`").alias(g) for c, g in keys.items()],
                           F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], F.col(ROW).alias("row")).alias("at"))
-    # Summed up before the shuffle: a key with a third of all rows is one row a task.
-    delta = _written(placed.groupBy(*table.keys).agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first")),
+    # Summed up before the shuffle: a key with a third of all rows is one row a task. Without an order any row of a
+    # group may be its first (it counts only while it is alone), and numbers need no sort to be summed up.
+    first = F.min("at") if order else F.struct(F.concat_ws(":", F.lit(label), F.min(
+        F.substring_index("at.row", ":", -1).cast("long"))).alias("row"))
+    delta = _written(placed.groupBy(*table.keys).agg(F.count(F.lit(1)).alias("n"), first.alias("first")),
                      scratch_path(spark, "rule-groups"))
     _, entry = table._entry(delta.schema)
     touched = [r[0] for r in delta.select(table.bucket()).distinct().collect()]  # at most the number of buckets
     old = table._stored(entry, touched)
     same = lambda a, b: [a[g].eqNullSafe(b[g]) for g in table.keys]
-    both = _written(delta.join(old, same(delta, old), "left").select(
-        *[delta[g] for g in table.keys], (delta["n"] + F.coalesce(old["n"], F.lit(0))).alias("n"),
-        F.least(delta["first"], old["first"]).alias("first"), old["n"].alias("old_n"), old["first"].alias("old_first")),
-        scratch_path(spark, "rule-groups-after"))
+    # All groups of the touched buckets as they are now: one join serves the failures and the new state.
+    state = _written(delta.join(old, same(delta, old), "full_outer").select(
+        *[F.when(delta["n"].isNotNull(), delta[g]).otherwise(old[g]).alias(g) for g in table.keys],
+        (F.coalesce(delta["n"], F.lit(0)) + F.coalesce(old["n"], F.lit(0))).alias("n"),
+        F.least(delta["first"], old["first"]).alias("first"), old["n"].alias("old_n"), old["first"].alias("old_first"),
+        delta["n"].isNotNull().alias("now")), scratch_path(spark, "rule-groups-after"))
+    both = state.filter("now").drop("now")
     many = both.filter("n > 1")
     mine = placed.join(many, same(placed, many))
     if rule.kind == "chronology":
@@ -82,8 +88,7 @@ def _new_failures(table: Bucketed, rule: Rule, rows: DataFrame, columns: Sequenc
         now, before = mine, many.filter("old_n = 1")
     found = now.select(F.col("at.row").alias("row"), F.lit(rule.name).alias("rule"), F.lit(False).alias("late")).unionByName(
         before.select(F.col("old_first.row").alias("row"), F.lit(rule.name).alias("rule"), F.lit(True).alias("late")))
-    kept = old.join(delta, same(old, delta), "left_anti")
-    folder, written = table._write(kept.unionByName(both.select(*kept.columns)))
+    folder, written = table._write(state.select(*old.columns))
     after = table._after(entry, {b: [f"{folder}/{BUCKET}={b}"] for b in written}, None, labels=[label])
     return found, after
 
@@ -151,10 +156,14 @@ def read_checked(spark: SparkSession, target: str, schema: T.StructType, rules:
     stored = T.StructType([*schema.fields, T.StructField(ROW, T.StringType()),
                            T.StructField(flag, T.ArrayType(T.StringType()))])
     rows = _committed(spark, target, "rows", stored)
-    # A row has at most one failure per rule.
-    late = read_failures(spark, target).groupBy("row").agg(F.collect_set("rule").alias("_keyed"))
-    every = F.array(*[F.lit(r.name) for r in rules]) if rules else F.array().cast("array<string>")
-    both = F.concat(F.col(flag), F.coalesce("_keyed", F.array().cast("array<string>")))
-    marked = (rows.join(late, rows[ROW] == late["row"], "left")
-              .withColumn(flag, F.filter(every, lambda n: F.array_contains(both, n))).drop("_keyed", "row", ROW, "batch_id"))
+    # One flag per rule: flags are summed up in place, sets of names would be sorted. Rows meet by the two numbers
+    # that their ids are made of, which sort faster than text.
+    marks = {r.name: f"_keyed_{i}" for i, r in enumerate(rules)}
+    number = lambda c, i: F.substring_index(c, ":", i).cast("long")
+    late = read_failures(spark, target).groupBy(number("row", -1).alias("_at"), number("row", 1).alias("_of")).agg(
+        F.count(F.lit(1)).alias("_keyed"), *[F.max(F.col("rule") == n).alias(m) for n, m in marks.items()])
+    failed = [F.when(F.array_contains(flag, r.name) | F.coalesce(F.col(marks[r.name]), F.lit(False)), F.lit(r.name)) for r in rules]
+    every = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
+    marked = (rows.join(late, (number(rows[ROW], -1) == late["_at"]) & (number(rows[ROW], 1) == late["_of"]), "left")
+              .withColumn(flag, every).drop(*marks.values(), "_keyed", "_at", "_of", ROW, "batch_id"))
     return quality.split(marked, rules)

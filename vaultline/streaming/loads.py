@@ -32,6 +32,14 @@ from vaultline.sources.snapshots import Snapshots
 from vaultline.sources.writers import write_vault_increment
 
 
+def micro_batches(df: DataFrame, path: str, n: int) -> DataFrame:
+    """``df`` as a file stream of ``n`` micro-batches, in no order of keys. A batch has as
+    many files as ``df`` is read in parts, so that it is read (and each step on it run) by as many tasks."""
+    files = max(1, df.rdd.getNumPartitions())
+    df.repartition(n * files).write.parquet(path)
+    return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
 def stream_vault_load(stream_df: DataFrame, build: Callable[[DataFrame], DataFrame], target: str,
                       key_col: str, checkpoint: str, kind: str = "insert_new",
                       available_now: bool = True, processing_time: str | None = None):
