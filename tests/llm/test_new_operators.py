@@ -325,3 +325,16 @@ def test_toxic_evidence_by_document(spark):
     told = sorted((r["toxic"], r["x"]) for r in toxicity.weigh(segments, 0.8, -1.0).collect())
     want = sorted((t, toxicity.squash(toxicity.evidence(n, [(0, 0, s) for s in f], 0.8, -1.0))) for t, n, f in rows)
     assert [t for t, _ in told] == [t for t, _ in want] and all(abs(a - b) < 1e-12 for (_, a), (_, b) in zip(told, want))
+
+
+def test_new_words_take_no_threads_of_the_library():
+    from vaultline.llm import packing, tokenizing
+    words = tokenizing.WordIds(packing.TOKENIZER)
+    library, text = words.tokenizer, "Some words, some more words; zxqv-17 (again) ümläut"
+
+    class OneByOne:  # calls for several texts start threads
+        def encode(self, *args, **kw):
+            return library.encode(*args, **kw)
+
+    words.tokenizer = OneByOne()
+    assert words.ids(text) == words.ids(text) == words.whole(text)

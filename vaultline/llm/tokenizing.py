@@ -58,16 +58,16 @@ class WordIds:
             return b"".join(map(self.cache.__getitem__, words))
 
     def _learn(self, words: set[bytes]) -> None:
-        """Put a text's words into the cache, encoded many a call and each by itself."""
+        """Put a text's words into the cache. One call a word: a call for several starts the library's threads,
+        which cost more than the few new words of a text, and the cores are Spark's already."""
         cache = self.cache
         if len(cache) > CACHE_ENTRIES:
             cache.clear()
-        new = [w for w in words if w not in cache]
-        for i in range(0, len(new), 4096):
-            part = new[i:i + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8") for w in part], add_special_tokens=False)
-            for w, enc in zip(part, found):
-                cache[w] = struct.pack(f"<{len(enc.ids)}I", *enc.ids)
+        encode = self.tokenizer.encode
+        for w in words:
+            if w not in cache:
+                ids = encode(w.decode("utf-8"), add_special_tokens=False).ids
+                cache[w] = struct.pack(f"<{len(ids)}I", *ids)
 
 
 class PieceCounts:
