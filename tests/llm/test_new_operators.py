@@ -338,3 +338,35 @@ def test_new_words_take_no_threads_of_the_library():
 
     words.tokenizer = OneByOne()
     assert words.ids(text) == words.ids(text) == words.whole(text)
+
+
+def test_plain_words_go_to_the_merges():
+    from vaultline.llm import packing, tokenizing
+    words = tokenizing.WordIds(packing.TOKENIZER)
+    library = words.tokenizer
+    text = "It'll've 'TIS (ÜMLÄUT) ümläut, ümläut; naïve-çà 'S''s x1y22z don'T!!1 $$$ ÿÞß zxqv-17."
+
+    class Never:
+        def encode(self, *args, **kw):
+            raise AssertionError("a plain word went through the whole library")
+
+    words.tokenizer = Never()
+    got = words.ids(text)
+    words.tokenizer = library
+    assert got == words.ids(text) == words.whole(text)
+
+
+def test_lower_casing_makes_no_special_string():
+    from vaultline.llm import packing, tokenizing
+    words = tokenizing.WordIds(packing.TOKENIZER)
+    for text in ("a <|ENDOFTEXT|> b", "x<|EndOfText|>y", "\u65e5<|StartOfText|>", "a <|endoftext|> b"):
+        assert words.ids(text) == words.whole(text), text
+
+
+def test_word_ids_when_the_caches_turn_over(monkeypatch):
+    from vaultline.llm import packing, tokenizing
+    monkeypatch.setattr(tokenizing, "CACHE_ENTRIES", 6)
+    words = tokenizing.WordIds(packing.TOKENIZER)
+    for text in ("one two three four five six seven eight, nine.", "one two one \u65e5\u672c nine. four", "ten one (two) ten"):
+        assert words.ids(text) == words.whole(text)
+    assert max(map(len, (words.cache, words.older, words.parts, words.older_parts))) <= 4

@@ -9,9 +9,11 @@ whole. Results equal the library's on the whole text (tests/llm).
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 import struct
 
-CACHE_ENTRIES = 400_000  # of a worker; beyond it the cache starts anew
+CACHE_ENTRIES = 400_000  # of a worker; beyond it the cache starts anew (WordIds: beyond half, keeping the last half)
 _LOADED: dict = {}
 
 
@@ -30,15 +32,43 @@ def version(path: str) -> str:
         return hashlib.sha256(f.read()).hexdigest()
 
 
+# The steps before the merges of a tokenizer whose plain words go to its merges straight away: visible ASCII and the
+# letters of Latin-1 are composed already, and lower-casing and cutting them is the same here.
+STEPS = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "behavior": "Removed", "invert": True, "pattern": {
+            "Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+PARTS = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^0-9a-zß-öø-ÿ]+")  # of a lower-cased plain word
+
+
+def _pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordIds:
     """Ids of a word-level BPE (``tokenizers`` JSON) as little-endian uint32
     bytes. Blanks of ASCII always end a word there, and letters are lower-cased."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(resolve(path))
-        self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # In lower case: lower-casing must not make a special string of one that is none to the library.
+        self.specials = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.older_parts: dict[str, bytes] = {}
+        with open(resolve(path), encoding="utf-8") as f:
+            steps = json.load(f)
+        self.straight = steps["model"].get("type") == "BPE" and all(steps.get(k) == v for k, v in STEPS.items())
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelt = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}  # ASCII stands for itself
+        self.merge = self.tokenizer.model.tokenize
 
     def whole(self, text: str) -> bytes:
         import numpy as np
@@ -46,28 +76,47 @@ class WordIds:
 
     def ids(self, text: str | bytes) -> bytes:
         raw = text.encode("utf-8") if isinstance(text, str) else text
-        if any(s in raw for s in self.specials):  # special strings may span blanks
+        lower = raw.lower()
+        if any(s in lower for s in self.specials):  # special strings may span blanks
             return self.whole(raw.decode("utf-8"))
         if b"\xcc" not in raw:  # no combining mark that could join a letter differently by its case
-            raw = raw.lower()
+            raw = lower
         words = raw.split()
-        try:  # most texts have no new word
-            return b"".join(map(self.cache.__getitem__, words))
-        except KeyError:
-            self._learn(set(words))
-            return b"".join(map(self.cache.__getitem__, words))
-
-    def _learn(self, words: set[bytes]) -> None:
-        """Put a text's words into the cache. One call a word: a call for several starts the library's threads,
+        found = list(map(self.cache.get, words))
+        if None in found:
+            for i, ids in enumerate(found):
+                if ids is None:
+                    found[i] = self._learn(words[i])
+        return b"".join(found)
+
+    def _learn(self, word: bytes) -> bytes:
+        """Put a new word into the cache. One call a word: a call for several starts the library's threads,
         which cost more than the few new words of a text, and the cores are Spark's already."""
-        cache = self.cache
-        if len(cache) > CACHE_ENTRIES:
-            cache.clear()
-        encode = self.tokenizer.encode
-        for w in words:
-            if w not in cache:
-                ids = encode(w.decode("utf-8"), add_special_tokens=False).ids
-                cache[w] = struct.pack(f"<{len(ids)}I", *ids)
+        ids = self.cache.get(word)  # by now, if the text has it twice
+        if ids is None:
+            if len(self.cache) > CACHE_ENTRIES // 2:  # what was in use lately is taken over, not made again
+                self.cache, self.older = {}, self.cache
+            ids = self.older.get(word)
+            self.cache[word] = ids = self._encode(word.decode("utf-8")) if ids is None else ids
+        return ids
+
+    def _encode(self, word: str) -> bytes:
+        """A word's ids. Most of the library's time for a word goes into normalizing and cutting it, which a plain
+        word is spared; its parts are cached too, as many words differ by a mark only."""
+        if not (self.straight and PLAIN.fullmatch(word)):
+            return _pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        found = []
+        for p in PARTS.findall(word.lower()):
+            ids = self.parts.get(p)
+            if ids is None:
+                if len(self.parts) > CACHE_ENTRIES // 2:
+                    self.parts, self.older_parts = {}, self.parts
+                ids = self.older_parts.get(p)
+                if ids is None:
+                    ids = _pack([t.id for t in self.merge(p if p.isascii() else p.translate(self.spelt))])
+                self.parts[p] = ids
+            found.append(ids)
+        return found[0] if len(found) == 1 else b"".join(found)
 
 
 class PieceCounts:
