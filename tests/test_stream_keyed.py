@@ -1,11 +1,13 @@
 """Keyed rules on a stream against the batch rules."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tests.test_lineage_expressions import shuffle_bytes
 from vaultline.operators import quality
 from vaultline.plans.rules import Rule
 from vaultline.session import scratch_path
@@ -84,6 +86,53 @@ def test_a_crash_before_the_commit_and_fail_job(spark, monkeypatch):
     assert keyed_rules.read_checked(spark, target, schema, rules).clean.count() == 2
 
 
+def test_groups_are_appended_and_no_scratch_stays(spark):
+    """Three micro-batches of new keys: each stores its own groups only and leaves no copies and no shuffles behind."""
+    base = scratch_path(spark, "x").rpartition("/")[0]
+    store, before, target = Snapshots(spark, base), shuffle_bytes(spark), scratch_path(spark, "target")
+    there = set(store._list(base))
+    feed = [[(i, f"k{i}", i, 0) for i in range(60 * b, 60 * b + 60)] for b in range(3)]
+    stream(spark, feed, [Rule("id", "unique"), Rule("k", "chronology", ("t", "id"))], target, scratch_path(spark, "ckpt"))
+    assert not [f for f in set(store._list(base)) - there if f.startswith("rule-groups")]
+    until = time.time() + 20
+    while shuffle_bytes(spark) > before and time.time() < until:
+        time.sleep(0.2)
+    assert shuffle_bytes(spark) <= before
+    for table in ("groups_0", "groups_1"):
+        files = spark.read.option("recursiveFileLookup", True).parquet(f"{target}/state/data/{table}")
+        assert files.count() == 180  # 60 + 120 + 180 when all groups are written again each time
+
+
+def test_buckets_become_one_folder_again_and_are_looked_at_in_runs(spark, monkeypatch):
+    monkeypatch.setattr(keyed_rules, "RUN_BYTES", 1)
+    data, target, rules = made_up(2, 160), scratch_path(spark, "target"), RULES[2:]
+    stream(spark, [data[i:i + 40] for i in range(0, 160, 40)], rules, target, scratch_path(spark, "ckpt"), compact_at=3)
+    df = spark.createDataFrame(data, SCHEMA)
+    key = lambda d: d.select("id", "k", "t", "v", F.array_join("failed_rules", ",").alias("f"), "dq_action")
+    want = quality.split(quality.mark_failures(df, rules), rules)
+    assert rows(key(keyed_rules.read_checked(spark, target, df.schema, rules).marked)) == rows(key(want.marked))
+    store = Snapshots(spark, f"{target}/state")
+    for name, entry in store.at().tables.items():
+        if name != keyed_rules.CURSOR:
+            named = {p for paths in entry["buckets"].values() for p in paths}
+            folders = store._list(f"{store.root}/data/{name}")
+            there = {f"{store.root}/data/{name}/{f}/{b}" for f in folders for b in store._list(f"{store.root}/data/{name}/{f}") if "=" in b}
+            assert there == named and max(map(len, entry["buckets"].values())) < 3
+
+
+def test_failed_rows_are_not_broadcast_and_an_older_layout_is_refused(spark):
+    target, one = scratch_path(spark, "target"), [Rule("id", "unique")]
+    stream(spark, [[(1, "a", 1, 0), (1, "b", 1, 0), (2, "c", 1, 0)]], one, target, scratch_path(spark, "ckpt"))
+    schema = spark.createDataFrame([], SCHEMA).schema
+    marked = keyed_rules.read_checked(spark, target, schema, one).marked
+    assert marked.filter("dq_action = 'quarantine'").count() == 2
+    assert "Broadcast" not in marked._jdf.queryExecution().executedPlan().toString()
+    store = Snapshots(spark, f"{target}/state")
+    store.commit(store.at(), {keyed_rules.CURSOR: {"last": 0}})
+    with pytest.raises(ValueError, match="older layout"):
+        keyed_rules.read_failures(spark, target)
+
+
 def test_micro_batches_are_read_in_parts_and_buckets_written_by_more_tasks(spark):
     """A batch is as many files as its rows were read in; rows come once."""
     files, seen = scratch_path(spark, "files"), []

@@ -7,8 +7,7 @@ built from metadata sheets or from the schemas of the tables themselves.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import combinations
 
@@ -16,13 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultline.operators.ordered import union_all_by_name
+from vaultline.session import shuffles_dropped
 
 # Name words that mark an identifier column.
 KEY_WORDS = ("id", "key", "code", "pk", "uuid", "guid")
 # Literal mode reproduces a plain substring test on these words, excluding "date".
 LITERAL_WORDS = ("id", "key", "code")
 NAME_PARTS = 64  # one part of the names' range is looked at for all column sets before the rest for the sets left
-DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def catalog_of(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -141,17 +140,6 @@ def _keys_among(df: DataFrame, sets: Sequence[tuple[str, ...]]) -> list[tuple[st
     return keys
 
 
-@contextmanager
-def _shuffles_dropped(spark) -> Iterator[None]:
-    """Shuffle files go when their job ends, not when the driver's memory is next collected."""
-    before = spark.conf.get(DROP_SHUFFLES, None)
-    spark.conf.set(DROP_SHUFFLES, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(DROP_SHUFFLES) if before is None else spark.conf.set(DROP_SHUFFLES, before)
-
-
 def key_combinations(df: DataFrame, table_name: str, columns: Sequence[str] | None = None, width: int = 3) -> DataFrame:
     """K2 for composite keys: the minimal sets of at most ``width`` columns, none
     of them NULL in any row, whose values tell all rows apart. Level by level: a
@@ -162,7 +150,7 @@ def key_combinations(df: DataFrame, table_name: str, columns: Sequence[str] | No
     counts = df.agg(F.count(F.lit(1)), *[F.count(f"`{c}`") for c in columns]).first()
     n, usable = counts[0], [c for c, there in zip(columns, counts[1:]) if there == counts[0]]
     keys: list[tuple[str, ...]] = []
-    with _shuffles_dropped(spark):
+    with shuffles_dropped(spark):
         for size in range(1, min(width, len(usable)) + 1 if n else 1):
             keys += _keys_among(df, [s for s in combinations(usable, size) if not any(set(k) <= set(s) for k in keys)])
     return spark.createDataFrame([(table_name, ",".join(k), len(k), n) for k in keys],

@@ -293,9 +293,10 @@ def q_stream_keyed_dq(spark, sf):
     from vaultline.streaming.keyed_rules import read_checked, stream_keyed_dq
     from vaultline.streaming.loads import micro_batches
     li = _t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_quantity")
-    target = scratch_path(spark, "stream_keyed")
-    stream = micro_batches(li, scratch_path(spark, "stream_lines"), 3)
+    target, lines = scratch_path(spark, "stream_keyed"), scratch_path(spark, "stream_lines")
+    stream = micro_batches(li, lines, 3)
     stream_keyed_dq(stream, KEYED_RULES, target, scratch_path(spark, "stream_keyed_ckpt"), buckets=8)
+    Snapshots(spark, target).drop([lines])  # all of it has been checked and stored
     return read_checked(spark, target, li.schema, KEYED_RULES).marked.select(
         "l_orderkey", "l_linenumber", F.array_join("failed_rules", ",").alias("failed"), "dq_action")
 

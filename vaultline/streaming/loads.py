@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from vaultline.functions.hashing import surrogate_key
 from vaultline.operators import quality
 from vaultline.plans.rules import Rule
-from vaultline.session import scratch_path
+from vaultline.session import scratch_path, shuffles_dropped
 from vaultline.sources.keyed import Bucketed
 from vaultline.sources.snapshots import Snapshots
 from vaultline.sources.writers import write_vault_increment
@@ -36,7 +36,8 @@ def micro_batches(df: DataFrame, path: str, n: int) -> DataFrame:
     """``df`` as a file stream of ``n`` micro-batches, in no order of keys. A batch has as
     many files as ``df`` is read in parts, so that it is read (and each step on it run) by as many tasks."""
     files = max(1, df.rdd.getNumPartitions())
-    df.repartition(n * files).write.parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.repartition(n * files).write.option("compression", "zstd").parquet(path)
     return df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
